@@ -17,7 +17,7 @@ columns and pushes filters to the parquet scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
@@ -28,6 +28,13 @@ def samples(t: Tables) -> DataFrame:
                              F.col("c_mktsegment").alias("label"))
 
 
+def cohort_codes(t: Tables) -> DataFrame:
+    """Cohort registry from the (small) customer side: segment -> alphabetical ordinal."""
+    segs = t.customer.select(F.col("c_mktsegment").alias("cohort")).distinct()
+    return segs.select("cohort", (F.dense_rank().over(Window.orderBy("cohort")) - 1)
+                       .cast("int").alias("ordinal"))
+
+
 def _lines(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag")
     o = t.orders.select("o_orderkey", "o_custkey")
