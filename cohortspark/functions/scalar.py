@@ -39,7 +39,7 @@ def coerce_numeric(c, default: float | None = 0.0, is_string: bool = True) -> Co
     """
     c = _c(c)
     if is_string:
-        parsed = F.when(c.rlike(NUMERIC_PATTERN), F.trim(c).try_cast("double"))
+        parsed = F.when(c.rlike(NUMERIC_PATTERN), strip_ws(c).try_cast("double"))
     else:
         parsed = c.cast("double")
     parsed = nan_to_null(parsed)

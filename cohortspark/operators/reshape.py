@@ -37,12 +37,16 @@ def filter_in(df: DataFrame, col: str, values) -> DataFrame:
     return df.where(F.col(col).isin(*list(values)))
 
 
-def cell_agg(long: DataFrame, agg: str = "mean", keys=("sample_id", "feature")) -> DataFrame:
+def cell_agg(long: DataFrame, agg: str = "mean", keys=("sample_id", "feature"),
+             keep_null_cells: bool = False) -> DataFrame:
     """One value per (sample, feature); NULL keys and NULL values are dropped first,
-    so an all-NULL cell disappears (it is then absent, i.e. filled later)."""
+    so an all-NULL cell disappears (it is then absent, i.e. filled later).
+    ``keep_null_cells`` keeps such a cell as an explicit NULL (a missing
+    measurement in a wide file)."""
     fn = _AGGS[agg]
-    clean = long.where(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull()
-                       & F.col("value").isNotNull())
+    clean = long.where(F.col(keys[-2]).isNotNull() & F.col(keys[-1]).isNotNull())
+    if not keep_null_cells:
+        clean = clean.where(F.col("value").isNotNull())
     out = clean.groupBy(*keys).agg(fn("value").alias("value"))
     if agg == "count":
         out = out.withColumn("value", F.col("value").cast("double"))

@@ -2,3 +2,4 @@
 
 from . import queries  # noqa: F401
 from . import queries_ingest  # noqa: F401
+from . import queries_stats  # noqa: F401
