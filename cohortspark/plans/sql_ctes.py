@@ -69,7 +69,8 @@ SELECT DISTINCT sample_id, feature, 1 AS value FROM mut_events
 WHERE variant_class IN ('A', 'R') AND sample_id IS NOT NULL AND feature IS NOT NULL""", ("mut_events",))
 
 
-def frequency_expert_ctes(prefix: str, long_cte: str, weight_expr: str, where: str = "TRUE"):
+def frequency_expert_ctes(prefix: str, long_cte: str, weight_expr: str, where: str = "TRUE",
+                          folds: str = "folds", classes: str = "classes"):
     """CTEs ``{prefix}_dom``, ``{prefix}_assigned``, ``{prefix}_model``, ``{prefix}_oof``."""
     cte(f"{prefix}_dom", f"""
 SELECT sample_id, feature FROM (
@@ -77,19 +78,19 @@ SELECT sample_id, feature FROM (
   FROM (SELECT sample_id, feature, sum({weight_expr}) AS w FROM {long_cte} WHERE {where} GROUP BY sample_id, feature))
 WHERE rn = 1""", (long_cte,))
     cte(f"{prefix}_assigned", f"""
-SELECT d.sample_id, d.feature, f.label, f.fold FROM {prefix}_dom d JOIN folds f ON d.sample_id = f.sample_id""",
-        (f"{prefix}_dom", "folds"))
+SELECT d.sample_id, d.feature, f.label, f.fold FROM {prefix}_dom d JOIN {folds} f ON d.sample_id = f.sample_id""",
+        (f"{prefix}_dom", folds))
     cte(f"{prefix}_model", f"""
 SELECT feature, fold, class,
   CAST(sum(n) OVER (PARTITION BY feature, class) - n + 1 AS DOUBLE)
   / CAST(sum(n) OVER (PARTITION BY feature) - sum(n) OVER (PARTITION BY feature, fold)
-         + (SELECT count(*) FROM classes) AS DOUBLE) AS prob
+         + (SELECT count(*) FROM {classes}) AS DOUBLE) AS prob
 FROM (
   SELECT g.feature, g.fold, g.class, coalesce(c.n, 0) AS n
   FROM (SELECT DISTINCT a.feature, CAST(r.range AS INTEGER) AS fold, k.class
-        FROM {prefix}_assigned a CROSS JOIN range(5) r CROSS JOIN classes k) g
+        FROM {prefix}_assigned a CROSS JOIN range(5) r CROSS JOIN {classes} k) g
   LEFT JOIN (SELECT feature, label AS class, fold, count(*) AS n FROM {prefix}_assigned GROUP BY ALL) c
-    ON g.feature = c.feature AND g.class = c.class AND g.fold = c.fold)""", (f"{prefix}_assigned", "classes"))
+    ON g.feature = c.feature AND g.class = c.class AND g.fold = c.fold)""", (f"{prefix}_assigned", classes))
     cte(f"{prefix}_oof", f"""
 SELECT a.sample_id, a.label, a.fold, m.class, m.prob
 FROM {prefix}_assigned a JOIN {prefix}_model m ON a.feature = m.feature AND a.fold = m.fold""",
