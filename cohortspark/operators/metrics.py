@@ -95,6 +95,15 @@ def f1_binary(preds: DataFrame, group=(), label="label", pred="pred", positive=1
         F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn)).otherwise(0.0).alias("f1"))
 
 
+def binary_summary(preds: DataFrame, group=(), label="label", pred="pred", positive=1) -> DataFrame:
+    """Binary F1 of ``positive`` and accuracy in one aggregate."""
+    y, p = F.col(label) == F.lit(positive), F.col(pred) == F.lit(positive)
+    tp, fp, fn = F.count_if(y & p), F.count_if(~y & p), F.count_if(y & ~p)
+    return preds.groupBy(*group).agg(
+        F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn)).otherwise(0.0).alias("f1"),
+        F.avg((F.col(label) == F.col(pred)).cast("double")).alias("accuracy"))
+
+
 def log_loss(probs: DataFrame, group=(), label="label", class_col="class", prob_col="prob",
              eps: float = 2.220446049250313e-16) -> DataFrame:
     """Mean negative log probability of the true class, clipped to [eps, 1-eps]."""
@@ -144,7 +153,8 @@ def fold_scores(preds: DataFrame, probs: DataFrame, classes: list, group=("fold"
     return acc.unionByName(f1).unionByName(auc).unionByName(ll)
 
 
-def learning_curve(model, df: DataFrame, fold: int, loss: str = "logistic") -> list[tuple]:
-    """Per-round loss of a fitted GBT model on ``df`` (one distributed pass)."""
-    losses = model.evaluateEachIteration(df, loss) if hasattr(model, "evaluateEachIteration") else []
+def learning_curve(model, df: DataFrame, fold: int) -> list[tuple]:
+    """``(fold, round, loss)`` of a fitted GBT model on ``df``: one distributed
+    pass per call (the loss is the model's own)."""
+    losses = model.evaluateEachIteration(df)
     return [(int(fold), i + 1, float(v)) for i, v in enumerate(losses)]

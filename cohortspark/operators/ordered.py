@@ -39,20 +39,27 @@ def running_totals_before(df: DataFrame, partition_cols: list[str], order_col: s
     ``<v>_before`` = sum of ``v`` over rows with a strictly smaller order value.
 
     Buckets are equal-width ranges of ``order_col`` between the group's min and
-    max (monotone by construction).
+    max (monotone by construction).  Without partition columns the range is
+    two scalars (one small aggregate), so no join on a constant key arises.
     """
     b = "_bucket"
     out_cols = list(df.columns)
-    if not partition_cols:
-        df, partition_cols = df.withColumn("_g", F.lit(0)), ["_g"]
-    rng = df.groupBy(*partition_cols).agg(F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"))
-    lo, hi = F.col("_lo"), F.col("_hi")
-    bucket = F.when(hi > lo, F.least(
-        F.floor((F.col(order_col) - lo) / (hi - lo) * F.lit(n_buckets)),
-        F.lit(n_buckets - 1))).otherwise(F.lit(0)).cast("int")
-    with_b = df.join(rng, partition_cols).withColumn(b, bucket).drop("_lo", "_hi")
+    x = F.col(order_col)
+    if partition_cols:
+        rng = df.groupBy(*partition_cols).agg(F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"))
+        base = df.join(rng, partition_cols)
+        lo, hi = F.col("_lo"), F.col("_hi")
+    else:
+        r = df.agg(F.min(order_col), F.max(order_col)).first()
+        base = df
+        lo, hi = F.lit(r[0]), F.lit(r[1])
+    bucket = F.when(hi > lo, F.least(F.floor((x - lo) / (hi - lo) * F.lit(n_buckets)),
+                                     F.lit(n_buckets - 1))).otherwise(F.lit(0)).cast("int")
+    with_b = base.withColumn(b, bucket)
     totals = with_b.groupBy(*partition_cols, b).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    w_off = Window.partitionBy(*partition_cols).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    # the offset window runs over one row per (group, bucket)
+    w_off = (Window.partitionBy(*partition_cols) if partition_cols else Window) \
+        .orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*partition_cols, b, *[
         F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
     w_loc = Window.partitionBy(*partition_cols, b).orderBy(order_col) \
@@ -61,4 +68,4 @@ def running_totals_before(df: DataFrame, partition_cols: list[str], order_col: s
                                  for v in value_cols])
     out = local.join(offsets, [*partition_cols, b])
     return out.select(*out_cols, *[(F.col(f"_o_{v}") + F.col(f"_l_{v}")).alias(f"{v}_before")
-                                     for v in value_cols])
+                                   for v in value_cols])

@@ -241,7 +241,8 @@ def q_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_summarise_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unweighted mean of the fold metrics."""
     from ..operators.stats import summarise_folds
-    return rounded(summarise_folds(_fold_scores(Tables(spark, sf_dir))))
+    # the mean of the reported (rounded) fold scores, as a report would show
+    return rounded(summarise_folds(rounded(_fold_scores(Tables(spark, sf_dir)))))
 
 
 # ---- binary metrics ------------------------------------------------------------------
@@ -263,23 +264,20 @@ FROM (SELECT count_if(label = 1 AND score > 0.5) AS tp, count_if(label <> 1 AND
       FROM doc_scores)""", "doc_scores"))
 def q_f1_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3 + P17: threshold 0.5 -> 0/1, binary F1 of code 1, accuracy."""
-    s = document_scores(Tables(spark, sf_dir)).withColumn("pred", S.threshold("score", 0.5)) \
-        .withColumn("_g", F.lit(0))
-    f1 = M.f1_binary(s, ("_g",), "label", "pred", 1)
-    acc = M.accuracy(s, ("_g",), "label", "pred")
-    return rounded(f1.join(acc, "_g").drop("_g"))
+    s = document_scores(Tables(spark, sf_dir)).withColumn("pred", S.threshold("score", 0.5))
+    return rounded(M.binary_summary(s, (), "label", "pred", 1))
 
 
 # ---- attributions and importance ------------------------------------------------------
 
-cte("cnv_cells_present", """
-SELECT sample_id, feature, avg(value) AS value FROM cnv_long
-WHERE sample_id IS NOT NULL AND feature IS NOT NULL AND value IS NOT NULL GROUP BY ALL""", ("cnv_long",))
+cte("act_counts", """
+SELECT sample_id, feature, CAST(count(*) AS DOUBLE) AS value FROM act_events
+WHERE sample_id IS NOT NULL AND feature IS NOT NULL GROUP BY ALL""", ("act_events",))
 cte("combo_cells", """
 SELECT sample_id, concat(feature, '_expr') AS feature, value FROM expr_cells_all
 UNION ALL SELECT sample_id, concat(feature, '_mut'), CAST(value AS DOUBLE) FROM mut_presence
-UNION ALL SELECT sample_id, concat(feature, '_cnv'), value FROM cnv_cells_present""",
-    ("expr_cells_all", "mut_presence", "cnv_cells_present"))
+UNION ALL SELECT sample_id, concat(feature, '_act'), value FROM act_counts""",
+    ("expr_cells_all", "mut_presence", "act_counts"))
 
 
 def linear_model_ctes(prefix: str, cells: str, labels: str, classes: str):
@@ -317,9 +315,9 @@ def combined_cells(t: Tables) -> DataFrame:
     mut = R.presence(R.filter_in(B.mutation_events(t), "variant_class", ["A", "R"])) \
         .select("sample_id", F.concat("feature", F.lit("_mut")).alias("feature"),
                 F.col("value").cast("double").alias("value"))
-    cnv = R.cell_mean(B.copy_number_long(t)) \
-        .select("sample_id", F.concat("feature", F.lit("_cnv")).alias("feature"), "value")
-    return expr.unionByName(mut).unionByName(cnv)
+    act = R.cell_agg(B.activity_events(t).withColumn("value", F.lit(1.0)), "count") \
+        .select("sample_id", F.concat("feature", F.lit("_act")).alias("feature"), "value")
+    return expr.unionByName(mut).unionByName(act)
 
 
 def combined_model(t: Tables):

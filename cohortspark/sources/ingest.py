@@ -147,7 +147,7 @@ def read_feature_list(spark: SparkSession, path: str) -> DataFrame:
     the file order is preserved.  A list file is bounded by the feature count,
     so it is read as one ``wholetext`` row per file and split in place.
     """
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     lines = raw.select(F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n"))
                        .alias("pos", "line"))
     return lines.select(F.col("pos").cast("int").alias("pos"), strip_ws("line").alias("feature"))
