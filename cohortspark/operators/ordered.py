@@ -69,3 +69,31 @@ def running_totals_before(df: DataFrame, partition_cols: list[str], order_col: s
     out = local.join(offsets, [*partition_cols, b])
     return out.select(*out_cols, *[(F.col(f"_o_{v}") + F.col(f"_l_{v}")).alias(f"{v}_before")
                                    for v in value_cols])
+
+
+def exact_percentile(counts: DataFrame, group_cols: list[str], value_col: str, count_col: str,
+                     q: float, out: str = "percentile", n_buckets: int = 1024) -> DataFrame:
+    """Exact linear-interpolation percentile per group from ``(group, value,
+    count)`` rows (one row per distinct value; counts act as frequencies).
+
+    No group is buffered in one task: cumulative counts come from the
+    bucketed running sum, and the two order statistics around position
+    ``(N - 1) * q`` are picked by a range test on the cumulative counts.
+    Equals ``percentile(value, q, count)``.
+    """
+    cum = running_totals_before(counts, group_cols, value_col, [count_col], n_buckets)
+    if group_cols:
+        tot = counts.groupBy(*group_cols).agg(F.sum(count_col).alias("_n"))
+        x = cum.join(tot, group_cols)
+    else:
+        x = cum.withColumn("_n", F.lit(counts.agg(F.sum(count_col)).first()[0]))
+    h = (F.col("_n") - 1) * F.lit(float(q))
+    x = x.withColumn("_lo", F.floor(h)).withColumn("_hi", F.ceil(h)).withColumn("_frac", h - F.floor(h))
+    start, stop = F.col(f"{count_col}_before"), F.col(f"{count_col}_before") + F.col(count_col)
+    picked = x.where(((F.col("_lo") >= start) & (F.col("_lo") < stop))
+                     | ((F.col("_hi") >= start) & (F.col("_hi") < stop)))
+    agg = picked.groupBy(*group_cols).agg(
+        F.max(F.when((F.col("_lo") >= start) & (F.col("_lo") < stop), F.col(value_col))).alias("_vlo"),
+        F.max(F.when((F.col("_hi") >= start) & (F.col("_hi") < stop), F.col(value_col))).alias("_vhi"),
+        F.first("_frac").alias("_frac"))
+    return agg.select(*group_cols, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias(out))

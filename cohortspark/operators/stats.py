@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import log2p1
+from .ordered import exact_percentile
 
 
 def label_counts(df: DataFrame, label: str = "label", normalize: bool = False) -> DataFrame:
@@ -127,14 +128,17 @@ def fit_median(cells: DataFrame, n_samples: int | None = None, absent: str = "nu
     result equals the median of the zero-filled column.  Features without any
     observed value get no row (they are dropped, see :func:`median_fit_report`).
     """
-    present = cells.where(F.col("value").isNotNull()).select(
-        "feature", F.col("value").cast("double").alias("value"), F.lit(1).cast("long").alias("w"))
+    present = cells.where(F.col("value").isNotNull()) \
+        .groupBy("feature", F.col("value").cast("double").alias("value")) \
+        .agg(F.count(F.lit(1)).alias("w"))
     if absent == "zero":
         zeros = present.groupBy("feature").agg(
-            (F.lit(int(n_samples)) - F.count(F.lit(1))).cast("long").alias("w")) \
+            (F.lit(int(n_samples)) - F.sum("w")).cast("long").alias("w")) \
             .where(F.col("w") > 0).select("feature", F.lit(0.0).alias("value"), "w")
-        present = present.unionByName(zeros)
-    return present.groupBy("feature").agg(F.percentile("value", 0.5, F.col("w")).alias("median"))
+        present = present.unionByName(zeros).groupBy("feature", "value").agg(F.sum("w").alias("w"))
+    # distinct values with frequencies, then an exact order-statistic pick:
+    # no per-feature value buffer, so a hot feature never sits in one task
+    return exact_percentile(present, ["feature"], "value", "w", 0.5, "median")
 
 
 def median_fit_report(cells: DataFrame, params: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from ..operators import joins as J
 from ..operators import metrics as M
 from ..operators import reshape as R
 from ..operators import topk as T
+from ..session import materialize
 from ..sources.tables import Tables
 from . import bindings as B
 from .queries import (K_FOLDS, activity_expert, classes_of, expert_predictions, expression_expert,
@@ -170,7 +171,9 @@ def q_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E7 (+E8 underneath): per-class precision/recall/f1/support and averages."""
     t = Tables(spark, sf_dir)
     classes = classes_of(t)
-    conf = M.confusion_matrix(expert_predictions(expression_expert(t, classes)), classes)
+    # the K x K table feeds four report branches: write it once
+    conf = materialize(M.confusion_matrix(expert_predictions(expression_expert(t, classes)), classes),
+                       "confusion")
     return rounded(M.classification_report(conf))
 
 
@@ -180,7 +183,8 @@ def q_f1_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Support-weighted F1."""
     t = Tables(spark, sf_dir)
     classes = classes_of(t)
-    conf = M.confusion_matrix(expert_predictions(expression_expert(t, classes)), classes)
+    conf = materialize(M.confusion_matrix(expert_predictions(expression_expert(t, classes)), classes),
+                       "confusion")
     return rounded(M.f1_weighted(conf))
 
 
@@ -227,7 +231,8 @@ GROUP BY fold""", "fx_expr_pred", "fx_expr_oof", "classes")
 
 def _fold_scores(t: Tables) -> DataFrame:
     classes = classes_of(t)
-    oof = expression_expert(t, classes)
+    # the OOF table feeds four metric branches: write it once
+    oof = materialize(expression_expert(t, classes), "oof")
     return M.fold_scores(expert_predictions(oof), oof, classes, ("fold",))
 
 

@@ -90,3 +90,17 @@ def test_log_loss_and_binary_f1(spark):
     assert ll == pytest.approx(-math.log(0.8) / 2, abs=1e-12)
     b = spark.createDataFrame([(1, 1), (1, 0), (0, 1), (0, 0)], "label int, pred int")
     assert M.f1_binary(b).first()[0] == pytest.approx(0.5)
+
+
+def test_exact_percentile_matches_builtin(spark):
+    from cohortspark.operators.ordered import exact_percentile
+    rng = random.Random(9)
+    rows = [(g, float(rng.randint(0, 30)), rng.randint(1, 4)) for g in range(4) for _ in range(60)]
+    df = spark.createDataFrame(rows, "g int, v double, w long").groupBy("g", "v").agg(F.sum("w").alias("w"))
+    for q in (0.05, 0.5, 0.9):
+        got = {r[0]: r[1] for r in exact_percentile(df, ["g"], "v", "w", q, n_buckets=4).collect()}
+        ref = {r[0]: r[1] for r in df.groupBy("g").agg(F.percentile("v", q, F.col("w"))).collect()}
+        for g in ref:
+            assert got[g] == pytest.approx(ref[g])
+    one = exact_percentile(df, [], "v", "w", 0.5).first()[0]
+    assert one == pytest.approx(df.agg(F.percentile("v", 0.5, F.col("w"))).first()[0])
