@@ -102,3 +102,16 @@ def harmonise_binary(df: DataFrame, modality: str, key: str = "sample_id") -> Da
         return None
     return df.select(key, normal.alias(f"pred_{modality}_normal_prob"),
                      cancer.alias(f"pred_{modality}_cancer_prob"))
+
+
+def require_binary(df: DataFrame, label: str = "label") -> int:
+    """Binary contract: exactly two classes, else ``ValueError``."""
+    n = df.select(label).where(F.col(label).isNotNull()).distinct().limit(3).count()
+    if n != 2:
+        raise ValueError(f"binary labels expected, found {n} classes")
+    return n
+
+
+def positive_code(codes: DataFrame, positive_label, label: str = "label") -> DataFrame:
+    """Code of the positive class in the class-code table (one row)."""
+    return codes.where(F.col(label) == F.lit(positive_label)).select(F.col("code").alias("positive_code"))

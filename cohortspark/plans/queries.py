@@ -61,18 +61,21 @@ def expert_predictions(oof: DataFrame) -> DataFrame:
 
 @register("stratified_folds", with_ctes("SELECT sample_id, label, fold FROM folds", "folds"))
 def q_stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic stratified 5-fold assignment (md5 order, seed 42)."""
     return customer_folds(Tables(spark, sf_dir)).select("sample_id", "label", "fold")
 
 
 @register("frequency_expert_oof", with_ctes(
     "SELECT sample_id, label, fold, class, round(prob, 6) AS prob FROM fx_expr_oof", "fx_expr_oof"))
 def q_frequency_expert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leakage-free OOF probabilities of the frequency expert (long)."""
     return rounded(expression_expert(Tables(spark, sf_dir)))
 
 
 @register("argmax_class", with_ctes(
     "SELECT sample_id, label, fold, pred FROM fx_expr_pred", "fx_expr_pred"))
 def q_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-wise argmax over class probabilities, ties -> lowest code."""
     return expert_predictions(expression_expert(Tables(spark, sf_dir)))
 
 
@@ -82,6 +85,7 @@ FROM classes t CROSS JOIN classes p
 LEFT JOIN fx_expr_pred x ON x.label = t.class AND x.pred = p.class
 GROUP BY t.class, p.class""", "fx_expr_pred", "classes"))
 def q_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K x K confusion table with zero cells (flagship query)."""
     t = Tables(spark, sf_dir)
     classes = classes_of(t)
     return M.confusion_matrix(expert_predictions(expression_expert(t, classes)), classes)

@@ -234,3 +234,66 @@ def q_any_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = assemble_samples(category_features(Tables(spark, sf_dir)))
     return x.agg(F.bool_or(F.col("value").isNull()).alias("any_null"),
                  F.bool_or(F.col("feature").contains("_")).alias("any_match"))
+
+
+# ---- scoring-time preparation (L13) -------------------------------------------------
+
+cte("train_dictionary", """
+SELECT CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS pos, feature
+FROM expr_var WHERE var > (SELECT quantile_cont(var, 0.05) FROM expr_var)""", ("expr_var",))
+
+
+def training_dictionary(t: Tables) -> DataFrame:
+    cells = ST.log_cells(expression_cells(t))
+    kept = ST.filter_low_variance(cells, ST.n_samples_of(cells), VAR_Q, absent="zero")
+    return R.feature_dictionary(kept)
+
+
+@register("prepare_long", with_ctes("""
+SELECT c.sample_id, c.feature, d.pos, round(c.value, 6) AS value
+FROM (SELECT sample_id, feature, avg(coalesce(CASE WHEN isnan(value) THEN NULL ELSE value END, 0.0)) AS value
+      FROM expr_long WHERE sample_id IS NOT NULL AND feature IS NOT NULL GROUP BY ALL) c
+JOIN train_dictionary d ON c.feature = d.feature""", "expr_long", "train_dictionary"))
+def q_prepare_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L13 (long): coerce, mean per cell, keep the saved training features
+    (dictionary of the variance-filtered training features) with positions."""
+    from .integrate import prepare_long
+    t = Tables(spark, sf_dir)
+    raw = B.expression_long(t).select("sample_id", "feature", "value")
+    return rounded(prepare_long(raw, training_dictionary(t)).select("sample_id", "feature", "pos", "value"))
+
+
+@register("prepare_events", with_ctes("""
+SELECT p.sample_id, p.feature, d.pos, 1 AS value
+FROM (SELECT DISTINCT sample_id, feature FROM mut_events) p
+JOIN (SELECT CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS pos, feature FROM (
+        SELECT feature FROM (SELECT DISTINCT sample_id, feature FROM mut_events WHERE variant_class IN ('A', 'R'))
+        GROUP BY feature
+        HAVING count(*) >= greatest(1, ceil((SELECT count(DISTINCT sample_id) FROM mut_events
+                                             WHERE variant_class IN ('A', 'R')) * 1.0 / 100.0)))) d
+  ON p.feature = d.feature""", "mut_events"))
+def q_prepare_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L13 (events): presence of every event pair aligned to the saved list of
+    prevalent protein-altering features."""
+    from .integrate import prepare_events
+    t = Tables(spark, sf_dir)
+    ev = B.mutation_events(t)
+    kept = ST.filter_prevalence(R.presence(R.filter_in(ev, "variant_class", ["A", "R"])), 1.0)
+    dictionary = R.feature_dictionary(kept)
+    out = prepare_events(ev.select("sample_id", "feature"), dictionary)
+    return out.select("sample_id", "feature", "pos", F.col("value").cast("int").alias("value"))
+
+
+@register("binary_contract", """
+SELECT count(DISTINCT quality) AS n_classes,
+       (SELECT code FROM (SELECT quality, dense_rank() OVER (ORDER BY quality) - 1 AS code
+                          FROM (SELECT DISTINCT quality FROM labels)) WHERE quality = 1) AS positive_code
+FROM labels""")
+def q_binary_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly-two-classes guard and the positive class code."""
+    t = Tables(spark, sf_dir)
+    lab = t.labels.select(F.col("quality").alias("label"))
+    n = J.require_binary(lab)
+    codes = J.class_codes(lab)
+    return J.positive_code(codes, 1).select(F.lit(n).cast("long").alias("n_classes"),
+                                            F.col("positive_code").cast("long"))
