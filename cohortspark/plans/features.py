@@ -97,3 +97,53 @@ def pca_component_cap(k: int | None, n_samples: int, n_features: int) -> int:
     if k is None:
         return 0
     return int(min(int(k), n_samples, n_features))
+
+
+def impute_and_reduce(features: DataFrame, modality: str, k: int, by: str = "category"):
+    """PCA step of the sample dataset job for one modality (L11 in L15).
+
+    The feature columns of all files are united (sorted dictionary, U3);
+    within a file an absent cell reads that file's scaled zero, a feature the
+    file does not have reads NULL; per-feature medians fitted on the combined
+    rows (exact, distributed) fill the NULLs (A13); PCA is fitted on the
+    combined rows and scores every (file, sample) row.  Returns long scores
+    ``(category, sample_id, feature=<m>_PCA_PC<i>, value)`` and the explained
+    variance ratios; with ``k <= 0`` the features pass through unchanged.
+    """
+    from ..operators import reduce as RD
+    from ..operators.ordered import exact_percentile
+    from ..operators.reshape import feature_dictionary
+
+    present = features.where(F.col("feature").isNotNull())
+    dictionary = feature_dictionary(present)
+    d = dictionary.count()
+    rows = features.select(by, "sample_id").distinct()
+    n = rows.count()
+    k = RD.component_cap(k, n, d)
+    if k <= 0:
+        return features, None
+    kept = present.select(by, "feature", "zero_value").distinct().join(dictionary, "feature")
+    zero_map = kept.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("pos", "zero_value"))).alias("_z"))
+    cell_map = present.join(dictionary, "feature").groupBy(by, "sample_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("pos", "value"))).alias("_m"))
+    base = rows.join(cell_map, [by, "sample_id"], "left").join(zero_map, by, "left")
+    idx = F.sequence(F.lit(0), F.lit(d - 1))
+    arr = F.transform(idx, lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.element_at(F.col("_z"), i)))
+    dense = base.select(by, "sample_id", arr.alias("_x"))
+    # median per position over the combined rows, then fill (bounded: d values)
+    obs = dense.select(F.posexplode("_x").alias("pos", "value")).where(F.col("value").isNotNull()) \
+        .groupBy("pos", "value").agg(F.count(F.lit(1)).alias("w"))
+    med = {r["pos"]: r["median"] for r in exact_percentile(obs, ["pos"], "value", "w", 0.5, "median").collect()}
+    meds = F.array(*[F.lit(float(med.get(i, 0.0))) for i in range(d)])
+    filled = F.zip_with(F.col("_x"), meds, lambda v, m: F.coalesce(v, m))
+    from pyspark.ml.functions import array_to_vector
+    vec = dense.select(by, "sample_id", array_to_vector(filled).alias("features"))
+    scaler, model, signs, ev = RD.fit_pca(vec, k, d)
+    x = model.transform(scaler.transform(vec))
+    from pyspark.ml.functions import vector_to_array
+    sg = F.array(*[F.lit(float(s)) for s in signs])
+    scores = F.zip_with(vector_to_array(F.col("_scores")), sg, lambda a, b: a * b)
+    out = x.select(by, "sample_id", F.posexplode(scores).alias("i", "value")).select(
+        by, "sample_id", F.format_string(f"{modality}_PCA_PC%d", F.col("i") + 1).alias("feature"),
+        "value", F.lit(0.0).alias("zero_value"))
+    return out, ev

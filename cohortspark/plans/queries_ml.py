@@ -157,3 +157,27 @@ def q_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, _ = ML.wide_ml_frame(meta, cols, "label")
     _, _, trials = ML.random_search(materialize(frame, "search_frame"), 3, 42, grid=QUERY_GRID)
     return rounded(trials)
+
+
+@register("sampled_shapley")
+def q_sampled_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 (b): model-agnostic sampled-permutation Shapley values of the
+    logistic-regression expert against a 10-row background sample."""
+    t = Tables(spark, sf_dir)
+    frame, dictionary, codes = TR.expression_frame(t)
+    model = ML.make_estimator("lr", codes.count()).fit(frame)
+    names = [r.feature for r in dictionary.orderBy("pos").collect()]
+    classes = [r.label for r in codes.orderBy("code").collect()]
+    bg = EX.background_rows(frame, 10)
+    return rounded(EX.sampled_shapley(model, frame, bg, classes, n_perm=2, feature_names=names))
+
+
+@register("sample_dataset_pca")
+def q_sample_dataset_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L15 with L11/U3/A13: per modality features of both categories united,
+    median-imputed (combined fit), reduced by PCA fitted on both, gathered per
+    (sample, category) into ``<id>_NORMAL`` / ``<id>_CANCER`` rows."""
+    from .features import impute_and_reduce
+    t = Tables(spark, sf_dir)
+    reduced, _ = impute_and_reduce(category_features(t), "evt", 50)
+    return rounded(assemble_samples(reduced).select("sample_id", "target", "feature", "value"))

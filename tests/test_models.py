@@ -98,3 +98,25 @@ def test_random_search_trials(spark):
     best, score, trials = ML.random_search(b, 2, 42, grid=dict(ML.SEARCH_GRID, maxIter=[2]), class_ratio=2.0)
     assert trials.count() == 2 and 0 <= score <= 1 and best["maxIter"] == 2
     assert ML.draw_params(3, 42) == ML.draw_params(3, 42)
+
+
+def test_sampled_shapley_additive_and_exact_for_linear(spark):
+    from pyspark.ml.regression import LinearRegression
+    from cohortspark.operators import explain as EX
+    df, X = _frame(spark, n=40, d=4)
+    lr = LinearRegression(featuresCol="features", labelCol="y", predictionCol="pred").fit(df)
+    wrapped = lr.setPredictionCol("pred")
+
+    class VecOut:
+        def transform(self, d):
+            from pyspark.ml.functions import array_to_vector
+            return wrapped.transform(d).withColumn("out", array_to_vector(F.array("pred")))
+    bg = EX.background_rows(df, 3)
+    phi = EX.sampled_shapley(VecOut(), df, bg, ["y"], n_perm=2, output="out",
+                             feature_names=["a", "b", "c", "d"])
+    got = {(r["sample_id"], r["feature"]): r["phi"] for r in phi.collect()}
+    coef = lr.coefficients.toArray()
+    mean_bg = np.mean(np.array(bg), axis=0)
+    for i in range(5):
+        for j, f in enumerate("abcd"):
+            assert got[(i, f)] == pytest.approx(coef[j] * (X[i, j] - mean_bg[j]), abs=1e-9)
