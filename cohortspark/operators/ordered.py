@@ -34,28 +34,31 @@ def bucketed_rank(df: DataFrame, partition_cols: list[str], order_cols: list,
 
 
 def running_totals_before(df: DataFrame, partition_cols: list[str], order_col: str,
-                          value_cols: list[str], n_buckets: int = 1024) -> DataFrame:
+                          value_cols: list[str], n_buckets: int = 128) -> DataFrame:
     """For rows with distinct ``order_col`` inside each partition group, add
     ``<v>_before`` = sum of ``v`` over rows with a strictly smaller order value.
 
-    Buckets are equal-width ranges of ``order_col`` between the group's min and
-    max (monotone by construction).  Without partition columns the range is
-    two scalars (one small aggregate), so no join on a constant key arises.
+    Buckets are equal-count ranges: ``percentile_approx`` gives ``n_buckets-1``
+    boundaries per group (a bounded sketch), and a row's bucket is the number
+    of boundaries below its value - monotone by construction, so bucket order
+    is value order.  Each bucket holds ~1/n_buckets of a group's distinct
+    values however skewed the values are.  Without partition columns the
+    boundaries are one small array, so no join on a constant key arises.
     """
     b = "_bucket"
     out_cols = list(df.columns)
     x = F.col(order_col)
+    probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
     if partition_cols:
-        rng = df.groupBy(*partition_cols).agg(F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"))
-        base = df.join(rng, partition_cols)
-        lo, hi = F.col("_lo"), F.col("_hi")
+        bnd = df.groupBy(*partition_cols).agg(F.percentile_approx(order_col, probs, 10000).alias("_bounds"))
+        base = df.join(bnd, partition_cols)
+        bounds = F.col("_bounds")
     else:
-        r = df.agg(F.min(order_col), F.max(order_col)).first()
+        vals = df.agg(F.percentile_approx(order_col, probs, 10000)).first()[0] or []
         base = df
-        lo, hi = F.lit(r[0]), F.lit(r[1])
-    bucket = F.when(hi > lo, F.least(F.floor((x - lo) / (hi - lo) * F.lit(n_buckets)),
-                                     F.lit(n_buckets - 1))).otherwise(F.lit(0)).cast("int")
-    with_b = base.withColumn(b, bucket)
+        bounds = F.array(*[F.lit(v) for v in vals]) if vals else F.array().cast(f"array<{df.schema[order_col].dataType.simpleString()}>")
+    bucket = F.size(F.filter(bounds, lambda v: v < x)).cast("int")
+    with_b = base.withColumn(b, bucket).drop("_bounds")
     totals = with_b.groupBy(*partition_cols, b).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     # the offset window runs over one row per (group, bucket)
     w_off = (Window.partitionBy(*partition_cols) if partition_cols else Window) \
@@ -72,7 +75,7 @@ def running_totals_before(df: DataFrame, partition_cols: list[str], order_col: s
 
 
 def exact_percentile(counts: DataFrame, group_cols: list[str], value_col: str, count_col: str,
-                     q: float, out: str = "percentile", n_buckets: int = 1024) -> DataFrame:
+                     q: float, out: str = "percentile", n_buckets: int = 128) -> DataFrame:
     """Exact linear-interpolation percentile per group from ``(group, value,
     count)`` rows (one row per distinct value; counts act as frequencies).
 
