@@ -23,7 +23,6 @@ from __future__ import annotations
 import math
 import os
 import uuid
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -99,39 +98,48 @@ def expected_value(recs: list[tuple]) -> np.ndarray:
     return sum(v * np.prod(r) for _, _, _, r, v in recs)
 
 
-def _shap_weights(m: int) -> dict[int, float]:
-    return {s: math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)}
+def _subset_tables(m: int):
+    """Per path length ``m``: popcounts of all masks and the Shapley weight of
+    each mask size, ``|S|! (m - |S| - 1)! / m!``."""
+    masks = np.arange(1 << m)
+    sizes = np.array([bin(v).count("1") for v in masks])
+    w = np.array([math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m) if k < m else 0.0
+                  for k in range(m + 1)])
+    return masks, sizes, w
 
 
 def shap_batch(X: np.ndarray, recs: list[tuple], d: int, n_out: int) -> np.ndarray:
-    """``phi[n, d, n_out]`` for a batch of dense rows."""
+    """``phi[n, d, n_out]`` for a batch of dense rows.
+
+    Per leaf with path length m: the indicator products over all 2^m subsets
+    are built by a lowest-bit recurrence (2^m vector products), the cover
+    products likewise, and each path feature's Shapley value is one weighted
+    sum over the 2^(m-1) subsets that exclude it.
+    """
     n = X.shape[0]
     phi = np.zeros((n, d, n_out))
+    cache = {}
     for feats, lo, hi, rr, val in recs:
         m = len(feats)
         if m == 0:
             continue
+        if m not in cache:
+            cache[m] = _subset_tables(m)
+        masks, sizes, w = cache[m]
         ind = ((X[:, feats] > lo) & (X[:, feats] <= hi)).astype(float)  # n x m
-        w = _shap_weights(m)
-        # v(S) for all subsets, as n-vectors (value applied at the end)
-        vS = {}
-        for size in range(m + 1):
-            for S in combinations(range(m), size):
-                p = np.ones(n)
-                for g in S:
-                    p = p * ind[:, g]
-                q = 1.0
-                for g in range(m):
-                    if g not in S:
-                        q *= rr[g]
-                vS[S] = p * q
+        P = np.empty((1 << m, n))
+        Q = np.empty(1 << m)
+        P[0] = 1.0
+        Q[0] = float(np.prod(rr))
+        for mask in range(1, 1 << m):
+            low = (mask & -mask).bit_length() - 1
+            prev = mask & (mask - 1)
+            P[mask] = P[prev] * ind[:, low]
+            Q[mask] = Q[prev] / rr[low] if rr[low] > 0 else float(np.prod(rr[[g for g in range(m) if not (mask >> g) & 1]]))
+        V = P * Q[:, None]  # v(S) / value, for every subset S
         for j in range(m):
-            acc = np.zeros(n)
-            others = [g for g in range(m) if g != j]
-            for size in range(m):
-                for S in combinations(others, size):
-                    Sj = tuple(sorted(S + (j,)))
-                    acc += w[size] * (vS[Sj] - vS[S])
+            without = masks[(masks >> j) & 1 == 0]
+            acc = w[sizes[without]] @ (V[without | (1 << j)] - V[without])
             phi[:, feats[j], :] += acc[:, None] * val[None, :]
     return phi
 
@@ -174,5 +182,9 @@ def tree_shapley(model, frame: DataFrame, kind: str, feature_names: list[str],
 
     key_type = frame.schema[key].dataType.simpleString()
     inp = frame.select(key, vector_to_array(F.col(features_col)).alias("_x"))
+    # attribution is CPU-heavy per row: spread rows over at least one task per core
+    cores = spark.sparkContext.defaultParallelism
+    if inp.rdd.getNumPartitions() < cores:
+        inp = inp.repartition(cores, key)
     out = inp.mapInPandas(explain, f"{key} {key_type}, class string, feature string, phi double")
     return out, base

@@ -21,6 +21,7 @@ from ..sources.tables import Tables
 from . import bindings as B
 from .queries import (K_FOLDS, activity_expert, classes_of, expert_predictions, expression_expert,
                       mutation_expert)
+from . import queries_ingest  # noqa: F401  (shared SQL twins)
 from .registry import register, rounded
 from .sql_ctes import cte, frequency_expert_ctes, with_ctes
 

@@ -13,6 +13,7 @@ from ..operators import stats as ST
 from ..sources.tables import Tables
 from . import bindings as B
 from .features import build_modality_features, assemble_samples, split_xy
+from . import queries_ingest  # noqa: F401  (shared SQL twins)
 from .registry import register, rounded
 from .sql_ctes import cte, with_ctes
 
