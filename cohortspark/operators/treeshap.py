@@ -175,8 +175,8 @@ def tree_shapley(model, frame: DataFrame, kind: str, feature_names: list[str],
             nz = np.nonzero(phi)
             yield pd.DataFrame({
                 key: pdf[key].to_numpy()[nz[0]],
-                "class": np.asarray(cls, dtype=object)[nz[2]],
-                "feature": np.asarray(names, dtype=object)[nz[1]],
+                "_c": nz[2].astype(np.int32),
+                "_j": nz[1].astype(np.int32),
                 "phi": phi[nz],
             })
 
@@ -186,5 +186,10 @@ def tree_shapley(model, frame: DataFrame, kind: str, feature_names: list[str],
     cores = spark.sparkContext.defaultParallelism
     if inp.rdd.getNumPartitions() < cores:
         inp = inp.repartition(cores, key)
-    out = inp.mapInPandas(explain, f"{key} {key_type}, class string, feature string, phi double")
+    out = inp.mapInPandas(explain, f"{key} {key_type}, _c int, _j int, phi double")
+    # names are attached JVM-side (integers cross the Arrow boundary, not strings)
+    cls_arr = F.array(*[F.lit(c) for c in cls])
+    name_arr = F.array(*[F.lit(n) for n in names])
+    out = out.select(key, F.element_at(cls_arr, F.col("_c") + 1).alias("class"),
+                     F.element_at(name_arr, F.col("_j") + 1).alias("feature"), "phi")
     return out, base

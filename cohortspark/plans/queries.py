@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import scalar as S
 from ..operators import experts as X
 from ..operators import folds as FO
 from ..operators import joins as J

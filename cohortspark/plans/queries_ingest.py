@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import scalar as S
-from ..functions import schema as SC
 from ..operators import joins as J
 from ..operators import reshape as R
-from ..operators import setops as U
 from ..operators import stats as ST
 from ..sources.tables import Tables
 from . import bindings as B
