@@ -35,3 +35,13 @@ def test_registered_queries_have_no_cartesian_product(spark):
             continue
         plan = _plan(fn(spark, SF001))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_fold_ranking_never_windows_a_whole_label(spark):
+    """Every data-sized window of the fold assignment is partitioned by a hash bucket."""
+    from cohortspark.operators.folds import stratified_folds
+    from cohortspark.plans.bindings import samples
+    df = stratified_folds(samples(Tables(spark, SF001)))
+    p = df._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in p.splitlines() if "Window [" in line and "row_number" in line]
+    assert windows and all("_bucket" in w for w in windows)

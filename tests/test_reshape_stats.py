@@ -103,3 +103,26 @@ def test_assemble_dense(spark):
     lp = spark.createDataFrame([(1, 0, 2.0), (1, 2, 3.0), (2, 1, 1.0)], "sample_id int, pos int, value double")
     v = {r[0]: r[1].toArray().tolist() for r in R.assemble_dense(lp, 3, [9.0, 8.0, 7.0]).collect()}
     assert v[1] == [2.0, 8.0, 3.0] and v[2] == [9.0, 1.0, 7.0]
+
+
+def test_union_all_columns_and_samples(spark):
+    a = spark.createDataFrame([(1, 2.0)], "sample_id int, z double")
+    b = spark.createDataFrame([(2, 3.0)], "sample_id int, a double")
+    u = U.union_all_columns([a, b], "sample_id")
+    assert u.columns == ["sample_id", "a", "z"]
+    rows = {r["sample_id"]: r for r in u.collect()}
+    assert rows[1]["a"] is None and rows[2]["z"] is None
+    assert sorted(r[0] for r in U.all_samples([a, b, a]).collect()) == [1, 2]
+    long = spark.createDataFrame([("c1", 1, "f", 1.0), ("c2", 2, "f", 1.0), ("c1", 1, "g", 1.0)],
+                                 "cohort string, sample_id int, feature string, value double")
+    assert {r[0] for r in U.union_common_long(long, 2).select("feature").distinct().collect()} == {"f"}
+
+
+def test_presence_and_crosstab(spark):
+    ev = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (None, "x")], "sample_id int, feature string")
+    p = R.presence(ev).collect()
+    assert sorted((r[0], r[1], r[2]) for r in p) == [(1, "x", 1), (2, "y", 1)]
+    w = {r["sample_id"]: r for r in R.pivot_presence(ev, ["x", "y"]).collect()}
+    assert (w[1]["x"], w[1]["y"], w[2]["x"]) == (1, 0, 0)
+    ct = {(r[0], r[1]): r[2] for r in R.crosstab_long(ev.where("sample_id is not null"), "sample_id", "feature").collect()}
+    assert ct[(1, "x")] == 2
