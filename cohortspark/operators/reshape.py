@@ -68,17 +68,20 @@ def feature_values(df: DataFrame, col: str = "feature", limit: int = MAX_WIDE_FE
 
 def pivot_agg(long: DataFrame, values: list | None = None, agg: str = "mean",
               fill: float | None = 0.0, key: str = "sample_id") -> DataFrame:
-    """Wide matrix: one row per sample, one column per feature in ``values`` (sorted)."""
+    """Wide matrix: one row per sample, one column per feature in ``values``
+    (sorted).  ``key`` may be a list when extra per-sample columns (a label)
+    ride along."""
     if values is None:
         values = feature_values(long)
     if len(values) > MAX_WIDE_FEATURES:
         raise ValueError("too many features for a wide pivot; keep the long form")
-    clean = long.where(F.col(key).isNotNull() & F.col("feature").isNotNull()
+    keys = [key] if isinstance(key, str) else list(key)
+    clean = long.where(F.col(keys[0]).isNotNull() & F.col("feature").isNotNull()
                        & F.col("value").isNotNull())
     fn = _AGGS[agg]
-    wide = clean.groupBy(key).pivot("feature", sorted(values)).agg(fn("value"))
+    wide = clean.groupBy(*keys).pivot("feature", sorted(values)).agg(fn("value"))
     if agg == "count":
-        wide = wide.select(key, *[F.col(f"`{v}`").cast("double").alias(str(v)) for v in sorted(values)])
+        wide = wide.select(*keys, *[F.col(f"`{v}`").cast("double").alias(str(v)) for v in sorted(values)])
     if fill is not None:
         wide = wide.na.fill(fill)
     return wide

@@ -37,14 +37,45 @@ def clean_long(long: DataFrame, prefix: str | None = None, coerce: bool = True,
 
 
 def integrate_long(long: DataFrame, prefix: str | None = None, coerce: bool = True,
-                   value_is_string: bool = False) -> tuple[DataFrame, DataFrame]:
+                   value_is_string: bool = False,
+                   registry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(cells, labels)``: mean value per (sample, feature) and the sample's
     cohort (last in registry order).  ``long`` has cohort, ordinal, sample_id,
-    feature, value."""
+    feature, value.
+
+    With the (bounded) ``registry`` table ``(cohort, ordinal)`` both outputs
+    come from one aggregate of the raw rows: the cell aggregate also keeps the
+    largest ordinal, the sample label is the largest ordinal over its cells,
+    mapped back to its cohort name - the raw rows are read once.
+    """
+    clean = clean_long(long, prefix, coerce, value_is_string)
+    if registry is None:
+        labels = J.resolve_cohort(clean, "sample_id", "cohort", "ordinal", "label")
+        return R.cell_mean(clean), labels
+    agg = clean.where(F.col("value").isNotNull()).groupBy("sample_id", "feature").agg(
+        F.avg("value").alias("value"), F.max("ordinal").alias("_ord"))
+    last = agg.groupBy("sample_id").agg(F.max("_ord").alias("ordinal"))
+    labels = last.join(F.broadcast(registry.select("cohort", "ordinal")), "ordinal") \
+        .select("sample_id", F.col("cohort").alias("label"))
+    return agg.select("sample_id", "feature", "value"), labels
+
+
+def integrate_long_labelled(long: DataFrame, registry: DataFrame, prefix: str | None = None,
+                            coerce: bool = True, value_is_string: bool = False) -> DataFrame:
+    """Cells with their sample's label in one pass over the raw rows:
+    ``(sample_id, feature, value, label)``.
+
+    The cell aggregate keeps the largest registry ordinal; a window over the
+    sample's cells (at most one row per feature, so bounded) takes the
+    sample's largest ordinal, which the bounded registry maps to a cohort.
+    """
+    from pyspark.sql import Window
     clean = clean_long(long, prefix, coerce, value_is_string)
-    labels = J.resolve_cohort(clean, "sample_id", "cohort", "ordinal", "label")
-    cells = R.cell_mean(clean)
-    return cells, labels
+    agg = clean.where(F.col("value").isNotNull()).groupBy("sample_id", "feature").agg(
+        F.avg("value").alias("value"), F.max("ordinal").alias("_ord"))
+    x = agg.withColumn("ordinal", F.max("_ord").over(Window.partitionBy("sample_id")))
+    return x.join(F.broadcast(registry.select("cohort", "ordinal")), "ordinal") \
+        .select("sample_id", "feature", "value", F.col("cohort").alias("label"))
 
 
 def integrate_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -51,8 +51,8 @@ JOIN expr_labels l ON c.sample_id = l.sample_id""", "expr_clean", "expr_labels")
 def q_integrate_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1/P1/P2/P4/P5/P6/J3/U1/A1(long): gene-style integration."""
     t = Tables(spark, sf_dir)
-    cells, labels = I.integrate_long(expression_with_ordinals(t), prefix=EXPR_PREFIX)
-    return rounded(cells.join(labels, "sample_id"))
+    out = I.integrate_long_labelled(expression_with_ordinals(t), B.cohort_codes(t), prefix=EXPR_PREFIX)
+    return rounded(out)
 
 
 def _pivot_sql(agg: str, cells_cte: str, features: list[str], fill: str = "0.0", rnd: bool = True) -> str:
@@ -78,10 +78,8 @@ WHERE sample_id IS NOT NULL AND feature IS NOT NULL AND value IS NOT NULL GROUP
 def q_pivot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 (wide): sample x brand matrix, mean of duplicates, fill 0, + label."""
     t = Tables(spark, sf_dir)
-    long = expression_with_ordinals(t)
-    cells, labels = I.integrate_long(long, coerce=False)
-    wide = R.pivot_mean(cells, brand_values(t))
-    return rounded(wide.join(labels, "sample_id"))
+    labelled = I.integrate_long_labelled(expression_with_ordinals(t), B.cohort_codes(t), coerce=False)
+    return rounded(R.pivot_agg(labelled, brand_values(t), "mean", 0.0, ["sample_id", "label"]))
 
 
 @register("pivot_agg_median", with_ctes(_pivot_sql("median", "mirna_long", PRIORITIES), "mirna_long"))
