@@ -153,7 +153,7 @@ def q_matrix_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH k AS (SELECT cohort, CAST(dense_rank() OVER (ORDER BY cohort) - 1 AS INTEGER) AS ordinal
            FROM (SELECT DISTINCT o_orderpriority AS cohort FROM orders))
 SELECT o.o_custkey AS sample_id, arg_max(k.cohort, k.ordinal) AS label, count(DISTINCT k.cohort) AS n_cohorts,
-       round(avg(o.o_totalprice), 6) AS mean_value
+       count(*) AS n_values, round(sum(o.o_totalprice), 2) AS total_value
 FROM orders o JOIN k ON o.o_orderpriority = k.cohort GROUP BY o.o_custkey""")
 def q_resolve_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3/W5 with overlapping cohorts (a customer orders in several priority
@@ -163,9 +163,13 @@ def q_resolve_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("o_totalprice").alias("value"))
     o = J.registry_ordinals(o, "cohort")
     labels = J.resolve_cohort(o)
+    # the averaged value is reported as (count, total): prices carry two
+    # decimals, so the total rounds exactly where a 6-place mean could sit on
+    # a rounding boundary
     stats = o.groupBy("sample_id").agg(F.countDistinct("cohort").alias("n_cohorts"),
-                                       F.avg("value").alias("mean_value"))
-    return rounded(labels.join(stats, "sample_id"))
+                                       F.count(F.lit(1)).alias("n_values"),
+                                       F.round(F.sum("value"), 2).alias("total_value"))
+    return labels.join(stats, "sample_id")
 
 
 @register("union_common_columns", with_ctes(
