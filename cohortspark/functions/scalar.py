@@ -91,8 +91,9 @@ def modality_from_filename(c, prefix: str = "oof_preds_", suffix: str = "_binary
     return F.replace(F.replace(c, F.lit(prefix), F.lit("")), F.lit(suffix), F.lit(""))
 
 
-def pred_column_name(modality: str, klass) -> Column:
-    return F.concat_ws("_", F.lit("pred"), F.lit(modality), _c(klass).cast("string"))
+def pred_column_name(modality, klass) -> Column:
+    m = F.lit(modality) if isinstance(modality, str) else modality
+    return F.concat_ws("_", F.lit("pred"), m, _c(klass).cast("string"))
 
 
 def category_sample_id(sample, category) -> Column:

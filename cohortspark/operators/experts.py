@@ -16,53 +16,62 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import pred_column_name
+from ..session import materialize
 
 
-def dominant_feature(cells: DataFrame, weight: str = "value") -> DataFrame:
-    """``(sample_id, feature)``: the feature with the largest summed weight per
-    sample, ties -> smallest feature name.  Two partial aggregates."""
-    tot = cells.groupBy("sample_id", "feature").agg(F.sum(weight).alias("_w"))
-    return tot.groupBy("sample_id").agg(
+def dominant_feature(cells: DataFrame, weight: str = "value", group=()) -> DataFrame:
+    """``(…group, sample_id, feature)``: the feature with the largest summed
+    weight per sample, ties -> smallest feature name.  Two partial aggregates
+    (a sample has at most one row per feature in the second)."""
+    g = list(group)
+    tot = cells.groupBy(*g, "sample_id", "feature").agg(F.sum(weight).alias("_w"))
+    return tot.groupBy(*g, "sample_id").agg(
         F.min_by("feature", F.struct((-F.col("_w")).alias("w"), F.col("feature").alias("f")))
         .alias("feature"))
 
 
 def frequency_model(assigned: DataFrame, classes: list, k: int,
-                    label: str = "label") -> DataFrame:
-    """``(feature, fold, class, prob)`` with
+                    label: str = "label", group=()) -> DataFrame:
+    """``(…group, feature, fold, class, prob)`` with
     ``prob = (n(f,c) - n_fold(f,c) + 1) / (n(f) - n_fold(f) + K)``.
 
-    ``assigned`` is ``(sample_id, feature, label, fold)``.  The table has
-    features x k x K rows; its windows partition by feature, so each window
-    holds k x K rows whatever the data size.
+    ``assigned`` is ``(…group, sample_id, feature, label, fold)``.  The table
+    has features x k x K rows per group; its windows partition by (group,
+    feature), so each window holds k x K rows whatever the data size.
     """
+    g = list(group)
     K = len(classes)
-    c = assigned.groupBy("feature", F.col(label).alias("class"), "fold") \
+    c = assigned.groupBy(*g, "feature", F.col(label).alias("class"), "fold") \
         .agg(F.count(F.lit(1)).alias("n"))
-    grid = assigned.select("feature").distinct() \
-        .select("feature", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold")) \
-        .select("feature", "fold", F.explode(F.array(*[F.lit(x) for x in classes])).alias("class"))
-    g = grid.join(c, ["feature", "class", "fold"], "left").na.fill(0, ["n"])
-    n_fc = F.sum("n").over(Window.partitionBy("feature", "class"))
-    n_f = F.sum("n").over(Window.partitionBy("feature"))
-    n_ff = F.sum("n").over(Window.partitionBy("feature", "fold"))
+    grid = assigned.select(*g, "feature").distinct() \
+        .select(*g, "feature", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold")) \
+        .select(*g, "feature", "fold", F.explode(F.array(*[F.lit(x) for x in classes])).alias("class"))
+    gr = grid.join(c, [*g, "feature", "class", "fold"], "left").na.fill(0, ["n"])
+    n_fc = F.sum("n").over(Window.partitionBy(*g, "feature", "class"))
+    n_f = F.sum("n").over(Window.partitionBy(*g, "feature"))
+    n_ff = F.sum("n").over(Window.partitionBy(*g, "feature", "fold"))
     prob = (n_fc - F.col("n") + 1).cast("double") / (n_f - n_ff + F.lit(K)).cast("double")
-    return g.select("feature", "fold", F.col("class").cast(assigned.schema[label].dataType).alias("class"),
-                    prob.alias("prob"))
+    return gr.select(*g, "feature", "fold",
+                     F.col("class").cast(assigned.schema[label].dataType).alias("class"),
+                     prob.alias("prob"))
 
 
 def frequency_expert(cells: DataFrame, folds: DataFrame, classes: list, k: int = 5,
-                     weight: str = "value", label: str = "label") -> DataFrame:
-    """Leakage-free OOF probabilities ``(sample_id, label, fold, class, prob)``.
+                     weight: str = "value", label: str = "label", group=()) -> DataFrame:
+    """Leakage-free OOF probabilities ``(…group, sample_id, label, fold, class, prob)``.
 
     ``folds`` is ``(sample_id, label, fold)``.  Samples without any cell get
-    no prediction (the stacker sees them as missing).
+    no prediction (the stacker sees them as missing).  With ``group`` (e.g.
+    ``modality``) several experts are fitted in one pass over one input.
     """
-    dom = dominant_feature(cells, weight)
-    assigned = dom.join(folds.select("sample_id", label, "fold"), "sample_id")
-    model = frequency_model(assigned, classes, k, label)
-    return assigned.join(model, ["feature", "fold"]).select(
-        "sample_id", label, "fold", "class", "prob")
+    g = list(group)
+    dom = dominant_feature(cells, weight, g)
+    # one row per (group, sample), read three times below (counts, feature
+    # grid, scoring): written once so the raw rows are aggregated only once
+    assigned = materialize(dom.join(folds.select("sample_id", label, "fold"), "sample_id"), "assigned")
+    model = frequency_model(assigned, classes, k, label, g)
+    return assigned.join(model, [*g, "feature", "fold"]).select(
+        *g, "sample_id", label, "fold", "class", "prob")
 
 
 def oof_long_named(oof: DataFrame, modality: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import modality_from_binary_pred, modality_from_pred, modality_from_suffix
+from ..session import materialize
 
 
 def centroid_model(cells: DataFrame, labels: DataFrame, classes: list,
@@ -25,7 +26,8 @@ def centroid_model(cells: DataFrame, labels: DataFrame, classes: list,
     absent cells read as 0.  Returns ``(weights(class, feature, w),
     means(feature, mean, n_present), N)``."""
     lab = labels.select("sample_id", F.col(label).alias("class"))
-    x = cells.join(lab, "sample_id")
+    # read by three aggregates below: written once to the checkpoint folder
+    x = materialize(cells.join(lab, "sample_id"), "centroid_cells")
     samples = x.select("sample_id", "class").distinct()
     n_c = samples.groupBy("class").agg(F.count(F.lit(1)).alias("_nc"))
     N = samples.count()

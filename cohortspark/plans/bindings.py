@@ -130,3 +130,21 @@ def binary_documents(t: Tables) -> DataFrame:
     d = t.documents.select(F.col("doc_id").alias("sample_id"), "source", "lang")
     lab = t.labels.select(F.col("doc_id").alias("sample_id"), F.col("quality").alias("label"))
     return d.join(lab, "sample_id")
+
+
+def line_modalities(t: Tables) -> DataFrame:
+    """Expression and mutation rows from ONE pass over the order lines:
+    ``(modality, sample_id, feature, w)``; each line yields an ``expr`` row
+    (brand, quantity) and, when its return flag is A or R, a ``mut`` row
+    (part type, 1)."""
+    p = t.part.select("p_partkey", "p_brand", "p_type")
+    x = _lines(t).join(p, F.col("l_partkey") == p.p_partkey)
+    rows = F.array(
+        F.struct(F.lit("expr").alias("modality"), F.col("p_brand").alias("feature"),
+                 F.col("l_quantity").alias("w")),
+        F.struct(F.lit("mut").alias("modality"), F.col("p_type").alias("feature"),
+                 F.when(F.col("l_returnflag").isin("A", "R"), F.lit(1.0)).alias("w")))
+    e = x.select(F.col("o_custkey").alias("sample_id"), F.explode(rows).alias("r"))
+    return e.select(F.col("r.modality").alias("modality"), "sample_id",
+                    F.col("r.feature").alias("feature"), F.col("r.w").alias("w")) \
+        .where(F.col("w").isNotNull())

@@ -41,11 +41,23 @@ def expert_oofs(t: Tables, classes: list) -> dict[str, DataFrame]:
             "act": activity_expert(t, classes)}
 
 
+def stacked_experts(t: Tables, classes: list) -> DataFrame:
+    """``(modality, sample_id, label, fold, class, prob)`` of the three
+    experts: expression and mutation from one pass over the order lines
+    (grouped by modality), activity from the events table."""
+    from .queries import customer_folds
+    folds = customer_folds(t)
+    lines = X.frequency_expert(B.line_modalities(t), folds, classes, K_FOLDS, "w", group=["modality"])
+    act = X.frequency_expert(B.activity_events(t).withColumn("w", F.lit(1.0)), folds, classes, K_FOLDS, "w") \
+        .withColumn("modality", F.lit("act"))
+    return lines.unionByName(act)
+
+
 def meta_table(t: Tables) -> tuple[DataFrame, list, list]:
     classes = classes_of(t)
-    oofs = expert_oofs(t, classes)
-    named = reduce(lambda a, b: a.unionByName(b), [X.oof_long_named(o, m) for m, o in oofs.items()])
-    cols = [f"pred_{m}_{c}" for m in oofs for c in classes]
+    oof = stacked_experts(t, classes)
+    named = oof.select("sample_id", S.pred_column_name(F.col("modality"), F.col("class")).alias("column"), "prob")
+    cols = [f"pred_{m}_{c}" for m in MODALITIES for c in classes]
     stacked = J.stack_outer(named, cols)
     labelled = J.attach_labels(stacked, B.samples(t))
     return J.fill_uninformative(labelled, cols, len(classes)), cols, classes
