@@ -85,6 +85,18 @@ def integrate_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return R.presence(ev), labels
 
 
+def integrate_events_labelled(events: DataFrame, registry: DataFrame) -> DataFrame:
+    """Presence cells with the sample's label in one pass over the events:
+    ``(sample_id, feature, value=1, label)`` (same window trick as
+    :func:`integrate_long_labelled`)."""
+    from pyspark.sql import Window
+    ev = events.where(F.col("sample_id").isNotNull() & F.col("feature").isNotNull())
+    agg = ev.groupBy("sample_id", "feature").agg(F.max("ordinal").alias("_ord"))
+    x = agg.withColumn("ordinal", F.max("_ord").over(Window.partitionBy("sample_id")))
+    return x.join(F.broadcast(registry.select("cohort", "ordinal")), "ordinal") \
+        .select("sample_id", "feature", F.lit(1).alias("value"), F.col("cohort").alias("label"))
+
+
 def integrate_wide(cohorts: list[DataFrame], key: str = "sample_id", prefix: str = "cg",
                    label: str = "label") -> DataFrame:
     """Keep key + prefixed columns (+ label) per cohort; union on common columns."""

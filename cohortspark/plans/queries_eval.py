@@ -340,7 +340,8 @@ def combined_cells(t: Tables) -> DataFrame:
 
 def combined_model(t: Tables):
     classes = classes_of(t)
-    cells = combined_cells(t)
+    # staged once: the model, the attributions and the importances all read it
+    cells = materialize(combined_cells(t), "combined_cells")
     w, means, n = EX.centroid_model(cells, B.samples(t), classes)
     return cells, w, means, n, classes
 

@@ -99,10 +99,10 @@ def q_pivot_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3/A5/P7 + J3: mutation-style 0/1 presence matrix with label."""
     t = Tables(spark, sf_dir)
     ev = B.mutation_events(t).join(F.broadcast(B.cohort_codes(t)), "cohort")
-    pres, labels = I.integrate_events(ev)
-    wide = R.pivot_presence(ev, R.feature_values(t.part, "p_type"))
-    return wide.select("sample_id", *[F.col(f"`{c}`").cast("int").alias(c) for c in wide.columns[1:]]) \
-        .join(labels, "sample_id")
+    labelled = I.integrate_events_labelled(ev, B.cohort_codes(t))
+    types = R.feature_values(t.part, "p_type")
+    wide = R.pivot_agg(labelled, types, "max", 0, ["sample_id", "label"])
+    return wide.select("sample_id", *[F.col(f"`{c}`").cast("int").alias(c) for c in types], "label")
 
 
 @register("integrate_events", with_ctes("""
@@ -114,8 +114,8 @@ def q_integrate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L16 (mutation): distinct pairs -> presence 1 (long) + label."""
     t = Tables(spark, sf_dir)
     ev = B.mutation_events(t).join(F.broadcast(B.cohort_codes(t)), "cohort")
-    pres, labels = I.integrate_events(ev)
-    return pres.select("sample_id", "feature", F.col("value").cast("int").alias("value")).join(labels, "sample_id")
+    return I.integrate_events_labelled(ev, B.cohort_codes(t)) \
+        .select("sample_id", "feature", F.col("value").cast("int").alias("value"), "label")
 
 
 @register("crosstab_presence", with_ctes("""

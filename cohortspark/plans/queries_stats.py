@@ -9,6 +9,7 @@ from ..operators import folds as FO
 from ..operators import joins as J
 from ..operators import reshape as R
 from ..operators import stats as ST
+from ..session import materialize
 from ..sources.tables import Tables
 from . import bindings as B
 from .features import build_modality_features, assemble_samples, split_xy
@@ -28,7 +29,10 @@ cte("expr_var", "SELECT feature, var_samp(value) AS var FROM expr_dense_log GROU
 
 
 def expression_cells(t: Tables) -> DataFrame:
-    return R.cell_mean(B.expression_long(t))
+    """The integrated expression cells, staged once as a table: every
+    statistic below reads them several times (sample count, moments,
+    filters), while the raw order lines are aggregated a single time."""
+    return materialize(R.cell_mean(B.expression_long(t)), "expression_cells")
 
 
 @register("filter_prevalence", with_ctes("""
