@@ -473,8 +473,8 @@ def q_encode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("coerce_numeric_text", r"""
 SELECT doc_id, count(*) AS n_tokens,
-       count_if(regexp_full_match(tok, '[ \t\n\r\f]*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])[ \t\n\r\f]*')
-                AND NOT isnan(TRY_CAST(regexp_replace(tok, '^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g') AS DOUBLE))) AS n_numeric,
+       CAST(count_if(regexp_full_match(tok, '[ \t\n\r\f]*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])[ \t\n\r\f]*')
+                AND NOT isnan(TRY_CAST(regexp_replace(tok, '^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g') AS DOUBLE))) AS BIGINT) AS n_numeric,
        max(CASE WHEN regexp_full_match(tok, '[ \t\n\r\f]*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])[ \t\n\r\f]*')
                       THEN coalesce(nullif(TRY_CAST(regexp_replace(tok, '^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g') AS DOUBLE), 'NaN'::DOUBLE), 0.0)
                       ELSE 0.0 END) AS value_max
