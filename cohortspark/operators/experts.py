@@ -87,3 +87,23 @@ def oof_table(oof: DataFrame, modality: str, classes: list) -> DataFrame:
     """Wide OOF table ``sample_id, pred_<m>_<class> x K`` (bounded pivot)."""
     named = oof_long_named(oof, modality)
     return named.groupBy("sample_id").pivot("column", oof_columns(modality, classes)).agg(F.first("prob"))
+
+
+def frequency_scores_by_split(cells: DataFrame, folds: DataFrame, classes: list, k: int = 5,
+                              weight: str = "value", label: str = "label") -> DataFrame:
+    """Training- and validation-row probabilities of every fold's model:
+    ``(split, fold, sample_id, label, class, prob)``.
+
+    Fold ``i``'s model (counts of the other folds) scores its own fold
+    (``val``) and the other folds' rows (``train``), as a per-fold train /
+    validation score table needs.  Each sample is emitted once per fold.
+    """
+    dom = dominant_feature(cells, weight)
+    assigned = materialize(dom.join(folds.select("sample_id", label, "fold"), "sample_id"), "assigned")
+    model = frequency_model(assigned, classes, k, label)
+    per_fold = assigned.select("sample_id", "feature", label, F.col("fold").alias("_own"),
+                               F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold"))
+    per_fold = per_fold.withColumn("split", F.when(F.col("fold") == F.col("_own"), F.lit("val"))
+                                   .otherwise(F.lit("train")))
+    return per_fold.join(model, ["feature", "fold"]).select(
+        "split", "fold", "sample_id", label, "class", "prob")

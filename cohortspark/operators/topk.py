@@ -26,7 +26,8 @@ def argmax_class(long_probs: DataFrame, key: str = "sample_id", class_col: str =
                  prob_col: str = "prob", out: str = "pred") -> DataFrame:
     """Row-wise argmax over class probabilities, ties -> lowest class code
     (codes are alphabetical, so the smallest class name)."""
-    return long_probs.groupBy(key).agg(
+    keys = [key] if isinstance(key, str) else list(key)
+    return long_probs.groupBy(*keys).agg(
         F.min_by(class_col, F.struct((-F.col(prob_col)).alias("p"), F.col(class_col).alias("c")))
         .alias(out))
 

@@ -511,3 +511,40 @@ def q_normalise_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     k = t.documents.select(S.normalise_key("source").alias("key")).where(F.col("key").isNotNull())
     return k.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+cte("fx_expr_split", """
+SELECT CASE WHEN f.fold = a.fold THEN 'val' ELSE 'train' END AS split, f.fold, a.sample_id, a.label, m.class, m.prob
+FROM fx_expr_assigned a CROSS JOIN (SELECT CAST(range AS INTEGER) AS fold FROM range(5)) f
+JOIN fx_expr_model m ON m.feature = a.feature AND m.fold = f.fold""", ("fx_expr_assigned", "fx_expr_model"))
+cte("fx_expr_split_pred", """
+SELECT split, fold, sample_id, label, arg_min(class, (-prob, class)) AS pred FROM fx_expr_split GROUP BY ALL""",
+    ("fx_expr_split",))
+
+
+@register("fold_scores_by_split", with_ctes("""
+SELECT split, fold, 'acc' AS metric, round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) AS value
+FROM fx_expr_split_pred GROUP BY split, fold
+UNION ALL
+SELECT split, fold, 'log_loss', round(-avg(ln(greatest(least(prob, 1 - 2.220446049250313e-16), 2.220446049250313e-16))), 6)
+FROM fx_expr_split WHERE class = label GROUP BY split, fold
+UNION ALL
+SELECT split, fold, 'auc', round(avg(auc), 6) FROM (""" + _auc_sql(
+    "SELECT split, fold, class, CASE WHEN label = class THEN 1 ELSE 0 END AS y, prob AS s FROM fx_expr_split",
+    ["split", "fold", "class"]) + """) GROUP BY split, fold""", "fx_expr_split", "fx_expr_split_pred"))
+def q_fold_scores_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E9 (training and validation rows): every fold's model scores its own
+    fold and the other folds; acc / ovr auc / log loss per (split, fold)."""
+    t = Tables(spark, sf_dir)
+    classes = classes_of(t)
+    from .queries import customer_folds
+    probs = materialize(X.frequency_scores_by_split(B.expression_long(t), customer_folds(t), classes,
+                                                    K_FOLDS, "value"), "split_scores")
+    g = ["split", "fold"]
+    keys = ["split", "fold", "sample_id"]
+    pred = T.argmax_class(probs, keys, "class", "prob", "pred")
+    preds = probs.select(*keys, "label").distinct().join(pred, keys)
+    acc = M.accuracy(preds, g).select(*g, F.lit("acc").alias("metric"), F.col("accuracy").alias("value"))
+    ll = M.log_loss(probs, g).select(*g, F.lit("log_loss").alias("metric"), F.col("log_loss").alias("value"))
+    auc = M.roc_auc_ovr(probs, g).select(*g, F.lit("auc").alias("metric"), F.col("auc_ovr").alias("value"))
+    return rounded(acc.unionByName(ll).unionByName(auc))
