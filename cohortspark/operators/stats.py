@@ -177,3 +177,30 @@ def any_null(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def any_match(df: DataFrame, col: str, needle: str) -> DataFrame:
     return df.agg(F.bool_or(F.col(col).contains(needle)).alias("any_match"))
+
+
+def fit_scaler_by_fold(cells: DataFrame, folds: DataFrame, k: int) -> DataFrame:
+    """Fold-aware scaler: ``(fold, feature, mean, std)`` fitted on the samples
+    of every *other* fold (absent cells are zeros), so fold ``i`` is scaled
+    without seeing itself.
+
+    One pass: per (fold, feature) count / sum / sum of squares; the training
+    statistics of fold ``i`` are the feature totals minus fold ``i``'s share
+    (a window over k rows per feature) - no k-fold re-aggregation.
+    """
+    x = cells.join(folds.select("sample_id", "fold"), "sample_id")
+    per = x.groupBy("fold", "feature").agg(F.sum("value").alias("_s"),
+                                           F.sum(F.col("value") * F.col("value")).alias("_q"))
+    n_fold = x.select("sample_id", "fold").distinct().groupBy("fold").agg(F.count(F.lit(1)).alias("_n"))
+    grid = per.select("feature").distinct() \
+        .select("feature", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold"))
+    g = grid.join(per, ["fold", "feature"], "left").na.fill(0.0, ["_s", "_q"]) \
+        .join(F.broadcast(n_fold), "fold", "left").na.fill(0, ["_n"])
+    w = Window.partitionBy("feature")
+    n_t = (F.sum("_n").over(w) - F.col("_n")).cast("double")
+    s_t = F.sum("_s").over(w) - F.col("_s")
+    q_t = F.sum("_q").over(w) - F.col("_q")
+    mean = s_t / n_t
+    std = F.sqrt(F.greatest(q_t / n_t - mean * mean, F.lit(0.0)))
+    return g.select("fold", "feature", mean.alias("mean"),
+                    F.when(std == 0, F.lit(1.0)).otherwise(std).alias("std"))

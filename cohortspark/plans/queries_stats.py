@@ -301,3 +301,19 @@ def q_binary_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = J.class_codes(lab)
     return J.positive_code(codes, 1).select(F.lit(n).cast("long").alias("n_classes"),
                                             F.col("positive_code").cast("long"))
+
+
+@register("fit_scaler_by_fold", with_ctes("""
+SELECT f.fold, d.feature, round(avg(d.value), 6) AS mean,
+       round(CASE WHEN stddev_pop(d.value) = 0 THEN 1.0 ELSE stddev_pop(d.value) END, 6) AS std
+FROM (SELECT CAST(range AS INTEGER) AS fold FROM range(5)) f
+JOIN (SELECT x.sample_id, x.feature, x.value, k.fold FROM expr_dense_log x JOIN folds k ON x.sample_id = k.sample_id) d
+  ON d.fold <> f.fold
+GROUP BY f.fold, d.feature""", "expr_dense_log", "folds"))
+def q_fit_scaler_by_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 fold-aware (blueprint quirk Q6): z-score parameters of each fold
+    fitted on the other folds only, from one aggregation pass."""
+    from .queries import customer_folds
+    t = Tables(spark, sf_dir)
+    cells = ST.log_cells(expression_cells(t))
+    return rounded(ST.fit_scaler_by_fold(cells, customer_folds(t), 5))
