@@ -8,6 +8,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_CLASSES = 1000
+MAX_REGISTRY = 100_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int, what: str = "table") -> DataFrame:
+    """Broadcast hint only after proving the row bound (one small count of at
+    most ``max_rows + 1`` rows); above it the plan keeps a shuffled join."""
+    n = df.limit(max_rows + 1).count()
+    if n > max_rows:
+        return df
+    return F.broadcast(df)
 
 
 def resolve_cohort(long: DataFrame, key: str = "sample_id", cohort: str = "cohort",
@@ -23,14 +33,14 @@ def registry_ordinals(long: DataFrame, cohort: str = "cohort") -> DataFrame:
     """Attach an alphabetical registry ordinal when cohorts come from data."""
     codes = long.select(cohort).distinct() \
         .select(cohort, (F.dense_rank().over(Window.orderBy(cohort)) - 1).alias("ordinal"))
-    return long.join(F.broadcast(codes), cohort)
+    return long.join(checked_broadcast(codes, MAX_REGISTRY, "registry"), cohort)
 
 
-def class_codes(df: DataFrame, label: str = "label", max_classes: int = MAX_CLASSES) -> DataFrame:
+def class_codes(df: DataFrame, label: str = "label") -> DataFrame:
     """``(label, code)``: alphabetical codes from 0 (label-encoder order).
 
-    The table has one row per class; its size is checked so it can be broadcast.
-    """
+    One row per class (a classification label set; :func:`class_list`
+    enforces the bound where the classes reach the driver)."""
     codes = df.select(label).where(F.col(label).isNotNull()).distinct() \
         .select(label, (F.dense_rank().over(Window.orderBy(label)) - 1).cast("int").alias("code"))
     return codes
@@ -46,12 +56,13 @@ def class_list(df: DataFrame, label: str = "label", max_classes: int = MAX_CLASS
 
 def encode_labels(df: DataFrame, codes: DataFrame, label: str = "label",
                   out: str = "code") -> DataFrame:
-    return df.join(F.broadcast(codes.withColumnRenamed("code", out)), label, "left")
+    return df.join(checked_broadcast(codes.withColumnRenamed("code", out), MAX_CLASSES, "classes"),
+                   label, "left")
 
 
 def decode_labels(df: DataFrame, codes: DataFrame, code: str = "code", out: str = "label") -> DataFrame:
-    return df.join(F.broadcast(codes.select(F.col("code").alias(code), F.col("label").alias(out))),
-                   code, "left")
+    return df.join(checked_broadcast(codes.select(F.col("code").alias(code), F.col("label").alias(out)),
+                                     MAX_CLASSES, "classes"), code, "left")
 
 
 def attach_labels(meta: DataFrame, labels: DataFrame, key: str = "sample_id",

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import reshape as R
 from .folds import stratified_holdout
-from .joins import class_codes
+from .joins import MAX_CLASSES, checked_broadcast, class_codes
 
 
 def to_ml_frame(cells: DataFrame, labels: DataFrame, folds: DataFrame | None = None,
@@ -41,7 +41,7 @@ def to_ml_frame(cells: DataFrame, labels: DataFrame, folds: DataFrame | None = N
     d = dictionary.count()
     vec = R.assemble_dense(R.align_long(cells, dictionary), d, fill)
     codes = class_codes(labels, label)
-    lab = labels.select("sample_id", label).join(F.broadcast(codes), label) \
+    lab = labels.select("sample_id", label).join(checked_broadcast(codes, MAX_CLASSES), label) \
         .withColumn("y", F.col("code").cast("double")).drop("code")
     frame = vec.join(lab, "sample_id")
     if folds is not None:
@@ -55,7 +55,7 @@ def wide_ml_frame(wide: DataFrame, cols: list[str], label: str = "label",
                   codes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     codes = codes if codes is not None else class_codes(wide, label)
     vec = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep").transform(wide)
-    x = vec.join(F.broadcast(codes), label).withColumn("y", F.col("code").cast("double")).drop("code")
+    x = vec.join(checked_broadcast(codes, MAX_CLASSES), label).withColumn("y", F.col("code").cast("double")).drop("code")
     return x, codes
 
 
@@ -145,7 +145,7 @@ def fit_oof(frame: DataFrame, kind: str, codes: DataFrame, k: int = 5, holdout:
     probs = parts[0]
     for p in parts[1:]:
         probs = probs.unionByName(p)
-    named = probs.join(F.broadcast(codes.withColumnRenamed("label", "class")), "code") \
+    named = probs.join(checked_broadcast(codes.withColumnRenamed("label", "class"), MAX_CLASSES), "code") \
         .join(frame.select("sample_id", "label"), "sample_id")
     return named.select("sample_id", "label", "fold", "class", "prob"), models
 

@@ -195,7 +195,7 @@ def fit_scaler_by_fold(cells: DataFrame, folds: DataFrame, k: int) -> DataFrame:
     grid = per.select("feature").distinct() \
         .select("feature", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold"))
     g = grid.join(per, ["fold", "feature"], "left").na.fill(0.0, ["_s", "_q"]) \
-        .join(F.broadcast(n_fold), "fold", "left").na.fill(0, ["_n"])
+        .join(F.broadcast(n_fold), "fold", "left").na.fill(0, ["_n"])  # k rows
     w = Window.partitionBy("feature")
     n_t = (F.sum("_n").over(w) - F.col("_n")).cast("double")
     s_t = F.sum("_s").over(w) - F.col("_s")

@@ -55,7 +55,7 @@ def integrate_long(long: DataFrame, prefix: str | None = None, coerce: bool = Tr
     agg = clean.where(F.col("value").isNotNull()).groupBy("sample_id", "feature").agg(
         F.avg("value").alias("value"), F.max("ordinal").alias("_ord"))
     last = agg.groupBy("sample_id").agg(F.max("_ord").alias("ordinal"))
-    labels = last.join(F.broadcast(registry.select("cohort", "ordinal")), "ordinal") \
+    labels = last.join(J.checked_broadcast(registry.select("cohort", "ordinal"), J.MAX_REGISTRY), "ordinal") \
         .select("sample_id", F.col("cohort").alias("label"))
     return agg.select("sample_id", "feature", "value"), labels
 
@@ -74,7 +74,7 @@ def integrate_long_labelled(long: DataFrame, registry: DataFrame, prefix: str |
     agg = clean.where(F.col("value").isNotNull()).groupBy("sample_id", "feature").agg(
         F.avg("value").alias("value"), F.max("ordinal").alias("_ord"))
     x = agg.withColumn("ordinal", F.max("_ord").over(Window.partitionBy("sample_id")))
-    return x.join(F.broadcast(registry.select("cohort", "ordinal")), "ordinal") \
+    return x.join(J.checked_broadcast(registry.select("cohort", "ordinal"), J.MAX_REGISTRY), "ordinal") \
         .select("sample_id", "feature", "value", F.col("cohort").alias("label"))
 
 
@@ -93,7 +93,7 @@ def integrate_events_labelled(events: DataFrame, registry: DataFrame) -> DataFra
     ev = events.where(F.col("sample_id").isNotNull() & F.col("feature").isNotNull())
     agg = ev.groupBy("sample_id", "feature").agg(F.max("ordinal").alias("_ord"))
     x = agg.withColumn("ordinal", F.max("_ord").over(Window.partitionBy("sample_id")))
-    return x.join(F.broadcast(registry.select("cohort", "ordinal")), "ordinal") \
+    return x.join(J.checked_broadcast(registry.select("cohort", "ordinal"), J.MAX_REGISTRY), "ordinal") \
         .select("sample_id", "feature", F.lit(1).alias("value"), F.col("cohort").alias("label"))
 
 

@@ -27,7 +27,7 @@ def _q(name: str) -> str:
 
 
 def expression_with_ordinals(t: Tables) -> DataFrame:
-    return B.expression_long(t).join(F.broadcast(B.cohort_codes(t)), "cohort")
+    return B.expression_long(t).join(J.checked_broadcast(B.cohort_codes(t), J.MAX_REGISTRY), "cohort")
 
 
 def brand_values(t: Tables) -> list:
@@ -98,7 +98,7 @@ def q_pivot_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pivot_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3/A5/P7 + J3: mutation-style 0/1 presence matrix with label."""
     t = Tables(spark, sf_dir)
-    ev = B.mutation_events(t).join(F.broadcast(B.cohort_codes(t)), "cohort")
+    ev = B.mutation_events(t).join(J.checked_broadcast(B.cohort_codes(t), J.MAX_REGISTRY), "cohort")
     labelled = I.integrate_events_labelled(ev, B.cohort_codes(t))
     types = R.feature_values(t.part, "p_type")
     wide = R.pivot_agg(labelled, types, "max", 0, ["sample_id", "label"])
@@ -113,7 +113,7 @@ JOIN (SELECT sample_id, arg_max(cohort, ordinal) AS label FROM mut_events JOIN c
 def q_integrate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L16 (mutation): distinct pairs -> presence 1 (long) + label."""
     t = Tables(spark, sf_dir)
-    ev = B.mutation_events(t).join(F.broadcast(B.cohort_codes(t)), "cohort")
+    ev = B.mutation_events(t).join(J.checked_broadcast(B.cohort_codes(t), J.MAX_REGISTRY), "cohort")
     return I.integrate_events_labelled(ev, B.cohort_codes(t)) \
         .select("sample_id", "feature", F.col("value").cast("int").alias("value"), "label")
 
@@ -187,7 +187,7 @@ def q_union_common(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U2 + L16 (miRNA): four cohorts long -> pivot; the last cohort arrives
     pre-pivoted without its last priority column; union on common columns."""
     t = Tables(spark, sf_dir)
-    long = B.mirna_long(t).join(F.broadcast(B.cohort_codes(t)), "cohort")
+    long = B.mirna_long(t).join(J.checked_broadcast(B.cohort_codes(t), J.MAX_REGISTRY), "cohort")
     codes = B.cohort_codes(t)
     last = codes.agg(F.max("cohort")).first()[0]
     prios = R.feature_values(t.orders, "o_orderpriority")

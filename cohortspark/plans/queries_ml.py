@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import explain as EX
+from ..operators import joins as J
 from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators import reduce as RD
@@ -74,7 +75,7 @@ def q_learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
             losses = cm.evaluateEachIteration(val.withColumn("_yc", (F.col("y") == c).cast("double")))
             rows += [(fold, c, i + 1, float(v)) for i, v in enumerate(losses)]
     return spark.createDataFrame(rows, "fold int, code int, round int, loss double") \
-        .join(F.broadcast(codes), "code").select("fold", F.col("label").alias("class"), "round", "loss")
+        .join(J.checked_broadcast(codes, J.MAX_CLASSES), "code").select("fold", F.col("label").alias("class"), "round", "loss")
 
 
 @register("stacker_oof")

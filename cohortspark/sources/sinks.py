@@ -30,10 +30,9 @@ def write_oof(oof_wide: DataFrame, path: str) -> None:
 
 
 def write_feature_list(features: DataFrame, path: str, fmt: str = "json") -> None:
-    """``(pos, feature)`` table; ``pos`` keeps the list order for readers."""
-    out = features.select(F.col("pos").cast("int"), "feature").repartition(1, "pos") \
-        if fmt == "csv" else features.select(F.col("pos").cast("int"), "feature")
-    write_matrix(out, path, fmt=fmt)
+    """``(pos, feature)`` table; ``pos`` keeps the list order for readers, so
+    no single-file write is needed."""
+    write_matrix(features.select(F.col("pos").cast("int"), "feature"), path, fmt=fmt)
 
 
 def read_feature_table(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
