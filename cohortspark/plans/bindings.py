@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources.tables import Tables
 
 
@@ -30,9 +31,13 @@ def samples(t: Tables) -> DataFrame:
 
 def cohort_codes(t: Tables) -> DataFrame:
     """Cohort registry from the (small) customer side: segment -> alphabetical ordinal."""
-    segs = t.customer.select(F.col("c_mktsegment").alias("cohort")).distinct()
-    return segs.select("cohort", (F.dense_rank().over(Window.orderBy("cohort")) - 1)
-                       .cast("int").alias("ordinal"))
+    def build():
+        segs = t.customer.select(F.col("c_mktsegment").alias("cohort")).distinct()
+        codes = segs.select("cohort", (F.dense_rank().over(Window.orderBy("cohort")) - 1)
+                            .cast("int").alias("ordinal"))
+        # tiny and read by several joins and the broadcast bound check: staged once
+        return materialize(codes, "cohort_codes")
+    return t.memo("cohort_codes", build)
 
 
 def _lines(t: Tables) -> DataFrame:

@@ -21,6 +21,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._memo: dict = {}
+
+    def memo(self, name: str, build):
+        """Build a small derived table once per ``Tables`` instance."""
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
