@@ -108,7 +108,9 @@ def impute_and_reduce(features: DataFrame, modality: str, k: int, by: str = "cat
     rows (exact, distributed) fill the NULLs (A13); PCA is fitted on the
     combined rows and scores every (file, sample) row.  Returns long scores
     ``(category, sample_id, feature=<m>_PCA_PC<i>, value)`` and the explained
-    variance ratios; with ``k <= 0`` the features pass through unchanged.
+    variance ratios; with ``k <= 0``, or when the reduction fails (e.g. more
+    features than the covariance route allows), the features pass through
+    unchanged.
     """
     from ..operators import reduce as RD
     from ..operators.ordered import exact_percentile
@@ -138,7 +140,10 @@ def impute_and_reduce(features: DataFrame, modality: str, k: int, by: str = "cat
     filled = F.zip_with(F.col("_x"), meds, lambda v, m: F.coalesce(v, m))
     from pyspark.ml.functions import array_to_vector
     vec = dense.select(by, "sample_id", array_to_vector(filled).alias("features"))
-    scaler, model, signs, ev = RD.fit_pca(vec, k, d)
+    try:
+        scaler, model, signs, ev = RD.fit_pca(vec, k, d)
+    except Exception:  # noqa: BLE001 - a failed reduction keeps the un-reduced features
+        return features, None
     x = model.transform(scaler.transform(vec))
     from pyspark.ml.functions import vector_to_array
     sg = F.array(*[F.lit(float(s)) for s in signs])

@@ -120,3 +120,31 @@ def test_sampled_shapley_additive_and_exact_for_linear(spark):
     for i in range(5):
         for j, f in enumerate("abcd"):
             assert got[(i, f)] == pytest.approx(coef[j] * (X[i, j] - mean_bg[j]), abs=1e-9)
+
+
+def test_impute_and_reduce_matches_numpy(spark):
+    from cohortspark.plans.features import impute_and_reduce
+    rng = np.random.default_rng(4)
+    rows = []
+    dense = {}
+    for cat in ("normal", "cancer"):
+        feats = ["f0", "f1", "f2"] if cat == "normal" else ["f1", "f2", "f3"]
+        for s in range(12):
+            for f in feats:
+                v = float(rng.normal())
+                rows.append((cat, s, f, v, -0.5 if cat == "normal" else 0.25))
+                dense[(cat, s, f)] = v
+    df = spark.createDataFrame(rows, "category string, sample_id long, feature string, value double, zero_value double")
+    out, ev = impute_and_reduce(df, "M", 2)
+    # reference: union of columns, NULL where a file lacks the feature, median fill, centred PCA
+    names = ["f0", "f1", "f2", "f3"]
+    keys = [(c, s) for c in ("cancer", "normal") for s in range(12)]
+    X = np.array([[dense.get((c, s, f), np.nan) for f in names] for c, s in keys])
+    med = np.nanmedian(X, axis=0)
+    X = np.where(np.isnan(X), med, X)
+    Xc = X - X.mean(axis=0)
+    _, sv, _ = np.linalg.svd(Xc, full_matrices=False)
+    assert np.allclose(ev, (sv ** 2 / (sv ** 2).sum())[:2], atol=1e-9)
+    assert out.count() == 24 * 2
+    same, _ = impute_and_reduce(df, "M", 0)
+    assert same is df
