@@ -39,7 +39,7 @@ def to_ml_frame(cells: DataFrame, labels: DataFrame, folds: DataFrame | None = N
     y (double code) [, fold]."""
     dictionary = R.feature_dictionary(cells)
     d = dictionary.count()
-    vec = R.assemble_dense(R.align_long(cells, dictionary), d, fill)
+    vec = R.assemble(R.align_long(cells, dictionary), d, fill)
     codes = class_codes(labels, label)
     lab = labels.select("sample_id", label).join(checked_broadcast(codes, MAX_CLASSES), label) \
         .withColumn("y", F.col("code").cast("double")).drop("code")

@@ -176,3 +176,37 @@ def assemble_dense(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_id"
 
     arr = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), cell)
     return agg.select(key, array_to_vector(arr).alias(out))
+
+
+def _sparse_vector(d: int):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
+    def build(entries):
+        pairs = sorted((int(e[0]), float(e[1])) for e in entries if e[1] is not None and e[1] != 0.0)
+        return Vectors.sparse(d, [p for p, _ in pairs], [v for _, v in pairs])
+    return F.udf(build, VectorUDT())
+
+
+def assemble_sparse(long_pos: DataFrame, d: int, key: str = "sample_id",
+                    out: str = "features") -> DataFrame:
+    """Sparse ML vector per sample from ``(key, pos, value)``; absent = 0.
+
+    For wide modalities (tens of thousands of features) where a dense array
+    per sample is wasteful.  The per-sample entry list is bounded by the
+    dictionary size; the only Python step is building the vector object
+    from it.
+    """
+    agg = long_pos.groupBy(key).agg(
+        F.collect_list(F.struct(F.col("pos").cast("int"), F.col("value").cast("double"))).alias("_e"))
+    return agg.select(key, _sparse_vector(d)(F.col("_e")).alias(out))
+
+
+def assemble(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_id",
+             out: str = "features") -> DataFrame:
+    """Dense up to ``MAX_DENSE_FEATURES``, sparse above (absent cells must
+    read 0 then)."""
+    if d <= MAX_DENSE_FEATURES:
+        return assemble_dense(long_pos, d, fill, key, out)
+    if fill not in (0, 0.0):
+        raise ValueError("sparse assembly needs absent cells to read 0")
+    return assemble_sparse(long_pos, d, key, out)

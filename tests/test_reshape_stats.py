@@ -126,3 +126,13 @@ def test_presence_and_crosstab(spark):
     assert (w[1]["x"], w[1]["y"], w[2]["x"]) == (1, 0, 0)
     ct = {(r[0], r[1]): r[2] for r in R.crosstab_long(ev.where("sample_id is not null"), "sample_id", "feature").collect()}
     assert ct[(1, "x")] == 2
+
+
+def test_sparse_assembly_equals_dense(spark):
+    lp = spark.createDataFrame([(1, 0, 2.0), (1, 2, 3.0), (2, 1, 1.0), (2, 3, 0.0)], "sample_id int, pos int, value double")
+    dense = {r[0]: r[1].toArray().tolist() for r in R.assemble_dense(lp, 4, 0.0).collect()}
+    sparse = {r[0]: r[1] for r in R.assemble_sparse(lp, 4).collect()}
+    for k in dense:
+        assert sparse[k].toArray().tolist() == dense[k]
+        assert sparse[k].size == 4
+    assert len(sparse[1].indices) == 2
