@@ -54,3 +54,160 @@ def loadings(spark, model, signs, dictionary_rows: list[str], modality: str) ->
     rows = [(f"{modality}_PCA_PC{j + 1}", f, float(pc[i, j]))
             for j in range(pc.shape[1]) for i, f in enumerate(dictionary_rows)]
     return spark.createDataFrame(rows, "component string, feature string, loading double")
+
+
+# ---- randomized PCA for wide, sparse modalities ------------------------------------
+#
+# Halko, Martinsson & Tropp (2011), "Finding structure with randomness":
+# range finder with power iterations on the centred matrix, never forming a
+# d x d covariance or an n x n Gram matrix.  Samples stay distributed; the
+# driver holds only d x l and l x l arrays (l = k + oversampling), which are
+# bounded by features x components.
+
+def sample_entries(long_pos: DataFrame, key: str = "sample_id") -> DataFrame:
+    """``(key, _i array<int>, _v array<double>)``: one row per sample with its
+    non-zero cells (bounded by the dictionary size)."""
+    return long_pos.groupBy(key).agg(F.collect_list(F.col("pos").cast("int")).alias("_i"),
+                                     F.collect_list(F.col("value").cast("double")).alias("_v"))
+
+
+def _project(entries: DataFrame, M: np.ndarray, shift: np.ndarray, key: str, out: str) -> DataFrame:
+    """Per sample ``x_s @ M - shift`` (M broadcast, d x l)."""
+    spark = entries.sparkSession
+    bM = spark.sparkContext.broadcast(M)
+    l = M.shape[1]
+
+    def run(batches):
+        import pandas as pd
+        Mv = bM.value
+        for pdf in batches:
+            ys = []
+            for ii, vv in zip(pdf["_i"], pdf["_v"]):
+                ii = np.asarray(ii, dtype=np.int64)
+                vv = np.asarray(vv, dtype=float)
+                ys.append((vv @ Mv[ii] if len(ii) else np.zeros(l)) - shift)
+            yield pd.DataFrame({key: pdf[key], out: ys})
+    kt = entries.schema[key].dataType.simpleString()
+    return entries.mapInPandas(run, f"{key} {kt}, {out} array<double>")
+
+
+def _xt_y(entries_y: DataFrame, d: int, l: int, ycol: str) -> np.ndarray:
+    """``X^T Y`` (d x l): per-partition dense partials, summed by feature
+    position; the result is bounded by d x l."""
+    def run(batches):
+        import pandas as pd
+        acc = np.zeros((d, l))
+        for pdf in batches:
+            for ii, vv, y in zip(pdf["_i"], pdf["_v"], pdf[ycol]):
+                if len(ii):
+                    acc[np.asarray(ii, dtype=np.int64)] += np.outer(np.asarray(vv, dtype=float), np.asarray(y))
+        rows = np.nonzero(np.any(acc != 0, axis=1))[0]
+        if len(rows):
+            yield pd.DataFrame({"pos": rows.astype(np.int32), "part": list(acc[rows])})
+    parts = entries_y.mapInPandas(run, "pos int, part array<double>")
+    summed = parts.select("pos", F.posexplode("part").alias("j", "v")).groupBy("pos", "j").agg(F.sum("v").alias("v"))
+    out = np.zeros((d, l))
+    for r in summed.collect():  # d x l values: bounded by features x components
+        out[r["pos"], r["j"]] = r["v"]
+    return out
+
+
+def _gram(y: DataFrame, l: int, ycol: str) -> np.ndarray:
+    def run(batches):
+        import pandas as pd
+        acc = np.zeros((l, l))
+        for pdf in batches:
+            Y = np.vstack(pdf[ycol].to_numpy()) if len(pdf) else np.zeros((0, l))
+            acc += Y.T @ Y
+        yield pd.DataFrame({"g": [acc.ravel()]})
+    parts = y.select(ycol).mapInPandas(run, "g array<double>")
+    tot = np.zeros(l * l)
+    for r in parts.collect():  # one l x l partial per task
+        tot += np.asarray(r["g"])
+    return tot.reshape(l, l)
+
+
+def _orthonormalise(y: DataFrame, l: int, key: str, ycol: str) -> DataFrame:
+    """Cholesky QR: ``Q = Y R^-1`` with ``R^T R = Y^T Y`` (l x l on the driver)."""
+    G = _gram(y, l, ycol)
+    R = np.linalg.cholesky(G + 1e-12 * np.trace(G) / l * np.eye(l)).T
+    Rinv = np.linalg.inv(R)
+    spark = y.sparkSession
+    bR = spark.sparkContext.broadcast(Rinv)
+
+    def run(batches):
+        import pandas as pd
+        Ri = bR.value
+        for pdf in batches:
+            Y = np.vstack(pdf[ycol].to_numpy()) if len(pdf) else np.zeros((0, l))
+            yield pd.DataFrame({key: pdf[key], ycol: list(Y @ Ri)})
+    kt = y.schema[key].dataType.simpleString()
+    return y.mapInPandas(run, f"{key} {kt}, {ycol} array<double>")
+
+
+def randomized_pca(long_pos: DataFrame, d: int, k: int, n_samples: int, oversample: int = 10,
+                   power_iters: int = 2, seed: int = 42, key: str = "sample_id"):
+    """Top-``k`` principal components of the centred (absent = 0) matrix.
+
+    Returns ``(components d x k, explained_variance k, mean d, total_variance)``;
+    signs are fixed so the largest-magnitude loading is positive.
+    """
+    from ..session import materialize
+    l = min(k + oversample, d, n_samples)
+    entries = materialize(sample_entries(long_pos, key), "pca_entries")
+    sums = {r["pos"]: r["s"] for r in long_pos.groupBy("pos").agg(F.sum("value").alias("s")).collect()}
+    mu = np.zeros(d)
+    for p, s in sums.items():
+        mu[p] = s / n_samples
+    sq = long_pos.agg(F.sum(F.col("value") * F.col("value"))).first()[0] or 0.0
+    total_var = (sq - n_samples * float(mu @ mu)) / (n_samples - 1)
+    rng = np.random.default_rng(seed)
+    omega = rng.standard_normal((d, l))
+    Z = omega
+    for it in range(power_iters + 1):
+        y = _project(entries, Z, mu @ Z, key, "_y")
+        q = materialize(_orthonormalise(y, l, key, "_y"), "pca_q")
+        if it == power_iters:
+            break
+        XtQ = _xt_y(entries.join(q, key), d, l, "_y")
+        # centring: Xc^T Q = X^T Q - mu (1^T Q)
+        ones_q = np.asarray(q.select(F.posexplode("_y").alias("j", "v")).groupBy("j").agg(F.sum("v").alias("s"))
+                            .orderBy("j").select("s").toPandas()["s"])
+        Z, _ = np.linalg.qr(XtQ - np.outer(mu, ones_q))
+    XtQ = _xt_y(entries.join(q, key), d, l, "_y")
+    ones_q = np.asarray(q.select(F.posexplode("_y").alias("j", "v")).groupBy("j").agg(F.sum("v").alias("s"))
+                        .orderBy("j").select("s").toPandas()["s"])
+    B = (XtQ - np.outer(mu, ones_q)).T  # l x d = Q^T Xc
+    _, s, vt = np.linalg.svd(B, full_matrices=False)
+    comps = vt[:k].T
+    idx = np.abs(comps).argmax(axis=0)
+    signs = np.where(comps[idx, np.arange(k)] < 0, -1.0, 1.0)
+    return comps * signs, (s[:k] ** 2) / (n_samples - 1), mu, total_var
+
+
+def randomized_scores(long_pos: DataFrame, comps: np.ndarray, mu: np.ndarray, modality: str,
+                      key: str = "sample_id") -> DataFrame:
+    """Long scores ``(key, component, score)`` = (x - mu) @ components."""
+    y = _project(sample_entries(long_pos, key), comps, mu @ comps, key, "_s")
+    return y.select(key, F.posexplode("_s").alias("i", "score")).select(
+        key, F.format_string(f"{modality}_PCA_PC%d", F.col("i") + 1).alias("component"), "score")
+
+
+def pca_long(long_pos: DataFrame, d: int, k: int, n_samples: int, modality: str,
+             key: str = "sample_id", method: str = "auto") -> tuple[DataFrame, np.ndarray]:
+    """Scores ``(key, component, score)`` and explained-variance ratios.
+
+    ``method='exact'`` (covariance route, d <= 4,000) or ``'randomized'``
+    (range finder, any width); ``'auto'`` picks by width.
+    """
+    from .reshape import assemble_dense
+    if method == "exact" or (method == "auto" and n_features_ok(d)):
+        vec = assemble_dense(long_pos, d, 0.0, key)
+        scaler, model, signs, ev = fit_pca(vec, k, d)
+        return apply_pca(vec, scaler, model, signs, modality, key), ev
+    comps, var, mu, total = randomized_pca(long_pos, d, k, n_samples, key=key)
+    return randomized_scores(long_pos, comps, mu, modality, key), var / total
+
+
+def n_features_ok(d: int) -> bool:
+    return d <= MAX_PCA_FEATURES

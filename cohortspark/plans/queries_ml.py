@@ -182,3 +182,17 @@ def q_sample_dataset_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     reduced, _ = impute_and_reduce(category_features(t), "evt", 50)
     return rounded(assemble_samples(reduced).select("sample_id", "target", "feature", "value"))
+
+
+@register("pca_randomized")
+def q_pca_randomized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L11 for wide modalities: randomized range-finder PCA (no d x d
+    covariance, no n x n Gram matrix) of the probe matrix, 10 components."""
+    t = Tables(spark, sf_dir)
+    long = B.methylation_long(t).select("sample_id", "feature", "value")
+    dictionary = R.feature_dictionary(long)
+    d = dictionary.count()
+    lp = R.align_long(long, dictionary)
+    n = long.select("sample_id").distinct().count()
+    scores, _ = RD.pca_long(lp, d, RD.component_cap(10, n, d), n, "Meth", method="randomized")
+    return rounded(scores)

@@ -148,3 +148,23 @@ def test_impute_and_reduce_matches_numpy(spark):
     assert out.count() == 24 * 2
     same, _ = impute_and_reduce(df, "M", 0)
     assert same is df
+
+
+def test_randomized_pca_matches_numpy(spark):
+    from cohortspark.operators import reduce as RD
+    rng = np.random.default_rng(7)
+    n, d = 80, 30
+    base = rng.normal(size=(n, 3)) @ rng.normal(size=(3, d)) * 3 + rng.normal(size=(n, d)) * 0.1
+    base[rng.random((n, d)) < 0.3] = 0.0
+    rows = [(i, j, float(base[i, j])) for i in range(n) for j in range(d) if base[i, j] != 0]
+    lp = spark.createDataFrame(rows, "sample_id long, pos int, value double")
+    comps, ev, mu, tv = RD.randomized_pca(lp, d, 3, n, oversample=5, power_iters=2)
+    Xc = base - base.mean(axis=0)
+    _, s, vt = np.linalg.svd(Xc, full_matrices=False)
+    assert np.allclose(ev, s[:3] ** 2 / (n - 1), rtol=1e-3)  # randomized: approximate
+    assert tv == pytest.approx((s ** 2).sum() / (n - 1))
+    for j in range(3):
+        assert abs(abs(comps[:, j] @ vt[j]) - 1) < 1e-3
+    sc = {(r[0], r[1]): r[2] for r in RD.randomized_scores(lp, comps, mu, "M").collect()}
+    ref = Xc @ comps
+    assert sc[(5, "M_PCA_PC1")] == pytest.approx(ref[5, 0], abs=1e-8)
