@@ -39,3 +39,23 @@ def test_integration_expert_stacking_jobs(spark, tmpdir_path):
     meta = spark.read.parquet(st["meta"])
     assert meta.count() == 75 and len([c for c in meta.columns if c.startswith("pred_")]) == 6
     assert spark.read.parquet(st["report"]).where("class = 'accuracy'").count() == 1
+
+
+def test_cli_integrate(tmpdir_path):
+    a = os.path.join(tmpdir_path, "A.csv")
+    b = os.path.join(tmpdir_path, "B.csv")
+    _write(a, "patient_barcode,gene,fpkm\ns1,ENSG1,1.5\ns1,ENSG2,2\ns2,ENSG1,NA\n")
+    _write(b, "patient_barcode,gene,fpkm\ns3,ENSG1,3\ns1,ENSG2,4\n")
+    cfg = {"sources": [{"cohort": "A", "path": a, "feature_col": "gene", "value_col": "fpkm"},
+                       {"cohort": "B", "path": b, "feature_col": "gene", "value_col": "fpkm"}],
+           "out_dir": os.path.join(tmpdir_path, "out"), "prefix": "ENSG"}
+    cp = os.path.join(tmpdir_path, "cfg.json")
+    _write(cp, json.dumps(cfg))
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    res = subprocess.run([sys.executable, "-m", "cohortspark", "integrate", "--config", cp, "--master", "local[2]"],
+                         cwd=root, capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    out = json.loads(res.stdout.strip().splitlines()[-1])
+    import duckdb
+    rows = duckdb.sql(f"SELECT * FROM read_parquet('{out['labels']}/*.parquet') ORDER BY 1").fetchall()
+    assert rows == [("s1", "B"), ("s2", "A"), ("s3", "B")]
