@@ -548,3 +548,20 @@ def q_fold_scores_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     ll = M.log_loss(probs, g).select(*g, F.lit("log_loss").alias("metric"), F.col("log_loss").alias("value"))
     auc = M.roc_auc_ovr(probs, g).select(*g, F.lit("auc").alias("metric"), F.col("auc_ovr").alias("value"))
     return rounded(acc.unionByName(ll).unionByName(auc))
+
+
+@register("fold_members", with_ctes("""
+SELECT f.fold, CASE WHEN k.fold = f.fold THEN 'val' ELSE 'train' END AS split, count(*) AS n_samples,
+       count(DISTINCT k.label) AS n_labels
+FROM folds k CROSS JOIN (SELECT CAST(range AS INTEGER) AS fold FROM range(5)) f
+GROUP BY 1, 2""", "folds"))
+def q_fold_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold membership as used by the fits - validation rows are the
+    fold, training rows every other fold (filters on ``fold``, not positions)."""
+    from .queries import customer_folds
+    f = customer_folds(Tables(spark, sf_dir))
+    per = f.select("sample_id", "label", F.col("fold").alias("_own"),
+                   F.explode(F.sequence(F.lit(0), F.lit(K_FOLDS - 1))).alias("fold"))
+    per = per.withColumn("split", F.when(F.col("fold") == F.col("_own"), F.lit("val")).otherwise(F.lit("train")))
+    return per.groupBy("fold", "split").agg(F.count(F.lit(1)).alias("n_samples"),
+                                            F.countDistinct("label").alias("n_labels"))

@@ -222,3 +222,55 @@ def q_integrate_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = B.methylation_wide(t)
     cohorts = [wide.where(F.col("label") == v) for v in J.class_list(wide, "label")]
     return rounded(I.integrate_wide(cohorts))
+
+
+# ---- keyed / pruned scans, type selection, union over all columns ---------------
+
+@register("keyed_scan", """
+SELECT doc_id AS sample_id, quality AS label FROM labels""")
+def q_keyed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed table without the standard key name -> first column
+    becomes ``sample_id``; only key and label are read (pruned scan)."""
+    t = Tables(spark, sf_dir)
+    from ..functions.schema import ensure_key
+    return ensure_key(t.labels, "sample_id").select("sample_id", F.col("quality").alias("label"))
+
+
+@register("numeric_projection", """
+SELECT c_custkey, c_nationkey, round(c_acctbal, 6) AS c_acctbal FROM customer""")
+def q_numeric_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep the numeric columns in frame order, dropping (tolerantly)
+    columns that may be absent."""
+    from ..functions.schema import drop_if_present, numeric_columns
+    t = Tables(spark, sf_dir)
+    df = drop_if_present(t.customer, "label", "target")
+    return rounded(df.select(*numeric_columns(df)))
+
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("union_all_columns", """
+SELECT sample_id, """ + ", ".join(f"round({e}, 6) AS {e}" for e in EVENT_TYPES) + """, category FROM (
+  SELECT user_id AS sample_id, 'normal' AS category, """ + ", ".join(
+    f"max(value) FILTER (WHERE event_type = '{e}') AS {e}" if e != "error" else "CAST(NULL AS DOUBLE) AS error"
+    for e in EVENT_TYPES) + """
+  FROM events WHERE event_type <> 'error' GROUP BY user_id
+  UNION ALL
+  SELECT user_id, 'cancer', """ + ", ".join(
+    "max(value) FILTER (WHERE event_type = 'error')" if e == "error" else "CAST(NULL AS DOUBLE)"
+    for e in EVENT_TYPES) + """
+  FROM events WHERE event_type = 'error' GROUP BY user_id)""")
+def q_union_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-category wide frames with different feature columns, united over
+    the union of columns (sorted), absent columns NULL."""
+    from ..operators.setops import union_all_columns
+    t = Tables(spark, sf_dir)
+    ev = t.events.select(F.col("user_id").alias("sample_id"), F.col("event_type").alias("feature"), "value")
+    normal = ev.where(F.col("feature") != "error")
+    cancer = ev.where(F.col("feature") == "error")
+    # largest value per cell: an order-free aggregate of two-decimal prices
+    wn = R.pivot_agg(normal, R.feature_values(normal), "max", None).withColumn("category", F.lit("normal"))
+    wc = R.pivot_agg(cancer, R.feature_values(cancer), "max", None).withColumn("category", F.lit("cancer"))
+    u = union_all_columns([wn, wc], key="sample_id")
+    return rounded(u.select("sample_id", *EVENT_TYPES, "category"))
