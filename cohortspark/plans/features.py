@@ -45,22 +45,28 @@ def build_modality_features(long: DataFrame, modality: str, log: bool = False,
     cells = R.cell_agg(raw, "mean", keys=(by, "sample_id", "feature"))
     if log:
         cells = cells.withColumn("value", log2p1("value"))
-    stat_keys = keys if keys else []
-    n_by = (cells.groupBy(*stat_keys).agg(F.countDistinct("sample_id").alias("_N")) if stat_keys
-            else cells.agg(F.countDistinct("sample_id").alias("_N")).withColumn("_g", F.lit(0)))
-    if not stat_keys:
-        cells = cells.withColumn("_g", F.lit(0))
-        stat_keys = ["_g"]
-    mom = _moments(cells, n_by, stat_keys)
-    if var_q is not None and 0 < var_q < 1:
-        rule = mom.groupBy(*stat_keys).agg(
-            F.count(F.lit(1)).alias("_d"), F.countDistinct("var_samp").alias("_nd"),
-            F.percentile("var_samp", var_q).alias("_t"))
-        m = mom.join(rule, stat_keys)
-        keep = m.where((F.col("_d") <= 1)
-                       | ((F.col("_nd") > 1) & (F.col("var_samp") > F.col("_t")))
-                       | ((F.col("_nd") <= 1) & (F.col("var_samp") > 0)))
-        mom = keep.select(*stat_keys, "feature", "mean", "var_samp", "std_pop")
+    if keys:
+        n_by = cells.groupBy(*keys).agg(F.countDistinct("sample_id").alias("_N"))
+        mom = _moments(cells, n_by, keys)
+        if var_q is not None and 0 < var_q < 1:
+            rule = mom.groupBy(*keys).agg(
+                F.count(F.lit(1)).alias("_d"), F.countDistinct("var_samp").alias("_nd"),
+                F.percentile("var_samp", var_q).alias("_t"))
+            m = mom.join(rule, keys)
+            keep = m.where((F.col("_d") <= 1)
+                           | ((F.col("_nd") > 1) & (F.col("var_samp") > F.col("_t")))
+                           | ((F.col("_nd") <= 1) & (F.col("var_samp") > 0)))
+            mom = keep.select(*keys, "feature", "mean", "var_samp", "std_pop")
+    else:
+        # pooled: one matrix over all files; a sample id of two files is two rows
+        from ..operators import stats as ST
+        n_rows = cells.select(by, "sample_id").distinct().count()
+        mom = ST.feature_moments(cells.select("feature", "value"), n_rows, "zero")
+        if var_q is not None and 0 < var_q < 1:
+            rule, t = ST.variance_threshold(mom, var_q)
+            if rule != "skip":
+                mom = mom.where(F.col("var_samp") > F.lit(t))
+    stat_keys = keys
     if scale:
         std = F.when(F.col("std_pop") == 0, F.lit(1.0)).otherwise(F.col("std_pop"))
         params = mom.select(*stat_keys, "feature", F.col("mean").alias("_mean"), std.alias("_std"))

@@ -136,3 +136,33 @@ def test_sparse_assembly_equals_dense(spark):
         assert sparse[k].toArray().tolist() == dense[k]
         assert sparse[k].size == 4
     assert len(sparse[1].indices) == 2
+
+
+@pytest.mark.parametrize("scope", ["file", "pooled"])
+def test_build_modality_features_matches_dense(spark, scope):
+    from cohortspark.plans.features import build_modality_features
+    rng = np.random.default_rng(11)
+    rows, dense = [], {}
+    for cat in ("normal", "cancer"):
+        for s in range(15):
+            for f in ("a", "b", "c", "d"):
+                if rng.random() < 0.7:
+                    v = float(rng.integers(1, 20)) * (3 if f == "d" else 1)
+                    rows.append((cat, s, f, v))
+                    dense[(cat, s, f)] = v
+    df = spark.createDataFrame(rows, "category string, sample_id long, feature string, value double")
+    out = build_modality_features(df, "m", log=True, var_q=None, scale=True, scope=scope)
+    got = {(r["category"], r["sample_id"], r["feature"]): (r["value"], r["zero_value"])
+           for r in out.where("feature IS NOT NULL").collect()}
+    groups = [("normal",), ("cancer",)] if scope == "file" else [("normal", "cancer")]
+    for cats in groups:
+        samples = sorted({(c, s) for (c, s, _) in dense if c in cats})
+        for f in ("a", "b", "c", "d"):
+            col = np.array([np.log2(dense.get((c, s, f), 0.0) + 1) for c, s in samples])
+            mu, sd = col.mean(), col.std()
+            sd = sd if sd > 0 else 1.0
+            for (c, s), x in zip(samples, col):
+                if (c, s, f) in dense:
+                    v, z = got[(c, s, "m_" + f)]
+                    assert v == pytest.approx((x - mu) / sd)
+                    assert z == pytest.approx(-mu / sd)
