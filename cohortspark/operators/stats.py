@@ -69,17 +69,26 @@ def log_cells(cells: DataFrame) -> DataFrame:
     return cells.withColumn("value", log2p1("value"))
 
 
+# Variances computed by distributed sums differ in the last bits with the
+# summation order; "equal" and "above the threshold" are judged with this
+# relative tolerance so identical columns are treated as identical.
+VAR_RTOL = 1e-12
+
+
 def variance_threshold(moments: DataFrame, q: float | None) -> tuple[str, float | None]:
-    """Decide the low-variance rule: ``('quantile', t)``, ``('positive', 0)`` or ``('skip', None)``."""
+    """Decide the low-variance rule: ``('quantile', t)``, ``('positive', tol)``
+    or ``('skip', None)``; the returned cut already includes the tolerance."""
     row = moments.agg(F.count(F.lit(1)).alias("d"),
-                      F.countDistinct("var_samp").alias("nd"),
+                      F.max("var_samp").alias("hi"), F.min("var_samp").alias("lo"),
                       (F.percentile("var_samp", q) if q is not None and 0 < q < 1
                        else F.lit(None)).alias("t")).first()
     if q is None or not (0 < q < 1) or row["d"] <= 1:
         return "skip", None
-    if row["nd"] > 1:
-        return "quantile", float(row["t"])
-    return "positive", 0.0
+    scale = max(abs(row["hi"] or 0.0), abs(row["lo"] or 0.0))
+    tol = VAR_RTOL * scale
+    if (row["hi"] or 0.0) - (row["lo"] or 0.0) > tol:
+        return "quantile", float(row["t"]) + tol
+    return "positive", tol
 
 
 def filter_low_variance(cells: DataFrame, n_samples: int | None, q: float | None = 0.05,

@@ -49,13 +49,16 @@ def build_modality_features(long: DataFrame, modality: str, log: bool = False,
         n_by = cells.groupBy(*keys).agg(F.countDistinct("sample_id").alias("_N"))
         mom = _moments(cells, n_by, keys)
         if var_q is not None and 0 < var_q < 1:
+            from ..operators.stats import VAR_RTOL
             rule = mom.groupBy(*keys).agg(
-                F.count(F.lit(1)).alias("_d"), F.countDistinct("var_samp").alias("_nd"),
+                F.count(F.lit(1)).alias("_d"), F.max("var_samp").alias("_hi"), F.min("var_samp").alias("_lo"),
                 F.percentile("var_samp", var_q).alias("_t"))
             m = mom.join(rule, keys)
+            tol = F.lit(VAR_RTOL) * F.greatest(F.abs("_hi"), F.abs("_lo"))
+            distinct = (F.col("_hi") - F.col("_lo")) > tol
             keep = m.where((F.col("_d") <= 1)
-                           | ((F.col("_nd") > 1) & (F.col("var_samp") > F.col("_t")))
-                           | ((F.col("_nd") <= 1) & (F.col("var_samp") > 0)))
+                           | (distinct & (F.col("var_samp") > F.col("_t") + tol))
+                           | (~distinct & (F.col("var_samp") > tol)))
             mom = keep.select(*keys, "feature", "mean", "var_samp", "std_pop")
     else:
         # pooled: one matrix over all files; a sample id of two files is two rows

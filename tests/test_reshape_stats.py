@@ -166,3 +166,44 @@ def test_build_modality_features_matches_dense(spark, scope):
                     v, z = got[(c, s, "m_" + f)]
                     assert v == pytest.approx((x - mu) / sd)
                     assert z == pytest.approx(-mu / sd)
+
+
+def test_low_variance_branches(spark):
+    same = spark.createDataFrame([(i, f, float(i % 2)) for i in range(6) for f in ("x", "y")],
+                                 "sample_id long, feature string, value double")
+    # all variances equal -> keep variance > 0 (both kept)
+    assert ST.filter_low_variance(same, 6, 0.05).select("feature").distinct().count() == 2
+    flat = spark.createDataFrame([(i, f, 1.0) for i in range(6) for f in ("x", "y")],
+                                 "sample_id long, feature string, value double")
+    # all variances equal and zero -> nothing kept
+    assert ST.filter_low_variance(flat, 6, 0.05, absent="null").count() == 0
+    one = same.where("feature = 'x'")
+    assert ST.filter_low_variance(one, 6, 0.05).count() == one.count()  # one feature: skipped
+    assert ST.filter_low_variance(same, 6, None).count() == same.count()  # q None: skipped
+
+
+def test_harmonise_binary_layouts(spark):
+    a = spark.createDataFrame([(1, 0.8)], "sample_id int, pred_gene_binary double")
+    r = J.harmonise_binary(a, "gene").first()
+    assert (r["pred_gene_normal_prob"], r["pred_gene_cancer_prob"]) == (0.8, pytest.approx(0.2))
+    b = spark.createDataFrame([(1, 0.3, 0.7)], "sample_id int, pred_0 double, pred_1 double")
+    r = J.harmonise_binary(b, "cnv").first()
+    assert (r["pred_cnv_normal_prob"], r["pred_cnv_cancer_prob"]) == (0.7, 0.3)
+    assert J.harmonise_binary(spark.createDataFrame([(1, 0.5)], "sample_id int, other double"), "x") is None
+    with pytest.raises(ValueError):
+        J.require_binary(spark.createDataFrame([(1,), (2,), (3,)], "label int"))
+
+
+def test_exact_percentile_edges(spark):
+    from cohortspark.operators.ordered import exact_percentile
+    df = spark.createDataFrame([("a", 5.0, 3), ("b", 1.0, 1), ("b", 9.0, 1)], "g string, v double, w long")
+    for q, ref in ((0.0, {"a": 5.0, "b": 1.0}), (1.0, {"a": 5.0, "b": 9.0}), (0.5, {"a": 5.0, "b": 5.0})):
+        got = {r[0]: r[1] for r in exact_percentile(df, ["g"], "v", "w", q).collect()}
+        assert got == ref
+
+
+def test_stack_outer_join_multiplies_duplicates(spark):
+    a = spark.createDataFrame([(1, 0.1), (1, 0.2)], "sample_id int, pred_a_X double")
+    b = spark.createDataFrame([(1, 0.5), (2, 0.6)], "sample_id int, pred_b_X double")
+    out = J.stack_outer_join([a, b])
+    assert out.where("sample_id = 1").count() == 2 and out.count() == 3
