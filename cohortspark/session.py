@@ -48,8 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     Uses ``spark.checkpoint.dir`` (or an already set context checkpoint dir).
-    Only when neither is set - local runs and tests - a fresh folder under the
-    system temp directory is created and registered.
+    Only when neither is set and the master is local (local runs, tests) is a
+    fresh folder under the system temp directory created; on a cluster a
+    missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster; "
+                               "a machine-local temporary folder is only used in local mode")
         configured = tempfile.mkdtemp(prefix="cohortspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
