@@ -1,0 +1 @@
+"""cohortspark.sources"""

@@ -1,0 +1 @@
+"""cohortspark.streaming"""
