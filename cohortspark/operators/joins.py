@@ -21,12 +21,19 @@ def checked_broadcast(df: DataFrame, max_rows: int, what: str = "table") -> Data
 
 
 def resolve_cohort(long: DataFrame, key: str = "sample_id", cohort: str = "cohort",
-                   ordinal: str = "ordinal", out: str = "label") -> DataFrame:
+                   ordinal: str = "ordinal", out: str = "label",
+                   registry: DataFrame | None = None) -> DataFrame:
     """sample -> cohort, the last cohort in registry order wins.
 
-    A partial/final ``max_by`` aggregate: hot samples are combined map-side.
+    The largest ordinal per sample is a hash aggregate with map-side partial
+    aggregation (a ``max_by`` over the raw rows would plan a sort aggregate);
+    the ordinal is mapped back to its cohort through the bounded registry
+    (given, or the distinct (cohort, ordinal) pairs of the input).
     """
-    return long.groupBy(key).agg(F.max_by(cohort, ordinal).alias(out))
+    last = long.groupBy(key).agg(F.max(ordinal).alias(ordinal))
+    codes = registry if registry is not None else long.select(cohort, ordinal).distinct()
+    return last.join(checked_broadcast(codes.select(cohort, ordinal), MAX_REGISTRY, "registry"), ordinal) \
+        .select(key, F.col(cohort).alias(out))
 
 
 def registry_ordinals(long: DataFrame, cohort: str = "cohort") -> DataFrame:
