@@ -57,3 +57,19 @@ def test_sinks_round_trip(spark, tmpdir_path):
     assert a == b
     SK.write_matrix(df.withColumn("m", F.lit("x")).drop("features"), os.path.join(tmpdir_path, "mx"), "m")
     assert spark.read.parquet(os.path.join(tmpdir_path, "mx")).count() == 2
+
+
+def test_wide_cohorts_scan_and_common_columns(spark, tmpdir_path):
+    from cohortspark.plans.integrate import integrate_wide
+    a = os.path.join(tmpdir_path, "wa.csv")
+    b = os.path.join(tmpdir_path, "wb.csv")
+    _write(a, "patient_barcode,cg2,cg1,other\ns1,0.5,0.1,x\ns2,NA,0.2,y\n")
+    _write(b, "patient_barcode,cg1,cg3,cg2\ns3,0.3,0.9,0.7\n")
+    srcs = [IN.CohortSource("A", a, "wide"), IN.CohortSource("B", b, "wide")]
+    frames, rep = IN.scan_cohorts(spark, srcs)
+    assert isinstance(frames, list) and len(frames) == 2
+    labelled = [f.withColumn("label", F.col("cohort")) for f in frames]
+    u = integrate_wide(labelled, prefix="cg")
+    assert u.columns == ["sample_id", "cg2", "cg1", "label"]
+    rows = {r["sample_id"]: r for r in u.collect()}
+    assert rows["s2"]["cg2"] is None and rows["s3"]["label"] == "B"
