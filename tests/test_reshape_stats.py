@@ -207,3 +207,14 @@ def test_stack_outer_join_multiplies_duplicates(spark):
     b = spark.createDataFrame([(1, 0.5), (2, 0.6)], "sample_id int, pred_b_X double")
     out = J.stack_outer_join([a, b])
     assert out.where("sample_id = 1").count() == 2 and out.count() == 3
+
+
+def test_median_impute_fit_report(spark):
+    cells = spark.createDataFrame([(1, "a", 1.0), (2, "a", None), (3, "a", 5.0), (1, "b", None), (2, "b", None)],
+                                  "sample_id int, feature string, value double")
+    params = ST.fit_median(cells)
+    assert {r["feature"]: r["median"] for r in params.collect()} == {"a": 3.0}
+    rep = ST.median_fit_report(cells, params).collect()
+    assert [(r["feature"], r["status"].startswith("dropped")) for r in rep] == [("b", True)]
+    filled = {(r["sample_id"], r["feature"]): r["value"] for r in ST.apply_median(cells, params).collect()}
+    assert filled == {(1, "a"): 1.0, (2, "a"): 3.0, (3, "a"): 5.0}
