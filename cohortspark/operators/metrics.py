@@ -106,10 +106,15 @@ def binary_summary(preds: DataFrame, group=(), label="label", pred="pred", posit
 
 def log_loss(probs: DataFrame, group=(), label="label", class_col="class", prob_col="prob",
              eps: float = 2.220446049250313e-16) -> DataFrame:
-    """Mean negative log probability of the true class, clipped to [eps, 1-eps]."""
+    """Mean negative log probability of the true class; probabilities are
+    clipped to [eps, 1-eps] and renormalised per sample (a window over the
+    sample's K class rows, so bounded)."""
+    from pyspark.sql import Window
     p = F.greatest(F.least(F.col(prob_col), F.lit(1 - eps)), F.lit(eps))
-    return probs.where(F.col(class_col) == F.col(label)).groupBy(*group).agg(
-        (-F.avg(F.ln(p))).alias("log_loss"))
+    z = F.sum(p).over(Window.partitionBy(*group, "sample_id"))
+    x = probs.select(*group, "sample_id", class_col, label, p.alias("_p"), z.alias("_z"))
+    return x.where(F.col(class_col) == F.col(label)).groupBy(*group).agg(
+        (-F.avg(F.ln(F.col("_p") / F.col("_z")))).alias("log_loss"))
 
 
 def roc_auc(scores: DataFrame, group=(), label="label", score="score", positive=1,

@@ -202,10 +202,13 @@ def q_f1_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("log_loss", with_ctes(f"""
-SELECT round(-avg(ln(greatest(least(prob, 1 - {EPS!r}), {EPS!r}))), 6) AS log_loss
-FROM fx_expr_oof WHERE class = label""", "fx_expr_oof"))
+SELECT round(-avg(ln(p / z)), 6) AS log_loss FROM (
+  SELECT class, label, greatest(least(prob, 1 - {EPS!r}), {EPS!r}) AS p,
+         sum(greatest(least(prob, 1 - {EPS!r}), {EPS!r})) OVER (PARTITION BY sample_id) AS z
+  FROM fx_expr_oof) WHERE class = label""", "fx_expr_oof"))
 def q_log_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clipped log loss of the true-class probability."""
+    """Log loss of the true class after clipping to [eps, 1-eps] and
+    renormalising each sample's probabilities."""
     return rounded(M.log_loss(expression_expert(Tables(spark, sf_dir)), eps=EPS))
 
 
@@ -222,8 +225,9 @@ _FOLD_SQL = with_ctes("""
 SELECT fold, 'acc' AS metric, round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) AS value
 FROM fx_expr_pred GROUP BY fold
 UNION ALL
-SELECT fold, 'log_loss', round(-avg(ln(greatest(least(prob, 1 - 2.220446049250313e-16), 2.220446049250313e-16))), 6)
-FROM fx_expr_oof WHERE class = label GROUP BY fold
+SELECT fold, 'log_loss', round(-avg(ln(p / z)), 6) FROM (
+  SELECT fold, class, label, greatest(least(prob, 1 - 2.220446049250313e-16), 2.220446049250313e-16) AS p, sum(greatest(least(prob, 1 - 2.220446049250313e-16), 2.220446049250313e-16)) OVER (PARTITION BY fold, sample_id) AS z FROM fx_expr_oof)
+WHERE class = label GROUP BY fold
 UNION ALL
 SELECT fold, 'auc', round(avg(auc), 6) FROM (""" + _auc_sql(
     "SELECT fold, class, CASE WHEN label = class THEN 1 ELSE 0 END AS y, prob AS s FROM fx_expr_oof",
@@ -526,8 +530,10 @@ SELECT split, fold, sample_id, label, arg_min(class, (-prob, class)) AS pred FRO
 SELECT split, fold, 'acc' AS metric, round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) AS value
 FROM fx_expr_split_pred GROUP BY split, fold
 UNION ALL
-SELECT split, fold, 'log_loss', round(-avg(ln(greatest(least(prob, 1 - 2.220446049250313e-16), 2.220446049250313e-16))), 6)
-FROM fx_expr_split WHERE class = label GROUP BY split, fold
+SELECT split, fold, 'log_loss', round(-avg(ln(p / z)), 6) FROM (
+  SELECT split, fold, class, label, greatest(least(prob, 1 - 2.220446049250313e-16), 2.220446049250313e-16) AS p, sum(greatest(least(prob, 1 - 2.220446049250313e-16), 2.220446049250313e-16)) OVER (PARTITION BY split, fold, sample_id) AS z
+  FROM fx_expr_split)
+WHERE class = label GROUP BY split, fold
 UNION ALL
 SELECT split, fold, 'auc', round(avg(auc), 6) FROM (""" + _auc_sql(
     "SELECT split, fold, class, CASE WHEN label = class THEN 1 ELSE 0 END AS y, prob AS s FROM fx_expr_split",
