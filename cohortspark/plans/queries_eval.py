@@ -380,7 +380,10 @@ SELECT split_part(feature, '_', -1) AS omics_type, round(sum(importance), 6) AS
 FROM lm_imp GROUP BY 1""", "lm_imp"))
 def q_importance_by_modality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """modality = last ``_`` token, summed and sorted desc."""
-    return rounded(EX.importance_by_modality(combined_importance(Tables(spark, sf_dir)), "suffix"))
+    imp = combined_importance(Tables(spark, sf_dir))
+    if not EX.expert_rollup_applies(imp):  # the expert roll-up needs >1 parsed modality
+        return rounded(EX.importance_by_modality(imp, "suffix").limit(0))
+    return rounded(EX.importance_by_modality(imp, "suffix"))
 
 
 @register("top_features", with_ctes("""

@@ -218,3 +218,14 @@ def test_median_impute_fit_report(spark):
     assert [(r["feature"], r["status"].startswith("dropped")) for r in rep] == [("b", True)]
     filled = {(r["sample_id"], r["feature"]): r["value"] for r in ST.apply_median(cells, params).collect()}
     assert filled == {(1, "a"): 1.0, (2, "a"): 3.0, (3, "a"): 5.0}
+
+
+def test_expert_rollup_rule(spark):
+    from cohortspark.operators import explain as EX
+    two = spark.createDataFrame([("g1_expr", 1.0), ("t1_mut", 2.0)], "feature string, importance double")
+    one = spark.createDataFrame([("g1_expr", 1.0), ("g2_expr", 2.0)], "feature string, importance double")
+    none = spark.createDataFrame([("g1", 1.0), ("g2", 2.0)], "feature string, importance double")
+    assert EX.expert_rollup_applies(two) and not EX.expert_rollup_applies(one)
+    assert not EX.expert_rollup_applies(none)
+    rolled = [(r[0], r[1]) for r in EX.importance_by_modality(two).collect()]
+    assert rolled == [("mut", 2.0), ("expr", 1.0)]
