@@ -62,8 +62,9 @@ def wide_ml_frame(wide: DataFrame, cols: list[str], label: str = "label",
 class OneVsRestGBT:
     """K binary GBTs (class c vs rest); probabilities normalised to sum 1."""
 
-    def __init__(self, n_classes: int, **params):
+    def __init__(self, n_classes: int, parallel: int = 2, **params):
         self.n_classes = n_classes
+        self.parallel = parallel  # class fits in flight per fold (folds already run concurrently)
         self.params = params
 
     def fit(self, df: DataFrame) -> "OneVsRestGBTModel":
@@ -71,7 +72,7 @@ class OneVsRestGBT:
             est = GBTClassifier(featuresCol="features", labelCol="_yc", seed=42, **self.params)
             est.setProbabilityCol(f"_prob{c}").setRawPredictionCol(f"_raw{c}").setPredictionCol(f"_pred{c}")
             return est.fit(df.withColumn("_yc", (F.col("y") == c).cast("double")))
-        with ThreadPoolExecutor(max_workers=min(8, self.n_classes)) as pool:
+        with ThreadPoolExecutor(max_workers=max(1, min(self.parallel, self.n_classes))) as pool:
             models = list(pool.map(one, range(self.n_classes)))
         return OneVsRestGBTModel(models)
 
