@@ -229,3 +229,15 @@ def test_expert_rollup_rule(spark):
     assert not EX.expert_rollup_applies(none)
     rolled = [(r[0], r[1]) for r in EX.importance_by_modality(two).collect()]
     assert rolled == [("mut", 2.0), ("expr", 1.0)]
+
+
+def test_checked_broadcast_respects_bound(spark):
+    small = spark.range(5).withColumnRenamed("id", "k")
+    big = spark.range(50).withColumnRenamed("id", "k")
+    j_small = spark.range(100).withColumnRenamed("id", "k").join(J.checked_broadcast(small, 10), "k")
+    assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower() or \
+        "ResolvedHint" in j_small._jdf.queryExecution().analyzed().toString()
+    hinted = J.checked_broadcast(big, 10)
+    assert "ResolvedHint" not in hinted._jdf.queryExecution().analyzed().toString()
+    codes = J.registry_ordinals(spark.createDataFrame([("b",), ("a",), ("b",)], "cohort string"))
+    assert sorted((r["cohort"], r["ordinal"]) for r in codes.collect()) == [("a", 0), ("b", 1), ("b", 1)]
