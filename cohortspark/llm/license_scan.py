@@ -86,8 +86,9 @@ def scan(docs: DataFrame, least: float = LEAST_DICE) -> DataFrame:
 
 
 def best_license(docs: DataFrame, least: float = LEAST_DICE) -> DataFrame:
-    """doc_id, n_matches, license, dice, line of the best match (nulls without one)."""
+    """doc_id, n_matches, license, dice, line of the best match (null, 0 and -1 without one)."""
     best = F.array_min(F.transform("matches", lambda m: F.struct((-m["dice"]).alias("neg"), m["name"], m["line"])))
     found = scan(docs, least).select("doc_id", F.size("matches").cast("long").alias("n_matches"), best.alias("best"))
     return found.select("doc_id", "n_matches", F.col("best.name").alias("license"),
-                        (-F.col("best.neg")).alias("dice"), F.col("best.line").cast("long").alias("line"))
+                        F.coalesce(-F.col("best.neg"), F.lit(0.0)).alias("dice"),
+                        F.coalesce(F.col("best.line"), F.lit(-1)).cast("long").alias("line"))

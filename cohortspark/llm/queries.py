@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, license_scan, mixing, packing, quality_rules
+from . import chat, exact_dedup, license_scan, mixing, packing, quality_rules, rule_ensemble
 from .common import table
 
 
@@ -90,7 +90,7 @@ matches AS (
 best AS (
   SELECT *, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name, line) AS nth, count(*) OVER (PARTITION BY rid) AS n
   FROM matches WHERE dice >= {least!r})
-SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_matches, name AS license, dice, line::BIGINT AS line
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_matches, name AS license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(line, -1)::BIGINT AS line
 FROM (SELECT doc_id, row_number() OVER () AS rid FROM documents) d LEFT JOIN (SELECT * FROM best WHERE nth = 1) b USING (rid)
 """
 
@@ -100,6 +100,10 @@ def op8_pack_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -116,5 +120,5 @@ FROM t WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NUL
 """
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op6_chat_format, op7_license_scan,
-                                   op8_pack_pieces, op10_exact_dedup)}
+                                   op8_pack_pieces, op9_rule_ensemble, op10_exact_dedup)}
 ORACLE = {"op2_source_mix": OP2_SQL, "op7_license_scan": _op7_sql(), "op10_exact_dedup": OP10_SQL}
