@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown_lm, chat, exact_dedup, license_scan, mixing, packing, quality_rules, rule_ensemble
+from . import brown_lm, chat, exact_dedup, license_scan, mixing, packing, pii, quality_rules, rule_ensemble
 from .common import table
 
 
@@ -60,6 +60,10 @@ def op3_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op4_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.redact(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
@@ -123,6 +127,6 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM t WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST, rid)
 """
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_brown_lm, op6_chat_format, op7_license_scan,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_brown_lm, op4_boosted_pii, op6_chat_format, op7_license_scan,
                                    op8_pack_pieces, op9_rule_ensemble, op10_exact_dedup)}
 ORACLE = {"op2_source_mix": OP2_SQL, "op7_license_scan": _op7_sql(), "op10_exact_dedup": OP10_SQL}
