@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown_lm, chat, exact_dedup, license_scan, mixing, packing, pii, quality_rules, rule_ensemble
+from . import brown_lm, chat, exact_dedup, license_scan, mixing, ngram_join, packing, pii, quality_rules, rule_ensemble
 from .common import table
 
 
@@ -64,6 +64,32 @@ def op4_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
+OP5_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                      WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM words),
+tokens AS (SELECT doc_id, unnest(s) AS t, len(s) AS n FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, len(s.s)
+"""
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
@@ -127,6 +153,6 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM t WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST, rid)
 """
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_brown_lm, op4_boosted_pii, op6_chat_format, op7_license_scan,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_brown_lm, op4_boosted_pii, op5_ngram_jaccard, op6_chat_format, op7_license_scan,
                                    op8_pack_pieces, op9_rule_ensemble, op10_exact_dedup)}
-ORACLE = {"op2_source_mix": OP2_SQL, "op7_license_scan": _op7_sql(), "op10_exact_dedup": OP10_SQL}
+ORACLE = {"op2_source_mix": OP2_SQL, "op5_ngram_jaccard": OP5_SQL, "op7_license_scan": _op7_sql(), "op10_exact_dedup": OP10_SQL}
