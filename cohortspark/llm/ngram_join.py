@@ -11,13 +11,15 @@ Two nodes link when 100 |A and B| >= ``PERCENT`` |A or B|.
    sets without one token instead.  Signatures are shuffled once and sorted, and a task streams
    through the runs, so a block is never held; a signature has at most one row per node, and a
    node as many signatures as parts, so no key holds more than a small share of the rows.
-2. *Groups.*  Every node is compared with the node of smallest number that it shares most blocks
-   with; connected components of these links partition similar texts into groups.
-3. *Queries.*  Where a block still holds several groups, the nodes of the smaller one query the
-   larger one.  A group is stored in chunks of at most about ``CHUNK`` members with the union of
-   their tokens, and a chunk is opened only if |query and union| >= PERCENT % |query|, which
-   every link needs.  Members of an opened chunk are compared exactly by one lookup of the query's
-   tokens.  One link joins two groups, so no pairs inside a group are made.
+2. *Groups.*  A block's centre is its node with the largest blocks, which for copies of one text
+   tends to be that text.  Every node is compared with the centre it shares most blocks with;
+   components of these links partition similar texts into groups.
+3. *Queries.*  All nodes of blocks with the same centre that still hold several groups form a
+   cluster, stored in chunks of about ``CHUNK_TOKENS`` tokens with the union of the members'
+   tokens.  Only nodes outside the centre's group query it.  A chunk is opened only if
+   |query and union| >= PERCENT % |query|, which every link needs; the members of an opened chunk
+   are compared exactly by one lookup of the query's tokens.  A chunk reports a link only if it
+   joins groups that its links have not joined yet, so no pairs inside a group are made.
 
 Before texts are shuffled for a comparing step, a bitmap of fixed size (hashes of the wanted
 texts) drops nearly all that are not wanted; the join that follows is exact.
@@ -44,7 +46,7 @@ from .textnp import Words, mix, text_chunks, windows
 
 SHINGLE, PERCENT = 3, 90
 SMALL = 2
-CHUNK = 400
+CHUNK_TOKENS = 1_000_000
 QUERIES = 2_000
 BITMAP_BITS = 1 << 26
 
@@ -190,82 +192,100 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (sig, node) sorted by both, those whose sig has several nodes, with the first."""
-    sig0 = node0 = center0 = None  # the last row: held back while it is alone in its run
-    alone = False
+    """Of rows (sig, node) sorted by sig, those whose sig has several rows."""
+    last = None  # a row that is alone in its run so far, held back
+    before = None  # the signature of the last row
     for batch in batches:
         sig, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(sig):
             continue
-        if alone:
-            sig, node = np.concatenate([[sig0], sig]), np.concatenate([[node0], node])
+        if last is not None:
+            sig, node = np.concatenate([[last[0]], sig]), np.concatenate([[last[1]], node])
         head = np.ones(len(sig), bool)
         head[1:] = sig[1:] != sig[:-1]
-        begun = not alone and sig0 is not None and sig[0] == sig0
-        center = node[np.maximum.accumulate(np.where(head, np.arange(len(sig)), 0))]
-        if begun:  # the first run began in an earlier batch
-            center[:np.argmax(np.append(head[1:], True)) + 1] = center0
-            head[0] = False
+        if last is None and sig[0] == before:
+            head[0] = False  # goes on from the last batch
         emit = ~head | ~np.append(head[1:], True)
-        sig0, node0, center0 = sig[-1], node[-1], center[-1]
-        alone = bool(head[-1])
-        emit[-1] &= not alone
-        yield pa.RecordBatch.from_arrays([pa.array(x[emit]) for x in (sig, node, center)], names=["sig", "node", "center"])
+        before = sig[-1]
+        last = None
+        if head[-1]:
+            last, emit[-1] = (sig[-1], node[-1]), False
+        yield pa.RecordBatch.from_arrays([pa.array(x[emit]) for x in (sig, node)], names=["sig", "node"])
 
 
 # --- comparing -------------------------------------------------------------------------------
 
 class Chunk:
-    """Members of one group chunk: their tokens in one sorted array with the member's number."""
+    """Members of one cluster chunk: their tokens in one sorted array with the member's number."""
 
     def __init__(self):
         self.sets: list[np.ndarray] = []
         self.nodes: list[int] = []
+        self.groups: list[int] = []
+        self.parent: dict[int, int] = {}
         self.sorted = None
 
-    def add(self, node: int, tokens: np.ndarray) -> None:
+    def add(self, node: int, group: int, tokens: np.ndarray) -> None:
         self.nodes.append(node)
+        self.groups.append(group)
         self.sets.append(tokens)
 
-    def link(self, query: np.ndarray, percent: int) -> int | None:
-        """A member that links with the query set, if the union's overlap lets the chunk open."""
+    def _close(self) -> None:
+        flat = np.concatenate(self.sets) if self.sets else np.zeros(0, np.uint64)
+        self.size = np.array([len(s) for s in self.sets], np.int64)
+        order = np.argsort(flat, kind="stable")
+        self.sorted = flat[order]
+        self.member = np.repeat(np.arange(len(self.sets)), self.size)[order]
+        self.union, self.first = np.unique(self.sorted, return_index=True)
+        self.first = np.append(self.first, len(self.sorted))
+        self.group = np.array(self.groups, np.int64)
+        self.sets = []
+
+    def _root(self, group: int) -> int:
+        while (up := self.parent.get(group, group)) != group:
+            group = up
+        return group
+
+    def links(self, group: int, query: np.ndarray, percent: int) -> list[int]:
+        """Members that link with the query set, one for each group that is not yet joined with
+        the query's; none if the union's overlap keeps the chunk closed."""
         if self.sorted is None:
-            flat = np.concatenate(self.sets) if self.sets else np.zeros(0, np.uint64)
-            self.size = np.array([len(s) for s in self.sets], np.int64)
-            order = np.argsort(flat, kind="stable")
-            self.sorted = flat[order]
-            self.member = np.repeat(np.arange(len(self.sets)), self.size)[order]
-            self.union, self.first = np.unique(self.sorted, return_index=True)
-            self.first = np.append(self.first, len(self.sorted))
+            self._close()
         if not len(self.union):
-            return None
+            return []
         at = np.minimum(np.searchsorted(self.union, query), len(self.union) - 1)
         at = at[self.union[at] == query]
         if 100 * len(at) < percent * len(query):
-            return None
+            return []
         count = self.first[at + 1] - self.first[at]
         take = np.arange(int(count.sum())) + np.repeat(self.first[at] - (np.cumsum(count) - count), count)
-        common = np.bincount(self.member[take], minlength=len(self.sets))
-        good = np.flatnonzero(100 * common >= percent * (len(query) + self.size - common))
-        return self.nodes[good[0]] if len(good) else None
+        common = np.bincount(self.member[take], minlength=len(self.nodes))
+        good = np.flatnonzero((100 * common >= percent * (len(query) + self.size - common)) & (self.group != group))
+        out = []
+        for other, k in zip(*np.unique(self.group[good], return_index=True)):
+            a, b = self._root(int(other)), self._root(group)
+            if a != b:
+                self.parent[max(a, b)] = min(a, b)
+                out.append(self.nodes[good[k]])
+        return out
 
 
 def _compare(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, chunk = None, Chunk()
         for batch in batches:
-            group, part, side, node = (batch.column(k).to_numpy() for k in range(4))
+            cluster, part, side, node, group = (batch.column(k).to_numpy() for k in range(5))
             found = []
-            for lo, hi, data, offs in text_chunks(batch.column(4)):
+            for lo, hi, data, offs in text_chunks(batch.column(5)):
                 tok, bounds = shingle_sets(data, offs, size)
                 for k in range(lo, hi):
-                    if (group[k], part[k]) != key:
-                        key, chunk = (group[k], part[k]), Chunk()
+                    if (cluster[k], part[k]) != key:
+                        key, chunk = (cluster[k], part[k]), Chunk()
                     own = tok[bounds[k - lo]:bounds[k - lo + 1]]
                     if side[k] == 0:
-                        chunk.add(int(node[k]), own)
-                    elif (other := chunk.link(own, percent)) is not None:
-                        found.append((int(node[k]), other))
+                        chunk.add(int(node[k]), int(group[k]), own)
+                    else:
+                        found += [(int(node[k]), other) for other in chunk.links(int(group[k]), own, percent)]
             a, b = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return run
@@ -299,19 +319,15 @@ def by_bitmap(rows: DataFrame, key: str, need: DataFrame, listed: bool = True) -
 
 def open_groups(docs: DataFrame, need: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between queries (side 1) and members (side 0) of the same (grp, part);
-    ``need`` has grp, part, side, node and the node's doc_id and text_key."""
+    ``need`` has grp, part, side, node, the node's group comp, and its doc_id and text_key."""
     texts = _texts(docs).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "text")
     texts = by_bitmap(texts, "__key", need)
     rows = (need.join(texts, need["doc_id"].eqNullSafe(texts["__id"]) & (need["text_key"] == texts["__key"]))
-            .select("grp", "part", "side", "node", "text")
+            .select("grp", "part", "side", "node", "comp", "text")
             .repartition("grp", "part").sortWithinPartitions("grp", "part", "side", "node"))
     return rows.mapInArrow(_compare(size, percent), "a long, b long")
 
 
-def _chunks(n) -> F.Column:
-    return F.greatest(F.ceil(n / F.lit(float(CHUNK))), F.lit(1)).cast("int")
-
-
 def _pick(node: str, of: str):
     return F.pmod(F.xxhash64(node), F.col(of)).cast("int")
 
@@ -325,56 +341,50 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     ids = sets.select("row", "doc_id", "text_key", "n", "s1", "s2")
     nodes = materialize(ids.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("row").alias("node")), "join-nodes")
     place = ids.join(nodes.select("node"), ids["row"] == nodes["node"], "left_semi") \
-        .select(F.col("row").alias("node"), "doc_id", "text_key")
+        .select(F.col("row").alias("node"), "doc_id", "text_key", "n")
     place = materialize(place, "join-places")
 
     # 1. blocks: signatures that several nodes share
     copies = materialize(ids.where("n > 0").select("row").join(nodes, F.col("row") == F.col("node"), "left_anti"), "join-copies")
     every = (sets.select(F.col("row").alias("node"), "sigs").where(F.size("sigs") > 0)
              .join(copies, F.col("node") == F.col("row"), "left_anti").select(F.explode("sigs").alias("sig"), "node"))
-    every = every.repartition(shuffle_partitions(docs.sparkSession), "sig").sortWithinPartitions("sig", "node")
-    blocks = materialize(every.mapInArrow(_runs, "sig long, node long, center long"), "join-blocks")
-
-    # 2. groups: every node against the first node it shares most blocks with
-    star = blocks.where("node > center").groupBy("node", "center").agg(F.count("*").alias("k"))
-    star = star.groupBy("node").agg(F.max(F.struct("k", (-F.col("center")).alias("c"))).alias("best")) \
+    every = every.repartition(shuffle_partitions(docs.sparkSession), "sig").sortWithinPartitions("sig")
+    blocks = materialize(every.mapInArrow(_runs, "sig long, node long"), "join-blocks")
+
+    # 2. groups: every node against the centre it shares most blocks with
+    sizes = blocks.groupBy("sig").agg(F.count("*").alias("k"))
+    weight = blocks.join(sizes, "sig").groupBy("node").agg(F.sum("k").alias("weight"))
+    weight = materialize(weight, "join-weights")
+    centers = (blocks.join(weight, "node").groupBy("sig")
+               .agg(F.max(F.struct("weight", (-F.col("node")).alias("c"))).alias("best"))
+               .select("sig", (-F.col("best.c")).alias("grp")))
+    blocks = materialize(blocks.join(centers, "sig"), "join-centres")
+    star = blocks.where("node <> grp").groupBy("node", "grp").agg(F.count("*").alias("k"))
+    star = star.groupBy("node").agg(F.max(F.struct("k", (-F.col("grp")).alias("c"))).alias("best")) \
         .select("node", (-F.col("best.c")).alias("grp"))
     star = materialize(star, "join-stars")
     salted = star.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(float(QUERIES))).cast("int").alias("of"))
     asks = star.join(salted, "grp").select("grp", _pick("node", "of").alias("part"), F.lit(1).alias("side"), "node")
     members = salted.select("grp", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("part"),
                             F.lit(0).alias("side"), F.col("grp").alias("node"))
-    need = materialize(asks.unionAll(members).join(place, "node"), "join-need")
-    links = materialize(open_groups(docs, need, size, percent), "join-links")
+    need = asks.unionAll(members).withColumn("comp", F.col("node")).join(place, "node")
+    links = materialize(open_groups(docs, materialize(need, "join-need"), size, percent), "join-links")
 
-    # 3. queries between groups that still share a block
+    # 3. queries in the clusters of blocks that still hold several groups
     comps = materialize(connected_components(links), "join-groups")
-    labelled = blocks.select("sig", "node").join(comps, "node", "left") \
-        .select("sig", "node", F.coalesce("comp", "node").alias("comp"))
+    labelled = blocks.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    left = materialize(labelled.join(mixed.select("sig"), "sig", "left_semi").select("sig", "comp").distinct(), "join-mixed")
-    tested = star.join(comps, "node", "left_anti")  # alone after the first step: compared with grp, in vain
-    tested = tested.join(comps.select(F.col("node").alias("grp")), "grp", "left_anti") \
-        .select(F.col("grp").alias("a"), F.col("node").alias("b"))
-    pairs = (left.select("sig", F.col("comp").alias("a")).join(left.select("sig", F.col("comp").alias("b")), "sig")
-             .where("a < b").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
-    size_of = comps.groupBy("comp").agg(F.count("*").alias("members"))
-    sized = (pairs.join(size_of.select(F.col("comp").alias("a"), F.col("members").alias("na")), "a", "left")
-             .join(size_of.select(F.col("comp").alias("b"), F.col("members").alias("nb")), "b", "left")
-             .na.fill(1, ["na", "nb"]))
-    less = F.col("na") < F.col("nb")
-    sized = materialize(sized.select(F.when(less, F.col("a")).otherwise(F.col("b")).alias("small"),
-                                     F.when(less, F.col("b")).otherwise(F.col("a")).alias("grp"),
-                                     _chunks(F.greatest("na", "nb")).alias("of")), "join-pairs")
-    within = comps.unionAll(sized.select("small").unionAll(sized.select("grp")).distinct()
-                            .join(comps.select("comp"), F.col("small") == F.col("comp"), "left_anti")
-                            .select(F.col("small").alias("node"), F.col("small").alias("comp")))
-    asks = (sized.join(within.select("node", F.col("comp").alias("small")), "small")
-            .select("grp", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("part"), F.lit(1).alias("side"), "node"))
-    members = (sized.select("grp", "of").distinct().join(within.select("node", F.col("comp").alias("grp")), "grp")
-               .select("grp", _pick("node", "of").alias("part"), F.lit(0).alias("side"), "node"))
-    need = materialize(asks.unionAll(members).join(place, "node"), "join-need")
-    more = materialize(open_groups(docs, need, size, percent), "join-links")
+    clusters = labelled.join(mixed.select("sig"), "sig", "left_semi").select("grp", "node", "comp").distinct()
+    clusters = materialize(clusters.join(place, "node"), "join-clusters")
+    chunks = clusters.groupBy("grp").agg(F.ceil(F.sum("n") / F.lit(float(CHUNK_TOKENS))).cast("int").alias("of"))
+    main = clusters.where("node = grp").select("grp", F.col("comp").alias("main"))
+    clusters = clusters.join(chunks, "grp")
+    members = clusters.withColumns({"part": _pick("node", "of"), "side": F.lit(0)})
+    asks = (clusters.join(main, "grp", "left").where("main is null or comp <> main")
+            .withColumns({"part": F.explode(F.sequence(F.lit(0), F.col("of") - 1)), "side": F.lit(1)}))
+    need = members.select("grp", "part", "side", "node", "comp", "doc_id", "text_key") \
+        .unionAll(asks.select("grp", "part", "side", "node", "comp", "doc_id", "text_key"))
+    more = materialize(open_groups(docs, materialize(need, "join-need"), size, percent), "join-links")
 
     # components of all links, named by their smallest doc_id
     comps = connected_components(links.unionAll(more))
