@@ -122,7 +122,9 @@ def fit_oof(frame: DataFrame, kind: str, codes: DataFrame, k: int = 5, holdout:
             parallel: int = 5, **params):
     """Cross-fitted OOF probabilities ``(sample_id, label, fold, class, prob)``
     and the fold models.  With ``holdout`` (GBT only) an inner stratified 20%
-    hold-out of the training folds drives early stopping."""
+    hold-out of the training folds drives early stopping: boosting ends at the
+    first round that does not lower the hold-out loss (Spark's default tolerance
+    would end it at the first gain under one percent)."""
     n_classes = codes.count()
 
     def fit_fold(i):
@@ -132,8 +134,9 @@ def fit_oof(frame: DataFrame, kind: str, codes: DataFrame, k: int = 5, holdout:
             train = stratified_holdout(train, "sample_id", "label", 0.2, 42)
             if isinstance(est, OneVsRestGBT):
                 est.params["validationIndicatorCol"] = "is_holdout"
+                est.params["validationTol"] = 0.0
             else:
-                est.setValidationIndicatorCol("is_holdout")
+                est.setParams(validationIndicatorCol="is_holdout", validationTol=0.0)
         return est.fit(train)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, k))) as pool:

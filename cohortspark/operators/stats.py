@@ -87,7 +87,8 @@ def variance_threshold(moments: DataFrame, q: float | None) -> tuple[str, float
     scale = max(abs(row["hi"] or 0.0), abs(row["lo"] or 0.0))
     tol = VAR_RTOL * scale
     if (row["hi"] or 0.0) - (row["lo"] or 0.0) > tol:
-        return "quantile", float(row["t"]) + tol
+        t = float(row["t"])  # relative to the cut itself, so small distinct variances stay apart
+        return "quantile", t + VAR_RTOL * abs(t)
     return "positive", tol
 
 

@@ -57,7 +57,7 @@ def build_modality_features(long: DataFrame, modality: str, log: bool = False,
             tol = F.lit(VAR_RTOL) * F.greatest(F.abs("_hi"), F.abs("_lo"))
             distinct = (F.col("_hi") - F.col("_lo")) > tol
             keep = m.where((F.col("_d") <= 1)
-                           | (distinct & (F.col("var_samp") > F.col("_t") + tol))
+                           | (distinct & (F.col("var_samp") > F.col("_t") + F.lit(VAR_RTOL) * F.abs("_t")))
                            | (~distinct & (F.col("var_samp") > tol)))
             mom = keep.select(*keys, "feature", "mean", "var_samp", "std_pop")
     else:

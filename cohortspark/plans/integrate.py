@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.scalar import coerce_numeric
 from ..functions.schema import keep_prefixed
@@ -121,7 +122,8 @@ def integrate_mixed(long: DataFrame, wide: DataFrame, features: list[str],
 def prepare_long(raw: DataFrame, dictionary: DataFrame, key: str = "sample_id") -> DataFrame:
     """Scoring time: coerce, mean per cell, keep dictionary features.
     Absent features read 0 when the vector / pivot is built."""
-    cells = R.cell_mean(raw.withColumn("value", coerce_numeric("value", 0.0, is_string=False)))
+    text = isinstance(raw.schema["value"].dataType, StringType)
+    cells = R.cell_mean(raw.withColumn("value", coerce_numeric("value", 0.0, is_string=text)))
     return R.align_long(cells, dictionary)
 
 

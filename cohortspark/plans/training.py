@@ -90,11 +90,11 @@ def train_binary_stacker(t: Tables, n_iter: int = 100, params: str = "best", gri
     frame = materialize(frame, "binary_frame")
     ratio = ST.class_weight(frame, "y", 1.0).first()[0]
     best, best_score, trials = ML.random_search(frame, n_iter, 42, grid=grid, class_ratio=float(ratio))
-    tuned = {k: v for k, v in best.items() if k != "weightCol"}
-    oof, models = ML.fit_oof(frame, "gbt", codes, K_FOLDS, holdout=True, **tuned)
-    final_params = tuned if params == "best" else {"maxIter": BINARY_FINAL_ROUNDS}
+    # the tuned weight is one of the weight columns; folds and refit use it like the search
     weighted, _ = ML.with_weight_columns(frame, float(ratio))
-    final = ML.make_estimator("gbt", 2, weightCol="_w0", **final_params).fit(weighted)
+    oof, models = ML.fit_oof(weighted, "gbt", codes, K_FOLDS, holdout=True, **best)
+    final_params = best if params == "best" else {"maxIter": BINARY_FINAL_ROUNDS, "weightCol": "_w0"}
+    final = ML.make_estimator("gbt", 2, **final_params).fit(weighted)
     return oof, trials, best_score, final, frame
 
 

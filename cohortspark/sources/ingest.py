@@ -10,7 +10,6 @@ schema metadata is inspected on the driver; no data passes through it.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.scalar import strip_ws
+from .paths import path_exists
 
 # Text tokens read as missing by default in CSV cohort files
 # (the common default set of the pandas CSV reader).
@@ -65,15 +65,6 @@ def na_to_null(df: DataFrame, tokens=NA_TOKENS) -> DataFrame:
     return df.select(*out)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def read_source(spark: SparkSession, src: CohortSource) -> DataFrame:
     if src.fmt == "csv":
         opts = {"header": "true", "inferSchema": "false", "multiLine": "false"}
@@ -116,7 +107,7 @@ def scan_cohorts(spark: SparkSession, sources: list[CohortSource], on_error: str
     good, report = [], []
     for ordinal, src in enumerate(sources):
         try:
-            if not _path_exists(spark, src.path):
+            if not path_exists(spark, src.path):
                 raise FileNotFoundError(src.path)
             df = read_source(spark, src)
             missing = [c for c in _required(src) if c not in df.columns]

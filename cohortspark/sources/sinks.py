@@ -13,6 +13,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .paths import child_names, path_exists
+
 
 def write_matrix(df: DataFrame, path: str, partition_by: str | None = None,
                  fmt: str = "parquet") -> None:
@@ -59,11 +61,10 @@ def load_run(spark: SparkSession, path: str, model_classes: dict | None = None)
     for name, cls in (model_classes or {}).items():
         out["models"][name] = cls.load(os.path.join(path, "models", name))
     tdir = os.path.join(path, "tables")
-    if os.path.isdir(tdir):
-        for name in sorted(os.listdir(tdir)):
-            out["tables"][name] = spark.read.parquet(os.path.join(tdir, name))
+    for name in child_names(spark, tdir):
+        out["tables"][name] = spark.read.parquet(os.path.join(tdir, name))
     mdir = os.path.join(path, "meta")
-    if os.path.isdir(mdir):
+    if path_exists(spark, mdir):
         row = spark.read.json(mdir).first()
         out["meta"] = json.loads(row["meta"]) if row else None
     return out

@@ -89,3 +89,27 @@ def test_save_load_score_identical(spark, tmpdir_path):
     assert scored.keys() == direct.keys()
     for k in direct:
         assert scored[k] == direct[k]
+
+
+def test_run_loads_by_uri_like_by_path(spark, tmpdir_path):
+    from cohortspark.sources import sinks
+    sinks.save_run(tmpdir_path, tables={"t": spark.range(3)}, meta={"a": 1})
+    for path in (tmpdir_path, f"file://{tmpdir_path}"):
+        run = sinks.load_run(spark, path)
+        assert run["tables"]["t"].count() == 3 and run["meta"] == {"a": 1}
+    assert sinks.load_run(spark, f"file://{tmpdir_path}/none") == {"models": {}, "tables": {}, "meta": None}
+
+
+def test_scoring_reads_bad_text_as_zero(spark):
+    from cohortspark.plans.integrate import prepare_long
+    raw = spark.createDataFrame([("s", "f", "abc"), ("s", "g", "2.5")], "sample_id string, feature string, value string")
+    names = spark.createDataFrame([("f", 0), ("g", 1)], "feature string, pos int")
+    got = {r.feature: r.value for r in prepare_long(raw, names).collect()}
+    assert got == {"f": 0.0, "g": 2.5}
+
+
+def test_small_distinct_variances_stay_apart(spark):
+    from cohortspark.operators.stats import variance_threshold
+    moments = spark.createDataFrame([(v,) for v in (1e6, 1e-7, 2e-7, 3e-7)], "var_samp double")
+    rule, cut = variance_threshold(moments, 0.05)
+    assert rule == "quantile" and 1e-7 < cut < 2e-7
