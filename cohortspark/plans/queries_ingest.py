@@ -40,6 +40,10 @@ SELECT e.cohort, k.ordinal, e.sample_id, e.feature,
 FROM expr_long e JOIN cohort_codes k ON e.cohort = k.cohort
 WHERE e.feature IS NOT NULL AND e.sample_id IS NOT NULL AND starts_with(e.feature, '{EXPR_PREFIX}')""",
     ("expr_long", "cohort_codes"))
+cte("expr_whole", """
+SELECT e.cohort, k.ordinal, e.sample_id, e.feature
+FROM expr_long e JOIN cohort_codes k ON e.cohort = k.cohort
+WHERE e.feature IS NOT NULL AND e.sample_id IS NOT NULL""", ("expr_long", "cohort_codes"))
 cte("expr_labels", "SELECT sample_id, arg_max(cohort, ordinal) AS label FROM expr_clean GROUP BY sample_id",
     ("expr_clean",))
 
@@ -131,21 +135,21 @@ def q_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("label_counts", with_ctes("""
 SELECT label, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS share
-FROM expr_labels GROUP BY label""", "expr_labels"))
+FROM (SELECT sample_id, arg_max(cohort, ordinal) AS label FROM expr_whole GROUP BY sample_id) GROUP BY label""", "expr_whole"))
 def q_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label counts and normalised shares of the integrated matrix."""
     t = Tables(spark, sf_dir)
-    _, labels = I.integrate_long(expression_with_ordinals(t), prefix=EXPR_PREFIX)
+    _, labels = I.integrate_long(expression_with_ordinals(t))
     return rounded(ST.label_counts(labels, "label", normalize=True))
 
 
 @register("matrix_shape", with_ctes("""
-SELECT count(DISTINCT sample_id) AS n_samples, count(DISTINCT feature) AS n_features FROM expr_clean""",
-                                    "expr_clean"))
+SELECT count(DISTINCT sample_id) AS n_samples, count(DISTINCT feature) AS n_features FROM expr_whole""",
+                                    "expr_whole"))
 def q_matrix_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matrix shape of the integrated long table."""
     t = Tables(spark, sf_dir)
-    cells, _ = I.integrate_long(expression_with_ordinals(t), prefix=EXPR_PREFIX)
+    cells, _ = I.integrate_long(expression_with_ordinals(t))
     return ST.matrix_shape(cells)
 
 
