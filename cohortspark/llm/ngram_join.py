@@ -21,6 +21,12 @@ Two nodes link when 100 |A and B| >= ``PERCENT`` |A or B|.
    are compared exactly by one lookup of the query's tokens.  A chunk reports a link only if it
    joins groups that its links have not joined yet, so no pairs inside a group are made.
 
+Steps 2 and 3 first run on histograms of hashed tokens (about a bit a token) instead of texts.
+Two sets differ in at least as many tokens as their histograms do, and share at most the sum of
+their cells' minima, which bounds |A and B| from above, also against the union (the maxima) of a
+chunk's histograms.  Texts are fetched only for the queries and members that some bound lets
+through, and compared exactly.
+
 Before texts are shuffled for a comparing step, a bitmap of fixed size (hashes of the wanted
 texts) drops nearly all that are not wanted; the join that follows is exact.
 
@@ -49,6 +55,8 @@ SMALL = 2
 CHUNK_TOKENS = 1_000_000
 QUERIES = 2_000
 BITMAP_BITS = 1 << 26
+SCREEN_CELLS = 1 << 21
+FULL = 15
 
 
 # --- sets ------------------------------------------------------------------------------------
@@ -80,6 +88,21 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def histograms(tok: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Histogram of every row's tokens over a power of two of cells, 32 and one for every 8 tokens
+    at least, two cells a byte.  A token's cell is the low end of its hash, so the sum of the halves
+    is the histogram over half the cells.  Counts end at FULL; a sum that ends there as well is the
+    same as if only the sum had been ended, so bounds stay right."""
+    n = np.diff(bounds)
+    cells = np.where(n > 0, np.maximum(32, 1 << np.ceil(np.log2(np.maximum(n / 8, 1))).astype(np.int64)), 0)
+    start = np.concatenate([[0], np.cumsum(cells)])
+    cell = mix(tok ^ np.uint64(0x165667B19E3779F9)) & np.repeat(cells - 1, n).astype(np.uint64)
+    count = np.bincount(np.repeat(start[:-1], n) + cell.astype(np.int64), minlength=int(start[-1]))
+    count = np.minimum(count, FULL).astype(np.uint8)
+    data = count[::2] | count[1::2] << 4
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((start // 2).astype(np.int32)), pa.py_buffer(data)])
+
+
 # --- signatures ------------------------------------------------------------------------------
 
 def largest_partner(n: int, percent: int = PERCENT) -> int:
@@ -174,15 +197,17 @@ def _describe(size: int, percent: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(np.diff(bounds)),
                      pa.array(_sums(mix(tok * np.uint64(0x9E3779B97F4A7C15)), bounds).view(np.int64)),
-                     pa.array(_sums(mix(tok ^ np.uint64(0xC2B2AE3D27D4EB4F)), bounds).view(np.int64)), lists],
-                    names=["doc_id", "text_key", "n", "s1", "s2", "sigs"])
+                     pa.array(_sums(mix(tok ^ np.uint64(0xC2B2AE3D27D4EB4F)), bounds).view(np.int64)), lists,
+                     histograms(tok, bounds)],
+                    names=["doc_id", "text_key", "n", "s1", "s2", "sigs", "hist"])
     return run
 
 
 def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """row, doc_id, text_key, n, s1, s2 (128-bit set signature), sigs; a written table."""
+    """row, doc_id, text_key, n, s1, s2 (128-bit set signature), sigs, hist; a written table."""
     texts = _texts(docs).select("doc_id", "text_key", "text")
-    out = texts.mapInArrow(_describe(size, percent), "doc_id long, text_key long, n long, s1 long, s2 long, sigs array<long>")
+    out = texts.mapInArrow(_describe(size, percent),
+                           "doc_id long, text_key long, n long, s1 long, s2 long, sigs array<long>, hist binary")
     return materialize(out.withColumn("row", F.monotonically_increasing_id()), "join-sets")
 
 
@@ -213,6 +238,123 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[emit]) for x in (sig, node)], names=["sig", "node"])
 
 
+# --- screening -------------------------------------------------------------------------------
+
+def _folded(cells: np.ndarray, width: int) -> np.ndarray:
+    while cells.shape[1] > width:
+        half = cells.shape[1] // 2
+        cells = np.minimum(cells[:, :half] + cells[:, half:], FULL)
+    return cells
+
+
+class Shelf:
+    """Histograms of several nodes, in one matrix per number of cells."""
+
+    def __init__(self, n: np.ndarray, comp: np.ndarray, hists: list[bytes]):
+        self.rows = len(hists)
+        width = np.array([len(h) for h in hists], np.int64)
+        self.classes = []  # (numbers of the nodes, their n, comp, matrix, its maxima)
+        for w in np.unique(width):
+            at = np.flatnonzero(width == w)
+            packed = np.frombuffer(b"".join(hists[k] for k in at), np.uint8).reshape(len(at), w)
+            m = np.stack([packed & FULL, packed >> 4], axis=2).reshape(len(at), 2 * w)
+            self.classes.append((at, n[at], comp[at], m, m.max(axis=0)[None, :]))
+
+
+def screen(asks: Shelf, members: Shelf, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which queries, and which members, may have a link with one of another component."""
+    ask_hit, member_hit = np.zeros(asks.rows, bool), np.zeros(members.rows, bool)
+    for at_a, n_a, comp_a, m_a, _ in asks.classes:
+        for at_b, n_b, comp_b, m_b, union in members.classes:
+            if 100 * n_a.max() < percent * n_b.min() or 100 * n_b.max() < percent * n_a.min():
+                continue
+            width = min(m_a.shape[1], m_b.shape[1])
+            a, b, u = _folded(m_a, width), _folded(m_b, width), _folded(union, width)
+            # tokens beyond the ended counts may be shared, so they stay in the bounds
+            past_a, past_b = n_a - a.sum(axis=1, dtype=np.int64), n_b - b.sum(axis=1, dtype=np.int64)
+            inside = past_a + np.minimum(a, u).sum(axis=1, dtype=np.int64)
+            open_ = np.flatnonzero(100 * inside >= percent * n_a)
+            step = max(1, SCREEN_CELLS // b.size)
+            for lo in range(0, len(open_), step):
+                q = open_[lo:lo + step]
+                both = np.minimum(a[q, None, :], b[None, :, :]).sum(axis=2, dtype=np.int64)
+                most = both + np.minimum(past_a[q, None], past_b[None, :])
+                fits = ((100 + percent) * most >= percent * (n_a[q, None] + n_b[None, :])) & (comp_a[q, None] != comp_b[None, :])
+                ask_hit[at_a[q]] |= fits.any(axis=1)
+                member_hit[at_b] |= fits.any(axis=0)
+    return ask_hit, member_hit
+
+
+def _screen(percent: int):
+    """Of rows (grp, part, side, node, comp, asks, n, hist) sorted by grp, part and side, those to open."""
+    names = ["grp", "part", "side", "node", "comp"]
+
+    def batch_of(key: tuple, side: int, node: np.ndarray, comp: np.ndarray) -> pa.RecordBatch:
+        full = [np.full(len(node), key[0], np.int64), np.full(len(node), key[1], np.int32), np.full(len(node), side, np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (*full, node, comp)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, shelf, hit = None, [], None, None  # rows: the chunk's members as they come
+
+        def close():
+            """The members are complete: those that ask are compared with the others."""
+            node, comp, asks, n = (np.concatenate([r[k] for r in rows]) for k in range(4))
+            hists = [h for r in rows for h in r[4]]
+            shelf = Shelf(n, comp, hists)
+            who = np.flatnonzero(asks)
+            hit, out = np.zeros(len(node), bool), []
+            if len(who):
+                found, hit = screen(Shelf(n[who], comp[who], [hists[k] for k in who]), shelf, percent)
+                out = [(1, node[who[found]], comp[who[found]])]
+            return (node, comp, shelf), hit, out
+
+        def finish():
+            nonlocal shelf, hit
+            out = []
+            if rows and shelf is None:
+                shelf, hit, out = close()
+            if shelf is not None:
+                out.append((0, shelf[0][hit], shelf[1][hit]))
+            return [batch_of(key, *x) for x in out if len(x[1])]
+
+        for batch in batches:
+            grp, part, side, node, comp = (batch.column(k).to_numpy() for k in range(5))
+            asks, n = batch.column(5).to_numpy(zero_copy_only=False), batch.column(6).to_numpy()
+            if not len(grp):
+                continue
+            cut = np.flatnonzero((grp[1:] != grp[:-1]) | (part[1:] != part[:-1]) | (side[1:] != side[:-1])) + 1
+            for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(grp)]):
+                if (grp[lo], part[lo]) != key:
+                    yield from finish()
+                    key, rows, shelf, hit = (grp[lo], part[lo]), [], None, None
+                piece = slice(lo, hi)
+                values = node[piece], comp[piece], asks[piece], n[piece], batch.column(7).slice(lo, hi - lo).to_pylist()
+                if side[lo] == 0:
+                    rows.append(values)
+                    continue
+                if shelf is None and rows:
+                    shelf, hit, out = close()
+                    yield from (batch_of(key, *x) for x in out if len(x[1]))
+                if shelf is None:
+                    continue
+                found, more = screen(Shelf(values[3], values[1], values[4]), shelf[2], percent)
+                hit |= more
+                if found.any():
+                    yield batch_of(key, 1, values[0][found], values[1][found])
+        yield from finish()
+    return run
+
+
+def screened(need: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """grp, part, side, node, comp of the rows of ``need`` (grp, part, side, node, comp, asks) that
+    the histograms do not rule out: members (side 0), queries from outside their chunk (side 1) and,
+    as queries, members that ask."""
+    hists = sets.select(F.col("row").alias("node"), "n", "hist")
+    rows = (need.join(hists, "node").select("grp", "part", "side", "node", "comp", "asks", "n", "hist")
+            .repartition("grp", "part").sortWithinPartitions("grp", "part", "side"))
+    return rows.mapInArrow(_screen(percent), "grp long, part int, side int, node long, comp long")
+
+
 # --- comparing -------------------------------------------------------------------------------
 
 class Chunk:
@@ -367,7 +509,8 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     asks = star.join(salted, "grp").select("grp", _pick("node", "of").alias("part"), F.lit(1).alias("side"), "node")
     members = salted.select("grp", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("part"),
                             F.lit(0).alias("side"), F.col("grp").alias("node"))
-    need = asks.unionAll(members).withColumn("comp", F.col("node")).join(place, "node")
+    need = asks.unionAll(members).withColumns({"comp": F.col("node"), "asks": F.lit(False)})
+    need = materialize(screened(need, sets, percent), "join-open").join(place, "node")
     links = materialize(open_groups(docs, materialize(need, "join-need"), size, percent), "join-links")
 
     # 3. queries in the clusters of blocks that still hold several groups
@@ -375,15 +518,15 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     labelled = blocks.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     clusters = labelled.join(mixed.select("sig"), "sig", "left_semi").select("grp", "node", "comp").distinct()
-    clusters = materialize(clusters.join(place, "node"), "join-clusters")
+    clusters = materialize(clusters.join(place.select("node", "n"), "node"), "join-clusters")
     chunks = clusters.groupBy("grp").agg(F.ceil(F.sum("n") / F.lit(float(CHUNK_TOKENS))).cast("int").alias("of"))
     main = clusters.where("node = grp").select("grp", F.col("comp").alias("main"))
-    clusters = clusters.join(chunks, "grp")
-    members = clusters.withColumns({"part": _pick("node", "of"), "side": F.lit(0)})
-    asks = (clusters.join(main, "grp", "left").where("main is null or comp <> main")
-            .withColumns({"part": F.explode(F.sequence(F.lit(0), F.col("of") - 1)), "side": F.lit(1)}))
-    need = members.select("grp", "part", "side", "node", "comp", "doc_id", "text_key") \
-        .unionAll(asks.select("grp", "part", "side", "node", "comp", "doc_id", "text_key"))
+    clusters = (clusters.join(chunks, "grp").join(main, "grp", "left")
+                .withColumns({"own": _pick("node", "of"), "asks": F.expr("main is null or comp <> main")}))
+    members = clusters.select("grp", F.col("own").alias("part"), F.lit(0).alias("side"), "node", "comp", "asks")
+    asks = (clusters.where("asks and of > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+            .where("part <> own").select("grp", "part", F.lit(1).alias("side"), "node", "comp", "asks"))
+    need = materialize(screened(members.unionAll(asks), sets, percent), "join-open").join(place, "node")
     more = materialize(open_groups(docs, materialize(need, "join-need"), size, percent), "join-links")
 
     # components of all links, named by their smallest doc_id
