@@ -234,3 +234,26 @@ def test_exact_dedup(docs, empty):
     left = exact_dedup.drop_duplicates(docs)
     assert left.columns == docs.columns and left.count() == len(groups)
     assert exact_dedup.exact_duplicates(empty).count() == 0 and exact_dedup.drop_duplicates(empty).count() == 0
+
+
+@pytest.mark.parametrize("full", [2, 15])
+def test_histogram_screen_loses_no_link(monkeypatch, full):
+    monkeypatch.setattr(ngram_join, "FULL", full)
+    rng = np.random.default_rng(full)
+    linked = 0
+    for _ in range(400):
+        a = int(rng.integers(1, 900))
+        b = max(1, int(a * rng.uniform(0.8, 1.25)))
+        shared = int(min(a, b) * rng.uniform(0.7, 1))
+        pool = rng.integers(0, 2**63, a + b, dtype=np.uint64)
+        one, two = np.unique(pool[:a]), np.unique(np.concatenate([pool[:shared], pool[a:a + b - shared]]))
+        sizes = len(one), len(two)
+        hists = ngram_join.histograms(np.concatenate([one, two]), np.cumsum([0, *sizes])).to_pylist()
+        common = len(np.intersect1d(one, two))
+        for percent in (80, 90):
+            asks, members = (ngram_join.Shelf(np.array([n]), np.array([k]), [h]) for k, (n, h) in enumerate(zip(sizes, hists)))
+            found, hit = ngram_join.screen(asks, members, percent)
+            if 100 * common >= percent * (sum(sizes) - common):
+                linked += 1
+                assert found[0] and hit[0]
+    assert linked > 50
