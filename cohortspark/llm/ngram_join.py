@@ -257,7 +257,7 @@ class Shelf:
         for w in np.unique(width):
             at = np.flatnonzero(width == w)
             packed = np.frombuffer(b"".join(hists[k] for k in at), np.uint8).reshape(len(at), w)
-            m = np.stack([packed & FULL, packed >> 4], axis=2).reshape(len(at), 2 * w)
+            m = np.stack([packed & 15, packed >> 4], axis=2).reshape(len(at), 2 * w)
             self.classes.append((at, n[at], comp[at], m, m.max(axis=0)[None, :]))
 
 
