@@ -43,6 +43,26 @@ def test_base_rules(docs, empty):
     assert quality_rules.quality(empty).count() == 0 and quality_rules.keep_good(empty).count() == 0
 
 
+def test_copies_do_not_move_the_band(spark):
+    import random
+    rng = random.Random(11)
+    voc = [["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(400)] for letters in ("aeinrstdhu", "aeiouclmpq")]
+    prose = [(i, " ".join(rng.choices(voc[i % 2], k=rng.randint(30, 120))), ("de", "en")[i % 2]) for i in range(200)]
+    copies = [(1000 + i, prose[0][1], "de") for i in range(100)]
+    spaced = [(2000 + i, prose[0][1] + " \n"[:i % 3], "de") for i in range(300)]
+    near = [(3000 + i, f"{prose[0][1]} {voc[0][i]}", "de") for i in range(200)]
+    frame = lambda r: spark.createDataFrame(r, "doc_id long, text string, lang string").repartition(3)
+    own = {r.doc_id: r for r in quality_rules.quality(frame(prose)).collect()}
+    assert all(r.kept for r in own.values())
+    out = {r.doc_id: r for r in quality_rules.quality(frame(prose + copies)).collect()}  # a third of all rows
+    for i, r in own.items():
+        assert out[i].kept and (out[i].lower, out[i].upper) == (r.lower, r.upper)
+        assert abs(out[i].log_ppl - r.log_ppl) < 1e-6
+    assert quality_rules.keep_good(frame(prose + copies)).count() == len(prose + copies)
+    for extra in (spaced, near):
+        assert all(r.kept for r in quality_rules.quality(frame(prose + extra)).collect())
+
+
 def test_kneser_ney_is_a_distribution():
     rng = np.random.default_rng(1)
     keys, counts = np.unique(rng.integers(0, 5, (3000, 3)) @ [4096, 64, 1], return_counts=True)
