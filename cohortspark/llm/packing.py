@@ -16,7 +16,9 @@ empty table gives no pieces; only doc_id and text are read.
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortspark.session import ensure_checkpoint_dir
+
 from .textnp import Words, text_chunks
 
 MAX_LENGTH = 4096
@@ -156,27 +160,26 @@ def _pieces(path: str, end_id: int, longest: int, keep_ids: bool):
             for lo, hi, data, offs in text_chunks(batch.column(1), CHUNK):
                 ids, counts = encoder.encode(data, offs)
                 names = batch.column(0).slice(lo, hi - lo).to_pylist()
-                doc, start, length, crc, total, arrays = [], [], [], [], [], []
+                doc, start, length, total, arrays = [], [], [], [], []
                 at = 0
                 for name, n in zip(names, counts.tolist()):
                     own = np.append(ids[at:at + n], np.uint32(end_id)).astype("<u4")
                     at += n
                     for s, size in decompose(n + 1, longest):
-                        piece = own[s:s + size]
                         doc.append(name)
                         start.append(s)
                         length.append(size)
-                        crc.append(zlib.crc32(piece.tobytes()))
                         total.append(n + 1)
-                        if keep_ids:
-                            arrays.append(piece)
+                        arrays.append(own[s:s + size])
                 size = np.array(length, np.int64)
                 offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-                flat = np.concatenate(arrays).astype(np.int32) if keep_ids and arrays else None
+                flat = np.concatenate(arrays).view("<i4") if arrays else np.zeros(0, "<i4")
+                bounds = offsets.tolist()
+                crc = [zlib.crc32(flat[a:b]) for a, b in zip(bounds, bounds[1:])]  # of the ids that are returned
                 yield pa.RecordBatch.from_arrays([
                     pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(size),
                     pa.array(np.log2(size).astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)) if flat is not None
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)) if keep_ids
                     else pa.nulls(len(doc), pa.list_(pa.int32())),
                     pa.array(crc, pa.int64()), pa.array(total, pa.int64())],
                     names=["doc_id", "start", "length", "bucket", "ids", "ids_crc32", "doc_tokens"])
@@ -198,3 +201,12 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, longest: in
 def write_buckets(pieces: DataFrame, path: str) -> None:
     """Training files: one folder per bucket, so that a batch is read from equal lengths."""
     pieces.write.partitionBy("bucket").parquet(path)
+
+
+def pack_buckets(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """The sequences of ``docs`` with their ids, written by bucket into the checkpoint folder and
+    read from there; the columns of ``pack``."""
+    pieces = pack(docs, tokenizer_path)
+    path = os.path.join(ensure_checkpoint_dir(docs.sparkSession), "tables", f"packed-buckets-{uuid.uuid4().hex}")
+    write_buckets(pieces, path)
+    return docs.sparkSession.read.schema(pieces.schema).parquet(path).select(pieces.columns)

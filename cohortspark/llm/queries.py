@@ -130,7 +130,7 @@ FROM (SELECT doc_id, row_number() OVER () AS rid FROM documents) d LEFT JOIN (SE
 
 
 def op8_pack_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
+    pieces = packing.pack_buckets(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 

@@ -224,6 +224,30 @@ def test_packing(docs, empty):
     assert packing.pack(empty, queries.tokenizer_path()).count() == 0
 
 
+def test_packed_ids_reach_the_results(spark, docs, empty, tmpdir_path):
+    import os
+
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    brute = collections.Counter()
+    for r in rows():
+        ids = tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [2]
+        brute.update((r[0], start, n, tuple(ids[start:start + n])) for start, n in packing.decompose(len(ids)))
+    out = corpus_pipeline.pack_stage(spark, docs, tmpdir_path)
+    got = out.collect()
+    assert collections.Counter((r.doc_id, r.start, r.length, tuple(r.ids)) for r in got) == brute
+    assert len({r.sequence_id for r in got}) == len(got) and out.columns == packing.pack(docs, queries.tokenizer_path()).columns
+    assert {os.path.basename(os.path.dirname(f)) for f in out.inputFiles()} == {f"bucket={r.bucket}" for r in got}
+    assert corpus_pipeline.pack_stage(spark, empty, tmpdir_path).count() == 0
+    docs.write.parquet(f"{tmpdir_path}/documents.parquet")
+    sums = collections.Counter()
+    for (i, start, n, ids), times in brute.items():
+        sums[i, start, n, zlib.crc32(np.array(ids, "<u4").tobytes())] += times
+    query = queries.op8_pack_pieces(spark, tmpdir_path)
+    assert by_text(query.select("doc_id", "start", "length", "ids_crc32")) == sums
+
+
 def test_rule_ensemble(spark, docs, empty):
     good = [(i, "the word of this and that in text " * (3 + i % 4)) for i in range(200)]
     bad = [(i, "### $$$ word%%% thing&&& " * (3 + i % 5)) for i in range(200, 400)]
