@@ -7,14 +7,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown_lm, chat, exact_dedup, license_scan, mixing, ngram_join, packing, pii, quality_rules, rule_ensemble
+from . import (align, brown_lm, chat, exact_dedup, hard_negatives, license_scan, mixing, ngram_join, packing, pii, quality_rules,
+               rule_ensemble, token_counts)
 from .common import table
 
 
-def tokenizer_path() -> str:
-    """The public vocabulary file, found through its package."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public vocabulary file, found through its package."""
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +154,49 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM t WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST, rid)
 """
 
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r AS r, b.vec_id, a.label = b.label AS same,
+         list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT * FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, r) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id NULLS LAST, n.r)::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same
+     AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    counts = align.pair_counts(aligned, align.vocabulary_size(tokenizer_path("piece_bpe_32k.model")))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return align.score_links(aligned, counts, digest).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_brown_lm, op4_boosted_pii, op5_ngram_jaccard, op6_chat_format, op7_license_scan,
-                                   op8_pack_pieces, op9_rule_ensemble, op10_exact_dedup)}
-ORACLE = {"op2_source_mix": OP2_SQL, "op5_ngram_jaccard": OP5_SQL, "op7_license_scan": _op7_sql(), "op10_exact_dedup": OP10_SQL}
+                                   op8_pack_pieces, op9_rule_ensemble, op10_exact_dedup, op11_hard_negatives,
+                                   op12_token_counts, op13_token_alignment)}
+ORACLE = {"op2_source_mix": OP2_SQL, "op5_ngram_jaccard": OP5_SQL, "op7_license_scan": _op7_sql(), "op10_exact_dedup": OP10_SQL,
+          "op11_hard_negatives": OP11_SQL}

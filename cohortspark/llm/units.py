@@ -1,0 +1,91 @@
+"""Units of a text that every tokenizer used here encodes independently of their surroundings.
+
+A unit starts at a row's first byte or at an ASCII white-space character that follows a character
+that is no white space, and ends where the next one starts: white space, then a run without it.  A
+byte-level pre-token holds white space only at its front or throughout, so it never crosses a
+unit's start; a BPE vocabulary without white space behind another character never merges across
+one (``check_pieces`` proves that for a vocabulary).  Units are hashed in slices of bounded size.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+
+from .textnp import IS_SPACE, _BYTE_CODE, _powers, mix
+
+SLICE = 1 << 20
+#: Units above this many bytes are hashed one by one.
+LONG_UNIT = 1 << 16
+
+
+def _after_wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before byte ``at`` is white space outside ASCII."""
+    one, two, three = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
+    latin = (two == 0xC2) & ((one == 0x85) | (one == 0xA0))
+    general = (three == 0xE2) & (two == 0x80) & ((one <= 0x8A) & (one >= 0x80) | (one == 0xA8) | (one == 0xA9) | (one == 0xAF))
+    other = ((three == 0xE1) & (two == 0x9A) & (one == 0x80) | (three == 0xE2) & (two == 0x81) & (one == 0x9F)
+             | (three == 0xE3) & (two == 0x80) & (one == 0x80))
+    return latin | general | other
+
+
+class Units:
+    """``start``/``end`` byte positions of the units of one chunk, ``first`` index of each row's
+    first unit (one entry more than rows)."""
+
+    def __init__(self, data: np.ndarray, offs: np.ndarray, cuts: np.ndarray = IS_SPACE):
+        self.data = data
+        cut = cuts[data]
+        cut[1:] &= ~IS_SPACE[data[:-1]]
+        at = np.flatnonzero(cut)
+        wide = at[(at > 0) & (data[np.maximum(at - 1, 0)] >= 0x80)]
+        cut[wide[_after_wide_space(data, wide)]] = False
+        cut[offs[:-1][np.diff(offs) > 0]] = True
+        self.start = np.flatnonzero(cut)
+        self.end = np.append(self.start[1:], len(data))
+        self.first = np.searchsorted(self.start, offs)
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hash of every unit (equal bytes, equal hash)."""
+        out = np.empty(len(self.start), np.uint64)
+        lo = 0
+        while lo < len(self.start):
+            begin = int(self.start[lo])
+            hi = max(lo + 1, int(np.searchsorted(self.end, begin + SLICE, side="right")))
+            if self.end[hi - 1] - begin > SLICE or hi == lo + 1 and self.end[lo] - begin > LONG_UNIT:
+                raw = self.data[begin:self.end[lo]].tobytes()
+                out[lo] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
+                lo += 1
+                continue
+            part = self.data[begin:self.end[hi - 1]]
+            up, down = _powers(len(part) + 1)
+            total = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_BYTE_CODE[part] * up[:len(part)], out=total[1:])
+            a, b = self.start[lo:hi] - begin, self.end[lo:hi] - begin
+            out[lo:hi] = mix((total[b] - total[a]) * down[a] ^ (b - a).astype(np.uint64))
+            lo = hi
+        return out
+
+    def text(self, k: int) -> bytes:
+        return self.data[self.start[k]:self.end[k]].tobytes()
+
+
+def per_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of per-unit values over the rows."""
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return total[first[1:]] - total[first[:-1]]
+
+
+def safe_cuts(pieces: list[str], space: str) -> np.ndarray:
+    """Table of the ASCII white-space bytes before which a BPE over ``pieces`` may be cut: a space,
+    written as ``space``, if no piece has one behind another character, and any other one that no
+    piece joins with something before it."""
+    out = IS_SPACE.copy()
+    for p in pieces:
+        if space in p.lstrip(space):
+            out[32] = False
+        for c in p[1:]:
+            if ord(c) < 128:
+                out[ord(c)] = False
+    return out
