@@ -2,43 +2,40 @@
 
 ``prove`` encodes every vocabulary string alone, once, on the driver; those that come back as
 exactly one token are the whole tokens (about as many as the vocabulary has entries, whatever the
-corpus).  A task cuts texts into units (see units.py), and a unit that it has not yet met into
-pre-tokens; a pre-token that is a whole token counts one without any merge, and only the rest goes
-through the tokenizer's merges.  Counts of units are kept in a table that starts afresh when full.
+corpus).  A task cuts texts into pre-tokens (spans.py); one that is a whole token counts one without
+any merge, and only the rest goes through the tokenizer's merges, each distinct one once: counts are
+kept in a table that starts afresh when full.
 
-Pre-tokens are cut by the vocabulary file's published pattern.  Units with characters whose class
-changed between Unicode versions, or with one of the file's added tokens, are encoded whole by the
-library, which treats the added tokens by its default.
+Rows with characters whose class differs between Unicode versions, or with one of the file's added
+tokens, are encoded whole by the library, which treats the added tokens by its default.
 
 Cases: null and empty texts have no bytes and no tokens; repeated rows and ids get one row each; a
-very long text is a chunk of its own, cut into units; an empty table gives no rows; only doc_id and
+very long text is a chunk of its own; an empty table gives no rows; only doc_id and
 text are read, whatever other columns are named.
 """
 
 from __future__ import annotations
 
 import json
-import unicodedata
+import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .spans import CharacterClasses, KnownSpans, per_row, pre_tokens, rows_with, span_hashes
 from .textnp import text_chunks
-from .units import Units, per_row
 
-#: Byte-level pre-token pattern (fixed value of the vocabulary's format).
-PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 LIMIT = 1024
-CACHE_UNITS = 200_000
+CACHE_SPANS = 200_000
 COUNTS = "doc_id long, n_bytes long, n_tokens long"
 
 
 def load_tokenizer(path: str):
+    # a task has one core, and every further thread would keep memory of its own
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
@@ -56,14 +53,14 @@ def byte_strings(vocab: dict[str, int]) -> dict[int, bytes]:
 
 
 def added_tokens(tokenizer) -> list[str]:
-    """Added tokens of a file that units can serve; any other file is refused."""
+    """Added tokens of a file that single rows can serve; any other file is refused."""
     spec = json.loads(tokenizer.to_str())
     cut = spec.get("pre_tokenizer") or {}
     if spec.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
         raise ValueError("expected a byte-level file without normalizer or prefix space")
     for t in spec["added_tokens"]:
-        if t["lstrip"] or t["rstrip"] or t["single_word"] or regex.search(r"\s", t["content"]):
-            raise ValueError(f"added token {t['content']!r} may reach across units")
+        if t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]):
+            raise ValueError(f"added token {t['content']!r} may reach beyond itself")
     return [t["content"] for t in spec["added_tokens"]]
 
 
@@ -82,55 +79,38 @@ def prove(path: str) -> frozenset[str]:
                      if len(e.ids) == 1)
 
 
-def _kind(category: str) -> str:
-    return category[0] if category[0] in "LN" else "S" if category in ("Zs", "Zl", "Zp") else "O"
-
-
-@lru_cache(maxsize=1 << 16)
-def _stable(char: str) -> bool:
-    """Whether a character has had one class since Unicode 3.2."""
-    old = unicodedata.ucd_3_2_0.category(char)
-    return old not in ("Cn", "Cs", "Co") and _kind(old) == _kind(unicodedata.category(char))
-
-
 class TokenCounter:
-    def __init__(self, path: str, whole: frozenset[str], limit: int = CACHE_UNITS):
-        self.tokenizer, self.whole, self.limit = load_tokenizer(path), whole, limit
-        self.added = added_tokens(self.tokenizer)
-        self.known: dict[int, int] = {}
+    """Tokens of texts; ``whole`` are the proven strings.  A span's hash stands for it (64 bits)."""
+
+    def __init__(self, path: str, whole: frozenset[str], limit: int = CACHE_SPANS):
+        self.tokenizer, self.limit = load_tokenizer(path), limit
+        self.added = [t.encode() for t in added_tokens(self.tokenizer)]
+        self.classes = CharacterClasses()
+        raw = [t.encode() for t in sorted(whole)]
+        at = np.cumsum([0] + [len(x) for x in raw])
+        self.whole = np.sort(span_hashes(np.frombuffer(b"".join(raw), np.uint8), at[:-1])) if raw else np.zeros(1, np.uint64)
+        self.known = KnownSpans()  # hash to number of tokens
 
     def _merge(self, texts: list[str]) -> list[int]:
         return [len(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, keys: list[int], units: list[bytes]) -> None:
-        cut, rest = [], {}
-        for raw in units:
-            text = raw.decode()
-            if any(a in text for a in self.added) or not text.isascii() and not all(map(_stable, text)):
-                pieces = (text,)  # the library cuts it
-                rest[text] = 0
-            else:
-                pieces = PRE_TOKEN.findall(text)
-                rest.update((p, 0) for p in pieces if p not in self.whole)
-            cut.append(pieces)
-        rest = dict(zip(rest, self._merge(list(rest)))) if rest else rest
-        self.known.update((k, sum(rest.get(p, 1) for p in pieces)) for k, pieces in zip(keys, cut))
-
     def __call__(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Tokens of every row."""
-        units = Units(data, offs)
-        if not len(units.start):
+        start = pre_tokens(data, offs, self.classes, rows_with(data, offs, self.added))
+        if not len(start):
             return np.zeros(len(offs) - 1, np.int64)
-        key, first, number = np.unique(units.hashes(), return_index=True, return_inverse=True)
+        key, first, number = np.unique(span_hashes(data, start), return_index=True, return_inverse=True)
+        counts = np.ones(len(key), np.int64)
+        rest = np.flatnonzero(self.whole[np.minimum(np.searchsorted(self.whole, key), len(self.whole) - 1)] != key)
         if len(self.known) > self.limit:
-            self.known.clear()
-        keys = key.tolist()
-        new = [k for k, x in enumerate(keys) if x not in self.known]
-        for lo in range(0, len(new), 10_000):
-            part = new[lo:lo + 10_000]
-            self._learn([keys[k] for k in part], [units.text(first[k]) for k in part])
-        counts = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        return per_row(counts[number], units.first)
+            self.known = KnownSpans()
+        counts[rest] = self.known.find(key[rest])
+        new, end = np.flatnonzero(counts < 0), np.append(start[1:], len(data))
+        for lo in range(0, len(new), 5_000):
+            at = first[new[lo:lo + 5_000]]
+            counts[new[lo:lo + 5_000]] = self._merge([data[a:b].tobytes().decode() for a, b in zip(start[at].tolist(), end[at].tolist())])
+        self.known.add(key[new], counts[new])
+        return per_row(counts[number], np.searchsorted(start, offs))
 
 
 def _count(path: str, shared):
