@@ -4,29 +4,30 @@ Every text, with a space before it, is encoded by a byte-level vocabulary (A) an
 (B).  Both token sequences cover the same bytes, so their ends are merged like two sorted lists: a
 link is a pair of tokens that overlap, and a cut is a byte offset where both end.
 
-All documents of a block are merged at once: state vectors hold the next A and B token of every
+All documents of a chunk are merged at once: state vectors hold the next A and B token of every
 lane; each step emits one link a lane, advances the side (or both) whose token ends first, marks a
 cut where both end, and drops lanes that have ended.  A lane is a document, or a stretch of a long
 one between two sampled A ends that are B ends as well, so that one long text doesn't leave the
 vectors empty.
 
-A block also lists its distinct id pairs with the number of its documents that hold them.  Spark
-adds these up over all blocks and finds the largest count of every A id; each block gets back the
+A block, some chunks in a row, lists its distinct id pairs with the number of its documents that hold
+them.  Spark adds these up over all blocks and finds the largest count of every A id; each block gets back the
 counts of its own pairs, and its documents look them up by place.  No key of that join holds
 more rows than there are blocks.
 
-Units of text (units.py) are encoded once per task and looked up afterwards, in a table bounded by
-entries and by bytes.
+Texts are cut into spans that each vocabulary encodes independently (spans.py), which are encoded
+once and looked up afterwards, in tables bounded by entries and by ids.
 
 Cases: null and empty texts, and texts whose A or B bytes differ from space+text, have no tokens:
 zeros and empty groups; repeated rows count as documents of their own; null ids are carried
-through; a very long text is a block of its own; an empty table gives no rows; only doc_id and text
+through; a very long text is a chunk of its own; an empty table gives no rows; only doc_id and text
 are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +38,20 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 from .packing import IdPool
+from .spans import CharacterClasses, KnownSpans, bigram_spans, joined_pairs, per_row, pre_tokens, span_hashes
 from .textnp import text_chunks
 from .token_counts import byte_strings, load_tokenizer
-from .units import Units, per_row, safe_cuts
 
-BLOCK_BYTES = 4 << 20
-LANE = 512
-CACHE_UNITS, CACHE_IDS = 200_000, 4_000_000
+CHUNK_BYTES, BLOCK_BYTES = 1 << 19, 16 << 20
+SLICE_ROWS = 1_000
+LANE = 256
+CACHE_SPANS, CACHE_IDS = 200_000, 4_000_000
 SPACE = "▁"
 
 #: Rows of documents (keys null) and, one a block, of its distinct pairs (keys set).
 ALIGNED = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
            "pos array<int>, times array<int>, keys array<long>, held array<int>")
+ALIGNED_NAMES = [x.split()[0] for x in ALIGNED.split(", ")]
 
 
 def vocabulary_size(path_b: str) -> int:
@@ -65,7 +68,9 @@ class PairEncoder:
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
-        self.cuts = safe_cuts([p for i, p in enumerate(pieces) if not self.b.is_byte(i)], SPACE)
+        self.joined = joined_pairs([p for i, p in enumerate(pieces) if not self.b.is_byte(i)], SPACE)
+        if self.joined[10].any() or self.joined[:, 10].any():
+            raise ValueError("a piece joins line ends with other characters")
         vocab = self.a.get_vocab()
         shown = byte_strings(vocab)
         shown.update((i, token.encode()) for token, i in vocab.items() if i not in shown)
@@ -73,53 +78,104 @@ class PairEncoder:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i, p in enumerate(pieces)]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.blank = self.b.piece_to_id(SPACE)
-        self.clear()
+        self.known_a, self.known_b = SpanIds(self.a_bytes), SpanIds(self.b_bytes)
 
-    def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.a_ids, self.b_ids, self.same = IdPool(), IdPool(), []
-
-    def _pieces(self, texts: list[str]) -> list[list[int]]:
-        """B's ids of units; the space that the library adds stands for a unit's own first one, and
-        is taken off again before other white space, with which no piece joins it."""
-        out = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
-        for k, t in enumerate(texts):
-            if t == " ":
-                out[k] = [self.blank]
-            elif t[0] != " ":
-                if not out[k] or out[k][0] != self.blank:
-                    raise ValueError(f"unit {t!r} joins the space before it")
-                out[k] = out[k][1:]
-        return out
-
-    def _learn(self, keys: list[int], units: list[bytes]) -> None:
-        texts = [u.decode() for u in units]
-        a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-        b = self._pieces(texts)
-        self.known.update(zip(keys, range(self.a_ids.n, self.a_ids.n + len(keys))))
-        for pool, ids in ((self.a_ids, a), (self.b_ids, b)):
-            lens = np.array([len(x) for x in ids], np.int64)
-            pool.append(np.fromiter((i for x in ids for i in x), np.uint32, int(lens.sum())), lens)
-        self.same += [b"".join(self.a_bytes[i] for i in x) == u and b"".join(self.b_bytes[i] for i in y) == u
-                      for u, x, y in zip(units, a, b)]
+        self.classes = CharacterClasses()
+
+    def _a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+
+    def _b(self, texts: list[str]) -> list[list[int]]:
+        """The library adds a space before a text; a line end, which no piece joins with anything,
+        keeps it apart, and both are taken off again."""
+        return [ids[2:] for ids in self.b.encode(["\n" + t for t in texts], num_threads=1)]
 
     def __call__(self, data: np.ndarray, offs: np.ndarray):
         """A ids, their number per row, B ids, their number per row, and which rows keep their bytes."""
-        units = Units(data, offs, self.cuts)
-        key, first, number = np.unique(units.hashes(), return_index=True, return_inverse=True)
-        keys = key.tolist()
-        if len(self.known) > CACHE_UNITS or max(self.a_ids.at[self.a_ids.n], self.b_ids.at[self.b_ids.n]) > CACHE_IDS:
+        a, n_a, good_a = self.known_a(data, offs, pre_tokens(data, offs, self.classes), self._a)
+        b, n_b, good_b = self.known_b(data, offs, bigram_spans(data, offs, self.joined), self._b)
+        return a, n_a, b, n_b, good_a & good_b
+
+
+class SpanIds:
+    """Ids of spans that have been met, bounded by entries and by ids; starts afresh when full."""
+
+    def __init__(self, token_bytes: list[bytes]):
+        self.flat = np.frombuffer(b"".join(token_bytes), np.uint8)
+        self.at = np.cumsum([0] + [len(x) for x in token_bytes])
+        self.size = np.diff(self.at)
+        self.clear()
+
+    def clear(self) -> None:
+        self.known, self.ids, self.bad = KnownSpans(), IdPool(), set()
+
+    def _keeps(self, ids: np.ndarray, lens: np.ndarray, data: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Which spans (``size`` bytes each, ``data`` together) are spelled by their ids."""
+        spelled = self.size[ids]
+        bounds = np.concatenate([[0], np.cumsum(lens)])
+        total = np.concatenate([[0], np.cumsum(spelled)])
+        same = total[bounds[1:]] - total[bounds[:-1]] == size
+        if not same.all():  # one by one: the bytes are shifted from here on
+            ends = np.cumsum(size)
+            word = lambda i: self.flat[self.at[i]:self.at[i + 1]].tobytes()
+            return np.array([b"".join(map(word, ids[a:b].tolist())) == data[e - n:e].tobytes()
+                             for a, b, e, n in zip(bounds[:-1], bounds[1:], ends, size)], bool)
+        wrong = self.flat[np.repeat(self.at[ids] - total[:-1], spelled) + np.arange(total[-1])] != data
+        return per_row(wrong, np.concatenate([[0], np.cumsum(size)])) == 0
+
+    def __call__(self, data: np.ndarray, offs: np.ndarray, start: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, their number per row, and whether a row's ids have its bytes."""
+        key, at, number = np.unique(span_hashes(data, start), return_index=True, return_inverse=True)
+        if len(self.known) > CACHE_SPANS or self.ids.at[self.ids.n] > CACHE_IDS:
             self.clear()
-        new = [k for k, x in enumerate(keys) if x not in self.known]
-        for lo in range(0, len(new), 5_000):
-            part = new[lo:lo + 5_000]
-            self._learn([keys[k] for k in part], [units.text(first[k]) for k in part])
-        lists = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        bad = ~np.array(self.same, bool)[lists] if len(lists) else np.zeros(0, bool)
-        a, n_a = self.a_ids.gather(lists[number], units.first)
-        b, n_b = self.b_ids.gather(lists[number], units.first)
-        return a, n_a, b, n_b, per_row(bad[number], units.first) == 0
+        lists = self.known.find(key)
+        new, end = np.flatnonzero(lists < 0), np.append(start[1:], len(data))
+        for lo in range(0, len(new), 2_000):
+            part = new[lo:lo + 2_000]
+            raw = [data[a:b].tobytes() for a, b in zip(start[at[part]].tolist(), end[at[part]].tolist())]
+            found = encode([x.decode() for x in raw])
+            lens = np.array([len(x) for x in found], np.int64)
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum()))
+            keeps = self._keeps(ids, lens, np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw], np.int64))
+            self.bad.update((self.ids.n + np.flatnonzero(~keeps)).tolist())
+            lists[part] = np.arange(self.ids.n, self.ids.n + len(part))
+            self.ids.append(ids, lens)
+        self.known.add(key[new], lists[new])
+        first = np.searchsorted(start, offs)
+        good = np.ones(len(offs) - 1, bool)
+        if self.bad:
+            good = per_row(np.isin(lists, list(self.bad))[number], first) == 0
+        ids, n = self.ids.gather(lists[number], first)
+        return ids, n, good
+
+
+class BlockPairs:
+    """Distinct id pairs of a block in the order in which they came, and how many documents hold them."""
+
+    def __init__(self, number: int):
+        self.number, self.bytes = number, 0
+        self.sorted, self.place, self.held = (np.zeros(0, np.int64) for _ in range(3))
+
+    def places(self, pairs: np.ndarray) -> np.ndarray:
+        """Places of pairs (of one document each), which are counted."""
+        keys, inverse, count = np.unique(pairs, return_inverse=True, return_counts=True)
+        at = np.searchsorted(self.sorted, keys)
+        old = np.zeros(len(keys), bool)
+        old[at < len(self.sorted)] = self.sorted[at[at < len(self.sorted)]] == keys[at < len(self.sorted)]
+        place = np.empty(len(keys), np.int64)
+        place[old] = self.place[at[old]]
+        place[~old] = len(self.held) + np.arange(int((~old).sum()))
+        self.sorted, self.place = np.insert(self.sorted, at[~old], keys[~old]), np.insert(self.place, at[~old], place[~old])
+        self.held = np.concatenate([self.held, np.zeros(int((~old).sum()), np.int64)])
+        self.held[place] += count
+        return place[inverse]
+
+    def row(self) -> pa.RecordBatch:
+        keys = np.empty(len(self.sorted), np.int64)
+        keys[self.place] = self.sorted
+        lists = [pa.ListArray.from_arrays([0, len(keys)], pa.array(x)) for x in (keys, self.held.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([pa.array([self.number]), *[pa.nulls(1, pa.int64())] * 5, pa.nulls(1, pa.string()),
+                                           *[pa.nulls(1, pa.list_(pa.int32()))] * 2, *lists], names=ALIGNED_NAMES)
 
 
 def lockstep(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,42 +247,48 @@ def _align(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PairEncoder(path_a, path_b)
         base = len(encoder.b_bytes)
+        scale = len(encoder.a_bytes) * base
         digits = _digits(max(len(encoder.a_bytes), base))
-        block = TaskContext.get().partitionId() << 32
+        block = BlockPairs(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            text = pc.fill_null(batch.column(1), "")
-            for lo, hi, data, offs in text_chunks(pc.binary_join_element_wise(pa.scalar(" ", text.type), text, pa.scalar("", text.type)), BLOCK_BYTES):
-                rows = hi - lo
-                a, n_a, b, n_b, good = encoder(data, offs)
-                good &= np.diff(offs) > 1
-                a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
-                n_a, n_b = n_a * good, n_b * good
-                link_a, link_b, cut = (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)) if not len(a) else \
-                    lockstep(np.cumsum(encoder.a_size[a]), np.cumsum(encoder.b_size[b]))
-                doc = np.repeat(np.arange(rows), n_a)[link_a]
-                n_links = np.bincount(doc, minlength=rows)
-                buffer, at = group_text(a, b, link_a, link_b, cut, n_links, digits)
-                pair = a[link_a].astype(np.int64) * base + b[link_b]
-                scale = len(encoder.a_bytes) * base
-                own, times = np.unique(doc * scale + pair, return_counts=True)
-                keys, pos, held = np.unique(own % scale, return_inverse=True, return_counts=True)
-                bounds = pa.array(np.searchsorted(own // scale, np.arange(rows + 1)).astype(np.int32))
-                ints = lambda x: pa.array(np.asarray(x, np.int32))
-                full = lambda kind: pa.nulls(rows, kind)
-                names = [x.split()[0] for x in ALIGNED.split(", ")]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(rows, block)), batch.column(0).slice(lo, rows), pa.array(n_a), pa.array(n_b),
-                    pa.array(np.bincount(doc[cut], minlength=rows)), pa.array(n_links),
-                    pa.LargeStringArray.from_buffers(rows, pa.py_buffer(at), pa.py_buffer(buffer)).cast(pa.string()),
-                    pa.ListArray.from_arrays(bounds, ints(pos)), pa.ListArray.from_arrays(bounds, ints(times)),
-                    full(pa.list_(pa.int64())), full(pa.list_(pa.int32()))], names=names)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), *[pa.nulls(1, pa.int64())] * 5, pa.nulls(1, pa.string()), *[pa.nulls(1, pa.list_(pa.int32()))] * 2,
-                     pa.ListArray.from_arrays([0, len(keys)], pa.array(keys)), pa.ListArray.from_arrays([0, len(keys)], ints(held))], names=names)
-                block += 1
+            for begin in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(begin, SLICE_ROWS)
+                text = pc.fill_null(part.column(1), "")
+                text = pc.binary_join_element_wise(pa.scalar(" ", text.type), text, pa.scalar("", text.type))
+                for lo, hi, data, offs in text_chunks(text, CHUNK_BYTES):
+                    if block.bytes and block.bytes + len(data) > BLOCK_BYTES:
+                        yield block.row()
+                        block = BlockPairs(block.number + 1)
+                    block.bytes += len(data)
+                    yield _aligned_rows(part.column(0).slice(lo, hi - lo), encoder(data, offs), np.diff(offs) > 1, encoder, base, scale, digits, block)
+        yield block.row()
     return run
 
 
+def _aligned_rows(names: pa.Array, tokens, full: np.ndarray, encoder: PairEncoder, base: int, scale: int, digits, block: BlockPairs) -> pa.RecordBatch:
+    a, n_a, b, n_b, good = tokens
+    good = good & full
+    if not good.all():
+        a, b, n_a, n_b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a * good, n_b * good
+    rows = len(names)
+    if len(a):
+        link_a, link_b, cut = lockstep(np.cumsum(encoder.a_size[a]), np.cumsum(encoder.b_size[b]))
+    else:
+        link_a, link_b, cut = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)
+    doc = np.repeat(np.arange(rows), n_a)[link_a]
+    n_links, n_groups = np.bincount(doc, minlength=rows), np.bincount(doc[cut], minlength=rows)
+    buffer, at = group_text(a, b, link_a, link_b, cut, n_links, digits)
+    own, times = np.unique(doc * scale + a[link_a].astype(np.int64) * base + b[link_b], return_counts=True)
+    places = block.places(own % scale).astype(np.int32)
+    bounds = pa.array(np.searchsorted(own, np.arange(rows + 1) * scale).astype(np.int32))
+    empty = [pa.nulls(rows, pa.list_(kind)) for kind in (pa.int64(), pa.int32())]
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(rows, block.number)), names, pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_links),
+        pa.LargeStringArray.from_buffers(rows, pa.py_buffer(at), pa.py_buffer(buffer)).cast(pa.string()),
+        pa.ListArray.from_arrays(bounds, pa.array(places)), pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32))), *empty],
+        names=ALIGNED_NAMES)
+
+
 def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """The alignment of every document, as a written table.  Rows of documents (``keys`` is null):
     block, doc_id, n_a, n_b, n_groups, n_links, groups (`a1,a2|b1;a3|b2,b3`), and its distinct id
