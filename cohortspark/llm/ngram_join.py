@@ -11,6 +11,10 @@ Two nodes link when 100 |A and B| >= ``PERCENT`` |A or B|.
    sets without one token instead.  Signatures are shuffled once and sorted, and a task streams
    through the runs, so a block is never held; a signature has at most one row per node, and a
    node as many signatures as parts, so no key holds more than a small share of the rows.
+   Below ``PERCENT`` parts would be so small that unrelated texts agree in many of them; there, a
+   node's signatures are its n - ceil(percent n) + 1 rarest tokens, of which linked sets share one
+   whatever the order of tokens.  The order is taken from a sketch of ``SKETCH`` counters over
+   all texts, so a token that many texts share seldom is a signature.
 2. *Groups.*  A block's centre is its node with the largest blocks, which for copies of one text
    tends to be that text.  Every node is compared with the centre it shares most blocks with;
    components of these links partition similar texts into groups.
@@ -46,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions
+from .common import materialize, shuffle_partitions, tidy
 from .components import connected_components
 from .textnp import Words, mix, text_chunks, windows
 
@@ -57,6 +61,7 @@ QUERIES = 2_000
 BITMAP_BITS = 1 << 26
 SCREEN_CELLS = 1 << 21
 FULL = 15
+SKETCH, SKETCH_PARTS = 1 << 20, 64
 
 
 # --- sets ------------------------------------------------------------------------------------
@@ -186,12 +191,62 @@ def signatures(tok: np.ndarray, bounds: np.ndarray, percent: int = PERCENT) -> t
     return row[order], sig[order]
 
 
-def _describe(size: int, percent: int):
+# --- rare tokens -----------------------------------------------------------------------------
+
+def _cell(tok: np.ndarray) -> np.ndarray:
+    return (mix(tok ^ np.uint64(0x27D4EB2F165667C5)) & np.uint64(SKETCH - 1)).astype(np.int64)
+
+
+def _sketch(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SKETCH, np.int64)
+        for batch in batches:
+            for _, _, data, offs in text_chunks(batch.column(0)):
+                cell, n = np.unique(_cell(shingle_sets(data, offs, size)[0]), return_counts=True)
+                counts[cell] += n
+        if counts.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()),
+                                              pa.array([x.tobytes() for x in np.split(counts, SKETCH_PARTS)])], names=["part", "counts"])
+    return run
+
+
+def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = total.setdefault(part, np.zeros(SKETCH // SKETCH_PARTS, np.int64))
+            own += np.frombuffer(raw, np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
+                                     names=["part", "counts"])
+
+
+def token_frequencies(docs: DataFrame, size: int) -> np.ndarray:
+    """Rank by frequency (a byte: eighths of the logarithm) of every cell of a fixed-size sketch."""
+    kind = "part int, counts binary"
+    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidy(_sketch(size)), kind)
+    out = np.zeros(SKETCH, np.int64)
+    for r in parts.repartition(SKETCH_PARTS, "part").mapInArrow(_sum_parts, kind).collect():  # SKETCH counters in all
+        step = SKETCH // SKETCH_PARTS
+        out[r["part"] * step:(r["part"] + 1) * step] = np.frombuffer(r["counts"], np.int64)
+    return np.minimum(8 * np.log2(out + 1), 255).astype(np.uint8)
+
+
+def rare_tokens(tok: np.ndarray, bounds: np.ndarray, percent: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, token) of every row's n - ceil(percent n / 100) + 1 rarest tokens, rows ascending."""
+    n = np.diff(bounds)
+    row = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((tok, ranks[_cell(tok)], row))
+    nth = np.arange(len(tok)) - np.repeat(bounds[:-1], n)
+    first = nth < np.repeat(n - -(-percent * n // 100) + 1, n)
+    return row[first], mix(tok[order[first]])
+
+
+def _describe(size: int, percent: int, ranks=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offs in text_chunks(batch.column(2)):
                 tok, bounds = shingle_sets(data, offs, size)
-                row, sig = signatures(tok, bounds, percent)
+                row, sig = signatures(tok, bounds, percent) if ranks is None else rare_tokens(tok, bounds, percent, ranks.value)
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)),
                                                  pa.array(sig.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
@@ -206,7 +261,8 @@ def _describe(size: int, percent: int):
 def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """row, doc_id, text_key, n, s1, s2 (128-bit set signature), sigs, hist; a written table."""
     texts = _texts(docs).select("doc_id", "text_key", "text")
-    out = texts.mapInArrow(_describe(size, percent),
+    ranks = None if percent >= PERCENT else docs.sparkSession.sparkContext.broadcast(token_frequencies(docs, size))
+    out = texts.mapInArrow(tidy(_describe(size, percent, ranks)),
                            "doc_id long, text_key long, n long, s1 long, s2 long, sigs array<long>, hist binary")
     return materialize(out.withColumn("row", F.monotonically_increasing_id()), "join-sets")
 
@@ -352,7 +408,7 @@ def screened(need: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     hists = sets.select(F.col("row").alias("node"), "n", "hist")
     rows = (need.join(hists, "node").select("grp", "part", "side", "node", "comp", "asks", "n", "hist")
             .repartition("grp", "part").sortWithinPartitions("grp", "part", "side"))
-    return rows.mapInArrow(_screen(percent), "grp long, part int, side int, node long, comp long")
+    return rows.mapInArrow(tidy(_screen(percent)), "grp long, part int, side int, node long, comp long")
 
 
 # --- comparing -------------------------------------------------------------------------------
@@ -456,7 +512,7 @@ def by_bitmap(rows: DataFrame, key: str, need: DataFrame, listed: bool = True) -
             at = batch.column(at_key).to_numpy() % BITMAP_BITS
             kept = batch.filter(pa.array((bits[at >> 3] >> (at & 7) & 1) == listed))
             yield pa.RecordBatch.from_arrays(kept.columns, names=names)
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)
 
 
 def open_groups(docs: DataFrame, need: DataFrame, size: int, percent: int) -> DataFrame:
@@ -467,7 +523,7 @@ def open_groups(docs: DataFrame, need: DataFrame, size: int, percent: int) -> Da
     rows = (need.join(texts, need["doc_id"].eqNullSafe(texts["__id"]) & (need["text_key"] == texts["__key"]))
             .select("grp", "part", "side", "node", "comp", "text")
             .repartition("grp", "part").sortWithinPartitions("grp", "part", "side", "node"))
-    return rows.mapInArrow(_compare(size, percent), "a long, b long")
+    return rows.mapInArrow(tidy(_compare(size, percent)), "a long, b long")
 
 
 def _pick(node: str, of: str):
@@ -491,7 +547,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     every = (sets.select(F.col("row").alias("node"), "sigs").where(F.size("sigs") > 0)
              .join(copies, F.col("node") == F.col("row"), "left_anti").select(F.explode("sigs").alias("sig"), "node"))
     every = every.repartition(shuffle_partitions(docs.sparkSession), "sig").sortWithinPartitions("sig")
-    blocks = materialize(every.mapInArrow(_runs, "sig long, node long"), "join-blocks")
+    blocks = materialize(every.mapInArrow(tidy(_runs), "sig long, node long"), "join-blocks")
 
     # 2. groups: every node against the centre it shares most blocks with
     sizes = blocks.groupBy("sig").agg(F.count("*").alias("k"))
