@@ -37,10 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .packing import IdPool
+from .packing import IdPool, load_tokenizer
 from .spans import CharacterClasses, KnownSpans, bigram_spans, joined_pairs, per_row, pre_tokens, span_hashes
 from .textnp import text_chunks
-from .token_counts import byte_strings, load_tokenizer
+from .token_counts import byte_strings
 
 CHUNK_BYTES, BLOCK_BYTES = 1 << 19, 16 << 20
 SLICE_ROWS = 1_000

@@ -6,8 +6,8 @@ drawn; every sequence is one piece, so none crosses documents and none needs pad
 
 Tokenizing: spaces and line ends separate pre-tokens of the vocabulary's tokenizer, so each chunk
 between them is encoded once and looked up afterwards; chunk numbers of a batch are expanded to
-token ids in numpy.  A worker process keeps its cache from task to task; it is bounded and starts
-afresh when full.
+token ids in numpy.  A task's cache is bounded by entries and by ids, starts afresh when full, and
+goes with the task.
 
 Cases: null text is empty; an empty text has just the end id (one piece of length 1); a very long
 text is cut into many pieces within its task; null and repeated doc_ids are carried through; an
@@ -29,12 +29,25 @@ from pyspark.sql import functions as F
 
 from cohortspark.session import ensure_checkpoint_dir
 
+from .common import tidy
+from .spans import KnownSpans
 from .textnp import Words, text_chunks
 
+
+def load_tokenizer(path: str):
+    # a task has one core, and every further thread would keep memory of its own
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 MAX_LENGTH = 4096
 END_ID = 2
-CACHE_CHUNKS = 1_000_000
-CHUNK = 4 << 20
+CACHE_CHUNKS, CACHE_IDS = 150_000, 2_000_000
+CHUNK = 1 << 19
 #: Texts that keep their form under NFC and lower-case letter by letter, and their pre-tokens as
 #: the tokenizer's file cuts them (fixed values).
 PLAIN = re.compile("[!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
@@ -88,8 +101,7 @@ class ChunkEncoder:
     """Token ids of whole texts through a cache of white-space separated chunks."""
 
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = load_tokenizer(path)
         self.limit = limit
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
@@ -97,7 +109,7 @@ class ChunkEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.chunk: dict[bytes, int] = {}
+        self.chunk = KnownSpans()
         self.word: dict[str, int] = {}
         self.chunks, self.words = IdPool(), IdPool()
 
@@ -105,7 +117,7 @@ class ChunkEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _learn(self, new: list[bytes]) -> None:
-        """Chunks of ASCII and Latin-1 letters share pre-tokens, which are encoded as one text
+        """Appends the ids of chunks.  Chunks of ASCII and Latin-1 letters share pre-tokens, which are encoded as one text
         (the tokenizer marks their last ids); any other chunk is encoded by itself."""
         texts = [c.decode() for c in new]
         split = [PRE_TOKEN.findall(c.lower()) if PLAIN.fullmatch(c) else (c,) for c in texts]
@@ -123,7 +135,6 @@ class ChunkEncoder:
         at = np.cumsum([0] + [len(ws) for ws in split])
         lists = np.fromiter((self.word[w] for ws in split for w in ws), np.int64, int(at[-1]))
         ids, lens = self.words.gather(lists, at)
-        self.chunk.update(zip(new, range(self.chunks.n, self.chunks.n + len(new))))
         self.chunks.append(ids, lens)
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,31 +142,23 @@ class ChunkEncoder:
         words = Words(data, offs)
         if not len(words.start):
             return np.zeros(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
-        _, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        own = [raw[a:b] for a, b in zip(words.start[first].tolist(), words.end[first].tolist())]
-        if len(self.chunk) > self.limit:
+        key, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        if len(self.chunk) > self.limit or self.chunks.at[self.chunks.n] > CACHE_IDS:
             self.clear()
-        new = [w for w in own if w not in self.chunk]
-        if new:
-            self._learn(new)
-        lists = np.fromiter(map(self.chunk.__getitem__, own), np.int64, len(own))[number]
+        lists = self.chunk.find(key)
+        new = np.flatnonzero(lists < 0)
+        for lo in range(0, len(new), 10_000):
+            part = new[lo:lo + 10_000]
+            at, lists[part] = first[part], np.arange(self.chunks.n, self.chunks.n + len(part))
+            self._learn([data[a:b].tobytes() for a, b in zip(words.start[at].tolist(), words.end[at].tolist())])
+        self.chunk.add(key[new], lists[new])
+        lists = lists.astype(np.int64)[number]
         return self.chunks.gather(lists, np.append(words.first, len(words.start)))
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
-def encoder_of(path: str) -> ChunkEncoder:
-    """The process's encoder of a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
-
-
 def _pieces(path: str, end_id: int, longest: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path)
+        encoder = ChunkEncoder(path)
         for batch in batches:
             for lo, hi, data, offs in text_chunks(batch.column(1), CHUNK):
                 ids, counts = encoder.encode(data, offs)
@@ -194,7 +197,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, longest: in
     if longest & (longest - 1):
         raise ValueError("the longest length must be a power of two")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = docs.mapInArrow(_pieces(tokenizer_path, end_id, longest, keep_ids), PIECES)
+    out = docs.mapInArrow(tidy(_pieces(tokenizer_path, end_id, longest, keep_ids)), PIECES)
     return out.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 

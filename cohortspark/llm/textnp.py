@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True

@@ -17,7 +17,6 @@ text are read, whatever other columns are named.
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .packing import load_tokenizer
 from .spans import CharacterClasses, KnownSpans, per_row, pre_tokens, rows_with, span_hashes
 from .textnp import text_chunks
 
@@ -33,16 +33,6 @@ CACHE_SPANS = 200_000
 COUNTS = "doc_id long, n_bytes long, n_tokens long"
 
 
-def load_tokenizer(path: str):
-    # a task has one core, and every further thread would keep memory of its own
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
-
-
 def byte_strings(vocab: dict[str, int]) -> dict[int, bytes]:
     """Bytes of every token of a byte-level vocabulary, whose strings show each byte as a printable
     character: itself if printable in Latin-1, else the next free one from 256 on."""
