@@ -154,6 +154,12 @@ def fit_oof(frame: DataFrame, kind: str, codes: DataFrame, k: int = 5, holdout:
     return named.select("sample_id", "label", "fold", "class", "prob"), models
 
 
+def fit_folds(frame: DataFrame, estimator, k: int, parallel: int = 5) -> list:
+    """One model per fold, fitted on the rows of the other folds; the fits are submitted concurrently."""
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, k))) as pool:
+        return list(pool.map(lambda i: estimator.fit(frame.where(F.col("fold") != i)), range(k)))
+
+
 def fit_final(frame: DataFrame, kind: str, codes: DataFrame, **params):
     return make_estimator(kind, codes.count(), **params).fit(frame)
 

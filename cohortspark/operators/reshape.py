@@ -8,12 +8,10 @@ not run a hidden distinct job and never exceeds ``spark.sql.pivotMaxValues``).
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_WIDE_FEATURES = 2000
-MAX_DENSE_FEATURES = 5000
 
 _AGGS = {
     "mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count,
@@ -156,57 +154,15 @@ def array_to_columns(df: DataFrame, key: str, array_col: str, names: list[str],
                                    for i, n in enumerate(names)])
 
 
-def assemble_dense(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_id",
-                   out: str = "features") -> DataFrame:
-    """Dense ML vector per sample from ``(key, pos, value)``.
-
-    ``fill`` is a scalar or a per-position list (implicit value of absent
-    cells, e.g. the scaled zero).  Runs as one aggregate + native array code.
-    """
-    if d > MAX_DENSE_FEATURES:
-        raise ValueError("dense assembly is limited to a bounded feature count")
-    fills = F.array(*[F.lit(float(v)) for v in fill]) if isinstance(fill, (list, tuple)) else None
-    agg = long_pos.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("pos").cast("int"),
-                                                   F.col("value").cast("double")))).alias("_m"))
-
-    def cell(i):
-        dflt = F.element_at(fills, i + 1) if fills is not None else F.lit(float(fill))
-        return F.coalesce(F.element_at(F.col("_m"), i), dflt)
-
-    arr = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), cell)
-    return agg.select(key, array_to_vector(arr).alias(out))
-
-
-def _sparse_vector(d: int):
-    from pyspark.ml.linalg import Vectors, VectorUDT
-
-    def build(entries):
-        pairs = sorted((int(e[0]), float(e[1])) for e in entries if e[1] is not None and e[1] != 0.0)
-        return Vectors.sparse(d, [p for p, _ in pairs], [v for _, v in pairs])
-    return F.udf(build, VectorUDT())
-
-
-def assemble_sparse(long_pos: DataFrame, d: int, key: str = "sample_id",
-                    out: str = "features") -> DataFrame:
-    """Sparse ML vector per sample from ``(key, pos, value)``; absent = 0.
-
-    For wide modalities (tens of thousands of features) where a dense array
-    per sample is wasteful.  The per-sample entry list is bounded by the
-    dictionary size; the only Python step is building the vector object
-    from it.
-    """
-    agg = long_pos.groupBy(key).agg(
-        F.collect_list(F.struct(F.col("pos").cast("int"), F.col("value").cast("double"))).alias("_e"))
-    return agg.select(key, _sparse_vector(d)(F.col("_e")).alias(out))
+def assemble(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_id",
+             out: str = "features", samples: DataFrame | None = None) -> DataFrame:
+    """ML vector per sample from ``(key, pos, value)``, see ``vectors.py``: one
+    sorted pass, no width limit; ``fill`` (a number, or one per position) is
+    what absent cells read; with ``samples`` no sample is lost."""
+    from .vectors import assemble_vectors
+    return assemble_vectors(long_pos, d, fill, key, out, samples)
 
 
-def assemble(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_id",
-             out: str = "features") -> DataFrame:
-    """Dense up to ``MAX_DENSE_FEATURES``, sparse above (absent cells must
-    read 0 then)."""
-    if d <= MAX_DENSE_FEATURES:
-        return assemble_dense(long_pos, d, fill, key, out)
-    if fill not in (0, 0.0):
-        raise ValueError("sparse assembly needs absent cells to read 0")
-    return assemble_sparse(long_pos, d, key, out)
+#: Kept names: both build the same vectors (dense or sparse by size).
+assemble_dense = assemble
+assemble_sparse = assemble

@@ -1,6 +1,6 @@
-"""Path-dependent tree Shapley values for Spark ML tree ensembles.
+"""Path-dependent tree Shapley values for Spark ML tree ensembles of any depth.
 
-Design (Lundberg et al., 2018, path-dependent expectation):
+Design (the game of Lundberg et al., 2018, path-dependent expectation):
 
 1. The fitted model is saved in Spark ML's native format into the checkpoint
    folder and its node table (``treeID, nodeData``) is read back as a
@@ -9,13 +9,19 @@ Design (Lundberg et al., 2018, path-dependent expectation):
    interval ``(lo, hi]`` each feature must fall in (left = ``x <= t``), the
    product of child/parent cover ratios per feature, and the leaf value
    vector (already scaled by tree weight).
-3. The path records are broadcast; ``mapInPandas`` evaluates, per batch of
-   samples, for every leaf ``v(S) = value * prod_{f in S} 1[x_f in I_f]
-   * prod_{f not in S} r_f`` over the subsets of the path features
-   (depth <= 6, so at most 64 subsets) and accumulates the Shapley weights.
-4. Output is long ``(sample_id, class, feature, phi)``; additivity holds:
-   ``sum_f phi + expected_value = model output`` (margin for GBT,
-   probability for random forest).
+3. A leaf's game is a product, ``v(S) = value * prod_{f in S} o_f *
+   prod_{f not in S} r_f`` with ``o_f = 1[x_f in I_f]``.  Its Shapley values are
+   an integral of a polynomial over the share ``t`` of the other features that
+   are present:
+   ``phi_j = value * (o_j - r_j) * int_0^1 prod_{k != j} (t o_k + (1-t) r_k) dt``.
+   The polynomial has degree m - 1 on a path of m features, so
+   Gauss-Legendre quadrature with ceil(m / 2) nodes is exact; the work is
+   m * ceil(m / 2) per row and leaf instead of 2^m subsets.
+4. The path records are broadcast (model-sized); ``mapInArrow`` evaluates row
+   blocks of bounded size and keeps only the features that some path touches.
+5. Output is long ``(sample_id, class, feature, phi)``; additivity holds:
+   ``sum_f phi + expected_value = model output`` (margin for boosted trees,
+   probability for a random forest).
 """
 
 from __future__ import annotations
@@ -23,16 +29,18 @@ from __future__ import annotations
 import math
 import os
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-MAX_DEPTH = 6
+#: Values of one row block (rows x leaves x path features), at most.
+BLOCK_VALUES = 1 << 21
 
 
 def node_tables(model) -> tuple[dict, list[float]]:
@@ -43,9 +51,11 @@ def node_tables(model) -> tuple[dict, list[float]]:
     rows = spark.read.parquet(os.path.join(path, "data")).select(
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats", "nodeData.rawCount",
         "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
-        "nodeData.split.leftCategoriesOrThreshold").collect()
+        "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories").collect()
     trees: dict = {}
     for r in rows:
+        if r["leftChild"] >= 0 and r["numCategories"] != -1:
+            raise ValueError("attributions are defined for continuous splits only")
         trees.setdefault(int(r["treeID"]), {})[int(r["id"])] = r.asDict()
     weights = list(getattr(model, "treeWeights", [1.0] * len(trees)))
     return trees, weights
@@ -71,8 +81,6 @@ def path_records(trees: dict, weights: list[float], kind: str) -> list[tuple]:
             nd = nodes[nid]
             if nd["leftChild"] < 0:
                 feats = sorted(cond)
-                if len(feats) > MAX_DEPTH:
-                    raise ValueError("tree too deep for exact subset enumeration")
                 lo = np.array([cond[f][0] for f in feats], dtype=float)
                 hi = np.array([cond[f][1] for f in feats], dtype=float)
                 rr = np.array([cond[f][2] for f in feats], dtype=float)
@@ -98,98 +106,166 @@ def expected_value(recs: list[tuple]) -> np.ndarray:
     return sum(v * np.prod(r) for _, _, _, r, v in recs)
 
 
-def _subset_tables(m: int):
-    """Per path length ``m``: popcounts of all masks and the Shapley weight of
-    each mask size, ``|S|! (m - |S| - 1)! / m!``."""
-    masks = np.arange(1 << m)
-    sizes = np.array([bin(v).count("1") for v in masks])
-    w = np.array([math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m) if k < m else 0.0
-                  for k in range(m + 1)])
-    return masks, sizes, w
+class PathGroups:
+    """Path records grouped by path length, over the ``touched`` features only."""
+
+    def __init__(self, recs: list[tuple]):
+        self.n_out = len(recs[0][4]) if recs else 1
+        self.touched = np.unique(np.concatenate([r[0] for r in recs] or [np.zeros(0, int)])).astype(int)
+        self.groups = []
+        for m in sorted({len(r[0]) for r in recs} - {0}):
+            own = [r for r in recs if len(r[0]) == m]
+            feats, lo, hi, ratio, value = (np.array([r[k] for r in own]) for k in range(5))
+            place = np.searchsorted(self.touched, feats)
+            order = np.argsort(place, axis=None, kind="stable")  # (leaf, feature) cells by feature
+            cell = place.ravel()[order]
+            starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            t, w = np.polynomial.legendre.leggauss(-(-m // 2))
+            self.groups.append((feats, lo, hi, ratio, value, order, starts, cell[starts], (t + 1) / 2, w / 2))
+
+    def attributions(self, x: np.ndarray) -> np.ndarray:
+        """``phi[n, touched, n_out]`` of dense rows."""
+        phi = np.zeros((len(x), len(self.touched), self.n_out))
+        for feats, lo, hi, ratio, value, order, starts, places, nodes, weights in self.groups:
+            step = max(1, BLOCK_VALUES // feats.size)
+            for a in range(0, len(x), step):
+                own = x[a:a + step][:, feats]  # rows x leaves x path
+                # Spark sends x to the left if x <= t, anything else (NaN too) to the right
+                inside = (np.isneginf(lo) | ~(own <= lo)) & (np.isposinf(hi) | (own <= hi))
+                total = np.zeros(own.shape)
+                for t, w in zip(nodes, weights):
+                    factor = np.where(inside, t + (1 - t) * ratio, (1 - t) * ratio)
+                    whole = factor.prod(axis=2, keepdims=True)
+                    # a zero factor is its own (o = r = 0) and earns nothing, or another's, and all is zero
+                    total += w * np.divide(whole, factor, out=np.zeros_like(factor), where=factor > 0)
+                credit = ((inside - ratio) * total).reshape(len(own), -1)[:, order]
+                leaf = order // feats.shape[1]
+                for k in range(self.n_out):
+                    phi[a:a + step, places, k] += np.add.reduceat(credit * value[leaf, k], starts, axis=1)
+        return phi
 
 
 def shap_batch(X: np.ndarray, recs: list[tuple], d: int, n_out: int) -> np.ndarray:
-    """``phi[n, d, n_out]`` for a batch of dense rows.
-
-    Per leaf with path length m: the indicator products over all 2^m subsets
-    are built by a lowest-bit recurrence (2^m vector products), the cover
-    products likewise, and each path feature's Shapley value is one weighted
-    sum over the 2^(m-1) subsets that exclude it.
-    """
-    n = X.shape[0]
-    phi = np.zeros((n, d, n_out))
-    cache = {}
-    for feats, lo, hi, rr, val in recs:
-        m = len(feats)
-        if m == 0:
-            continue
-        if m not in cache:
-            cache[m] = _subset_tables(m)
-        masks, sizes, w = cache[m]
-        ind = ((X[:, feats] > lo) & (X[:, feats] <= hi)).astype(float)  # n x m
-        P = np.empty((1 << m, n))
-        Q = np.empty(1 << m)
-        P[0] = 1.0
-        Q[0] = float(np.prod(rr))
-        for mask in range(1, 1 << m):
-            low = (mask & -mask).bit_length() - 1
-            prev = mask & (mask - 1)
-            P[mask] = P[prev] * ind[:, low]
-            Q[mask] = Q[prev] / rr[low] if rr[low] > 0 else float(np.prod(rr[[g for g in range(m) if not (mask >> g) & 1]]))
-        V = P * Q[:, None]  # v(S) / value, for every subset S
-        for j in range(m):
-            without = masks[(masks >> j) & 1 == 0]
-            acc = w[sizes[without]] @ (V[without | (1 << j)] - V[without])
-            phi[:, feats[j], :] += acc[:, None] * val[None, :]
+    """``phi[n, d, n_out]`` for a batch of dense rows."""
+    groups = PathGroups(recs)
+    phi = np.zeros((len(X), d, n_out))
+    phi[:, groups.touched, :] = groups.attributions(np.asarray(X, float))
     return phi
 
 
+def _explain(key: str, shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = shared.value  # (class of the first output, path groups)
+        for batch in batches:
+            width = max([1, *(len(g.touched) * g.n_out for _, g in parts)])
+            step = max(1, BLOCK_VALUES // width)
+            for a in range(0, batch.num_rows, step):
+                rows = batch.slice(a, step)
+                lists = rows.column(1)
+                bounds = lists.offsets.to_numpy()
+                x = lists.values.to_numpy(zero_copy_only=False)[bounds[0]:bounds[-1]].reshape(rows.num_rows, -1)
+                for first, groups in parts:
+                    phi = groups.attributions(x)
+                    row, place, out = np.nonzero(phi)
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column(0).take(pa.array(row)), pa.array((out + first).astype(np.int32)),
+                         pa.array(groups.touched[place].astype(np.int32)), pa.array(phi[row, place, out])],
+                        names=[key, "_c", "_j", "phi"])
+    return run
+
+
+def _paths(model, kind: str) -> list[tuple[int, PathGroups, np.ndarray]]:
+    """(class of the first output, path groups, expected value) of every tree model inside."""
+    inner = getattr(model, "models", None)
+    if inner is None:
+        recs = path_records(*node_tables(model), kind)
+        return [(0, PathGroups(recs), expected_value(recs))]
+    out = []  # one-vs-rest: one margin per class
+    for c, m in enumerate(inner):
+        recs = path_records(*node_tables(m), "gbt")
+        out.append((c, PathGroups(recs), expected_value(recs)))
+    return out
+
+
 def tree_shapley(model, frame: DataFrame, kind: str, feature_names: list[str],
                  class_names: list | None = None, key: str = "sample_id",
                  features_col: str = "features") -> tuple[DataFrame, np.ndarray]:
-    """Long attributions ``(key, class, feature, phi)`` and the expected value.
-
-    ``kind='rf'`` explains class probabilities; ``kind='gbt'`` explains the
-    binary margin (``class`` = 1)."""
-    trees, weights = node_tables(model)
-    recs = path_records(trees, weights, kind)
-    base = expected_value(recs)
-    n_out = len(base)
-    d = len(feature_names)
-    if kind == "rf":
-        classes = list(class_names) if class_names is not None else list(range(n_out))
+    """Long attributions ``(key, class, feature, phi)`` and the expected values.
+
+    ``kind='rf'`` explains class probabilities, ``kind='gbt'`` the margin: of the
+    positive class (``class`` = 1, or the last of ``class_names``) for a binary
+    model, of every class for a one-vs-rest set."""
+    parts = _paths(model, kind)
+    base = np.concatenate([b for _, _, b in parts])
+    if len(base) > 1:
+        classes = list(class_names) if class_names is not None else list(range(len(base)))
     else:
         classes = [class_names[-1] if class_names else 1]
     spark = frame.sparkSession
-    b_recs = spark.sparkContext.broadcast(recs)
-    names = list(feature_names)
-    cls = [str(c) for c in classes]
-
-    def explain(batches):
-        recs_local = b_recs.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = np.vstack(pdf["_x"].to_numpy())
-            phi = shap_batch(X, recs_local, d, n_out)
-            nz = np.nonzero(phi)
-            yield pd.DataFrame({
-                key: pdf[key].to_numpy()[nz[0]],
-                "_c": nz[2].astype(np.int32),
-                "_j": nz[1].astype(np.int32),
-                "phi": phi[nz],
-            })
-
+    shared = spark.sparkContext.broadcast([(c, g) for c, g, _ in parts])  # as large as the model
     key_type = frame.schema[key].dataType.simpleString()
     inp = frame.select(key, vector_to_array(F.col(features_col)).alias("_x"))
     # attribution is CPU-heavy per row: spread rows over at least one task per core
     cores = spark.sparkContext.defaultParallelism
     if inp.rdd.getNumPartitions() < cores:
         inp = inp.repartition(cores, key)
-    out = inp.mapInPandas(explain, f"{key} {key_type}, _c int, _j int, phi double")
+    out = inp.mapInArrow(_explain(key, shared), f"{key} {key_type}, _c int, _j int, phi double")
     # names are attached JVM-side (integers cross the Arrow boundary, not strings)
-    cls_arr = F.array(*[F.lit(c) for c in cls])
-    name_arr = F.array(*[F.lit(n) for n in names])
+    cls_arr = F.array(*[F.lit(str(c)) for c in classes])
+    name_arr = F.array(*[F.lit(n) for n in feature_names])
     out = out.select(key, F.element_at(cls_arr, F.col("_c") + 1).alias("class"),
                      F.element_at(name_arr, F.col("_j") + 1).alias("feature"), "phi")
     return out, base
+
+
+def fold_attributions(models: list, frame: DataFrame, kind: str, feature_names: list[str], class_names: list,
+                      key: str = "sample_id") -> tuple[DataFrame, DataFrame]:
+    """Attributions of every row by the model of its own fold, which has not seen it.
+
+    Returns ``(key, fold, class, feature, phi)`` over all folds, and the expected
+    values ``(fold, class, base)`` (folds x classes rows)."""
+    parts, bases = [], []
+    for fold, model in enumerate(models):
+        phi, base = tree_shapley(model, frame.where(F.col("fold") == fold), kind, feature_names, class_names, key)
+        names = class_names if len(base) > 1 else [class_names[-1]]
+        parts.append(phi.withColumn("fold", F.lit(fold)))
+        bases += [(fold, str(c), float(b)) for c, b in zip(names, base)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(key, "fold", "class", "feature", "phi"), \
+        frame.sparkSession.createDataFrame(bases, "fold int, class string, base double")
+
+
+def model_outputs(models: list, frame: DataFrame, kind: str, class_names: list, key: str = "sample_id") -> DataFrame:
+    """``(key, fold, class, output)``: what attributions add up to, by each row's own fold model."""
+    parts = []
+    for fold, model in enumerate(models):
+        rows = frame.where(F.col("fold") == fold)
+        inner = getattr(model, "models", None)
+        if inner is not None:
+            margins = rows
+            for m in inner:
+                margins = m.transform(margins)
+            values = F.array(*[vector_to_array(F.col(m.getRawPredictionCol()))[1] for m in inner])
+            names = class_names
+        else:
+            margins = model.transform(rows)
+            values = vector_to_array(F.col("probability")) if kind == "rf" else F.array(vector_to_array(F.col("rawPrediction"))[1])
+            names = class_names if kind == "rf" else [class_names[-1]]
+        listed = F.array(*[F.lit(str(c)) for c in names])
+        parts.append(margins.select(key, "fold", F.posexplode(values).alias("_c", "output"))
+                     .select(key, "fold", F.element_at(listed, F.col("_c") + 1).alias("class"), "output"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def additivity(phi: DataFrame, base: DataFrame, outputs: DataFrame, key: str = "sample_id", tolerance: float = 1e-9) -> DataFrame:
+    """Per fold and class: rows, and rows whose attributions and expected value miss the model's
+    output by more than ``tolerance``."""
+    sums = phi.groupBy(key, "fold", "class").agg(F.sum("phi").alias("_s"))
+    both = outputs.join(sums, [key, "fold", "class"], "left").join(F.broadcast(base), ["fold", "class"])
+    off = F.abs(F.coalesce("_s", F.lit(0.0)) + F.col("base") - F.col("output"))
+    return both.groupBy("fold", "class").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(off > tolerance).alias("n_off"))

@@ -25,7 +25,9 @@ from . import bindings as B
 from . import training as TR
 from .features import assemble_samples, split_xy
 from .queries_stats import category_features
+from .queries import K_FOLDS
 from .registry import register, rounded
+from .sql_ctes import with_ctes
 
 QUERY_ROUNDS = 20
 # The registered search keeps every grid except the round count, which is
@@ -97,6 +99,33 @@ def q_tree_shapley(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(phi)
 
 
+@register("tree_attribution_checks", with_ctes("""
+SELECT m.model, f.fold, k.class, count(*) AS n_rows, 0::BIGINT AS n_off
+FROM (SELECT DISTINCT sample_id FROM expr_cells) s JOIN folds f ON s.sample_id = f.sample_id
+CROSS JOIN classes k CROSS JOIN (VALUES ('forest'), ('one_vs_rest'), ('binary')) m(model)
+WHERE m.model <> 'binary' OR k.class = (SELECT min(class) FROM classes)
+GROUP BY ALL""", "expr_cells", "folds", "classes"))
+def q_tree_attribution_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributions of every validation row by its own fold's model, for
+    a forest of depth 12, a one-vs-rest boosted set and a binary boosted model;
+    per fold and class the rows, and the rows that miss additivity."""
+    t = Tables(spark, sf_dir)
+    frame, dictionary, codes = TR.expression_frame(t)
+    names = [r.feature for r in dictionary.orderBy("pos").collect()]
+    classes = [r.label for r in codes.orderBy("code").collect()]
+    first = frame.withColumn("y", (F.col("y") == 0).cast("double"))
+    runs = []
+    for model, rows, kind, listed, est in (
+            ("forest", frame, "rf", classes, ML.make_estimator("rf", len(classes), numTrees=20, maxDepth=12)),
+            ("one_vs_rest", frame, "gbt", classes, ML.make_estimator("gbt", len(classes), maxIter=3, maxDepth=4)),
+            ("binary", first, "gbt", classes[:1], ML.make_estimator("gbt", 2, maxIter=3, maxDepth=4))):
+        models = ML.fit_folds(rows, est, K_FOLDS)
+        phi, base = TS.fold_attributions(models, rows, kind, names, listed)
+        checked = TS.additivity(phi, base, TS.model_outputs(models, rows, kind, listed))
+        runs.append(checked.select(F.lit(model).alias("model"), "fold", "class", "n_rows", "n_off"))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 @register("tree_importance")
 def q_tree_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X3/X5 on tree attributions: mean |phi| per feature, top 20."""

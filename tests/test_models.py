@@ -67,6 +67,56 @@ def test_tree_shapley_gbt_margin(spark):
         assert sums.get(sid, 0.0) + base[0] == pytest.approx(r[1], abs=1e-12)
 
 
+def test_tree_shapley_of_deep_trees_repeated_features_and_odd_values():
+    """Paths of up to 12 distinct features, with and without satisfied conditions, NaN and infinities."""
+    rng = np.random.default_rng(8)
+    d = 12
+    recs = []
+    for m in (0, 1, 2, 5, 9, 12):
+        feats = np.sort(rng.choice(d, m, replace=False))
+        lo = np.where(rng.random(m) < 0.5, -np.inf, rng.normal(size=m))
+        hi = np.where(rng.random(m) < 0.5, np.inf, np.where(np.isinf(lo), 0, lo) + rng.random(m))
+        recs.append((feats, lo, hi, rng.uniform(0.05, 1, m), rng.normal(size=2)))
+    X = rng.normal(size=(3, d))
+    fast = TS.shap_batch(X, recs, d, 2)
+    for i in range(len(X)):
+        assert np.allclose(fast[i], _brute_phi(recs, X[i], d, 2), atol=1e-12)
+    one = [(np.array([0]), np.array([-np.inf]), np.array([1.0]), np.array([0.4]), np.array([1.0])),
+           (np.array([0]), np.array([1.0]), np.array([np.inf]), np.array([0.6]), np.array([3.0]))]
+    odd = np.array([[np.nan], [-np.inf], [np.inf], [1.0]])  # Spark sends NaN to the right
+    assert np.allclose(TS.shap_batch(odd, one, 1, 1).ravel(), np.array([3.0, 1.0, 3.0, 1.0]) - 2.2)
+
+
+def test_deep_forest_and_one_vs_rest_add_up_on_validation_rows(spark):
+    df, _ = _frame(spark, n=200, d=14)
+    names = [f"f{i}" for i in range(14)]
+    for kind, est in (("rf", ML.make_estimator("rf", 3, numTrees=4, maxDepth=12)), ("gbt", ML.make_estimator("gbt", 3, maxIter=2, maxDepth=3))):
+        models = ML.fit_folds(df, est, 5)
+        phi, base = TS.fold_attributions(models, df, kind, names, ["0", "1", "2"])
+        got = TS.additivity(phi, base, TS.model_outputs(models, df, kind, ["0", "1", "2"])).collect()
+        assert len(got) == 15 and sum(r.n_rows for r in got) == 600 and not any(r.n_off for r in got)
+
+
+def test_vectors_are_assembled_in_one_sorted_pass(spark):
+    from cohortspark.operators import vectors as V
+    rng = np.random.default_rng(1)
+    d, want = 300, {}
+    for i in range(40):
+        want[f"s{i}"] = {int(j): float(rng.normal()) for j in rng.choice(d, 250 if i % 2 else 3, replace=False)}
+    rows = [(s, j, v) for s, cells in want.items() for j, v in cells.items()]
+    rows += [("s1", None, 5.0), ("s2", 299 if 299 not in want["s2"] else 298, None), (None, 3, 1.0)]
+    cells = spark.createDataFrame(rows, "sample_id string, pos int, value double").repartition(5)
+    got = {r[0]: r[1] for r in V.assemble_vectors(cells, d).collect()}
+    assert got == {s: Vectors.sparse(d, cells) for s, cells in want.items()}
+    fill = rng.normal(size=d)
+    spine = spark.createDataFrame([("s0",), ("s0",), ("new",), (None,)], "sample_id string")
+    kept = {r[0]: r[1].toArray() for r in V.assemble_vectors(cells, d, fill=list(fill), samples=spine.distinct()).collect()}
+    assert set(kept) == {"s0", "new"} and np.array_equal(kept["new"], fill)
+    assert all(kept["s0"][j] == want["s0"].get(j, fill[j]) for j in range(d))
+    with pytest.raises(Exception, match="twice"):
+        V.assemble_vectors(cells.unionByName(cells), d).collect()
+
+
 def test_fit_oof_probabilities_sum_to_one(spark):
     df, _ = _frame(spark)
     codes = spark.createDataFrame([("0", 0), ("1", 1), ("2", 2)], "label string, code int")
