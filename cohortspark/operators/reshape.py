@@ -163,6 +163,13 @@ def assemble(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_id",
     return assemble_vectors(long_pos, d, fill, key, out, samples)
 
 
-#: Kept names: both build the same vectors (dense or sparse by size).
-assemble_dense = assemble
-assemble_sparse = assemble
+def assemble_dense(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_id",
+                   out: str = "features") -> DataFrame:
+    from .vectors import assemble_vectors
+    return assemble_vectors(long_pos, d, fill, key, out, form="dense")
+
+
+def assemble_sparse(long_pos: DataFrame, d: int, key: str = "sample_id",
+                    out: str = "features") -> DataFrame:
+    from .vectors import assemble_vectors
+    return assemble_vectors(long_pos, d, 0.0, key, out, form="sparse")

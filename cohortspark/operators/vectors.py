@@ -30,11 +30,11 @@ _VECTOR = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.l
                      ("values", pa.list_(pa.float64()))])
 
 
-def _vector_array(n: np.ndarray, pos: np.ndarray, value: np.ndarray, d: int, fill: np.ndarray | float) -> pa.StructArray:
+def _vector_array(n: np.ndarray, pos: np.ndarray, value: np.ndarray, d: int, fill: np.ndarray | float,
+                  form: str | None) -> pa.StructArray:
     """Vectors of consecutive samples with ``n`` cells each."""
-    rows, start = len(n), np.concatenate([[0], np.cumsum(n)])
-    zero = np.isscalar(fill) and fill == 0.0
-    dense = np.ones(rows, bool) if not zero else n * 12 + 20 >= d * 8
+    rows = len(n)
+    dense = n * 12 + 20 >= d * 8 if form is None else np.full(rows, form == "dense")
     cells = np.repeat(dense, n)
     width = np.where(dense, d, n)
     at = np.concatenate([[0], np.cumsum(width)])
@@ -54,7 +54,9 @@ def _vector_array(n: np.ndarray, pos: np.ndarray, value: np.ndarray, d: int, fil
     return pa.StructArray.from_arrays([kinds, sizes, indices, lists], fields=list(_VECTOR))
 
 
-def _build(d: int, fill: np.ndarray | float):
+def _build(d: int, fill: np.ndarray | float, form: str | None):
+    zero = np.isscalar(fill) and fill == 0.0
+
     def vectors(keys: pa.Array, pos: np.ndarray, value: np.ndarray, begin: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Of whole samples, which begin at the given rows; position -1 stands for no cell."""
         end = np.append(begin[1:], len(pos))
@@ -63,6 +65,8 @@ def _build(d: int, fill: np.ndarray | float):
             hi = min(lo + step, len(begin))
             a, b = begin[lo], end[hi - 1]
             real = pos[a:b] >= 0
+            if zero:
+                real &= value[a:b] != 0.0  # the same as an absent cell
             n = np.add.reduceat(real, begin[lo:hi] - a).astype(np.int64)
             p = pos[a:b][real]
             owner = np.repeat(np.arange(hi - lo), n)
@@ -72,7 +76,7 @@ def _build(d: int, fill: np.ndarray | float):
             if len(p) and p[-1] >= d:
                 raise ValueError(f"position {p[-1]} is outside a vector of {d}")
             yield pa.RecordBatch.from_arrays(
-                [keys.take(pa.array(begin[lo:hi])), _vector_array(n, p, value[a:b][real], d, fill)], names=["key", "vector"])
+                [keys.take(pa.array(begin[lo:hi])), _vector_array(n, p, value[a:b][real], d, fill, form)], names=["key", "vector"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the sample that may go on in the next batch
@@ -93,12 +97,13 @@ def _build(d: int, fill: np.ndarray | float):
 
 
 def assemble_vectors(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_id", out: str = "features",
-                     samples: DataFrame | None = None) -> DataFrame:
+                     samples: DataFrame | None = None, form: str | None = None) -> DataFrame:
     """``(key, out)``: one Spark ML vector of width ``d`` per sample, from cells ``(key, pos, value)``.
 
     NULL values and positions read as absent.  With ``samples`` every sample of
     that table gets a vector, also one without any cell.  A position that occurs
-    twice in a sample is an error (aggregate the cells first)."""
+    twice in a sample is an error (aggregate the cells first).  ``form`` may ask
+    for "dense" or, where absent cells read 0, "sparse" vectors."""
     if not np.isscalar(fill):
         fill = np.asarray(fill, float)
         if len(fill) != d:
@@ -107,6 +112,12 @@ def assemble_vectors(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_i
             fill = 0.0
     else:
         fill = float(fill)
+    if np.isscalar(fill) and fill == 0.0:
+        pass
+    elif form == "sparse":
+        raise ValueError("sparse vectors need absent cells to read 0")
+    else:
+        form = "dense"
     cells = long_pos.where(F.col(key).isNotNull()).select(
         key, F.when(F.col("value").isNotNull(), F.coalesce(F.col("pos").cast("int"), F.lit(-1))).otherwise(F.lit(-1)).alias("pos"),
         F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"))
@@ -118,5 +129,5 @@ def assemble_vectors(long_pos: DataFrame, d: int, fill=0.0, key: str = "sample_i
     # of its own: a plain repartition(key) may be left out over a union whose two sides are
     # already dealt by the key, and those sides' partitions need not match after coalescing.
     ordered = cells.repartition(F.xxhash64(key)).sortWithinPartitions(key, "pos")
-    made = ordered.mapInArrow(_build(d, fill), StructType([StructField("key", kind), StructField("vector", VectorUDT())]))
+    made = ordered.mapInArrow(_build(d, fill, form), StructType([StructField("key", kind), StructField("vector", VectorUDT())]))
     return made.select(F.col("key").alias(key), F.col("vector").alias(out))
