@@ -106,27 +106,32 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op7_sql() -> str:
     least = license_scan.LEAST_DICE
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ", ".join(f"({quoted(name)}, [{', '.join(map(quoted, license_scan.template_bigrams(text)))}])"
-                       for name, text in license_scan.TEMPLATES)
+    templates = ", ".join(f"({quoted(name)}, {len(license_scan.template_places(text))}, "
+                          f"[{', '.join(map(quoted, license_scan.template_bigrams(text)))}])" for name, text in license_scan.TEMPLATES)
+    anchors = ", ".join(f"({quoted(name)}, {quoted(b)}, {place})" for name, text in license_scan.TEMPLATES
+                        for b, place in license_scan.anchors(text))
     return f"""
-WITH templates(name, own) AS (VALUES {values}),
-lines AS (
-  SELECT doc_id, rid, generate_subscripts(ls, 1) - 1 AS line, unnest(ls) AS words
-  FROM (SELECT doc_id, rid, list_transform(string_split(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\\n]+', ' ', 'g'), chr(10)),
-                                      lambda x: string_split(trim(x), ' ')) AS ls
-        FROM (SELECT doc_id, text, row_number() OVER () AS rid FROM documents))),
-bigrams AS (
-  SELECT doc_id, rid, line, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS b
-  FROM lines WHERE len(words) > 1),
+WITH templates(name, length, own) AS (VALUES {templates}),
+anchors(name, b, place) AS (VALUES {anchors}),
+rows AS (SELECT doc_id, text, row_number() OVER () AS rid FROM documents),
+words AS (
+  SELECT rid, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM rows),
+bigrams AS (SELECT rid, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS bs FROM words WHERE len(w) > 1),
+marks AS (SELECT rid, unnest(bs) AS b, generate_subscripts(bs, 1) - 1 AS i FROM bigrams),
+starts AS (SELECT DISTINCT m.rid, a.name, greatest(0, m.i - a.place) AS start FROM marks m JOIN anchors a USING (b)),
+windows AS (
+  SELECT rid, name, start, own, list_distinct(list_slice(bs, start + 1, start + length)) AS win
+  FROM starts JOIN templates USING (name) JOIN bigrams USING (rid)),
 matches AS (
-  SELECT doc_id, rid, line, name, 2.0::DOUBLE * len(list_intersect(b, own)) / (len(b) + len(own)) AS dice
-  FROM bigrams, templates
-  WHERE len(b) BETWEEN len(own) * {least / (2 - least)!r} AND len(own) * {(2 - least) / least!r}),
+  SELECT rid, name, start, 2.0::DOUBLE * len(list_intersect(win, own)) / (len(win) + len(own)) AS dice
+  FROM windows WHERE len(win) BETWEEN len(own) * {least / (2 - least)!r} AND len(own) * {(2 - least) / least!r}),
 best AS (
-  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name, line) AS nth, count(*) OVER (PARTITION BY rid) AS n
-  FROM matches WHERE dice >= {least!r})
-SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_matches, name AS license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(line, -1)::BIGINT AS line
-FROM (SELECT doc_id, row_number() OVER () AS rid FROM documents) d LEFT JOIN (SELECT * FROM best WHERE nth = 1) b USING (rid)
+  SELECT *, row_number() OVER (PARTITION BY rid, name ORDER BY dice DESC, start) AS nth FROM matches WHERE dice >= {least!r}),
+first AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name, start) AS place, count(*) OVER (PARTITION BY rid) AS n
+  FROM best WHERE nth = 1)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_matches, name AS license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(start, -1)::BIGINT AS word
+FROM rows d LEFT JOIN (SELECT * FROM first WHERE place = 1) f USING (rid)
 """
 
 

@@ -4,6 +4,7 @@ rows and clashing column names; every operator also runs on an empty table."""
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -157,6 +158,61 @@ def test_pii(spark, empty):
     assert pii.redact(empty).count() == 0
 
 
+def test_many_matches_in_one_text(spark):
+    """Positions and overlaps of 30,000 matches in one text."""
+    one = "x7@ab.com, 😀 "
+    df = spark.createDataFrame([(1, one * 30_000), (2, "call 555-123-4567 or " * 3000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.redact(df).collect()}
+    base = ",".join(f"email:{k * 13}:{k * 13 + 9}" for k in range(30_000))
+    assert len(one) == 13 and got[1].n_email == 30_000
+    assert got[1].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert got[2].n_phone == 0
+
+
+def test_spelled_out_items_are_found(spark):
+    """Planted items that no base pattern finds, among decoys: recall and precision of the added spans."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choices("abdeghilmnorstu", k=rng.randint(3, 8)))
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    part = lambda: str(rng.randint(1, 254))
+
+    def card():
+        body = "4" + digits(14)
+        check = next(c for c in "0123456789" if sum(
+            d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(map(int, reversed(body + c)))) % 10 == 0)
+        return body + check
+
+    base = [lambda: f"{word()}.{digits(2)}@{word()}.com", lambda: ".".join(part() for _ in range(4)), card,
+            lambda: f"+{digits(2)} ({digits(3)}) {digits(3)}-{digits(4)}"]
+    decoy = [lambda: f"{word()}@{word()}", lambda: f"{word()} [at] {word()}", lambda: "3." + ".".join(part() for _ in range(5)),
+             lambda: ".".join(["300", part(), part(), "999"]), lambda: "1" + digits(15), lambda: f"20{digits(2)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)} 10",
+             lambda: f"{digits(3)} {digits(3)}"]
+    hidden = [("email", lambda: f"{word()}.{digits(2)} (at) {word()} (dot) com"), ("phone", lambda: f"({digits(3)}) {digits(3)}-{digits(4)}"),
+              ("card", lambda: "/".join(c[i:i + 4] for c in [card()] for i in (0, 4, 8, 12)))]
+    rows, planted = [], {}
+    for i in range(900):
+        text = " ".join(word() for _ in range(rng.randint(3, 12))) + " "
+        if i % 3 == 0:
+            text += rng.choice(base)()
+        elif i % 3 == 1:
+            text += rng.choice(decoy)()
+        elif i % 2:
+            kind, make = hidden[i // 6 % 3]
+            item = make()
+            planted[i] = f"{kind}:{len(text)}:{len(text) + len(item)}"
+            text += item
+        rows.append((i, text + " " + word()))
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    added = {r.doc_id: [f"{k}:{s.start}:{s.end}" for k in pii.KINDS for s in r[f"more_{k}"]] for r in found}
+    hits = sum(planted[i] in added[i] for i in planted)
+    assert hits >= 0.9 * len(planted), (hits, [(rows[i][1], planted[i], added[i]) for i in planted if planted[i] not in added[i]][:6])
+    assert hits >= 0.9 * sum(map(len, added.values())), (hits, [(rows[i][1], a) for i, a in added.items() if a and i not in planted][:8])
+    for r in found:  # added spans overlap neither base spans nor each other
+        spans = sorted((s.start, s.end) for k in pii.KINDS for s in r[f"more_{k}"])
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        assert not any(s.start < b.end and b.start < s.end for k in pii.KINDS for s in r[f"more_{k}"] for j in pii.KINDS for b in r[f"base_{j}"])
+
+
 @pytest.mark.parametrize("size,percent", [(3, 90), (5, 80)])
 def test_ngram_join(docs, empty, size, percent):
     sets = []
@@ -199,13 +255,57 @@ def test_chat(spark):
 
 def test_license_scan(docs, empty):
     out = {r.doc_id: r for r in license_scan.best_license(docs).collect()}
-    found = {i: (r.license, r.line) for i, r in out.items() if r.n_matches}
-    ids = {r[1]: r[0] for r in rows() if r[0] is not None and r[0] > 36}
+    found = {i: (r.license, r.word) for i, r in out.items() if r.n_matches}
+    ids = {r[1]: r[0] for r in rows()}
     assert found == {ids["This work is licensed under the GNU General Public License, version 3."]: ("GPL-3.0", 0),
                      ids["intro\nReleased under the MIT License!\nend"]: ("MIT", 1)}
     assert license_scan.best_license(empty).count() == 0
 
 
+def dice(a, b):
+    return 2 * len(a & b) / (len(a) + len(b)) if a or b else 0.0
+
+
+def test_license_notices_wrapped_and_embedded(spark):
+    """Every template is found whole, wrapped as a comment, and inside a paragraph with some words
+    changed; the coefficient is that of the window, by sets."""
+    import textwrap
+    rng = random.Random(9)
+    filler = "the of and to in ore thand erinth with without software under a copy this is license".split()
+    planted = []
+    for name, text in license_scan.TEMPLATES:
+        wrapped = "\n".join(" * " + line for line in textwrap.wrap(text, 40))
+        around = [" ".join(rng.choices(filler, k=60)) for _ in range(2)]
+        words = text.split()
+        if len(words) > 40:
+            words[len(words) // 2] = "zzz"
+        planted += [(name, text.upper()), (name, "/*\n" + wrapped + "\n */ int x;"), (name, f"{around[0]} {' '.join(words)} {around[1]}")]
+    plain = [" ".join(rng.choices(filler, k=200)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate([t for _, t in planted] + plain)), "doc_id long, text string").repartition(3)
+    templates = {name: set(license_scan.template_bigrams(text)) for name, text in license_scan.TEMPLATES}
+    lengths = {name: len(license_scan.template_places(text)) for name, text in license_scan.TEMPLATES}
+    for r in license_scan.scan(df).collect():
+        if r.doc_id >= len(planted):
+            assert not r.matches
+            continue
+        name, text = planted[r.doc_id]
+        assert name in {m.name for m in r.matches}, (r.doc_id, name)
+        pairs = license_scan.template_places(text)
+        for m in r.matches:
+            window = set(pairs[m.word:m.word + lengths[m.name]])
+            assert -m.neg == pytest.approx(dice(window, templates[m.name])) and -m.neg >= license_scan.LEAST_DICE
+            assert -m.neg <= max(dice(set(pairs[i:i + lengths[m.name]]), templates[m.name]) for i in range(len(pairs))) + 1e-12
+
+
+def test_no_window_of_enough_words_lacks_all_anchors():
+    """All but the anchors of a template can't reach the coefficient."""
+    for _, text in license_scan.TEMPLATES:
+        own = set(license_scan.template_bigrams(text))
+        rest = own - {b for b, _ in license_scan.anchors(text)}
+        assert dice(own, rest) < license_scan.LEAST_DICE
+        assert dice(own, own - {license_scan.anchors(text)[0][0]}) >= license_scan.LEAST_DICE or len(own) < 4
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(queries.tokenizer_path())
