@@ -64,31 +64,34 @@ def loadings(spark, model, signs, dictionary_rows: list[str], modality: str) ->
 # driver holds only d x l and l x l arrays (l = k + oversampling), which are
 # bounded by features x components.
 
-def sample_entries(long_pos: DataFrame, key: str = "sample_id") -> DataFrame:
-    """``(key, _i array<int>, _v array<double>)``: one row per sample with its
-    non-zero cells (bounded by the dictionary size)."""
-    return long_pos.groupBy(key).agg(F.collect_list(F.col("pos").cast("int")).alias("_i"),
-                                     F.collect_list(F.col("value").cast("double")).alias("_v"))
-
-
-def _project(entries: DataFrame, M: np.ndarray, shift: np.ndarray, key: str, out: str) -> DataFrame:
-    """Per sample ``x_s @ M - shift`` (M broadcast, d x l)."""
-    spark = entries.sparkSession
-    bM = spark.sparkContext.broadcast(M)
-    l = M.shape[1]
+def sample_entries(long_pos: DataFrame, key: str = "sample_id", samples: DataFrame | None = None) -> DataFrame:
+    """``(key, grp, _i array<int>, _v array<double>)``: one row per sample with its non-zero cells
+    (bounded by the dictionary size).  ``samples`` (key, grp) also names those without any cell;
+    without it every sample is of group 0."""
+    cells = long_pos.groupBy(key).agg(F.collect_list(F.col("pos").cast("int")).alias("_i"),
+                                      F.collect_list(F.col("value").cast("double")).alias("_v"))
+    if samples is None:
+        return cells.select(key, F.lit(0).alias("grp"), "_i", "_v")
+    return samples.select(key, "grp").join(cells, key, "left").select(
+        key, "grp", F.coalesce("_i", F.array().cast("array<int>")).alias("_i"),
+        F.coalesce("_v", F.array().cast("array<double>")).alias("_v"))
+
+
+def _project(entries: DataFrame, M: np.ndarray, offset: np.ndarray, key: str, out: str) -> DataFrame:
+    """``(key, grp, out)``: per sample ``x_s @ M + offset[grp]`` (M broadcast, d x l)."""
+    bM = entries.sparkSession.sparkContext.broadcast((M, offset))
 
     def run(batches):
         import pandas as pd
-        Mv = bM.value
+        Mv, off = bM.value
         for pdf in batches:
             ys = []
-            for ii, vv in zip(pdf["_i"], pdf["_v"]):
+            for g, ii, vv in zip(pdf["grp"], pdf["_i"], pdf["_v"]):
                 ii = np.asarray(ii, dtype=np.int64)
-                vv = np.asarray(vv, dtype=float)
-                ys.append((vv @ Mv[ii] if len(ii) else np.zeros(l)) - shift)
-            yield pd.DataFrame({key: pdf[key], out: ys})
+                ys.append((np.asarray(vv, dtype=float) @ Mv[ii] if len(ii) else 0.0) + off[g])
+            yield pd.DataFrame({key: pdf[key], "grp": pdf["grp"], out: ys})
     kt = entries.schema[key].dataType.simpleString()
-    return entries.mapInPandas(run, f"{key} {kt}, {out} array<double>")
+    return entries.mapInPandas(run, f"{key} {kt}, grp int, {out} array<double>")
 
 
 def _xt_y(entries_y: DataFrame, d: int, l: int, ycol: str) -> np.ndarray:
@@ -113,6 +116,7 @@ def _xt_y(entries_y: DataFrame, d: int, l: int, ycol: str) -> np.ndarray:
 
 
 def _gram(y: DataFrame, l: int, ycol: str) -> np.ndarray:
+    """``Y^T Y``; the tasks' partials are summed by Spark, so l x l values reach the driver."""
     def run(batches):
         import pandas as pd
         acc = np.zeros((l, l))
@@ -121,93 +125,96 @@ def _gram(y: DataFrame, l: int, ycol: str) -> np.ndarray:
             acc += Y.T @ Y
         yield pd.DataFrame({"g": [acc.ravel()]})
     parts = y.select(ycol).mapInPandas(run, "g array<double>")
-    tot = np.zeros(l * l)
-    for r in parts.collect():  # one l x l partial per task
-        tot += np.asarray(r["g"])
-    return tot.reshape(l, l)
+    out = np.zeros(l * l)
+    for r in parts.select(F.posexplode("g").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).collect():
+        out[r["at"]] = r["v"]
+    return out.reshape(l, l)
 
 
 def _orthonormalise(y: DataFrame, l: int, key: str, ycol: str) -> DataFrame:
     """Cholesky QR: ``Q = Y R^-1`` with ``R^T R = Y^T Y`` (l x l on the driver)."""
     G = _gram(y, l, ycol)
-    R = np.linalg.cholesky(G + 1e-12 * np.trace(G) / l * np.eye(l)).T
-    Rinv = np.linalg.inv(R)
-    spark = y.sparkSession
-    bR = spark.sparkContext.broadcast(Rinv)
+    R = np.linalg.cholesky(G + 1e-12 * max(np.trace(G), 1e-300) / l * np.eye(l)).T
+    bR = y.sparkSession.sparkContext.broadcast(np.linalg.inv(R))
 
     def run(batches):
         import pandas as pd
         Ri = bR.value
         for pdf in batches:
             Y = np.vstack(pdf[ycol].to_numpy()) if len(pdf) else np.zeros((0, l))
-            yield pd.DataFrame({key: pdf[key], ycol: list(Y @ Ri)})
+            yield pd.DataFrame({key: pdf[key], "grp": pdf["grp"], ycol: list(Y @ Ri)})
     kt = y.schema[key].dataType.simpleString()
-    return y.mapInPandas(run, f"{key} {kt}, {ycol} array<double>")
+    return y.mapInPandas(run, f"{key} {kt}, grp int, {ycol} array<double>")
 
 
 def randomized_pca(long_pos: DataFrame, d: int, k: int, n_samples: int, oversample: int = 10,
-                   power_iters: int = 2, seed: int = 42, key: str = "sample_id"):
-    """Top-``k`` principal components of the centred (absent = 0) matrix.
+                   power_iters: int = 2, seed: int = 42, key: str = "sample_id",
+                   samples: DataFrame | None = None, bases: np.ndarray | None = None):
+    """Top-``k`` principal components of the centred matrix; any width.
 
+    A sample reads ``bases[grp]`` (groups x d; zero without it) plus its cells, so rows that are
+    dense only by a few shared patterns stay sparse.  ``samples`` (key, grp) names all rows.
     Returns ``(components d x k, explained_variance k, mean d, total_variance)``;
     signs are fixed so the largest-magnitude loading is positive.
     """
     from ..session import materialize
     l = min(k + oversample, d, n_samples)
-    entries = materialize(sample_entries(long_pos, key), "pca_entries")
-    sums = {r["pos"]: r["s"] for r in long_pos.groupBy("pos").agg(F.sum("value").alias("s")).collect()}
-    mu = np.zeros(d)
-    for p, s in sums.items():
-        mu[p] = s / n_samples
-    sq = long_pos.agg(F.sum(F.col("value") * F.col("value"))).first()[0] or 0.0
-    total_var = (sq - n_samples * float(mu @ mu)) / (n_samples - 1)
-    rng = np.random.default_rng(seed)
-    omega = rng.standard_normal((d, l))
-    Z = omega
+    bases = np.zeros((1, d)) if bases is None else np.asarray(bases, float)
+    entries = materialize(sample_entries(long_pos, key, samples), "pca_entries")
+    size = np.zeros(len(bases))
+    if samples is None:
+        size[0] = n_samples
+    else:
+        for r in entries.groupBy("grp").count().collect():
+            size[r["grp"]] = r["count"]
+    cells = entries.select("grp", F.explode(F.arrays_zip("_i", "_v")).alias("c")).select(
+        "grp", F.col("c._i").alias("pos"), F.col("c._v").alias("value"))
+    own = np.zeros((len(bases), d))
+    for r in cells.groupBy("grp", "pos").agg(F.sum("value").alias("s")).collect():  # groups x d values
+        own[r["grp"], r["pos"]] = r["s"]
+    mu = (own.sum(axis=0) + size @ bases) / n_samples
+    sq = cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0] or 0.0
+    sq += 2 * float((own * bases).sum()) + float(size @ (bases * bases).sum(axis=1))
+    total_var = (sq - n_samples * float(mu @ mu)) / max(n_samples - 1, 1)
+    shift = bases - mu
+
+    def xt_q(q: DataFrame) -> np.ndarray:
+        """Xc^T Q: that of the cells, and of every group's shift."""
+        ones = np.zeros((len(bases), l))
+        for r in q.select("grp", F.posexplode("_y").alias("j", "v")).groupBy("grp", "j").agg(F.sum("v").alias("s")).collect():
+            ones[r["grp"], r["j"]] = r["s"]
+        return _xt_y(entries.drop("grp").join(q, key), d, l, "_y") + shift.T @ ones
+
+    Z = np.random.default_rng(seed).standard_normal((d, l))
     for it in range(power_iters + 1):
-        y = _project(entries, Z, mu @ Z, key, "_y")
-        q = materialize(_orthonormalise(y, l, key, "_y"), "pca_q")
-        if it == power_iters:
-            break
-        XtQ = _xt_y(entries.join(q, key), d, l, "_y")
-        # centring: Xc^T Q = X^T Q - mu (1^T Q)
-        ones_q = np.asarray(q.select(F.posexplode("_y").alias("j", "v")).groupBy("j").agg(F.sum("v").alias("s"))
-                            .orderBy("j").select("s").toPandas()["s"])
-        Z, _ = np.linalg.qr(XtQ - np.outer(mu, ones_q))
-    XtQ = _xt_y(entries.join(q, key), d, l, "_y")
-    ones_q = np.asarray(q.select(F.posexplode("_y").alias("j", "v")).groupBy("j").agg(F.sum("v").alias("s"))
-                        .orderBy("j").select("s").toPandas()["s"])
-    B = (XtQ - np.outer(mu, ones_q)).T  # l x d = Q^T Xc
-    _, s, vt = np.linalg.svd(B, full_matrices=False)
+        q = materialize(_orthonormalise(_project(entries, Z, shift @ Z, key, "_y"), l, key, "_y"), "pca_q")
+        B = xt_q(q)
+        if it < power_iters:
+            Z, _ = np.linalg.qr(B)
+    _, s, vt = np.linalg.svd(B.T, full_matrices=False)  # l x d = Q^T Xc
     comps = vt[:k].T
     idx = np.abs(comps).argmax(axis=0)
-    signs = np.where(comps[idx, np.arange(k)] < 0, -1.0, 1.0)
-    return comps * signs, (s[:k] ** 2) / (n_samples - 1), mu, total_var
+    signs = np.where(comps[idx, np.arange(comps.shape[1])] < 0, -1.0, 1.0)
+    return comps * signs, (s[:k] ** 2) / max(n_samples - 1, 1), mu, total_var
 
 
 def randomized_scores(long_pos: DataFrame, comps: np.ndarray, mu: np.ndarray, modality: str,
-                      key: str = "sample_id") -> DataFrame:
+                      key: str = "sample_id", samples: DataFrame | None = None, bases: np.ndarray | None = None) -> DataFrame:
     """Long scores ``(key, component, score)`` = (x - mu) @ components."""
-    y = _project(sample_entries(long_pos, key), comps, mu @ comps, key, "_s")
+    shift = (np.zeros((1, len(mu))) if bases is None else bases) - mu
+    y = _project(sample_entries(long_pos, key, samples), comps, shift @ comps, key, "_s")
     return y.select(key, F.posexplode("_s").alias("i", "score")).select(
         key, F.format_string(f"{modality}_PCA_PC%d", F.col("i") + 1).alias("component"), "score")
 
 
 def pca_long(long_pos: DataFrame, d: int, k: int, n_samples: int, modality: str,
-             key: str = "sample_id", method: str = "auto") -> tuple[DataFrame, np.ndarray]:
-    """Scores ``(key, component, score)`` and explained-variance ratios.
-
-    ``method='exact'`` (covariance route, d <= 4,000) or ``'randomized'``
-    (range finder, any width); ``'auto'`` picks by width.
-    """
+             key: str = "sample_id", method: str = "randomized") -> tuple[DataFrame, np.ndarray]:
+    """Scores ``(key, component, score)`` and explained-variance ratios: by the range finder
+    (any width), or with ``method='exact'`` by the covariance (d <= 4,000)."""
     from .reshape import assemble_dense
-    if method == "exact" or (method == "auto" and n_features_ok(d)):
+    if method == "exact":
         vec = assemble_dense(long_pos, d, 0.0, key)
         scaler, model, signs, ev = fit_pca(vec, k, d)
         return apply_pca(vec, scaler, model, signs, modality, key), ev
     comps, var, mu, total = randomized_pca(long_pos, d, k, n_samples, key=key)
     return randomized_scores(long_pos, comps, mu, modality, key), var / total
-
-
-def n_features_ok(d: int) -> bool:
-    return d <= MAX_PCA_FEATURES

@@ -109,55 +109,54 @@ def pca_component_cap(k: int | None, n_samples: int, n_features: int) -> int:
 
 
 def impute_and_reduce(features: DataFrame, modality: str, k: int, by: str = "category"):
-    """PCA step of the sample dataset job for one modality (L11 in L15).
-
-    The feature columns of all files are united (sorted dictionary, U3);
-    within a file an absent cell reads that file's scaled zero, a feature the
-    file does not have reads NULL; per-feature medians fitted on the combined
-    rows (exact, distributed) fill the NULLs (A13); PCA is fitted on the
-    combined rows and scores every (file, sample) row.  Returns long scores
-    ``(category, sample_id, feature=<m>_PCA_PC<i>, value)`` and the explained
-    variance ratios; with ``k <= 0``, or when the reduction fails (e.g. more
-    features than the covariance route allows), the features pass through
-    unchanged.
+    """PCA step of the sample dataset job for one modality (L11 in L15), at any width.
+
+    The feature columns of all files are united (sorted dictionary, U3).
+    Within a file an absent cell reads that file's scaled zero; a feature the
+    file does not have reads NULL, as does every feature of a restored sample
+    (one without any feature).  Per-feature medians over the rows that are not
+    NULL (exact, distributed) fill the NULLs (A13).  PCA is fitted on the rows
+    of all files: a row is its file's pattern of zeros and medians plus its own
+    cells, so no dense row is built.  Returns long scores ``(category,
+    sample_id, feature=<m>_PCA_PC<i>, value)`` and the explained variance
+    ratios; with ``k <= 0`` the features pass through unchanged.
     """
+    import numpy as np
+
     from ..operators import reduce as RD
     from ..operators.ordered import exact_percentile
-    from ..operators.reshape import feature_dictionary
+    from ..session import materialize
 
     present = features.where(F.col("feature").isNotNull())
-    dictionary = feature_dictionary(present)
+    dictionary = materialize(R.feature_dictionary(present), "reduce_dictionary")
     d = dictionary.count()
-    rows = features.select(by, "sample_id").distinct()
+    rows = features.groupBy(by, "sample_id").agg(F.count("feature").alias("_n"))
+    rows = materialize(rows.select(F.monotonically_increasing_id().alias("_row"), by, "sample_id",
+                                   (F.col("_n") > 0).alias("_has")), "reduce_rows")
+    counts = rows.where("_has").groupBy(by).agg(F.count(F.lit(1)).alias("_N"))
+    files = {r[by]: g for g, r in enumerate(counts.orderBy(by).collect())}  # bounded: files of a modality
     n = rows.count()
     k = RD.component_cap(k, n, d)
     if k <= 0:
         return features, None
-    kept = present.select(by, "feature", "zero_value").distinct().join(dictionary, "feature")
-    zero_map = kept.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("pos", "zero_value"))).alias("_z"))
-    cell_map = present.join(dictionary, "feature").groupBy(by, "sample_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("pos", "value"))).alias("_m"))
-    base = rows.join(cell_map, [by, "sample_id"], "left").join(zero_map, by, "left")
-    idx = F.sequence(F.lit(0), F.lit(d - 1))
-    arr = F.transform(idx, lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.element_at(F.col("_z"), i)))
-    dense = base.select(by, "sample_id", arr.alias("_x"))
-    # median per position over the combined rows, then fill (bounded: d values)
-    obs = dense.select(F.posexplode("_x").alias("pos", "value")).where(F.col("value").isNotNull()) \
-        .groupBy("pos", "value").agg(F.count(F.lit(1)).alias("w"))
-    med = {r["pos"]: r["median"] for r in exact_percentile(obs, ["pos"], "value", "w", 0.5, "median").collect()}
-    meds = F.array(*[F.lit(float(med.get(i, 0.0))) for i in range(d)])
-    filled = F.zip_with(F.col("_x"), meds, lambda v, m: F.coalesce(v, m))
-    from pyspark.ml.functions import array_to_vector
-    vec = dense.select(by, "sample_id", array_to_vector(filled).alias("features"))
-    try:
-        scaler, model, signs, ev = RD.fit_pca(vec, k, d)
-    except Exception:  # noqa: BLE001 - a failed reduction keeps the un-reduced features
-        return features, None
-    x = model.transform(scaler.transform(vec))
-    from pyspark.ml.functions import vector_to_array
-    sg = F.array(*[F.lit(float(s)) for s in signs])
-    scores = F.zip_with(vector_to_array(F.col("_scores")), sg, lambda a, b: a * b)
-    out = x.select(by, "sample_id", F.posexplode(scores).alias("i", "value")).select(
-        by, "sample_id", F.format_string(f"{modality}_PCA_PC%d", F.col("i") + 1).alias("feature"),
-        "value", F.lit(0.0).alias("zero_value"))
-    return out, ev
+    cells = present.join(dictionary, "feature")
+    zeros = materialize(cells.groupBy(by, "pos").agg(F.max("zero_value").alias("zero"), F.count(F.lit(1)).alias("_present")), "reduce_zeros")
+    absent = zeros.join(counts, by).select("pos", F.col("zero").alias("value"), (F.col("_N") - F.col("_present")).alias("w"))
+    observed = cells.groupBy("pos", "value").agg(F.count(F.lit(1)).alias("w")).unionByName(absent.where("w > 0")) \
+        .groupBy("pos", "value").agg(F.sum("w").alias("w"))
+    bases = np.zeros((len(files) + 1, d))  # the last one is of restored samples
+    for r in exact_percentile(observed, ["pos"], "value", "w", 0.5, "median").collect():  # d values
+        bases[:, r["pos"]] = r["median"]
+    for r in zeros.select(by, "pos", "zero").collect():  # files x d values
+        bases[files[r[by]], r["pos"]] = r["zero"]
+    group = F.lit(len(files))
+    for name, g in files.items():
+        group = F.when(F.col("_has") & (F.col(by) == F.lit(name)), F.lit(g)).otherwise(group)
+    samples = rows.select("_row", group.cast("int").alias("grp"))
+    delta = cells.join(rows, [by, "sample_id"]).select("_row", "pos", (F.col("value") - F.col("zero_value")).alias("value"))
+    delta = materialize(delta.where("value <> 0"), "reduce_cells")
+    comps, var, mu, total = RD.randomized_pca(delta, d, k, n, key="_row", samples=samples, bases=bases)
+    scores = RD.randomized_scores(delta, comps, mu, modality, "_row", samples, bases)
+    out = scores.join(rows, "_row").select(by, "sample_id", F.col("component").alias("feature"),
+                                           F.col("score").alias("value"), F.lit(0.0).alias("zero_value"))
+    return out, var / total if total > 0 else var

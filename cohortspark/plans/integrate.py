@@ -119,16 +119,22 @@ def integrate_mixed(long: DataFrame, wide: DataFrame, features: list[str],
     return U.union_common([wide_long, wide])
 
 
+def _named(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col("sample_id").isNotNull() & F.col("feature").isNotNull())
+
+
 def prepare_long(raw: DataFrame, dictionary: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Scoring time: coerce, mean per cell, keep dictionary features.
-    Absent features read 0 when the vector / pivot is built."""
+    """Scoring time: coerce, mean per cell, keep dictionary features.  Absent
+    features read 0 when the vector / pivot is built; a sample without any
+    dictionary feature keeps one row with NULL feature, position and value."""
     text = isinstance(raw.schema["value"].dataType, StringType)
     cells = R.cell_mean(raw.withColumn("value", coerce_numeric("value", 0.0, is_string=text)))
-    return R.align_long(cells, dictionary)
+    return R.restore_samples(_named(raw), R.align_long(cells, dictionary))
 
 
 def prepare_events(raw: DataFrame, dictionary: DataFrame) -> DataFrame:
-    return R.align_long(R.presence(raw), dictionary)
+    """Presence of the dictionary features; samples without one are kept as in :func:`prepare_long`."""
+    return R.restore_samples(_named(raw), R.align_long(R.presence(raw), dictionary))
 
 
 def prepare_wide(raw: DataFrame, features: list[str], key: str = "sample_id",

@@ -225,3 +225,26 @@ def q_pca_randomized(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = long.select("sample_id").distinct().count()
     scores, _ = RD.pca_long(lp, d, RD.component_cap(10, n, d), n, "Meth", method="randomized")
     return rounded(scores)
+
+
+@register("pca_variance", """
+SELECT route, least(count(*), (SELECT count(*) FROM embeddings)) AS n_components, round(sum(v), 4) AS variance
+FROM (SELECT i, var_samp(x) AS v
+      FROM (SELECT generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) GROUP BY i)
+CROSS JOIN (VALUES ('exact'), ('sketch')) r(route) GROUP BY route""")
+def q_pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The components of the probe matrix together hold its whole variance, by the covariance
+    route and by the sketch."""
+    t = Tables(spark, sf_dir)
+    long = materialize(B.methylation_long(t).select("sample_id", "feature", "value"), "probe_cells")
+    dictionary = R.feature_dictionary(long)
+    d, n = dictionary.count(), long.select("sample_id").distinct().count()
+    cells = R.align_long(long, dictionary)
+    out = None
+    for route, method in (("exact", "exact"), ("sketch", "randomized")):
+        scores, _ = RD.pca_long(cells, d, RD.component_cap(d, n, d), n, "Meth", method=method)
+        per = scores.groupBy("component").agg(F.var_samp("score").alias("v"))
+        row = per.agg(F.count(F.lit(1)).alias("n_components"), F.round(F.sum("v"), 4).alias("variance")) \
+            .select(F.lit(route).alias("route"), "n_components", "variance")
+        out = row if out is None else out.unionByName(row)
+    return out

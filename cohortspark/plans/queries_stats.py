@@ -254,10 +254,11 @@ def training_dictionary(t: Tables) -> DataFrame:
 
 
 @register("prepare_long", with_ctes("""
-SELECT c.sample_id, c.feature, d.pos, round(c.value, 6) AS value
-FROM (SELECT sample_id, feature, avg(coalesce(CASE WHEN isnan(value) THEN NULL ELSE value END, 0.0)) AS value
+SELECT s.sample_id, x.feature, x.pos, x.value
+FROM (SELECT DISTINCT sample_id FROM expr_long WHERE sample_id IS NOT NULL AND feature IS NOT NULL) s
+LEFT JOIN (SELECT c.sample_id, c.feature, d.pos, round(c.value, 6) AS value FROM (SELECT sample_id, feature, avg(coalesce(CASE WHEN isnan(value) THEN NULL ELSE value END, 0.0)) AS value
       FROM expr_long WHERE sample_id IS NOT NULL AND feature IS NOT NULL GROUP BY ALL) c
-JOIN train_dictionary d ON c.feature = d.feature""", "expr_long", "train_dictionary"))
+JOIN train_dictionary d ON c.feature = d.feature) x ON s.sample_id = x.sample_id""", "expr_long", "train_dictionary"))
 def q_prepare_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L13 (long): coerce, mean per cell, keep the saved training features
     (dictionary of the variance-filtered training features) with positions."""
@@ -268,14 +269,16 @@ def q_prepare_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("prepare_events", with_ctes("""
-SELECT p.sample_id, p.feature, d.pos, 1 AS value
+SELECT s.sample_id, x.feature, x.pos, x.value
+FROM (SELECT DISTINCT sample_id FROM mut_events WHERE sample_id IS NOT NULL AND feature IS NOT NULL) s
+LEFT JOIN (SELECT p.sample_id, p.feature, d.pos, 1 AS value
 FROM (SELECT DISTINCT sample_id, feature FROM mut_events) p
 JOIN (SELECT CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS pos, feature FROM (
         SELECT feature FROM (SELECT DISTINCT sample_id, feature FROM mut_events WHERE variant_class IN ('A', 'R'))
         GROUP BY feature
         HAVING count(*) >= greatest(1, ceil((SELECT count(DISTINCT sample_id) FROM mut_events
                                              WHERE variant_class IN ('A', 'R')) * 1.0 / 100.0)))) d
-  ON p.feature = d.feature""", "mut_events"))
+  ON p.feature = d.feature) x ON s.sample_id = x.sample_id""", "mut_events"))
 def q_prepare_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L13 (events): presence of every event pair aligned to the saved list of
     prevalent protein-altering features."""

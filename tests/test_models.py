@@ -218,3 +218,32 @@ def test_randomized_pca_matches_numpy(spark):
     sc = {(r[0], r[1]): r[2] for r in RD.randomized_scores(lp, comps, mu, "M").collect()}
     ref = Xc @ comps
     assert sc[(5, "M_PCA_PC1")] == pytest.approx(ref[5, 0], abs=1e-8)
+
+
+def test_impute_and_reduce_has_no_width_limit(spark):
+    """5,000 features: components come back and equal those of the dense matrix."""
+    from cohortspark.plans.features import impute_and_reduce
+    rng = np.random.default_rng(4)
+    d, rows = 5000, [(c, s) for c in ("cancer", "normal") for s in range(8)]
+    dense = rng.standard_normal((len(rows), 3)) @ rng.standard_normal((3, d))
+    cells = [(c, s, f"f{j:04d}", float(dense[i, j]), 0.0) for i, (c, s) in enumerate(rows) for j in range(d)]
+    df = spark.createDataFrame(cells, "category string, sample_id int, feature string, value double, zero_value double")
+    out, ev = impute_and_reduce(df, "M", 3)
+    got = {(r.category, r.sample_id, r.feature): r.value for r in out.collect()}
+    _, s, vt = np.linalg.svd(dense - dense.mean(0), full_matrices=False)
+    for j in range(3):
+        want = (dense - dense.mean(0)) @ vt[j]
+        have = np.array([got[c, i, f"M_PCA_PC{j + 1}"] for c, i in rows])
+        assert np.allclose(np.abs(want), np.abs(have), rtol=1e-6, atol=1e-6)
+    assert abs(ev.sum() - 1) < 1e-9
+
+
+def test_scoring_keeps_samples_without_a_listed_feature(spark):
+    from cohortspark.plans.integrate import prepare_events, prepare_long
+    raw = spark.createDataFrame([(1, "a", 2.0), (1, "z", 5.0), (2, "z", 1.0), (3, None, 1.0)], "sample_id int, feature string, value double")
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "pos int, feature string")
+    for out in (prepare_long(raw, names), prepare_events(raw.drop("value"), names)):
+        assert sorted((r.sample_id, r.feature, r.pos) for r in out.collect()) == [(1, "a", 0), (2, None, None)]
+    from cohortspark.operators.vectors import assemble_vectors
+    got = {r.sample_id: list(r.features.toArray()) for r in assemble_vectors(prepare_long(raw, names), 2).collect()}
+    assert got == {1: [2.0, 0.0], 2: [0.0, 0.0]}
