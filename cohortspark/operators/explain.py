@@ -130,18 +130,21 @@ def sampled_shapley(model, frame: DataFrame, background: list[list[float]], clas
 
     For every sample, background row ``b`` and permutation ``p`` (a hash order
     of the features), the features are switched from the background value to
-    the sample value one at a time; the ``d + 1`` synthetic rows are scored by
-    ``model.transform`` and consecutive output differences are credited to the
-    switched feature.  Averaging over (b, p) gives the estimate; for every
-    (b, p) the credits telescope, so ``sum_f phi = f(x) - mean_b f(b)`` holds
-    exactly.  Work is ``n x B x P x (d + 1)`` scored rows, spread over tasks.
+    the sample value one at a time, and the ``d + 1`` synthetic rows are scored
+    by ``model.transform``.  The credits telescope: a scored step adds its output
+    to the feature that it has just switched and takes it from the one that comes
+    next, so no row needs its neighbour, and the sums over (b, p) are partial
+    sums of the task that made the steps; what is shuffled is a row per sample,
+    feature and class, whatever the draws.  For every (b, p) the credits sum to
+    ``f(x) - f(b)`` exactly.  Work is ``n x B x P x (d + 1)`` scored rows.
+    A null vector or a null key takes no part.
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.sql import Window
     d = len(background[0])
     names = feature_names or [str(i) for i in range(d)]
     bg = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in background])
-    x = frame.select(key, vector_to_array(F.col(features_col)).alias("_x"))
+    x = frame.where(F.col(key).isNotNull() & F.col(features_col).isNotNull()) \
+        .select(key, vector_to_array(F.col(features_col)).alias("_x"))
     x = x.select(key, "_x", F.posexplode(bg).alias("_b", "_bg")) \
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("_p"))
     idx = F.sequence(F.lit(0), F.lit(d - 1))
@@ -149,21 +152,22 @@ def sampled_shapley(model, frame: DataFrame, background: list[list[float]], clas
         F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string"), F.col("_b").cast("string"),
                           F.col("_p").cast("string"), j.cast("string"))).alias("h"), j.alias("j")))
     order = F.transform(F.array_sort(hashed), lambda s: s["j"])
-    x = x.withColumn("_order", order)
-    rank = F.transform(idx, lambda j: F.array_position(F.col("_order"), j) - 1)
-    x = x.withColumn("_rank", rank).select("*", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("_t"))
-    z = F.transform(idx, lambda j: F.when(F.element_at(F.col("_rank"), j + 1) < F.col("_t"),
-                                          F.element_at(F.col("_x"), j + 1))
-                    .otherwise(F.element_at(F.col("_bg"), j + 1)))
-    synth = x.select(key, "_b", "_p", "_t", "_order", array_to_vector(z).alias(features_col))
-    scored = model.transform(synth).select(key, "_b", "_p", "_t", "_order",
-                                           vector_to_array(F.col(output)).alias("_f"))
-    w = Window.partitionBy(key, "_b", "_p").orderBy("_t")
-    diffs = scored.withColumn("_prev", F.lag("_f").over(w)).where(F.col("_t") > 0)
-    diffs = diffs.select(key, F.element_at(F.col("_order"), F.col("_t")).alias("_j"),
-                         F.posexplode(F.zip_with("_f", "_prev", lambda a, b: a - b)).alias("_c", "phi"))
+    # the place of every feature in the order, by a second sort
+    places = F.array_sort(F.transform(F.col("_order"), lambda j, at: F.struct(j.alias("j"), at.alias("at"))))
+    x = x.withColumn("_order", order).withColumn("_rank", F.transform(places, lambda s: s["at"]))
+    x = x.select(key, "_x", "_bg", "_order", "_rank", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("_t"))
+    z = F.zip_with(F.col("_rank"), F.arrays_zip("_x", "_bg"),
+                   lambda at, v: F.when(at < F.col("_t"), v["_x"]).otherwise(v["_bg"]))
+    synth = x.select(key, F.get("_order", F.col("_t") - 1).alias("_on"), F.get("_order", F.col("_t")).alias("_next"),
+                     array_to_vector(z).alias(features_col))
+    scored = model.transform(synth).select(
+        key, F.explode(F.array(F.struct(F.col("_on").alias("j"), F.lit(1.0).alias("sign")),
+                               F.struct(F.col("_next").alias("j"), F.lit(-1.0).alias("sign")))).alias("_s"),
+        vector_to_array(F.col(output)).alias("_f")).where(F.col("_s.j").isNotNull())
+    credit = scored.select(key, F.col("_s.j").alias("_j"), F.col("_s.sign").alias("_sign"),
+                           F.posexplode("_f").alias("_c", "_v"))
     n_draws = float(len(background) * n_perm)
-    phi = diffs.groupBy(key, "_j", "_c").agg((F.sum("phi") / F.lit(n_draws)).alias("phi"))
+    phi = credit.groupBy(key, "_j", "_c").agg((F.sum(F.col("_sign") * F.col("_v")) / F.lit(n_draws)).alias("phi"))
     name_arr = F.array(*[F.lit(n) for n in names])
     cls_arr = F.array(*[F.lit(str(c)) for c in classes])
     return phi.select(key, F.element_at(cls_arr, F.col("_c") + 1).alias("class"),

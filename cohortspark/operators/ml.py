@@ -10,11 +10,12 @@
 * :func:`fit_oof` - cross-fitted training: fold ``i`` is scored by a model
   fitted on the other folds; the k fits are submitted concurrently.
 * :func:`random_search` - seeded draws from discrete grids, scored by k-fold
-  weighted F1 through ``CrossValidator(foldCol=...)``.
+  weighted F1; a table of finished (draw, fold) trials lets a rerun go on.
 """
 
 from __future__ import annotations
 
+import os
 import random
 from concurrent.futures import ThreadPoolExecutor
 
@@ -23,14 +24,15 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from ..sources.paths import child_names, path_exists
 from . import reshape as R
 from .folds import stratified_holdout
 from .joins import MAX_CLASSES, checked_broadcast, class_codes
+from .rounds import keep_best
 
 
 def to_ml_frame(cells: DataFrame, labels: DataFrame, folds: DataFrame | None = None,
@@ -119,28 +121,26 @@ def probabilities(model, df: DataFrame) -> DataFrame:
 
 
 def fit_oof(frame: DataFrame, kind: str, codes: DataFrame, k: int = 5, holdout: bool = False,
-            parallel: int = 5, **params):
+            parallel: int = 5, patience: int = 10, **params):
     """Cross-fitted OOF probabilities ``(sample_id, label, fold, class, prob)``
-    and the fold models.  With ``holdout`` (GBT only) an inner stratified 20%
-    hold-out of the training folds drives early stopping: boosting ends at the
-    first round that does not lower the hold-out loss (Spark's default tolerance
-    would end it at the first gain under one percent)."""
+    and the fold models.  With ``holdout`` (GBT only) all rounds are fitted
+    without an inner stratified 20% hold-out of the training folds, and each
+    model keeps its rounds up to the least hold-out loss that is reached before
+    ``patience`` rounds in a row gain nothing."""
     n_classes = codes.count()
+    early = holdout and kind in ("gbt", "lgbm", "xgb")
+    trains = [frame.where(F.col("fold") != i) for i in range(k)]
+    if early:
+        trains = [stratified_holdout(x, "sample_id", "label", 0.2, 42) for x in trains]
 
     def fit_fold(i):
-        train = frame.where(F.col("fold") != i)
-        est = make_estimator(kind, n_classes, **params)
-        if holdout and kind in ("gbt", "lgbm", "xgb"):
-            train = stratified_holdout(train, "sample_id", "label", 0.2, 42)
-            if isinstance(est, OneVsRestGBT):
-                est.params["validationIndicatorCol"] = "is_holdout"
-                est.params["validationTol"] = 0.0
-            else:
-                est.setParams(validationIndicatorCol="is_holdout", validationTol=0.0)
-        return est.fit(train)
+        train = trains[i].where(~F.col("is_holdout")) if early else trains[i]
+        return make_estimator(kind, n_classes, **params).fit(train)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, k))) as pool:
         models = list(pool.map(fit_fold, range(k)))
+    if early:
+        models, _ = keep_best(models, [x.where("is_holdout") for x in trains], patience)
     parts = []
     for i, m in enumerate(models):
         val = frame.where(F.col("fold") == i)
@@ -196,29 +196,62 @@ def with_weight_columns(frame: DataFrame, class_ratio: float) -> tuple[DataFrame
     return frame, names
 
 
+TRIALS = "draw int, fold int, params string, f1 double"
+
+
 def random_search(frame: DataFrame, n_iter: int = 100, seed: int = 42, parallelism: int = 4,
-                  grid: dict | None = None, class_ratio: float | None = None):
+                  grid: dict | None = None, class_ratio: float | None = None, trial_path: str | None = None):
     """Seeded draws scored by k-fold weighted F1 (``fold`` column).
 
     Returns ``(best_params, best_score, trials DataFrame)``.  With
     ``class_ratio`` the positive-class weight is searched too (as a choice of
-    weight column)."""
+    weight column).
+
+    Every trial is one (draw, fold); ``parallelism`` fits are in flight.  With
+    ``trial_path`` each finished trial is written to a folder of its own there, and a
+    rerun fits only what is missing: a trial counts as finished if its draw,
+    fold and parameters are those of this search.  The path belongs to one
+    input; a search over other rows takes another path."""
     grid = dict(grid or SEARCH_GRID)
     if class_ratio is not None:
         frame, wcols = with_weight_columns(frame, class_ratio)
         grid["weightCol"] = wcols
-    est = GBTClassifier(featuresCol="features", labelCol="y", seed=seed)
     draws = draw_params(n_iter, seed, grid)
-    maps = [{est.getParam(k): v for k, v in d.items()} for d in draws]
-    ev = MulticlassClassificationEvaluator(labelCol="y", predictionCol="prediction", metricName="f1")
-    k = frame.agg(F.max("fold")).first()[0] + 1
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="fold",
-                        numFolds=int(k), parallelism=parallelism, seed=seed)
-    cvm = cv.fit(frame)
-    scores = list(cvm.avgMetrics)
-    best = max(range(len(scores)), key=lambda i: scores[i])
+    texts = [str(sorted(d.items())) for d in draws]
+    k = int(frame.agg(F.max("fold")).first()[0]) + 1
     spark = frame.sparkSession
-    trials = spark.createDataFrame(
-        [(i, str(sorted(d.items())), float(sc)) for i, (d, sc) in enumerate(zip(draws, scores))],
-        "trial int, params string, mean_f1 double")
+    done = finished_trials(spark, trial_path, texts, k)
+
+    def trial(at):
+        i, fold = at
+        est = GBTClassifier(featuresCol="features", labelCol="y", seed=seed).setParams(**draws[i])
+        scored = est.fit(frame.where(F.col("fold") != fold)).transform(frame.where(F.col("fold") == fold))
+        ev = MulticlassClassificationEvaluator(labelCol="y", predictionCol="prediction", metricName="f1")
+        f1 = float(ev.evaluate(scored))
+        if trial_path:
+            spark.createDataFrame([(i, fold, texts[i], f1)], TRIALS).coalesce(1) \
+                .write.mode("overwrite").parquet(os.path.join(trial_path, f"trial-{i}-{fold}"))
+        return at, f1
+
+    todo = [(i, f) for i in range(n_iter) for f in range(k) if (i, f) not in done]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        done.update(pool.map(trial, todo))
+    scores = [sum(done[i, f] for f in range(k)) / k for i in range(n_iter)]
+    best = max(range(len(scores)), key=lambda i: scores[i])
+    trials = spark.createDataFrame([(i, texts[i], sc) for i, sc in enumerate(scores)],
+                                   "trial int, params string, mean_f1 double")
     return draws[best], scores[best], trials
+
+
+def finished_trials(spark, trial_path: str | None, texts: list[str], k: int) -> dict[tuple[int, int], float]:
+    """``{(draw, fold): f1}`` of the written trials whose parameters are those of ``texts``.
+    A folder whose write did not end (no ``_SUCCESS`` file) doesn't count."""
+    if not trial_path or not path_exists(spark, trial_path):
+        return {}
+    whole = [os.path.join(trial_path, n) for n in child_names(spark, trial_path)
+             if n.startswith("trial-") and path_exists(spark, os.path.join(trial_path, n, "_SUCCESS"))]
+    if not whole:
+        return {}
+    rows = spark.read.schema(TRIALS).parquet(*whole).collect()  # draws x folds rows
+    return {(r["draw"], r["fold"]): r["f1"] for r in rows
+            if r["draw"] < len(texts) and r["fold"] < k and texts[r["draw"]] == r["params"]}

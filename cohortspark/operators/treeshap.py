@@ -43,9 +43,9 @@ from ..session import ensure_checkpoint_dir
 BLOCK_VALUES = 1 << 21
 
 
-def node_tables(model) -> tuple[dict, list[float]]:
+def node_tables(model, spark: SparkSession | None = None) -> tuple[dict, list[float]]:
     """``{tree_id: {node_id: node dict}}`` and tree weights, via the saved model."""
-    spark = SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()  # a thread of its own has no active session
     path = os.path.join(ensure_checkpoint_dir(spark), "models", f"tree-{uuid.uuid4().hex}")
     model.write().overwrite().save(path)
     rows = spark.read.parquet(os.path.join(path, "data")).select(

@@ -25,6 +25,7 @@ from ..session import materialize
 from ..sources import sinks as SK
 from ..sources.ingest import EVENTS, CohortSource, scan_cohorts
 from . import integrate as I
+from .training import EXPERT_PATIENCE, STACKER_PARAMS
 
 
 def registry_table(spark: SparkSession, sources: list[CohortSource]) -> DataFrame:
@@ -62,7 +63,7 @@ def expert_job(spark: SparkSession, cells_path: str, labels_path: str, modality:
     labels = spark.read.parquet(labels_path)
     folds = FO.stratified_folds(labels, "sample_id", "label", k, seed)
     frame, dictionary, codes = ML.to_ml_frame(cells, labels, folds)
-    oof, models = ML.fit_oof(frame, kind, codes, k, holdout=kind in ("gbt", "lgbm", "xgb"), **params)
+    oof, models = ML.fit_oof(frame, kind, codes, k, holdout=kind in ("gbt", "lgbm", "xgb"), patience=EXPERT_PATIENCE, **params)
     oof = materialize(oof, f"oof_{modality}")
     classes = [r["label"] for r in codes.orderBy("code").collect()]
     preds = oof.select("sample_id", "label", "fold").distinct().join(argmax_class(oof), "sample_id")
@@ -99,8 +100,7 @@ def stacking_job(spark: SparkSession, oof_paths: list[str], labels_path: str, ou
                      "sample_id")
     frame, codes = ML.wide_ml_frame(meta, cols)
     frame = materialize(frame, "stack_frame")
-    p = {"maxIter": 100, "stepSize": 0.05, "maxDepth": 3}
-    p.update(params)
+    p = dict(STACKER_PARAMS, **params)
     oof, _ = ML.fit_oof(frame, "gbt", codes, k, **p)
     preds = oof.select("sample_id", "label", "fold").distinct().join(argmax_class(oof), "sample_id")
     report = M.classification_report(M.confusion_matrix(preds, classes))

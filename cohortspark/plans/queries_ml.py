@@ -18,6 +18,7 @@ from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators import reduce as RD
 from ..operators import reshape as R
+from ..operators import rounds as RO
 from ..operators import treeshap as TS
 from ..session import materialize
 from ..sources.tables import Tables
@@ -30,6 +31,8 @@ from .registry import register, rounded
 from .sql_ctes import with_ctes
 
 QUERY_ROUNDS = 20
+# Rounds of the checks of curves and of the round kept.
+CHECK_ROUNDS = 12
 # The registered search keeps every grid except the round count, which is
 # held at QUERY_ROUNDS (Spark's GBT costs a few jobs per round).
 QUERY_GRID = dict(ML.SEARCH_GRID, maxIter=[QUERY_ROUNDS])
@@ -67,17 +70,42 @@ def q_expert_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("learning_curve")
 def q_learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-round validation loss of every fold / class model."""
-    t = Tables(spark, sf_dir)
-    oof, models, frame, _, codes = TR.train_expert(t, "gbt", maxIter=QUERY_ROUNDS, maxDepth=3)
-    rows = []
+    """Validation loss of every fold / class model after every round fitted."""
+    frame, _, codes = TR.expression_frame(Tables(spark, sf_dir))
+    _, models = ML.fit_oof(frame, "gbt", codes, K_FOLDS, maxIter=QUERY_ROUNDS, maxDepth=3)
+    curve = RO.round_losses(models, [frame.where(F.col("fold") == i) for i in range(K_FOLDS)])
+    return curve.join(J.checked_broadcast(codes, J.MAX_CLASSES), "code").select("fold", F.col("label").alias("class"), "round", "loss")
+
+
+@register("boosting_round_checks", with_ctes("""
+SELECT f.fold, k.class, %d AS n_rounds, 0::BIGINT AS n_off, TRUE AS kept_best
+FROM (SELECT DISTINCT f.fold FROM expr_cells s JOIN folds f ON s.sample_id = f.sample_id) f CROSS JOIN classes k""" % CHECK_ROUNDS,
+                                             "expr_cells", "folds", "classes"))
+def q_boosting_round_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per fold and class the rounds of the curve on the fold's own rows, the rounds whose
+    loss differs from Spark's own, and whether a model cut by patience has the least loss of its curve."""
+    frame, _, codes = TR.expression_frame(Tables(spark, sf_dir))
+    classes = [r.label for r in codes.orderBy("code").collect()]
+    _, models = ML.fit_oof(frame, "gbt", codes, K_FOLDS, maxIter=CHECK_ROUNDS, maxDepth=3)
+    parts = [frame.where(F.col("fold") == i) for i in range(K_FOLDS)]
+    own = []  # folds x classes x rounds values
     for fold, m in enumerate(models):
-        val = frame.where(F.col("fold") == fold)
         for c, cm in enumerate(m.models):
-            losses = cm.evaluateEachIteration(val.withColumn("_yc", (F.col("y") == c).cast("double")))
-            rows += [(fold, c, i + 1, float(v)) for i, v in enumerate(losses)]
-    return spark.createDataFrame(rows, "fold int, code int, round int, loss double") \
-        .join(J.checked_broadcast(codes, J.MAX_CLASSES), "code").select("fold", F.col("label").alias("class"), "round", "loss")
+            losses = cm.evaluateEachIteration(parts[fold].withColumn("_yc", (F.col("y") == c).cast("double")))
+            own += [(fold, c, i + 1, float(v)) for i, v in enumerate(losses)]
+    own = spark.createDataFrame(own, "fold int, code int, round int, spark_loss double")
+    curve = materialize(RO.round_losses(models, parts), "round_losses")
+    _, kept = RO.keep_best(models, parts, CHECK_ROUNDS)
+    cut = materialize(RO.round_losses(models, parts), "cut_losses").groupBy("fold", "code").agg(
+        F.max_by("loss", "round").alias("last"), F.max("round").alias("cut_rounds"))
+    kept = spark.createDataFrame([(f, c, n) for (f, c), n in kept.items()], "fold int, code int, kept int")
+    per = curve.join(own, ["fold", "code", "round"], "full").groupBy("fold", "code").agg(
+        F.count(F.lit(1)).cast("int").alias("n_rounds"), F.min("loss").alias("least"),
+        F.count_if(~F.coalesce(F.abs(F.col("loss") - F.col("spark_loss")) < 1e-9, F.lit(False))).alias("n_off"))
+    names = F.array(*[F.lit(str(c)) for c in classes])
+    return per.join(cut, ["fold", "code"], "left").join(kept, ["fold", "code"], "left").select(
+        "fold", F.element_at(names, F.col("code") + 1).alias("class"), "n_rounds", "n_off",
+        F.coalesce((F.abs(F.col("last") - F.col("least")) < 1e-12) & (F.col("cut_rounds") == F.col("kept")), F.lit(False)).alias("kept_best"))
 
 
 @register("stacker_oof")

@@ -28,6 +28,8 @@ from .queries_eval import meta_table
 STACKER_PARAMS = {"maxIter": 100, "stepSize": 0.05, "maxDepth": 3}
 # Rounds of the final binary model.
 BINARY_FINAL_ROUNDS = 500
+# Rounds without a gain after which boosting ends (experts, binary stacker).
+EXPERT_PATIENCE, BINARY_PATIENCE = 10, 100
 
 
 def expression_frame(t: Tables):
@@ -40,7 +42,7 @@ def expression_frame(t: Tables):
 def train_expert(t: Tables, kind: str, **params):
     frame, dictionary, codes = expression_frame(t)
     oof, models = ML.fit_oof(frame, kind, codes, K_FOLDS,
-                             holdout=kind in ("gbt", "lgbm", "xgb"), **params)
+                             holdout=kind in ("gbt", "lgbm", "xgb"), patience=EXPERT_PATIENCE, **params)
     return oof, models, frame, dictionary, codes
 
 
@@ -82,17 +84,19 @@ def document_binary_meta(t: Tables) -> tuple[DataFrame, list[str]]:
     return meta, cols
 
 
-def train_binary_stacker(t: Tables, n_iter: int = 100, params: str = "best", grid: dict | None = None):
+def train_binary_stacker(t: Tables, n_iter: int = 100, params: str = "best", grid: dict | None = None,
+                         trial_path: str | None = None):
     """Binary stacker (L8-L10): class weight, random search, CV with an inner
     hold-out, threshold 0.5; final model refit on all rows."""
     meta, cols = document_binary_meta(t)
     frame, codes = ML.wide_ml_frame(meta, cols, "label")
     frame = materialize(frame, "binary_frame")
     ratio = ST.class_weight(frame, "y", 1.0).first()[0]
-    best, best_score, trials = ML.random_search(frame, n_iter, 42, grid=grid, class_ratio=float(ratio))
+    best, best_score, trials = ML.random_search(frame, n_iter, 42, grid=grid, class_ratio=float(ratio),
+                                               trial_path=trial_path)
     # the tuned weight is one of the weight columns; folds and refit use it like the search
     weighted, _ = ML.with_weight_columns(frame, float(ratio))
-    oof, models = ML.fit_oof(weighted, "gbt", codes, K_FOLDS, holdout=True, **best)
+    oof, models = ML.fit_oof(weighted, "gbt", codes, K_FOLDS, holdout=True, patience=BINARY_PATIENCE, **best)
     final_params = best if params == "best" else {"maxIter": BINARY_FINAL_ROUNDS, "weightCol": "_w0"}
     final = ML.make_estimator("gbt", 2, **final_params).fit(weighted)
     return oof, trials, best_score, final, frame

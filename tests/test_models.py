@@ -247,3 +247,74 @@ def test_scoring_keeps_samples_without_a_listed_feature(spark):
     from cohortspark.operators.vectors import assemble_vectors
     got = {r.sample_id: list(r.features.toArray()) for r in assemble_vectors(prepare_long(raw, names), 2).collect()}
     assert got == {1: [2.0, 0.0], 2: [0.0, 0.0]}
+
+
+def test_round_losses_equal_sparks_and_the_best_round_is_kept(spark):
+    from cohortspark.operators import rounds as RO
+    df, _ = _frame(spark, n=200)
+    binary = df.withColumn("y", (F.col("y") == 0).cast("double"))
+    for rows, n in ((df, 3), (binary, 2)):
+        models = ML.fit_folds(rows, ML.make_estimator("gbt", n, maxIter=8, maxDepth=3), 5)
+        parts = [rows.where(F.col("fold") == i) for i in range(5)]
+        got = {(r["fold"], r["code"], r["round"]): r["loss"] for r in RO.round_losses(models, parts).collect()}
+        want = {}
+        for fold, m in enumerate(models):
+            for c, cm in enumerate(m.models) if n == 3 else [(1, m)]:
+                own = parts[fold].withColumn("_yc", (F.col("y") == c).cast("double"))
+                want.update({(fold, c, i + 1): v for i, v in enumerate(cm.evaluateEachIteration(own))})
+        assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+        whole = models[0].models[0] if n == 3 else models[0]
+        cut = RO.truncate(whole, 3)
+        assert cut.getNumTrees == 3 and cut.treeWeights == whole.treeWeights[:3] and cut.getLabelCol() == whole.getLabelCol()
+        fold0 = parts[0].withColumn("_yc", (F.col("y") == (0 if n == 3 else 1)).cast("double"))
+        assert cut.evaluateEachIteration(fold0) == pytest.approx(whole.evaluateEachIteration(fold0)[:3])
+        best, kept = RO.keep_best(models, parts, 8)
+        for (fold, c), rounds in kept.items():
+            curve = [want[fold, c, i + 1] for i in range(8)]
+            assert rounds == 1 + curve.index(min(curve))
+            assert (best[fold].models[c] if n == 3 else best[fold]).getNumTrees == rounds
+        assert RO.round_losses(models, [p.limit(0) for p in parts]).count() == 0
+
+
+def test_patience_looks_past_a_round_that_gains_nothing():
+    from cohortspark.operators.rounds import kept_rounds
+    curve = [5, 4, 4.5, 4.2, 3, 3.5, 3.4, 3.3, 1]
+    assert [kept_rounds(curve, p) for p in (1, 2, 3, 4, 9)] == [2, 2, 5, 9, 9]
+    assert kept_rounds([2, 2, 2], 10) == 1 and kept_rounds([float("inf"), 1], 1) == 2
+
+
+def test_sampled_shapley_needs_no_window_and_skips_null_rows(spark):
+    from cohortspark.operators import explain as EX
+    df, _ = _frame(spark, n=30, d=3)
+    model = ML.make_estimator("lr", 3).fit(df)
+    bg = EX.background_rows(df, 2)
+    rows = df.select("sample_id", "features").unionByName(
+        spark.createDataFrame([(None, Vectors.dense([0.0] * 3)), (99, None)], df.select("sample_id", "features").schema))
+    phi = EX.sampled_shapley(model, rows, bg, ["0", "1", "2"], n_perm=3)
+    plan = phi._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+    out = phi.groupBy("sample_id", "class").agg(F.sum("phi").alias("s"), F.count("*").alias("n")).collect()
+    assert len(out) == 90 and all(r["n"] == 3 for r in out)
+    proba = {r["sample_id"]: r["probability"].toArray() for r in model.transform(df).collect()}
+    base = np.mean([r["probability"].toArray() for r in model.transform(
+        spark.createDataFrame([(Vectors.dense(b),) for b in bg], ["features"])).collect()], axis=0)
+    assert all(r["s"] == pytest.approx(proba[r["sample_id"]][int(r["class"])] - base[int(r["class"])], abs=1e-9) for r in out)
+
+
+def test_search_goes_on_from_its_trials(spark, tmp_path, monkeypatch):
+    df, _ = _frame(spark, n=80)
+    b = df.withColumn("y", (F.col("y") == 0).cast("double"))
+    path, grid = str(tmp_path / "trials"), dict(ML.SEARCH_GRID, maxIter=[2])
+    whole = ML.random_search(b, 2, 42, grid=grid)
+    assert ML.random_search(b, 1, 42, grid=grid, trial_path=path)[1] >= 0
+    (tmp_path / "trials" / "trial-0-3" / "_SUCCESS").unlink()
+    fits = []
+    fit = ML.GBTClassifier.fit
+    monkeypatch.setattr(ML.GBTClassifier, "fit", lambda self, rows: fits.append(1) or fit(self, rows))
+    again = ML.random_search(b, 2, 42, grid=grid, trial_path=path)
+    assert len(fits) == 6  # one torn trial and the second draw's five folds
+    assert again[0] == whole[0] and again[2].orderBy("trial").collect() == whole[2].orderBy("trial").collect()
+    ML.random_search(b, 2, 42, grid=grid, trial_path=path)
+    assert len(fits) == 6
+    ML.random_search(b, 1, 42, grid=dict(grid, maxIter=[3]), trial_path=path)
+    assert len(fits) == 11  # other parameters are other trials
