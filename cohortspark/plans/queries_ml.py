@@ -9,6 +9,9 @@ defaults follow the reference settings.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +23,10 @@ from ..operators import reduce as RD
 from ..operators import reshape as R
 from ..operators import rounds as RO
 from ..operators import treeshap as TS
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources.tables import Tables
 from . import bindings as B
+from . import chain as CH
 from . import training as TR
 from .features import assemble_samples, split_xy
 from .queries_stats import category_features
@@ -276,3 +280,26 @@ def q_pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.lit(route).alias("route"), "n_components", "variance")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@register("chain_replay_checks", with_ctes("""
+SELECT v.variant, k.class, count(*) AS n_rows, 0::BIGINT AS n_off
+FROM folds f CROSS JOIN classes k CROSS JOIN (VALUES ('scaled'), ('reduced')) v(variant) GROUP BY ALL""", "folds", "classes"))
+def q_chain_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain of medians, scaler, components and model, saved and loaded, scores every
+    sample as it did when it was fitted; per class the rows, and the rows that differ."""
+    t = Tables(spark, sf_dir)
+    cells, labels = materialize(R.cell_mean(B.expression_long(t)), "chain_cells"), B.samples(t)
+    out = None
+    for variant, components in (("scaled", None), ("reduced", 5)):
+        chain = CH.fit_chain(cells, labels, "lr", components, maxIter=50)
+        path = os.path.join(ensure_checkpoint_dir(spark), "chains", uuid.uuid4().hex)
+        CH.save_chain(chain, path)
+        want = chain.score(cells, labels).withColumnRenamed("prob", "fitted")
+        got = CH.load_chain(spark, path).score(cells, labels)
+        same = F.coalesce(F.abs(F.col("fitted") - F.col("prob")) < 1e-9, F.lit(False))
+        row = want.join(got, ["sample_id", "class"], "full").groupBy("class").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(~same).alias("n_off")) \
+            .select(F.lit(variant).alias("variant"), "class", "n_rows", "n_off")
+        out = row if out is None else out.unionByName(row)
+    return out

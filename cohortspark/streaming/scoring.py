@@ -4,9 +4,10 @@ The reference prepares new samples at scoring time with stateless reshapes
 aligned to the saved feature list.  Here the same preparation runs inside a
 Structured Streaming ``foreachBatch``: every micro-batch of newly arrived
 files is coerced, averaged per cell, aligned to the saved dictionary,
-assembled into vectors and scored by a fitted Spark ML model; predictions are
-appended to a parquet sink.  Progress lives in the stream checkpoint, so a
-restarted query resumes without re-scoring.
+assembled into vectors and scored by a fitted Spark ML model; predictions go to
+a folder of the batch's own (``epoch=<n>``) in a parquet sink, so a batch that is
+run again writes nothing twice.  Progress lives in the stream checkpoint, so a
+restarted query resumes without re-scoring; a sink belongs to one checkpoint.
 
 Assumption: all rows of one sample arrive in the same file (batch), as with
 one file per sample or per cohort delivery.
@@ -43,8 +44,8 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, dictionary: DataF
     def handle(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        score_batch(batch, dict_local, d, model).withColumn("epoch", F.lit(epoch_id)) \
-            .write.mode("append").parquet(sink_dir)
+        # a batch that is tried again replaces what it wrote before
+        score_batch(batch, dict_local, d, model).write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch_id}")
 
     stream = spark.readStream.schema(schema).parquet(source_dir)
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
