@@ -13,12 +13,22 @@ zero attribution, so means divide by ``N x K`` rather than by the row count.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.scalar import modality_from_binary_pred, modality_from_pred, modality_from_suffix
 from ..session import materialize
 
+#: Values of the synthetic rows made at once, at most (or those of one draw).
+STEP_VALUES = 1 << 20
+
 
 def centroid_model(cells: DataFrame, labels: DataFrame, classes: list,
                    label: str = "label") -> tuple[DataFrame, DataFrame, int]:
@@ -122,6 +132,78 @@ def background_rows(frame: DataFrame, n: int = 10, seed: int = 42, key: str = "s
     return [list(r["x"]) for r in rows]
 
 
+def _draw_orders(texts: list[str], draws: np.ndarray, n_perm: int, seed: int, d: int) -> np.ndarray:
+    """``order[i, step]``: the features of every draw by the md5 of (seed, key, background row,
+    permutation, feature)."""
+    digests = b"".join([hashlib.md5(f"{seed}-{t}-{i // n_perm}-{i % n_perm}-{j}".encode()).digest()
+                        for t, i in zip(texts, draws.tolist()) for j in range(d)])
+    h = np.frombuffer(digests, ">u8").reshape(len(texts), d, 2).astype(np.uint64)
+    return np.lexsort((h[..., 1], h[..., 0]), axis=-1)
+
+
+def _switch_steps(background: np.ndarray, n_perm: int, seed: int):
+    """Synthetic rows of every sample, draw after draw: the background row (``_on`` = -1), then one
+    row for each feature whose switch to the sample's value changes the row."""
+    bg = np.repeat(background, n_perm, axis=0)  # one row per draw
+    n_draws, d = bg.shape
+    step = max(1, STEP_VALUES // ((d + 1) * d))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows * n_draws, step):
+                pair = np.arange(lo, min(lo + step, batch.num_rows * n_draws))  # (sample, draw)
+                first = pair[0] // n_draws
+                row, draw = pair // n_draws - first, pair % n_draws
+                part = batch.slice(first, row[-1] + 1)
+                x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)[row]
+                texts = part.column(1).to_pylist()
+                order = _draw_orders([texts[r] for r in row], draw, n_perm, seed, d)
+                rank = np.argsort(order, axis=1)
+                on = np.insert(order, 0, -1, axis=1)
+                changed = (x != bg[draw])[np.arange(len(on))[:, None], on]
+                changed[:, 0] = True
+                at, t = np.nonzero(changed)
+                z = np.where(rank[at] < t[:, None], x[at], bg[draw[at]])
+                n = len(z)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * d), pa.array(z.ravel()))
+                vector = pa.StructArray.from_arrays(
+                    [pa.array(np.ones(n, np.int8)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.int32())), lists],
+                    names=["type", "size", "indices", "values"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row[at])), pa.array(on[at, t].astype(np.int32)), vector],
+                                                 names=["_key", "_on", "_vector"])
+    return run
+
+
+def _credits(d: int, n_draws: int):
+    """A scored step's gain over the row before it, summed by feature; the rows of a key follow each other."""
+    def emit(key: pa.Array, total: np.ndarray) -> pa.RecordBatch:
+        n, n_classes = total.size, total.shape[1]
+        return pa.RecordBatch.from_arrays(
+            [key.take(pa.array(np.zeros(n, np.int32))), pa.array(np.repeat(np.arange(d, dtype=np.int32), n_classes)),
+             pa.array(np.tile(np.arange(n_classes, dtype=np.int32), d)), pa.array(total.ravel() / n_draws)], names=["_key", "_j", "_c", "phi"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total, last = None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, on = batch.column(0), batch.column(1).to_numpy()
+            f = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(on), -1)
+            gain = f - np.concatenate([f[:1] if last is None else last, f[:-1]])
+            last = f[-1:]
+            cuts = np.flatnonzero(pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy(zero_copy_only=False)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(on)]):
+                if key is None or keys[a] != key[0]:
+                    if key is not None:
+                        yield emit(key, total)
+                    key, total = keys.slice(a, 1), np.zeros((d, f.shape[1]))
+                step = np.flatnonzero(on[a:b] >= 0) + a
+                np.add.at(total, on[step], gain[step])
+        if key is not None:
+            yield emit(key, total)
+    return run
+
+
 def sampled_shapley(model, frame: DataFrame, background: list[list[float]], classes: list,
                     n_perm: int = 2, seed: int = 42, key: str = "sample_id",
                     features_col: str = "features", feature_names: list[str] | None = None,
@@ -130,45 +212,34 @@ def sampled_shapley(model, frame: DataFrame, background: list[list[float]], clas
 
     For every sample, background row ``b`` and permutation ``p`` (a hash order
     of the features), the features are switched from the background value to
-    the sample value one at a time, and the ``d + 1`` synthetic rows are scored
-    by ``model.transform``.  The credits telescope: a scored step adds its output
-    to the feature that it has just switched and takes it from the one that comes
-    next, so no row needs its neighbour, and the sums over (b, p) are partial
-    sums of the task that made the steps; what is shuffled is a row per sample,
-    feature and class, whatever the draws.  For every (b, p) the credits sum to
-    ``f(x) - f(b)`` exactly.  Work is ``n x B x P x (d + 1)`` scored rows.
+    the sample value one at a time, and the synthetic rows are scored by
+    ``model.transform``, which must score row by row (keep the rows' order), as
+    Spark ML's models do.  A switch that leaves the row as it is changes no
+    output, so its row is not scored again and earns nothing.  The samples are
+    dealt and sorted by key; a task makes the steps of a sample one after the
+    other and sums the gains by feature, so nothing but the samples themselves
+    is shuffled.  For every (b, p) the credits sum to ``f(x) - f(b)`` exactly.
+    Work is at most ``n x B x P x (d + 1)`` scored rows.
     A null vector or a null key takes no part.
     """
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    d = len(background[0])
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import VectorUDT
+    bg = np.asarray(background, float)
+    d, n_draws = bg.shape[1], len(bg) * n_perm
     names = feature_names or [str(i) for i in range(d)]
-    bg = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in background])
+    kind = frame.schema[key].dataType.simpleString()
     x = frame.where(F.col(key).isNotNull() & F.col(features_col).isNotNull()) \
-        .select(key, vector_to_array(F.col(features_col)).alias("_x"))
-    x = x.select(key, "_x", F.posexplode(bg).alias("_b", "_bg")) \
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("_p"))
-    idx = F.sequence(F.lit(0), F.lit(d - 1))
-    hashed = F.transform(idx, lambda j: F.struct(
-        F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string"), F.col("_b").cast("string"),
-                          F.col("_p").cast("string"), j.cast("string"))).alias("h"), j.alias("j")))
-    order = F.transform(F.array_sort(hashed), lambda s: s["j"])
-    # the place of every feature in the order, by a second sort
-    places = F.array_sort(F.transform(F.col("_order"), lambda j, at: F.struct(j.alias("j"), at.alias("at"))))
-    x = x.withColumn("_order", order).withColumn("_rank", F.transform(places, lambda s: s["at"]))
-    x = x.select(key, "_x", "_bg", "_order", "_rank", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("_t"))
-    z = F.zip_with(F.col("_rank"), F.arrays_zip("_x", "_bg"),
-                   lambda at, v: F.when(at < F.col("_t"), v["_x"]).otherwise(v["_bg"]))
-    synth = x.select(key, F.get("_order", F.col("_t") - 1).alias("_on"), F.get("_order", F.col("_t")).alias("_next"),
-                     array_to_vector(z).alias(features_col))
-    scored = model.transform(synth).select(
-        key, F.explode(F.array(F.struct(F.col("_on").alias("j"), F.lit(1.0).alias("sign")),
-                               F.struct(F.col("_next").alias("j"), F.lit(-1.0).alias("sign")))).alias("_s"),
-        vector_to_array(F.col(output)).alias("_f")).where(F.col("_s.j").isNotNull())
-    credit = scored.select(key, F.col("_s.j").alias("_j"), F.col("_s.sign").alias("_sign"),
-                           F.posexplode("_f").alias("_c", "_v"))
-    n_draws = float(len(background) * n_perm)
-    phi = credit.groupBy(key, "_j", "_c").agg((F.sum(F.col("_sign") * F.col("_v")) / F.lit(n_draws)).alias("phi"))
+        .select(key, F.col(key).cast("string").alias("_text"), vector_to_array(F.col(features_col)).alias("_x"))
+    # the samples are small beside the work on them: a number of tasks that is not coalesced by size
+    conf = frame.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    tasks = max(int(conf), frame.sparkSession.sparkContext.defaultParallelism)
+    x = x.repartition(tasks, F.xxhash64(key)).sortWithinPartitions(key)
+    made = x.mapInArrow(_switch_steps(bg, n_perm, seed), StructType([
+        StructField("_key", frame.schema[key].dataType), StructField("_on", IntegerType()), StructField("_vector", VectorUDT())]))
+    synth = made.select(F.col("_key").alias(key), "_on", F.col("_vector").alias(features_col))
+    scored = model.transform(synth).select(key, "_on", vector_to_array(F.col(output)).alias("_f"))
+    phi = scored.mapInArrow(_credits(d, n_draws), f"_key {kind}, _j int, _c int, phi double")
     name_arr = F.array(*[F.lit(n) for n in names])
     cls_arr = F.array(*[F.lit(str(c)) for c in classes])
-    return phi.select(key, F.element_at(cls_arr, F.col("_c") + 1).alias("class"),
+    return phi.select(F.col("_key").alias(key), F.element_at(cls_arr, F.col("_c") + 1).alias("class"),
                       F.element_at(name_arr, F.col("_j") + 1).alias("feature"), "phi")

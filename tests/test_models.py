@@ -318,3 +318,38 @@ def test_search_goes_on_from_its_trials(spark, tmp_path, monkeypatch):
     assert len(fits) == 6
     ML.random_search(b, 1, 42, grid=dict(grid, maxIter=[3]), trial_path=path)
     assert len(fits) == 11  # other parameters are other trials
+
+
+def test_sampled_shapley_scores_only_changed_rows_and_sums_repeated_keys(spark):
+    import hashlib
+    from cohortspark.operators import explain as EX
+    df, X = _frame(spark, n=24, d=5)
+    model = ML.make_estimator("lr", 3).fit(df)
+    bg = [X[0].tolist(), X[1].tolist()]
+    seen = []
+
+    class Counting:
+        def transform(self, rows):
+            seen.append(rows)
+            return model.transform(rows)
+    rows = df.select("sample_id", "features").where("sample_id < 4")
+    rows = rows.unionAll(rows.where("sample_id = 3"))
+    got = {(r["sample_id"], r["feature"], r["class"]): r["phi"]
+           for r in EX.sampled_shapley(Counting(), rows, bg, ["0", "1", "2"], n_perm=2).collect()}
+    assert len(got) == 4 * 5 * 3
+    # 5 rows x 4 draws of 6 steps, less the 5 steps of the two draws in which a sample is its own background
+    assert seen[0].count() == 5 * 4 * 6 - 2 * 2 * 5
+
+    def f(z):
+        e = model.interceptVector.toArray() + model.coefficientMatrix.toArray() @ z
+        p = np.exp(e - e.max())
+        return p / p.sum()
+    for i in range(4):
+        want = np.zeros((5, 3))
+        for b, p in itertools.product(range(2), range(2)):
+            z = X[b].copy()
+            for j in sorted(range(5), key=lambda j: hashlib.md5(f"42-{i}-{b}-{p}-{j}".encode()).hexdigest()):
+                before, z[j] = f(z), X[i, j]
+                want[j] += (f(z) - before) / 4 * (2 if i == 3 else 1)
+        for j, c in itertools.product(range(5), range(3)):
+            assert got[i, str(j), str(c)] == pytest.approx(want[j, c], abs=1e-9)
