@@ -17,7 +17,10 @@ Design (the game of Lundberg et al., 2018, path-dependent expectation):
    The polynomial has degree m - 1 on a path of m features, so
    Gauss-Legendre quadrature with ceil(m / 2) nodes is exact; the work is
    m * ceil(m / 2) per row and leaf instead of 2^m subsets.
-4. The path records are broadcast (model-sized); ``mapInArrow`` evaluates row
+   :class:`TreeWalks` shares it among the leaves of a tree: the products grow
+   edge by edge on the way down and the leaves' sums are gathered on the way up,
+   so an edge costs ceil(m / 2) values per row and output, whatever the path.
+4. The trees are broadcast (model-sized); ``mapInArrow`` evaluates row
    blocks of bounded size and keeps only the features that some path touches.
 5. Output is long ``(sample_id, class, feature, phi)``; additivity holds:
    ``sum_f phi + expected_value = model output`` (margin for boosted trees,
@@ -41,6 +44,8 @@ from ..session import ensure_checkpoint_dir
 
 #: Values of one row block (rows x leaves x path features), at most.
 BLOCK_VALUES = 1 << 21
+#: Rows that walk down a tree together: an edge's arrays stay in the processor's cache.
+WALK_ROWS = 512
 
 
 def node_tables(model, spark: SparkSession | None = None) -> tuple[dict, list[float]]:
@@ -145,6 +150,102 @@ class PathGroups:
         return phi
 
 
+class TreeWalks:
+    """The same attributions as :class:`PathGroups` by one walk over every tree.
+
+    An edge of feature j has ``o`` (the row meets all tests of j so far) and ``r`` (the product of
+    their cover ratios), and its factor at share t is ``t o + (1 - t) r``; it takes the place of the
+    factor of the last edge of j above it.  With H the sum of ``value * product of factors`` over
+    the leaves below, phi_j gains ``(o - r) int H / factor`` of the edge and loses the same of
+    the edge it replaced.  No factor is 0, as the ratios of :func:`cover_ratios` are not."""
+
+    def __init__(self, trees: dict, weights: list[float], kind: str):
+        self.trees, touched = [], set()
+        for tid, nodes in sorted(trees.items()):
+            ratio, value, children, used = cover_ratios(nodes), {}, {}, set()
+            depth, stack = 0, [(min(nodes), frozenset())]
+            while stack:
+                nid, seen = stack.pop()
+                nd = nodes[nid]
+                depth = max(depth, len(seen))
+                if nd["leftChild"] < 0:
+                    value[nid] = _leaf_value(nd, kind, weights[tid], len(trees))
+                    continue
+                f, left, right = int(nd["featureIndex"]), nd["leftChild"], nd["rightChild"]
+                children[nid] = f, float(nd["leftCategoriesOrThreshold"][0]), left, right, ratio[left], ratio[right]
+                used.add(f)
+                stack += [(left, seen | {f}), (right, seen | {f})]
+            if depth:
+                self.trees.append((min(nodes), children, value, depth))
+            touched |= used
+            self.n_out = len(next(iter(value.values())))
+        self.touched = np.array(sorted(touched), int)
+
+    def attributions(self, x: np.ndarray) -> np.ndarray:
+        """``phi[n, touched, n_out]`` of dense rows."""
+        phi = np.zeros((len(self.touched), self.n_out, len(x)))
+        place = {f: i for i, f in enumerate(self.touched.tolist())}
+        for a in range(0, len(x), WALK_ROWS):
+            columns = {f: np.ascontiguousarray(x[a:a + WALK_ROWS, f]) for f in place}
+            own = phi[:, :, a:a + WALK_ROWS]
+            block = np.zeros(own.shape)
+            for root, children, value, depth in self.trees:
+                t, w = np.polynomial.legendre.leggauss(-(-depth // 2))
+                t, w = ((t + 1) / 2)[:, None], (w / 2)[:, None]
+                self._walk(root, np.ones((len(t), own.shape[2])), {}, columns, children, value, t, w, place, block)
+            own += block
+        return phi.transpose(2, 0, 1)
+
+    def _walk(self, nid, product, last, columns, children, value, t, w, place, phi) -> np.ndarray:
+        """H below the node, ``[share, output, row]``; adds the credits of all edges below."""
+        f, threshold, left, right, ratio_left, ratio_right = children[nid]
+        goes_left = columns[f] <= threshold  # anything else (NaN too) goes to the right
+        above = last.get(f)
+        earned, total = phi[place[f]], None
+        for child, meets, ratio in ((left, goes_left, ratio_left), (right, ~goes_left, ratio_right)):
+            if above is None:
+                o, r, below = meets, ratio, product
+            else:
+                o, r = meets & above[0], ratio * above[1]
+                below = product / above[2]
+            factor = np.where(o, t + (1 - t) * r, (1 - t) * r)
+            below = below * factor
+            share = w / factor * (o - r)
+            if above is not None:
+                share -= w / above[2] * (above[0] - above[1])
+            if child in value:
+                leaf = value[child][:, None]
+                earned += leaf * (share * below).sum(axis=0)
+                h = below[:, None, :] * leaf
+            else:
+                h = self._walk(child, below, {**last, f: (o, r, factor)}, columns, children, value, t, w, place, phi)
+                earned += np.einsum("qr,qkr->kr", share, h)
+            if total is None:
+                total = h
+            else:
+                total += h
+        return total
+
+
+def cover_ratios(nodes: dict) -> dict[int, float]:
+    """Every child's share of its parent's rows."""
+    out = {}
+    for nd in nodes.values():
+        if nd["leftChild"] >= 0:
+            left, right = (float(nodes[nd[side]]["rawCount"]) for side in ("leftChild", "rightChild"))
+            whole = left + right
+            out[nd["leftChild"]], out[nd["rightChild"]] = (left / whole, right / whole) if whole > 0 else (0.5, 0.5)
+    return out
+
+
+def _evaluator(trees: dict, weights: list[float], kind: str) -> tuple["TreeWalks | PathGroups", np.ndarray]:
+    """What computes the attributions, and the expected value; a tree with an empty side (a ratio
+    of 0) takes the path records, which stand zero factors."""
+    recs = path_records(trees, weights, kind)
+    empty = any(r == 0 for nodes in trees.values() for r in cover_ratios(nodes).values())
+    return PathGroups(recs) if empty else TreeWalks(trees, weights, kind), expected_value(recs)
+
+
 def shap_batch(X: np.ndarray, recs: list[tuple], d: int, n_out: int) -> np.ndarray:
     """``phi[n, d, n_out]`` for a batch of dense rows."""
     groups = PathGroups(recs)
@@ -155,7 +256,7 @@ def shap_batch(X: np.ndarray, recs: list[tuple], d: int, n_out: int) -> np.ndarr
 
 def _explain(key: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = shared.value  # (class of the first output, path groups)
+        parts = shared.value  # (class of the first output, evaluator)
         for batch in batches:
             width = max([1, *(len(g.touched) * g.n_out for _, g in parts)])
             step = max(1, BLOCK_VALUES // width)
@@ -174,17 +275,12 @@ def _explain(key: str, shared):
     return run
 
 
-def _paths(model, kind: str) -> list[tuple[int, PathGroups, np.ndarray]]:
-    """(class of the first output, path groups, expected value) of every tree model inside."""
+def _paths(model, kind: str) -> list[tuple[int, "TreeWalks | PathGroups", np.ndarray]]:
+    """(class of the first output, evaluator, expected value) of every tree model inside."""
     inner = getattr(model, "models", None)
     if inner is None:
-        recs = path_records(*node_tables(model), kind)
-        return [(0, PathGroups(recs), expected_value(recs))]
-    out = []  # one-vs-rest: one margin per class
-    for c, m in enumerate(inner):
-        recs = path_records(*node_tables(m), "gbt")
-        out.append((c, PathGroups(recs), expected_value(recs)))
-    return out
+        return [(0, *_evaluator(*node_tables(model), kind))]
+    return [(c, *_evaluator(*node_tables(m), "gbt")) for c, m in enumerate(inner)]  # one margin per class
 
 
 def tree_shapley(model, frame: DataFrame, kind: str, feature_names: list[str],

@@ -353,3 +353,25 @@ def test_sampled_shapley_scores_only_changed_rows_and_sums_repeated_keys(spark):
                 want[j] += (f(z) - before) / 4 * (2 if i == 3 else 1)
         for j, c in itertools.product(range(5), range(3)):
             assert got[i, str(j), str(c)] == pytest.approx(want[j, c], abs=1e-9)
+
+
+def test_tree_walks_equal_path_records(spark):
+    df, X = _frame(spark, n=700, d=5)
+    model = ML.make_estimator("rf", 3, numTrees=3, maxDepth=9).fit(df)  # paths repeat features
+    trees, weights = TS.node_tables(model, spark)
+    X = X.copy()
+    X[3, 1] = np.nan
+    walks = TS.TreeWalks(trees, weights, "rf")
+    want = TS.shap_batch(X, TS.path_records(trees, weights, "rf"), 5, 3)  # 700 rows: two blocks
+    assert np.abs(walks.attributions(X) - want[:, walks.touched, :]).max() < 1e-12
+    gbt = ML.make_estimator("gbt", 2, maxIter=2, maxDepth=4).fit(df.withColumn("y", (F.col("y") == 0).cast("double")))
+    trees, weights = TS.node_tables(gbt, spark)
+    walks = TS.TreeWalks(trees, weights, "gbt")
+    want = TS.shap_batch(X, TS.path_records(trees, weights, "gbt"), 5, 1)
+    assert np.abs(walks.attributions(X) - want[:, walks.touched, :]).max() < 1e-12
+    stump = {0: {0: {"leftChild": -1, "rightChild": -1, "prediction": 2.0}}}
+    assert TS.TreeWalks(stump, [1.0], "gbt").attributions(X).shape == (700, 0, 1)
+    split = {"featureIndex": 0, "leftCategoriesOrThreshold": [0.0], "leftChild": 1, "rightChild": 2, "rawCount": 4}
+    leaf = {"leftChild": -1, "rightChild": -1}
+    empty = {0: {0: split, 1: {**leaf, "prediction": 1.0, "rawCount": 4}, 2: {**leaf, "prediction": 3.0, "rawCount": 0}}}
+    assert isinstance(TS._evaluator(empty, [1.0], "gbt")[0], TS.PathGroups)
