@@ -16,7 +16,7 @@ from ..operators import joins as J
 from ..operators import metrics as M
 from ..operators import reshape as R
 from ..operators import topk as T
-from ..session import materialize
+from ..session import materialize, spread
 from ..sources.tables import Tables
 from . import bindings as B
 from .queries import (K_FOLDS, activity_expert, classes_of, expert_predictions, expression_expert,
@@ -551,6 +551,7 @@ def q_fold_scores_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                     K_FOLDS, "value"), "split_scores")
     g = ["split", "fold"]
     keys = ["split", "fold", "sample_id"]
+    probs = spread(probs, probs.count(), *keys)
     pred = T.argmax_class(probs, keys, "class", "prob", "pred")
     preds = probs.select(*keys, "label").distinct().join(pred, keys)
     acc = M.accuracy(preds, g).select(*g, F.lit("acc").alias("metric"), F.col("accuracy").alias("value"))

@@ -375,3 +375,82 @@ def test_tree_walks_equal_path_records(spark):
     leaf = {"leftChild": -1, "rightChild": -1}
     empty = {0: {0: split, 1: {**leaf, "prediction": 1.0, "rawCount": 4}, 2: {**leaf, "prediction": 3.0, "rawCount": 0}}}
     assert isinstance(TS._evaluator(empty, [1.0], "gbt")[0], TS.PathGroups)
+
+
+def test_spread_bounds_what_a_task_holds(spark, monkeypatch):
+    from cohortspark import session as SE
+    from cohortspark.operators import joins as J
+    preds = spark.range(1000).select(F.col("id").alias("sample_id"), F.lit("a").alias("column"), F.lit(0.5).alias("prob"))
+    assert SE.spread(preds, 1000, "sample_id") is preds
+    monkeypatch.setattr(SE, "SPREAD_ROWS", 100)
+    assert SE.spread(preds, 1000, "sample_id", width=3).rdd.getNumPartitions() == 30
+    stacked = J.stack_outer(preds, ["a"], n_rows=1000)
+    assert stacked.rdd.getNumPartitions() == 10  # not coalesced, and not shuffled again
+    assert stacked.where("a = 0.5").count() == 1000
+
+
+def test_fits_read_a_written_and_spread_frame(spark, monkeypatch):
+    from cohortspark import session as SE
+    from cohortspark.plans import queries_ml as QM
+    from cohortspark.plans import training as TR
+    from cohortspark.sources.tables import Tables
+    monkeypatch.setattr(SE, "SPREAD_ROWS", 100)
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    class Estimator:
+        def fit(self, frame):
+            seen.append(frame)
+            raise Stop
+
+    def stop(frame, *a, **k):
+        seen.append(frame)
+        raise Stop
+    monkeypatch.setattr(ML, "make_estimator", lambda *a, **k: Estimator())
+    monkeypatch.setattr(ML, "fit_oof", stop)
+    with pytest.raises(Stop):
+        QM.q_sample_forest(spark, "/root/testdata/sf0.001")
+    with pytest.raises(Stop):
+        TR.train_stacker(Tables(spark, "/root/testdata/sf0.001"))
+    for frame, name in zip(seen, ("forest_frame", "stacker_frame")):
+        files = frame.inputFiles()
+        assert len(files) > 1 and all(name in f for f in files)
+
+
+def test_reduction_evaluates_its_features_once(spark):
+    from cohortspark.plans.features import impute_and_reduce
+    calls = spark.sparkContext.accumulator(0)
+
+    def value(v):
+        calls.add(1)
+        return v
+    rng = np.random.default_rng(3)
+    rows = [(c, s, f, float(rng.normal()), 0.0) for c in ("normal", "cancer") for s in range(8) for f in ("f0", "f1", "f2")]
+    features = spark.createDataFrame(rows, ["category", "sample_id", "feature", "value", "zero_value"]) \
+        .withColumn("value", F.udf(value, "double")("value"))
+    out, _ = impute_and_reduce(features, "m", 2)
+    assert out.count() == 16 * 2 and calls.value == len(rows)
+
+
+def test_modality_roll_up_reads_a_written_meta_table(spark, monkeypatch):
+    from cohortspark.operators import explain as EX
+    from cohortspark.plans import queries_eval as QE
+    seen = []
+    model = EX.centroid_model
+    monkeypatch.setattr(EX, "centroid_model", lambda cells, *a, **k: seen.append(cells) or model(cells, *a, **k))
+    assert QE.q_meta_importance(spark, "/root/testdata/sf0.001").count() == 3
+    assert all("meta_table" in f for f in seen[0].inputFiles())
+
+
+def test_split_scores_are_spread_before_their_metrics(spark, monkeypatch):
+    from cohortspark import session as SE
+    from cohortspark.plans import queries_eval as QE
+    want = sorted(map(tuple, QE.q_fold_scores_by_split(spark, "/root/testdata/sf0.001").collect()))
+    monkeypatch.setattr(SE, "SPREAD_ROWS", 100)
+    seen = []
+    loss = QE.M.log_loss
+    monkeypatch.setattr(QE.M, "log_loss", lambda probs, *a, **k: seen.append(probs) or loss(probs, *a, **k))
+    got = sorted(map(tuple, QE.q_fold_scores_by_split(spark, "/root/testdata/sf0.001").collect()))
+    assert got == want and seen[0].rdd.getNumPartitions() >= 10
