@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 MAX_CLASSES = 1000
 MAX_REGISTRY = 100_000
 
@@ -82,18 +84,20 @@ def attach_labels(meta: DataFrame, labels: DataFrame, key: str = "sample_id",
 
 def stack_outer(long_preds: DataFrame, columns: list[str], key: str = "sample_id",
                 name_col: str = "column", value_col: str = "prob",
-                on_duplicate: str = "mean") -> DataFrame:
+                on_duplicate: str = "mean", n_rows: int = 0) -> DataFrame:
     """Full-outer stacking of many prediction tables, as union + bounded pivot.
 
     ``long_preds`` holds ``(key, column, prob)`` rows of every source.  One
     shuffle on the key, whatever the number of sources; a sample missing in a
     source reads NULL in that source's columns.  ``on_duplicate``: ``mean``
-    averages a key repeated inside one source, ``error`` raises.
+    averages a key repeated inside one source, ``error`` raises.  ``n_rows``
+    (about) spreads the rows by key before they are grouped, see ``spread``.
     """
     if on_duplicate == "error":
         dup = long_preds.groupBy(key, name_col).count().where("count > 1").limit(1).count()
         if dup:
             raise ValueError("duplicate keys inside a prediction source")
+    long_preds = spread(long_preds, n_rows, key)
     return long_preds.groupBy(key).pivot(name_col, list(columns)).agg(F.avg(value_col))
 
 

@@ -58,7 +58,7 @@ def meta_table(t: Tables) -> tuple[DataFrame, list, list]:
     oof = stacked_experts(t, classes)
     named = oof.select("sample_id", S.pred_column_name(F.col("modality"), F.col("class")).alias("column"), "prob")
     cols = [f"pred_{m}_{c}" for m in MODALITIES for c in classes]
-    stacked = J.stack_outer(named, cols)
+    stacked = J.stack_outer(named, cols, n_rows=t.customer.count() * len(cols))  # a row per sample and column, at most
     labelled = J.attach_labels(stacked, B.samples(t))
     return J.fill_uninformative(labelled, cols, len(classes)), cols, classes
 
