@@ -434,6 +434,7 @@ def q_meta_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     input rolled up by modality (second ``_`` token)."""
     t = Tables(spark, sf_dir)
     meta, cols, classes = meta_table(t)
+    meta = materialize(meta, "meta_table")  # read four times below
     long = R.melt_wide(meta.drop("label"), "sample_id", cols)
     w, means, n = EX.centroid_model(long, meta.select("sample_id", "label"), classes)
     imp = EX.linear_importance(long, w, means, n)
