@@ -23,7 +23,7 @@ from ..operators import reduce as RD
 from ..operators import reshape as R
 from ..operators import rounds as RO
 from ..operators import treeshap as TS
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir, materialize, spread
 from ..sources.tables import Tables
 from . import bindings as B
 from . import chain as CH
@@ -191,12 +191,15 @@ def q_sample_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random forest (seed 42) on the assembled normal/cancer
     samples; returns the fitted model's feature importances."""
     t = Tables(spark, sf_dir)
-    X_long, y = split_xy(assemble_samples(category_features(t)))
+    # read by the dictionary, the vectors and the targets, the frame by every pass of the fit
+    X_long, y = split_xy(materialize(assemble_samples(category_features(t)), "forest_cells"))
     cells = X_long.select("sample_id", "feature", "value")
     dictionary = R.feature_dictionary(cells)
     d = dictionary.count()
     vec = R.assemble_dense(R.align_long(cells, dictionary), d, 0.0)
+    n = y.count()
     frame = vec.join(y.withColumn("y", F.col("target").cast("double")), "sample_id")
+    frame = materialize(spread(frame, n, "sample_id", width=d), "forest_frame")
     model = ML.make_estimator("rf", 2, numTrees=100).fit(frame)
     imp = model.featureImportances.toArray()
     names = [r.feature for r in dictionary.orderBy("pos").collect()]
