@@ -18,7 +18,7 @@ from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators import stats as ST
 from ..operators.topk import argmax_class
-from ..session import materialize
+from ..session import materialize, spread
 from ..sources.tables import Tables
 from . import bindings as B
 from .queries import K_FOLDS
@@ -56,7 +56,7 @@ def train_stacker(t: Tables, **params):
     meta, cols, classes = meta_table(t)
     meta = meta.join(FO.stratified_folds(B.samples(t)).select("sample_id", "fold"), "sample_id")
     frame, codes = ML.wide_ml_frame(meta, cols)
-    frame = materialize(frame, "stacker_frame")
+    frame = materialize(spread(frame, t.customer.count(), "sample_id", width=len(cols)), "stacker_frame")
     p = dict(STACKER_PARAMS)
     p.update(params)
     oof, models = ML.fit_oof(frame, "gbt", codes, K_FOLDS, **p)
