@@ -14,6 +14,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, spread
+
 MAX_PCA_FEATURES = 4000
 
 
@@ -157,10 +159,9 @@ def randomized_pca(long_pos: DataFrame, d: int, k: int, n_samples: int, oversamp
     Returns ``(components d x k, explained_variance k, mean d, total_variance)``;
     signs are fixed so the largest-magnitude loading is positive.
     """
-    from ..session import materialize
     l = min(k + oversample, d, n_samples)
     bases = np.zeros((1, d)) if bases is None else np.asarray(bases, float)
-    entries = materialize(sample_entries(long_pos, key, samples), "pca_entries")
+    entries = materialize(spread(sample_entries(long_pos, key, samples), n_samples, key, width=l), "pca_entries")
     size = np.zeros(len(bases))
     if samples is None:
         size[0] = n_samples

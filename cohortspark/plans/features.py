@@ -127,6 +127,7 @@ def impute_and_reduce(features: DataFrame, modality: str, k: int, by: str = "cat
     from ..operators.ordered import exact_percentile
     from ..session import materialize
 
+    given, features = features, materialize(features, "reduce_features")  # read six times below
     present = features.where(F.col("feature").isNotNull())
     dictionary = materialize(R.feature_dictionary(present), "reduce_dictionary")
     d = dictionary.count()
@@ -138,7 +139,7 @@ def impute_and_reduce(features: DataFrame, modality: str, k: int, by: str = "cat
     n = rows.count()
     k = RD.component_cap(k, n, d)
     if k <= 0:
-        return features, None
+        return given, None
     cells = present.join(dictionary, "feature")
     zeros = materialize(cells.groupBy(by, "pos").agg(F.max("zero_value").alias("zero"), F.count(F.lit(1)).alias("_present")), "reduce_zeros")
     absent = zeros.join(counts, by).select("pos", F.col("zero").alias("value"), (F.col("_N") - F.col("_present")).alias("w"))
