@@ -1,19 +1,21 @@
 """Language-model scoring with Brown classes.
 
 P(w_i | history) = P(class(w_i) | class(w_i-1)) * P(w_i | class(w_i)); the end of a text is a token
-in a class of its own and also the context of the first word.  Exchange clustering moves one item
-after the other to the class that raises the class-bigram likelihood most.  Items are the ``TOP``
-most frequent words one by one, and all other words pooled by their last two bytes into
-``POOLED`` items, so every word, seen or not, has a class, and the statistics that the clustering
-needs are bounded by (TOP + POOLED + 1)**2 whatever the corpus.  Emissions use absolute discounting
-(the freed mass of a class goes to its unseen words, taken as one type); transitions are smoothed
-towards the class frequencies.
-
-Word counts cover all training documents and are never held whole anywhere.  Documents are dealt
-into blocks by hash; each block lists its distinct words, Spark sums the lists by word and sends
-every block the counts of just its own words.  A task streams through a block: first the counts
-(kept as sorted hash arrays), then the texts, so memory is bounded by one block's vocabulary.
-The number of blocks is spark.sql.shuffle.partitions.  Words are compared by a 64-bit hash.
+in a class of its own and also the context of the first word.  Exchange clustering moves words to
+the class that raises the class-bigram likelihood most.  It has two parts.  Seeds: the ``TOP`` most
+frequent words one by one, and all other words pooled by their last two bytes into ``POOLED`` items,
+are clustered one after the other from an item matrix of fixed size.  Then every training word,
+however rare, is moved by its own counts of the classes before and behind it, all words of a round
+at once against the round's class bigrams (distributed exchange); a round that lowers the
+likelihood is taken back and ends the rounds.  Only words that no training text holds keep their pool's class.  Emissions use absolute
+discounting (the freed mass of a class goes to its unseen words, taken as one type); transitions are
+smoothed towards the class frequencies.
+
+Word statistics cover all training documents and are never held whole anywhere.  Documents are
+dealt into blocks by hash; each block lists its distinct words with their class contexts, cut by
+word hash into shards; a shard adds up its words over all blocks, moves them and sends every block
+the class and count of just its own words.  A task holds one block's or one shard's words.  The number of blocks and of
+shards is spark.sql.shuffle.partitions.  Words are compared by a 64-bit hash.
 
 Cases: null text is empty and scores its end token; a null doc_id is held out; repeated rows and
 ids get one row each; with no training rows all counts are 0; an empty table gives no rows; only
@@ -28,10 +30,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import id_crc, materialize, shuffle_partitions
+from .common import id_crc, materialize, shuffle_partitions, tidy
 from .textnp import Words, text_chunks
 
 FOLDS = 10
@@ -39,6 +40,8 @@ TOP, POOLED, CLASSES = 512, 128, 33  # the last class holds the end token alone
 ITEMS = TOP + POOLED + 1
 END = ITEMS - 1
 ROUNDS = 20
+WORD_ROUNDS = 2  # of all words
+SLICE_ENTRIES, DENSE = 50_000, 1 << 22
 HELD_ENTRIES = 2_000_000
 
 
@@ -59,48 +62,32 @@ def blocked(docs: DataFrame) -> DataFrame:
 
 # --- word counts -----------------------------------------------------------------------------
 
-def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes with their pools and summed counts."""
-    h, pool, n = (np.concatenate(x) for x in zip(*parts))
-    key, first, number = np.unique(h, return_index=True, return_inverse=True)
-    return key, pool[first], np.bincount(number, n, len(key)).astype(np.int64)
+def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with their summed counts."""
+    key, n = (np.concatenate(x) for x in zip(*parts))
+    key, number = np.unique(key, return_inverse=True)
+    return key, np.bincount(number, n, len(key)).astype(np.int64)
 
 
-def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def emit(block: int, parts: list[tuple]) -> pa.RecordBatch:
-        h, pool, n = _merged(parts)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), block, np.int32)), pa.array(h.view(np.int64)),
-                                           pa.array(pool.astype(np.int32)), pa.array(n)], names=["block", "w", "pool", "n"])
-    held: dict[int, list[tuple]] = {}
+def _task_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["w", "n"])
+    parts: list[tuple] = []
     for batch in batches:
-        for lo, hi, data, offs in text_chunks(batch.column(2)):
-            train = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
-            block = batch.column(0).slice(lo, hi - lo).to_numpy()
-            words = Words(data, offs, lower=True)
-            h, pool = words.hashes(), word_pools(words)
-            n = train[words.doc].astype(np.int64)
-            for b in np.unique(block[words.doc]):
-                own = block[words.doc] == b
-                parts = held.setdefault(int(b), [])
-                parts.append(_merged([(h[own], pool[own], n[own])]))
-                if sum(len(p[0]) for p in parts) > HELD_ENTRIES:
-                    parts[:] = [_merged(parts)]
-                    if len(parts[0][0]) > HELD_ENTRIES:
-                        yield emit(int(b), held.pop(int(b)))
-    for b, parts in held.items():
-        yield emit(b, parts)
+        for _, _, data, offs in text_chunks(batch.column(0)):
+            parts.append(np.unique(Words(data, offs, lower=True).hashes(), return_counts=True))
+            if sum(len(p[0]) for p in parts) > HELD_ENTRIES:
+                parts = [_merged(parts)]
+                if len(parts[0][0]) > HELD_ENTRIES // 2:
+                    yield emit(*parts.pop())
+    if parts:
+        yield emit(*_merged(parts))
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
-    """block, w, pool, c (training count over all blocks), first (one true row per word).
-
-    A word has at most a few rows per block, so no word gathers more rows than that in a task."""
-    texts = blocks.repartition(shuffle_partitions(blocks.sparkSession), "block").select("block", "train", "text")
-    rows = texts.mapInArrow(_block_words, "block int, w long, pool int, n long")
-    by_word = W.partitionBy("w")
-    rows = rows.select("block", "w", "pool", F.sum("n").over(by_word).alias("c"),
-                       (F.row_number().over(by_word.orderBy("block")) == 1).alias("first"))
-    return materialize(rows, "brown-words")
+    """w, c: every training word and its count."""
+    rows = blocks.where("train").select("text").mapInArrow(tidy(_task_words), "w long, n long")
+    return materialize(rows.groupBy("w").agg(F.sum("n").alias("c")), "brown-words")
 
 
 # --- classes ---------------------------------------------------------------------------------
@@ -186,11 +173,231 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -
     return label
 
 
+# --- all words -------------------------------------------------------------------------------
+
+BLOCK_ROWS = ("block int, kind int, w binary, label binary, old binary, c binary, doc_id long, held boolean, text string")
+CONTEXTS = "block int, shard int, w binary, label binary, lens binary, ctx binary, n binary"
+LABELS = "block int, w binary, label binary, old binary, c binary"
+
+
 @dataclass
-class BrownModel:
+class Seeds:
     top: np.ndarray          # sorted hashes of the most frequent words
     item_of_top: np.ndarray
     label: np.ndarray        # class of every item
+
+
+def block_rows(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The texts by block, each block's word lists (if any) before its texts."""
+    n = shuffle_partitions(blocks.sparkSession)
+    none = lambda *names: [F.lit(None).cast("binary").alias(x) for x in names]
+    rows = blocks.select("block", F.lit(1).alias("kind"), *none("w", "label", "old", "c"), "doc_id",
+                         (~F.col("train")).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
+    if labels is not None:
+        rows = labels.where("block >= 0").select(
+            "block", F.lit(0).alias("kind"), "w", "label", "old", "c", F.lit(None).cast("long").alias("doc_id"),
+            F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("string").alias("text")).unionAll(rows)
+    return rows.repartitionById(n, "block").sortWithinPartitions("block", "kind")
+
+
+def _block_parts(batches: Iterator[pa.RecordBatch], old: bool) -> Iterator[tuple[int, tuple, pa.RecordBatch]]:
+    """(block, its words' sorted hashes with their classes and counts, rows of its texts)."""
+    block, parts, table = None, [], None
+    for batch in batches:
+        blocks, kinds = (batch.column(k).to_numpy() for k in (0, 1))
+        cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if a == b:
+                continue
+            if blocks[a] != block:
+                block, parts, table = blocks[a], [], None
+            part = batch.slice(a, b - a)
+            if kinds[a] == 0:
+                for w, label, c in zip(part.column(2), part.column(4 if old else 3), part.column(5)):
+                    parts.append((np.frombuffer(w.as_py(), np.uint64), np.frombuffer(label.as_py(), np.uint8),
+                                  np.frombuffer(c.as_py(), np.int64)))
+                continue
+            if table is None:
+                table = tuple(np.concatenate(x) for x in zip(*parts)) if parts else \
+                    (np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int64))
+                order = np.argsort(table[0])
+                table, parts = tuple(x[order] for x in table), []
+            yield block, table, part
+
+
+def listed(table: tuple, h: np.ndarray) -> np.ndarray:
+    """Places of hashes in a block's word list."""
+    at = np.minimum(np.searchsorted(table[0], h), max(len(table[0]) - 1, 0))
+    if len(h) and (not len(table[0]) or (table[0][at] != h).any()):
+        raise RuntimeError("a block's word list does not cover its texts")
+    return at
+
+
+def _contexts(shared, shards: int, first: bool, old: bool, whole: bool):
+    """Class bigrams of the training texts (a row of block -1) and, if ``whole``, the blocks' words
+    with the classes before (0..) and behind (CLASSES..) them in training texts, by shard."""
+    def emit(block: int, known: list, parts: list) -> Iterator[pa.RecordBatch]:
+        h, at = np.unique(np.concatenate([k[0] for k in known]), return_index=True)
+        label = np.concatenate([k[1] for k in known])[at]
+        if parts:
+            key, ctx, n = _merged_contexts(parts)
+        else:
+            key, ctx, n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        lens = np.bincount(np.searchsorted(h, key), minlength=len(h)).astype(np.uint8)  # at most 2 * CLASSES
+        shard, of = h % np.uint64(shards), key % np.uint64(shards)
+        order, entry = np.argsort(shard, kind="stable"), np.argsort(of, kind="stable")
+        cuts, ends = (np.searchsorted(x, np.arange(shards + 1, dtype=np.uint64)) for x in (shard[order], of[entry]))
+        for k in np.flatnonzero(np.diff(cuts)):
+            own, ent = order[cuts[k]:cuts[k + 1]], entry[ends[k]:ends[k + 1]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), pa.array([k], pa.int32()),
+                 *[pa.array([x.tobytes()], pa.binary()) for x in (h[own], label[own], lens[own], ctx[ent].astype(np.uint8), n[ent].astype(np.uint32))]],
+                names=["block", "shard", "w", "label", "lens", "ctx", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = shared.value
+        grid = np.zeros(CLASSES * CLASSES, np.int64)
+        now, known, parts = None, [], []
+        for block, table, part in _block_parts(batches, old):
+            if whole and block != now and known:
+                yield from emit(now, known, parts)
+                known, parts = [], []
+            now = block
+            for lo, hi, data, offs in text_chunks(part.column(8)):
+                train = ~part.column(7).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+                words = Words(data, offs, lower=True)
+                h = words.hashes()
+                if whole:
+                    own, at, number = np.unique(h, return_index=True, return_inverse=True)
+                if first:
+                    label = seeds.label[items_of(words, h, seeds.top, seeds.item_of_top)].astype(np.uint8)
+                else:
+                    label = table[1][listed(table, own)][number] if whole else table[1][listed(table, h)]
+                seq = with_ends(label, words, CLASSES - 1).astype(np.int64)
+                last = np.concatenate([[CLASSES - 1], seq[:-1]])
+                used = np.repeat(train, words.count + 1)
+                grid += np.bincount(last[used] * CLASSES + seq[used], minlength=len(grid))
+                if not whole:
+                    continue
+                known.append((own, label[at]))
+                mine = train[words.doc]
+                place = (np.arange(len(h)) + words.doc)[mine]
+                code = number[mine].astype(np.int64) * 2 * CLASSES
+                code = np.concatenate([code + last[place], code + CLASSES + seq[place + 1]])
+                if len(own) * 2 * CLASSES <= DENSE:
+                    n = np.bincount(code)
+                    code = np.flatnonzero(n)
+                    n = n[code]
+                else:
+                    code, n = np.unique(code, return_counts=True)
+                parts.append((own[code // (2 * CLASSES)], code % (2 * CLASSES), n))
+                if sum(len(x[0]) for x in parts[1:]) > HELD_ENTRIES:
+                    parts = [_merged_contexts(parts)]
+                    own, at = np.unique(np.concatenate([k[0] for k in known]), return_index=True)
+                    known = [(own, np.concatenate([k[1] for k in known])[at])]
+        if known:
+            yield from emit(now, known, parts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), *[pa.array([b""], pa.binary())] * 4,
+             pa.array([grid.tobytes()], pa.binary())], names=["block", "shard", "w", "label", "lens", "ctx", "n"])
+    return run
+
+
+def _merged_contexts(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (word, context) entries in order, with summed counts."""
+    h, ctx, n = (np.concatenate(x) for x in zip(*parts))
+    word, number = np.unique(h, return_inverse=True)
+    code, n = _merged([(number.astype(np.int64) * 2 * CLASSES + ctx, n)])
+    return word[code // (2 * CLASSES)], code % (2 * CLASSES), n
+
+
+def best_classes(grid: np.ndarray, label: np.ndarray, word: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class of every word that raises the likelihood of the class bigrams ``grid`` most.
+
+    Entries (word, ctx, n) are sorted by word: ctx is the class before a word, or CLASSES + the class
+    behind it.  Words without entries stay."""
+    out = label.copy()
+    beside = np.concatenate([grid, grid.T])  # by context, over the word's own class
+    rows, cols = grid.sum(axis=1), grid.sum(axis=0)
+    ends = np.flatnonzero(np.diff(word, append=-1)) + 1 if len(word) else np.zeros(0, np.int64)
+    lo = 0
+    while lo < len(word):
+        hi = int(ends[max(np.searchsorted(ends, lo + SLICE_ENTRIES, side="right") - 1, np.searchsorted(ends, lo, side="right"))])
+        w, m, k = word[lo:hi], n[lo:hi, None].astype(float), ctx[lo:hi]
+        head = np.flatnonzero(np.diff(w, prepend=-1))
+        own, a = w[head], label[w[head]].astype(np.int64)
+        count = np.add.reduceat(np.where(k >= CLASSES, m[:, 0], 0.0), head)[:, None]
+        base = beside[k]
+        gain = np.add.reduceat(_plogp(base + m) - _plogp(base), head)
+        gain -= _plogp(rows + count) - _plogp(rows) + _plogp(cols + count) - _plogp(cols)
+        held = beside[k, label[w]]
+        each = np.arange(len(own))
+        gain[each, a] = np.add.reduceat(_plogp(held) - _plogp(np.maximum(held - m[:, 0], 0)), head)
+        less = np.maximum(rows[a] - count[:, 0], 0), np.maximum(cols[a] - count[:, 0], 0)
+        gain[each, a] -= _plogp(rows[a]) - _plogp(less[0]) + _plogp(cols[a]) - _plogp(less[1]) - 1e-9
+        gain[:, -1] = -np.inf
+        out[own] = np.argmax(gain, axis=1)
+        lo = hi
+    return out
+
+
+def _move(shared):
+    def run(table: pa.Table) -> pa.Table:
+        rows = [[np.frombuffer(table.column(name)[i].as_py(), kind) for i in range(table.num_rows)] for name, kind in
+                (("w", np.uint64), ("label", np.uint8), ("lens", np.uint8), ("ctx", np.uint8), ("n", np.uint32))]
+        h = np.concatenate(rows[0])
+        word, at, number = np.unique(h, return_index=True, return_inverse=True)
+        label = np.concatenate(rows[1])[at]
+        of = np.repeat(number, np.concatenate(rows[2]))
+        code, n = _merged([(of.astype(np.int64) * 2 * CLASSES + np.concatenate(rows[3]), np.concatenate(rows[4]))])
+        of, ctx = code // (2 * CLASSES), code % (2 * CLASSES)
+        count = np.bincount(of[ctx >= CLASSES], n[ctx >= CLASSES], len(word)).astype(np.int64)
+        new = best_classes(shared.value, label, of, ctx, n)
+        kinds = [np.bincount(x[count > 0], minlength=CLASSES).astype(np.int64) for x in (new, label)]
+        out = {"block": table.column("block").to_pylist() + [-1], "w": [x.tobytes() for x in rows[0]] + [b""]}
+        bounds = np.cumsum([0] + [len(x) for x in rows[0]])
+        for name, values, last in (("label", new, kinds[0]), ("old", label, kinds[1]), ("c", count, np.zeros(0, np.int64))):
+            out[name] = [values[number[a:b]].tobytes() for a, b in zip(bounds, bounds[1:])] + [last.tobytes()]
+        return pa.table({"block": pa.array(out["block"], pa.int32()), **{k: pa.array(out[k], pa.binary()) for k in ("w", "label", "old", "c")}})
+    return run
+
+
+def likelihood(grid: np.ndarray) -> float:
+    """Log likelihood of class bigrams, but for what depends on words alone."""
+    return _plogp(grid).sum() - _plogp(grid.sum(axis=1)).sum() - _plogp(grid.sum(axis=0)).sum()
+
+
+def cluster(blocks: DataFrame, seeds: Seeds) -> tuple[DataFrame, bool, np.ndarray, np.ndarray]:
+    """Every block's words with class and count, whether their ``old`` classes hold, the class
+    bigrams of the training texts and the number of training words by class."""
+    spark = blocks.sparkSession
+    shards = shuffle_partitions(spark)
+    shared = spark.sparkContext.broadcast(seeds)
+
+    def contexts(labels: DataFrame | None, old: bool = False, whole: bool = True) -> tuple[DataFrame, np.ndarray]:
+        rows = block_rows(blocks, labels).mapInArrow(tidy(_contexts(shared, shards, labels is None, old, whole)), CONTEXTS)
+        rows = materialize(rows, "brown-contexts")
+        grid = sum((np.frombuffer(r[0], np.int64) for r in rows.where("block < 0").select("n").collect()), np.zeros(CLASSES * CLASSES))
+        return rows, grid.reshape(CLASSES, CLASSES).astype(float)
+
+    labels, old = None, False
+    rows, grid = contexts(None)
+    for k in range(WORD_ROUNDS):
+        now = spark.sparkContext.broadcast(grid)
+        moved = rows.where("block >= 0").groupBy("shard").applyInArrow(_move(now), LABELS)
+        labels = materialize(moved, "brown-labels")
+        rows, after = contexts(labels, whole=k + 1 < WORD_ROUNDS)
+        if likelihood(after) < likelihood(grid):
+            old = True
+            break
+        grid = after
+    kinds = sum((np.frombuffer(r[0], np.int64) for r in labels.where("block < 0").select("old" if old else "label").collect()),
+                np.zeros(CLASSES))
+    return labels, old, grid, kinds
+
+
+@dataclass
+class BrownModel:
     step: np.ndarray         # log10 P(class | last class)
     size: np.ndarray         # training tokens of every class
     unseen: np.ndarray       # log10 P(an unseen word | class)
@@ -200,10 +407,9 @@ class BrownModel:
     ends: int
 
 
-def fit(blocks: DataFrame, words: DataFrame) -> BrownModel:
-    """Clusters and estimates; what reaches the driver is bounded by the number of items."""
-    types = words.where("first and c > 0")
-    best = types.orderBy(F.desc("c"), "w").limit(TOP).select("w").collect()
+def seed(blocks: DataFrame, words: DataFrame) -> Seeds:
+    """Clusters the items; what reaches the driver is bounded by their number."""
+    best = words.orderBy(F.desc("c"), "w").limit(TOP).select("w").collect()
     top = np.array([r[0] for r in best], np.int64).view(np.uint64)
     rank = np.argsort(top)
     top, item_of_top = top[rank], rank
@@ -212,27 +418,21 @@ def fit(blocks: DataFrame, words: DataFrame) -> BrownModel:
              .groupBy("pair").agg(F.sum("n").alias("n")).toPandas())
     counts = np.zeros(ITEMS * ITEMS)
     counts[pairs["pair"].to_numpy()] = pairs["n"].to_numpy()
-    counts = counts.reshape(ITEMS, ITEMS)
-    label = exchange(counts)
-    onehot = np.eye(CLASSES)[label]
-    grid = onehot.T @ counts @ onehot
+    return Seeds(top, item_of_top, exchange(counts.reshape(ITEMS, ITEMS)))
+
+
+def fit(blocks: DataFrame, words: DataFrame) -> tuple[BrownModel, DataFrame, bool]:
+    """The estimates, and the classes of all words by block (see ``cluster``)."""
+    labels, old, grid, kinds = cluster(blocks, seed(blocks, words))
     freq = (grid.sum(axis=0) + 0.5) / (grid.sum() + 0.5 * CLASSES)
     step = np.log10((grid + 20.0 * freq) / (grid.sum(axis=1, keepdims=True) + 20.0))
-    # types and tokens by pool; the top words are taken out of their pools
-    is_top = F.array_contains(F.array(*[F.lit(int(x)) for x in top.view(np.int64)]), F.col("w")) if len(top) else F.lit(False)
-    per = (types.groupBy("pool", is_top.alias("top")).agg(
-        F.count("*").alias("types"), F.sum("c").alias("tokens"), F.sum((F.col("c") == 1).cast("long")).alias("once"),
-        F.sum((F.col("c") == 2).cast("long")).alias("twice")).collect())
-    once, twice = sum(r["once"] for r in per), sum(r["twice"] for r in per)
-    discount = once / (once + 2 * twice) if once else 0.5
-    size = np.bincount(label, counts.sum(axis=0), CLASSES)
-    kinds = np.bincount(label[item_of_top], minlength=CLASSES).astype(float)
-    for r in per:
-        if not r["top"]:
-            kinds[label[TOP + r["pool"]]] += r["types"]
-    ends = int(counts[:, END].sum())
-    return BrownModel(top, item_of_top, label, step, size, np.log10((discount * kinds + 1) / (size + 1)), discount,
-                      sum(r["tokens"] for r in per) + ends, sum(r["types"] for r in per) + (ends > 0), ends)
+    per = words.agg(F.count("*").alias("types"), F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"),
+                    F.count(F.when(F.col("c") == 1, 1)).alias("once"), F.count(F.when(F.col("c") == 2, 1)).alias("twice")).first()
+    discount = per["once"] / (per["once"] + 2 * per["twice"]) if per["once"] else 0.5
+    size = grid.sum(axis=0)
+    ends = int(size[-1])
+    return BrownModel(step, size, np.log10((discount * kinds + 1) / (size + 1)), discount, per["tokens"] + ends,
+                      per["types"] + (ends > 0), ends), labels, old
 
 
 # --- scores ----------------------------------------------------------------------------------
@@ -240,20 +440,15 @@ def fit(blocks: DataFrame, words: DataFrame) -> BrownModel:
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score_texts(model: BrownModel, keys: np.ndarray, counts: np.ndarray, data: np.ndarray,
-                offs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """n_tokens, n_known, base score and model score of every row of a chunk, with the sorted
-    hashes and counts of the block's words."""
+def score_texts(model: BrownModel, table: tuple, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """n_tokens, n_known, base score and model score of every row of a chunk, with the hashes,
+    classes and counts of the block's words."""
     words = Words(data, offs, lower=True)
-    h = words.hashes()
-    at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
-    if len(h) and (not len(keys) or (keys[at] != h).any()):
-        raise RuntimeError("a block's word list does not cover its texts")
-    c = counts[at] if len(h) else np.zeros(0, np.int64)
-    label = model.label[items_of(words, h, model.top, model.item_of_top)]
+    at = listed(table, words.hashes())
+    label, c = table[1][at].astype(np.int64), table[2][at]
     emit = np.where(c > 0, np.log10(np.maximum(c - model.discount, 1e-9) / (model.size[label] + 1)), model.unseen[label])
-    seq = with_ends(label, words, model.label[END])
-    last = np.concatenate([[model.label[END]], seq[:-1]])
+    seq = with_ends(label, words, CLASSES - 1)
+    last = np.concatenate([[CLASSES - 1], seq[:-1]])
     step = model.step[last, seq]
     base = np.log10((with_ends(c, words, model.ends) + 0.1) / (model.tokens + 0.1 * (model.types + 1)))
     bounds = np.concatenate([[0], np.cumsum(words.count + 1)])
@@ -263,44 +458,22 @@ def score_texts(model: BrownModel, keys: np.ndarray, counts: np.ndarray, data: n
     return words.count + 1, known, per_row(base, bounds), per_row(step, bounds) + per_row(emit, own)
 
 
-def _score(shared):
+def _score(shared, old: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        block, parts, table = None, [], None
-        for batch in batches:
-            blocks, kinds = (batch.column(k).to_numpy() for k in (0, 1))
-            cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
-            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if a == b:
-                    continue
-                if blocks[a] != block:
-                    block, parts, table = blocks[a], [], None
-                part = batch.slice(a, b - a)
-                if kinds[a] == 0:
-                    parts.append((part.column(2).to_numpy().view(np.uint64), part.column(3).to_numpy()))
-                    continue
-                if table is None:
-                    keys, counts = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-                    order = np.argsort(keys)
-                    table, parts = (keys[order], counts[order]), []
-                for lo, hi, data, offs in text_chunks(part.column(6)):
-                    n, known, base, score = score_texts(model, *table, data, offs)
-                    ids, held = (part.column(k).slice(lo, hi - lo) for k in (4, 5))
-                    yield pa.RecordBatch.from_arrays(
-                        [ids, held, pa.array(n), pa.array(known), pa.array(np.full(hi - lo, model.tokens)),
-                         pa.array(base), pa.array(score)], names=[x.split()[0] for x in SCORES.split(", ")])
+        for _, table, part in _block_parts(batches, old):
+            for lo, hi, data, offs in text_chunks(part.column(8)):
+                n, known, base, score = score_texts(model, table, data, offs)
+                ids, held = (part.column(k).slice(lo, hi - lo) for k in (6, 7))
+                yield pa.RecordBatch.from_arrays(
+                    [ids, held, pa.array(n), pa.array(known), pa.array(np.full(hi - lo, model.tokens)),
+                     pa.array(base), pa.array(score)], names=[x.split()[0] for x in SCORES.split(", ")])
     return run
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    spark = docs.sparkSession
     blocks = blocked(docs)
-    words = word_counts(blocks)
-    model = spark.sparkContext.broadcast(fit(blocks, words))
-    lists = words.select("block", F.lit(0).alias("kind"), "w", "c", F.lit(None).cast("long").alias("doc_id"),
-                         F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("string").alias("text"))
-    texts = blocks.select("block", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("w"), F.lit(0).cast("long").alias("c"),
-                          "doc_id", (~F.col("train")).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = lists.unionAll(texts).repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block", "kind")
-    return rows.mapInArrow(_score(model), SCORES)
+    model, labels, old = fit(blocks, word_counts(blocks))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return block_rows(blocks, labels).mapInArrow(tidy(_score(shared, old)), SCORES)

@@ -127,6 +127,29 @@ def test_exchange_recovers_alternating_classes():
     assert label[-1] == 2 and len(set(label[:4])) == 1 and len(set(label[4:8])) == 1 and label[0] != label[4]
 
 
+def test_every_word_is_clustered_by_its_contexts(spark):
+    """3,000 words of two kinds that alternate; nothing in their letters tells the kinds apart."""
+    import random
+    rng = random.Random(4)
+    letters = lambda i: "".join("abcdefghij"[int(x)] for x in f"{i:04d}")
+    numbers = rng.sample(range(10_000), 3000)
+    kinds = [letters(i) for i in numbers[:1500]], [letters(i) for i in numbers[1500:]]
+    rows = [(i, " ".join(rng.choice(kinds[k % 2]) for k in range(60))) for i in range(1000)]
+    mixed = []
+    for i in (x for x in range(10_000) if crc(x) % 10 == 0 and x >= 1000):
+        text = [rng.choice(kinds[k % 2]) for k in range(60)]
+        mixed += [(i, " ".join(text)), (i, " ".join(sorted(text)))]
+        if len(mixed) == 60:
+            break
+    out = collections.defaultdict(list)
+    for r in brown_lm.score(spark.createDataFrame(rows + mixed, "doc_id long, text string").repartition(3)).collect():
+        if r.doc_id >= 1000:
+            assert r.held_out and r.n_tokens == 61
+            out[r.doc_id].append(r.score)
+    gaps = [max(x) - min(x) for x in out.values()]
+    assert len(gaps) == 30 and np.mean(gaps) > 15  # alternation is worth log10(2) a word, 18 in all
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
