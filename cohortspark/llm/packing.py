@@ -4,10 +4,11 @@ A document of n tokens becomes floor(n / 4096) pieces of 4096 tokens and one pie
 bit of the rest, longest first.  Pieces of equal length form a bucket, from which batches are
 drawn; every sequence is one piece, so none crosses documents and none needs padding.
 
-Tokenizing: spaces and line ends separate pre-tokens of the vocabulary's tokenizer, so each chunk
-between them is encoded once and looked up afterwards; chunk numbers of a batch are expanded to
-token ids in numpy.  A task's cache is bounded by entries and by ids, starts afresh when full, and
-goes with the task.
+Tokenizing: spaces and line ends separate pre-tokens of the vocabulary's tokenizer.  A chunk between
+them that holds only ASCII and Latin-1 letters, digits and marks is lower-cased and cut into its
+pre-tokens by byte classes, in numpy; any other chunk is one span.  Each distinct span is encoded
+once and looked up afterwards, and span numbers are expanded to token ids.  A task's cache is
+bounded by entries and by ids, starts afresh when full, and goes with the task.
 
 Cases: null text is empty; an empty text has just the end id (one piece of length 1); a very long
 text is cut into many pieces within its task; null and repeated doc_ids are carried through; an
@@ -17,7 +18,6 @@ empty table gives no pieces; only doc_id and text are read.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,7 +31,7 @@ from cohortspark.session import ensure_checkpoint_dir
 
 from .common import tidy
 from .spans import KnownSpans
-from .textnp import Words, text_chunks
+from .textnp import IS_SPACE, LOWER, Words, text_chunks
 
 
 def load_tokenizer(path: str):
@@ -46,12 +46,22 @@ def load_tokenizer(path: str):
 
 MAX_LENGTH = 4096
 END_ID = 2
-CACHE_CHUNKS, CACHE_IDS = 150_000, 2_000_000
+CACHE_SPANS, CACHE_IDS = 400_000, 2_000_000
 CHUNK = 1 << 19
-#: Texts that keep their form under NFC and lower-case letter by letter, and their pre-tokens as
-#: the tokenizer's file cuts them (fixed values).
-PLAIN = re.compile("[!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-PRE_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+TOGETHER = 100
+#: Single bytes that keep their form under NFC and never join others in a pre-token of another
+#: class (fixed values); an apostrophe may begin an ending such as 's, and < a special token.
+PLAIN = np.zeros(256, bool)
+PLAIN[[x for x in range(0x21, 0x7F) if x not in b"'<"]] = True
+#: Latin-1 letters are 0xC3 and one of these bytes; the capitals' lower case is 0x20 further.
+LATIN, LATIN_CAPITAL = (np.isin(np.arange(256), [x for x in codes if x not in (0x97, 0xB7)])
+                        for codes in (range(0x80, 0xC0), range(0x80, 0x9F)))
+SPACE, DIGIT, LETTER, OTHER = range(4)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[IS_SPACE] = SPACE
+KIND[ord("0"):ord("9") + 1] = DIGIT
+KIND[ord("a"):ord("z") + 1] = LETTER
+KIND[128:] = LETTER
 
 PIECES = ("doc_id long, start long, length long, bucket int, ids array<int>, ids_crc32 long, doc_tokens long")
 
@@ -97,10 +107,42 @@ class IdPool:
         return self.flat[take], np.diff(total[bounds])
 
 
+def spans(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes of a chunk of texts, start and end of its spans, and which of them are
+    whole chunks that are not plain (left as they are)."""
+    data, n = words.data, len(words.data)
+    good = PLAIN[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[LATIN[data[lead + 1]]]
+    good[lead] = good[lead + 1] = True
+    low = LOWER[data]
+    capital = lead[LATIN_CAPITAL[data[lead + 1]]] + 1
+    low[capital] += 0x20
+    bad = np.flatnonzero(~good & ~IS_SPACE[data])
+    odd = np.zeros(len(words.start), bool)
+    odd[np.searchsorted(words.start, bad, side="right") - 1] = True
+    kind = KIND[low]
+    begins = kind == DIGIT
+    begins[1:] |= kind[1:] != kind[:-1]
+    begins &= kind != SPACE
+    if odd.any():
+        edge = np.zeros(n + 1, np.int8)
+        edge[words.start[odd]] += 1
+        edge[words.end[odd]] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+        low[inside] = data[inside]
+        begins &= ~inside
+    chunk = np.zeros(n, bool)
+    chunk[words.start] = True
+    start = np.flatnonzero(begins | chunk)
+    of = np.cumsum(chunk[start]) - 1
+    return low, start, np.minimum(np.append(start[1:], n), words.end[of]), odd[of]
+
+
 class ChunkEncoder:
-    """Token ids of whole texts through a cache of white-space separated chunks."""
+    """Token ids of whole texts through a cache of their spans."""
 
-    def __init__(self, path: str, limit: int = CACHE_CHUNKS):
+    def __init__(self, path: str, limit: int = CACHE_SPANS):
         self.tokenizer = load_tokenizer(path)
         self.limit = limit
         vocab = self.tokenizer.get_vocab()
@@ -109,51 +151,42 @@ class ChunkEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.chunk = KnownSpans()
-        self.word: dict[str, int] = {}
-        self.chunks, self.words = IdPool(), IdPool()
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Appends the ids of chunks.  Chunks of ASCII and Latin-1 letters share pre-tokens, which are encoded as one text
-        (the tokenizer marks their last ids); any other chunk is encoded by itself."""
-        texts = [c.decode() for c in new]
-        split = [PRE_TOKEN.findall(c.lower()) if PLAIN.fullmatch(c) else (c,) for c in texts]
-        unknown = {w for ws in split for w in ws}.difference(self.word)
-        plain = [w for w in unknown if PRE_TOKEN.fullmatch(w) and PLAIN.fullmatch(w)]
+        self.known = KnownSpans()
+        self.lists = IdPool()
+
+    def _learn(self, new: list[bytes], plain: bool) -> None:
+        """Appends the ids of spans; plain ones are encoded together, ``TOGETHER`` as one text (the
+        tokenizer marks the last id of each), any other by itself."""
+        texts = [b" ".join(new[k:k + TOGETHER]) for k in range(0, len(new), TOGETHER)] if plain else new
+        got = [np.array(x.ids, np.uint32) for x in
+               self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        ids = np.concatenate(got)
+        lens = np.array([len(x) for x in got])
         if plain:
-            ids = self._ids(" ".join(plain))
-            cuts = np.flatnonzero(self.ends_word[ids]) + 1
-            self.word.update(zip(plain, range(self.words.n, self.words.n + len(plain))))
-            self.words.append(ids, np.diff(cuts, prepend=0))
-        for w in unknown.difference(plain):
-            ids = self._ids(w)
-            self.word[w] = self.words.n
-            self.words.append(ids, np.array([len(ids)]))
-        at = np.cumsum([0] + [len(ws) for ws in split])
-        lists = np.fromiter((self.word[w] for ws in split for w in ws), np.int64, int(at[-1]))
-        ids, lens = self.words.gather(lists, at)
-        self.chunks.append(ids, lens)
+            lens = np.diff(np.flatnonzero(self.ends_word[ids]) + 1, prepend=0)
+            if len(lens) != len(new):
+                raise RuntimeError("the tokenizer cuts spans otherwise")
+        self.lists.append(ids, lens)
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each row, of UTF-8 texts (bytes, row offsets)."""
         words = Words(data, offs)
         if not len(words.start):
             return np.zeros(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
+        words.data, words.start, words.end, odd = spans(words)
         key, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        if len(self.chunk) > self.limit or self.chunks.at[self.chunks.n] > CACHE_IDS:
+        if len(self.known) > self.limit or self.lists.at[self.lists.n] > CACHE_IDS:
             self.clear()
-        lists = self.chunk.find(key)
+        lists = self.known.find(key)
         new = np.flatnonzero(lists < 0)
-        for lo in range(0, len(new), 10_000):
-            part = new[lo:lo + 10_000]
-            at, lists[part] = first[part], np.arange(self.chunks.n, self.chunks.n + len(part))
-            self._learn([data[a:b].tobytes() for a, b in zip(words.start[at].tolist(), words.end[at].tolist())])
-        self.chunk.add(key[new], lists[new])
-        lists = lists.astype(np.int64)[number]
-        return self.chunks.gather(lists, np.append(words.first, len(words.start)))
+        for plain in (True, False):
+            own = new[odd[first[new]] != plain]
+            for lo in range(0, len(own), 10_000):
+                part = own[lo:lo + 10_000]
+                at, lists[part] = first[part], np.arange(self.lists.n, self.lists.n + len(part))
+                self._learn([words.data[a:b].tobytes() for a, b in zip(words.start[at].tolist(), words.end[at].tolist())], plain)
+        self.known.add(key[new], lists[new])
+        return self.lists.gather(lists.astype(np.int64)[number], np.searchsorted(words.start, offs))
 
 
 def _pieces(path: str, end_id: int, longest: int, keep_ids: bool):

@@ -347,6 +347,30 @@ def test_packing(docs, empty):
     assert packing.pack(empty, queries.tokenizer_path()).count() == 0
 
 
+def test_spans_are_shared_and_keep_the_ids():
+    """Case and marks beside a word make no new entry of the cache; ids are those of the tokenizer."""
+    import random
+
+    import pyarrow as pa
+    from cohortspark.llm.textnp import text_chunks
+    rng = random.Random(7)
+    parts = ["a", "B", "É", "é", "ß", "Ÿ", "'s", "'", "'LL", "don't", "<|endoftext|>", "<", "12", "٣", "×", "÷", "µ", "ª", "\u0301", "İ", " ",
+             "\n", "\x1c", "\x85", "\xa0", "漢", "😀", "-", "...", "’s", "Straße", "A1b2", "\x7f", "À", "e\u0301"]
+    odd = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(1500)] + [None, ""]
+    encoder = packing.ChunkEncoder(queries.tokenizer_path())
+    tokenizer = packing.load_tokenizer(queries.tokenizer_path())
+    for column in (odd[:700], odd[700:], ["Word word, WORD. (Word) word; Übel übel! ÜBEL 1word2"] * 2):
+        for lo, hi, data, offs in text_chunks(pa.array(column)):
+            ids, counts = encoder.encode(data, offs)
+            want = [tokenizer.encode(x or "", add_special_tokens=False).ids for x in column[lo:hi]]
+            assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    encoder.clear()
+    column = [f"{a}{w}{b}" for w in ("Quarterly", "quarterly", "QUARTERLY") for a in ("", "(", "-") for b in ("", ",", ".", ";")]
+    for _, _, data, offs in text_chunks(pa.array(column)):
+        encoder.encode(data, offs)
+    assert encoder.lists.n == 1 + 5  # the word and five marks
+
+
 def test_packed_ids_reach_the_results(spark, docs, empty, tmpdir_path):
     import os
 
