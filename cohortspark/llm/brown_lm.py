@@ -267,12 +267,11 @@ def _contexts(shared, shards: int, first: bool, old: bool, whole: bool):
                 train = ~part.column(7).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
                 words = Words(data, offs, lower=True)
                 h = words.hashes()
-                if whole:
-                    own, at, number = np.unique(h, return_index=True, return_inverse=True)
+                own, at, number = np.unique(h, return_index=True, return_inverse=True)
                 if first:
                     label = seeds.label[items_of(words, h, seeds.top, seeds.item_of_top)].astype(np.uint8)
                 else:
-                    label = table[1][listed(table, own)][number] if whole else table[1][listed(table, h)]
+                    label = table[1][listed(table, own)][number]
                 seq = with_ends(label, words, CLASSES - 1).astype(np.int64)
                 last = np.concatenate([[CLASSES - 1], seq[:-1]])
                 used = np.repeat(train, words.count + 1)
@@ -444,7 +443,8 @@ def score_texts(model: BrownModel, table: tuple, data: np.ndarray, offs: np.ndar
     """n_tokens, n_known, base score and model score of every row of a chunk, with the hashes,
     classes and counts of the block's words."""
     words = Words(data, offs, lower=True)
-    at = listed(table, words.hashes())
+    own, number = np.unique(words.hashes(), return_inverse=True)
+    at = listed(table, own)[number]
     label, c = table[1][at].astype(np.int64), table[2][at]
     emit = np.where(c > 0, np.log10(np.maximum(c - model.discount, 1e-9) / (model.size[label] + 1)), model.unseen[label])
     seq = with_ends(label, words, CLASSES - 1)
