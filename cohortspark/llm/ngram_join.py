@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions, tidy
+from .common import bound_batches, materialize, shuffle_partitions, tidy
 from .components import connected_components
 from .textnp import Words, mix, text_chunks, windows
 
@@ -260,6 +260,7 @@ def _describe(size: int, percent: int, ranks=None):
 
 def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """row, doc_id, text_key, n, s1, s2 (128-bit set signature), sigs, hist; a written table."""
+    bound_batches(docs.sparkSession)
     texts = _texts(docs).select("doc_id", "text_key", "text")
     ranks = None if percent >= PERCENT else docs.sparkSession.sparkContext.broadcast(token_frequencies(docs, size))
     out = texts.mapInArrow(tidy(_describe(size, percent, ranks)),

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.session import ensure_checkpoint_dir
 
-from .common import tidy
+from .common import bound_batches, tidy
 from .spans import KnownSpans
 from .textnp import IS_SPACE, LOWER, Words, text_chunks
 
@@ -229,6 +229,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, longest: in
     offset (always 0)."""
     if longest & (longest - 1):
         raise ValueError("the longest length must be a power of two")
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = docs.mapInArrow(tidy(_pieces(tokenizer_path, end_id, longest, keep_ids)), PIECES)
     return out.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})

@@ -3,10 +3,12 @@
 import collections
 import re
 
+import pyarrow as pa
 from llm_rows import docs, empty, rows, words  # noqa: F401
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortspark.llm import mixing, packing, quality_rules, queries
+from cohortspark.llm import common, mixing, ngram_join, packing, quality_rules, queries
 from tokenizers import Tokenizer
 
 
@@ -57,3 +59,21 @@ def test_pipeline(spark, docs, tmpdir_path):  # noqa: F811
     assert collections.Counter((r.doc_id, r.start, r.length) for r in pieces.collect()) == brute
     whole = corpus_pipeline.run(spark, tmpdir_path)
     assert collections.Counter((r.doc_id, r.start, r.length) for r in whole.collect()) == brute
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    """30 MB of long texts in one partition; before, they were one batch."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "n"])
+    texts = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.expr("repeat('0123456789', 1000)").alias("text"))
+    for prepare in (packing.pack_buckets, quality_rules.fit, ngram_join.described):
+        spark.conf.unset(common.BATCH_BYTES)
+        some = texts.limit(3).withColumn("lang", F.lit("en"))
+        prepare(*{packing.pack_buckets: (some, queries.tokenizer_path()), quality_rules.fit: (some,), ngram_join.described: (some, 5, 80)}[prepare])
+        got = texts.mapInArrow(sizes, "size long, n long").collect()
+        assert sum(r.n for r in got) == 3000 and max(r.size for r in got) < 9_000_000
+    spark.conf.set(common.BATCH_BYTES, "1m")  # a session's own setting stays
+    packing.pack(texts, queries.tokenizer_path())
+    assert spark.conf.get(common.BATCH_BYTES) in ("1m", "1048576b")
+    spark.conf.unset(common.BATCH_BYTES)
