@@ -11,11 +11,13 @@ likelihood is taken back and ends the rounds.  Only words that no training text
 discounting (the freed mass of a class goes to its unseen words, taken as one type); transitions are
 smoothed towards the class frequencies.
 
-Word statistics cover all training documents and are never held whole anywhere.  Documents are
-dealt into blocks by hash; each block lists its distinct words with their class contexts, cut by
-word hash into shards; a shard adds up its words over all blocks, moves them and sends every block
-the class and count of just its own words.  A task holds one block's or one shard's words.  The number of blocks and of
-shards is spark.sql.shuffle.partitions.  Words are compared by a 64-bit hash.
+Word statistics cover all training documents and are never held whole anywhere.  The texts are read
+once into blocks of bounded size: a block lists its distinct words by falling frequency, and its texts
+become places in that list, so that no later pass moves or hashes a text.  A block's words, with their
+class contexts, are cut by word hash into shards; a shard adds up its words over all blocks, moves
+them and sends every block the class and count of just its own words.  A task holds one block's or
+one shard's words.  The number of shards is spark.sql.shuffle.partitions.  Words are compared by a
+64-bit hash; lists are compressed by byte planes.
 
 Cases: null text is empty and scores its end token; a null doc_id is held out; repeated rows and
 ids get one row each; with no training rows all counts are 0; an empty table gives no rows; only
@@ -29,10 +31,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_crc, materialize, shuffle_partitions, tidy
+from .common import bound_batches, id_crc, materialize, shuffle_partitions, tidy
 from .textnp import Words, text_chunks
 
 FOLDS = 10
@@ -41,8 +44,10 @@ ITEMS = TOP + POOLED + 1
 END = ITEMS - 1
 ROUNDS = 20
 WORD_ROUNDS = 2  # of all words
-SLICE_ENTRIES, DENSE = 50_000, 1 << 22
+SLICE_ENTRIES = 50_000
 HELD_ENTRIES = 2_000_000
+BLOCK_TOKENS = 4_000_000  # a longer chunk of texts is a block of its own
+BLOCK_STEP = 1_000_003  # from a task's block to its next; more than any stage's tasks
 
 
 def word_pools(words: Words) -> np.ndarray:
@@ -52,12 +57,10 @@ def word_pools(words: Words) -> np.ndarray:
     return (last * 31 + before) % POOLED
 
 
-def blocked(docs: DataFrame) -> DataFrame:
-    """doc_id, train, text, block."""
-    n = shuffle_partitions(docs.sparkSession)
+def prepared(docs: DataFrame) -> DataFrame:
+    """doc_id, train, text."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), (id_crc() % FOLDS != 0).alias("train"),
-                       F.col("text").cast("string").alias("text")) \
-        .withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+                       F.col("text").cast("string").alias("text"))
 
 
 # --- word counts -----------------------------------------------------------------------------
@@ -84,9 +87,9 @@ def _task_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(*_merged(parts))
 
 
-def word_counts(blocks: DataFrame) -> DataFrame:
+def word_counts(texts: DataFrame) -> DataFrame:
     """w, c: every training word and its count."""
-    rows = blocks.where("train").select("text").mapInArrow(tidy(_task_words), "w long, n long")
+    rows = texts.where("train").select("text").mapInArrow(tidy(_task_words), "w long, n long")
     return materialize(rows.groupBy("w").agg(F.sum("n").alias("c")), "brown-words")
 
 
@@ -175,9 +178,48 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -
 
 # --- all words -------------------------------------------------------------------------------
 
-BLOCK_ROWS = ("block int, kind int, w binary, label binary, old binary, c binary, doc_id long, held boolean, text string")
-CONTEXTS = "block int, shard int, w binary, label binary, lens binary, ctx binary, n binary"
-LABELS = "block int, w binary, label binary, old binary, c binary"
+GRID, ORDER, WORDS, TEXTS = range(4)  # kinds of rows
+CODED = ("block long, kind int, shard int, w binary, label binary, lens binary, ctx binary, n binary, "
+         "doc_ids array<long>, held array<boolean>, counts binary, codes binary")
+CONTEXTS = "block long, shard int, label binary, lens binary, ctx binary, n binary"
+LABELS = "block long, shard int, label binary, old binary, c binary"
+
+
+def packed(x: np.ndarray) -> bytes:
+    """A list, compressed byte plane by byte plane."""
+    if not len(x):
+        return b""
+    raw = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)
+    return np.int64(raw.size).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def unpacked(raw: bytes, kind) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, kind)
+    size = int(np.frombuffer(raw, np.int64, 1)[0])
+    planes = np.frombuffer(pa.decompress(raw[8:], size, "zstd"), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def as_batch(schema: str, rows: list[dict]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+             "array<boolean>": pa.list_(pa.bool_())}
+    columns = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r.get(name) for r in rows], kinds[kind]) for name, kind in columns],
+                                      names=[name for name, _ in columns])
+
+
+@dataclass
+class Coded:
+    """A chunk of texts, its words as places in the block's word list."""
+    ids: list
+    held: np.ndarray
+    count: np.ndarray        # words of every row
+    code: np.ndarray
+
+    @property
+    def doc(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.count)), self.count)
 
 
 @dataclass
@@ -187,127 +229,142 @@ class Seeds:
     label: np.ndarray        # class of every item
 
 
-def block_rows(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The texts by block, each block's word lists (if any) before its texts."""
-    n = shuffle_partitions(blocks.sparkSession)
-    none = lambda *names: [F.lit(None).cast("binary").alias(x) for x in names]
-    rows = blocks.select("block", F.lit(1).alias("kind"), *none("w", "label", "old", "c"), "doc_id",
-                         (~F.col("train")).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
-    if labels is not None:
-        rows = labels.where("block >= 0").select(
-            "block", F.lit(0).alias("kind"), "w", "label", "old", "c", F.lit(None).cast("long").alias("doc_id"),
-            F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("string").alias("text")).unionAll(rows)
-    return rows.repartitionById(n, "block").sortWithinPartitions("block", "kind")
-
-
-def _block_parts(batches: Iterator[pa.RecordBatch], old: bool) -> Iterator[tuple[int, tuple, pa.RecordBatch]]:
-    """(block, its words' sorted hashes with their classes and counts, rows of its texts)."""
-    block, parts, table = None, [], None
-    for batch in batches:
-        blocks, kinds = (batch.column(k).to_numpy() for k in (0, 1))
-        cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
-        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-            if a == b:
-                continue
-            if blocks[a] != block:
-                block, parts, table = blocks[a], [], None
-            part = batch.slice(a, b - a)
-            if kinds[a] == 0:
-                for w, label, c in zip(part.column(2), part.column(4 if old else 3), part.column(5)):
-                    parts.append((np.frombuffer(w.as_py(), np.uint64), np.frombuffer(label.as_py(), np.uint8),
-                                  np.frombuffer(c.as_py(), np.int64)))
-                continue
-            if table is None:
-                table = tuple(np.concatenate(x) for x in zip(*parts)) if parts else \
-                    (np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int64))
-                order = np.argsort(table[0])
-                table, parts = tuple(x[order] for x in table), []
-            yield block, table, part
-
-
-def listed(table: tuple, h: np.ndarray) -> np.ndarray:
-    """Places of hashes in a block's word list."""
-    at = np.minimum(np.searchsorted(table[0], h), max(len(table[0]) - 1, 0))
-    if len(h) and (not len(table[0]) or (table[0][at] != h).any()):
-        raise RuntimeError("a block's word list does not cover its texts")
-    return at
-
-
-def _contexts(shared, shards: int, first: bool, old: bool, whole: bool):
-    """Class bigrams of the training texts (a row of block -1) and, if ``whole``, the blocks' words
-    with the classes before (0..) and behind (CLASSES..) them in training texts, by shard."""
-    def emit(block: int, known: list, parts: list) -> Iterator[pa.RecordBatch]:
-        h, at = np.unique(np.concatenate([k[0] for k in known]), return_index=True)
-        label = np.concatenate([k[1] for k in known])[at]
-        if parts:
-            key, ctx, n = _merged_contexts(parts)
-        else:
-            key, ctx, n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        lens = np.bincount(np.searchsorted(h, key), minlength=len(h)).astype(np.uint8)  # at most 2 * CLASSES
-        shard, of = h % np.uint64(shards), key % np.uint64(shards)
-        order, entry = np.argsort(shard, kind="stable"), np.argsort(of, kind="stable")
-        cuts, ends = (np.searchsorted(x, np.arange(shards + 1, dtype=np.uint64)) for x in (shard[order], of[entry]))
-        for k in np.flatnonzero(np.diff(cuts)):
+class Contexts:
+    """Class bigrams of training texts and, if ``whole``, a block's words with the classes before
+    (0..) and behind (CLASSES..) them."""
+
+    def __init__(self, whole: bool):
+        self.whole = whole
+        self.grid = np.zeros(CLASSES * CLASSES, np.int64)
+        self.parts: list[tuple] = []
+
+    def add(self, label: np.ndarray, texts: Coded) -> None:
+        seq = with_ends(label[texts.code], texts, CLASSES - 1).astype(np.int64)
+        last = np.concatenate([[CLASSES - 1], seq[:-1]])
+        used = np.repeat(~texts.held, texts.count + 1)
+        self.grid += np.bincount(last[used] * CLASSES + seq[used], minlength=len(self.grid))
+        if not self.whole:
+            return
+        doc = texts.doc
+        mine = ~texts.held[doc]
+        place = (np.arange(len(doc)) + doc)[mine]
+        code = texts.code[mine].astype(np.int64) * 2 * CLASSES
+        self.parts.append(np.unique(np.concatenate([code + last[place], code + CLASSES + seq[place + 1]]), return_counts=True))
+        if sum(len(x[0]) for x in self.parts[1:]) > HELD_ENTRIES:
+            self.parts = [_merged(self.parts)]
+
+    def by_shard(self, block: int, shard_of: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, dict]]:
+        """The places of a shard's words and their row."""
+        code, n = _merged(self.parts) if self.parts else (np.zeros(0, np.int64),) * 2
+        self.parts = []
+        word, ctx = code // (2 * CLASSES), code % (2 * CLASSES)
+        lens = np.bincount(word, minlength=len(label)).astype(np.uint8)  # at most 2 * CLASSES
+        order, entry = np.argsort(shard_of, kind="stable"), np.argsort(shard_of[word], kind="stable")
+        shards = np.arange(int(shard_of.max(initial=0)) + 2)
+        cuts, ends = (np.searchsorted(x, shards) for x in (shard_of[order], shard_of[word][entry]))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
             own, ent = order[cuts[k]:cuts[k + 1]], entry[ends[k]:ends[k + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32()), pa.array([k], pa.int32()),
-                 *[pa.array([x.tobytes()], pa.binary()) for x in (h[own], label[own], lens[own], ctx[ent].astype(np.uint8), n[ent].astype(np.uint32))]],
-                names=["block", "shard", "w", "label", "lens", "ctx", "n"])
+            yield own, {"block": block, "shard": k, "label": packed(label[own]), "lens": packed(lens[own]),
+                        "ctx": packed(ctx[ent].astype(np.uint8)), "n": packed(n[ent].astype(np.uint32))}
+
+
+def _code(shared, shards: int, size: int):
+    """Blocks of texts: the shard of every word (ORDER), the words with their contexts by shard
+    (WORDS), the coded texts (TEXTS); a task's class bigrams (GRID, of block -1)."""
+    def block_rows(block: int, chunks: list, found: Contexts) -> Iterator[pa.RecordBatch]:
+        w, first, at = np.unique(np.concatenate([x[3] for x in chunks]), return_index=True, return_inverse=True)
+        label = np.concatenate([x[4] for x in chunks])[first]
+        bounds = np.cumsum([0] + [len(x[3]) for x in chunks])
+        code = [at[a:b][x[5]] for a, b, x in zip(bounds, bounds[1:], chunks)]
+        order = np.argsort(-sum(np.bincount(x, minlength=len(w)) for x in code), kind="stable")
+        place = np.empty(len(w), np.uint32)
+        place[order] = np.arange(len(w), dtype=np.uint32)
+        w, label = w[order], label[order]
+        shard_of = (w % np.uint64(shards)).astype(np.uint32)
+        rows = [{"block": block, "kind": ORDER, "codes": packed(shard_of)}]
+        for (ids, held, count, *_), own in zip(chunks, code):
+            texts = Coded(ids, held, count, place[own])
+            found.add(label, texts)
+            rows.append({"block": block, "kind": TEXTS, "doc_ids": ids, "held": held.tolist(),
+                         "counts": packed(count.astype(np.uint32)), "codes": packed(texts.code)})
+        rows += [{**row, "kind": WORDS, "w": packed(w[own])} for own, row in found.by_shard(block, shard_of, label)]
+        yield as_batch(CODED, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = shared.value
-        grid = np.zeros(CLASSES * CLASSES, np.int64)
-        now, known, parts = None, [], []
-        for block, table, part in _block_parts(batches, old):
-            if whole and block != now and known:
-                yield from emit(now, known, parts)
-                known, parts = [], []
-            now = block
-            for lo, hi, data, offs in text_chunks(part.column(8)):
-                train = ~part.column(7).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+        seeds, found = shared.value, Contexts(True)
+        block, chunks, held_tokens = TaskContext.get().partitionId(), [], 0
+        for batch in batches:
+            for lo, hi, data, offs in text_chunks(batch.column(2)):
                 words = Words(data, offs, lower=True)
                 h = words.hashes()
                 own, at, number = np.unique(h, return_index=True, return_inverse=True)
-                if first:
-                    label = seeds.label[items_of(words, h, seeds.top, seeds.item_of_top)].astype(np.uint8)
-                else:
-                    label = table[1][listed(table, own)][number]
-                seq = with_ends(label, words, CLASSES - 1).astype(np.int64)
-                last = np.concatenate([[CLASSES - 1], seq[:-1]])
-                used = np.repeat(train, words.count + 1)
-                grid += np.bincount(last[used] * CLASSES + seq[used], minlength=len(grid))
-                if not whole:
-                    continue
-                known.append((own, label[at]))
-                mine = train[words.doc]
-                place = (np.arange(len(h)) + words.doc)[mine]
-                code = number[mine].astype(np.int64) * 2 * CLASSES
-                code = np.concatenate([code + last[place], code + CLASSES + seq[place + 1]])
-                if len(own) * 2 * CLASSES <= DENSE:
-                    n = np.bincount(code)
-                    code = np.flatnonzero(n)
-                    n = n[code]
-                else:
-                    code, n = np.unique(code, return_counts=True)
-                parts.append((own[code // (2 * CLASSES)], code % (2 * CLASSES), n))
-                if sum(len(x[0]) for x in parts[1:]) > HELD_ENTRIES:
-                    parts = [_merged_contexts(parts)]
-                    own, at = np.unique(np.concatenate([k[0] for k in known]), return_index=True)
-                    known = [(own, np.concatenate([k[1] for k in known])[at])]
-        if known:
-            yield from emit(now, known, parts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), *[pa.array([b""], pa.binary())] * 4,
-             pa.array([grid.tobytes()], pa.binary())], names=["block", "shard", "w", "label", "lens", "ctx", "n"])
+                label = seeds.label[items_of(words, h, seeds.top, seeds.item_of_top)[at]].astype(np.uint8)
+                ids, train = (batch.column(k).slice(lo, hi - lo) for k in (0, 1))
+                chunks.append((ids.to_pylist(), ~train.to_numpy(zero_copy_only=False), words.count, own, label,
+                               number.astype(np.uint32)))
+                held_tokens += len(h)
+                if held_tokens >= size:
+                    yield from block_rows(block, chunks, found)
+                    block, chunks, held_tokens = block + BLOCK_STEP, [], 0
+        if chunks:
+            yield from block_rows(block, chunks, found)
+        yield as_batch(CODED, [{"block": -1, "kind": GRID, "n": packed(found.grid)}])
     return run
 
 
-def _merged_contexts(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (word, context) entries in order, with summed counts."""
-    h, ctx, n = (np.concatenate(x) for x in zip(*parts))
-    word, number = np.unique(h, return_inverse=True)
-    code, n = _merged([(number.astype(np.int64) * 2 * CLASSES + ctx, n)])
-    return word[code // (2 * CLASSES)], code % (2 * CLASSES), n
+def block_rows(coded: DataFrame, labels: DataFrame, *names: str) -> DataFrame:
+    """The coded texts by block, behind their words' lists: the columns ``names`` of ``labels``."""
+    n = shuffle_partitions(coded.sparkSession)
+    rows = coded.where(f"kind in ({ORDER}, {TEXTS})").select("block", "kind", "shard", "doc_ids", "held", "counts", "codes")
+    lists = labels.where("block >= 0").select("block", F.lit(WORDS).alias("kind"), "shard", *names)
+    rows = rows.unionByName(lists, allowMissingColumns=True)
+    part = F.pmod("block", F.lit(n)).cast("int")
+    return rows.repartitionById(n, part).sortWithinPartitions("block", "kind", "shard")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], **kinds) -> Iterator[tuple[int, np.ndarray, list, Coded]]:
+    """(block, shard of its words, their lists named in ``kinds``, a chunk of its texts)."""
+    shard_of, parts, lists = np.zeros(0, np.uint32), [], None
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+            if row["kind"] == ORDER:
+                shard_of, parts, lists = unpacked(row["codes"], np.uint32), [], None
+            elif row["kind"] == WORDS:
+                parts.append([unpacked(row[name], kind) for name, kind in kinds.items()])
+            else:
+                if lists is None:
+                    order = np.argsort(shard_of, kind="stable")
+                    if sum(len(p[0]) for p in parts) != len(order):
+                        raise RuntimeError("a block's word list does not cover its texts")
+                    lists = []
+                    for i, kind in enumerate(kinds.values()):
+                        values = np.zeros(len(order), kind)
+                        values[order] = np.concatenate([p[i] for p in parts]) if parts else values
+                        lists.append(values)
+                    parts = []
+                yield row["block"], shard_of, lists, Coded(row["doc_ids"], np.array(row["held"], bool),
+                                                           unpacked(row["counts"], np.uint32).astype(np.int64),
+                                                           unpacked(row["codes"], np.uint32))
+
+
+def _contexts(whole: bool):
+    """Class bigrams of the training texts (a row of block -1) and, if ``whole``, the contexts of the
+    blocks' words by shard."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, now = Contexts(whole), None
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            if whole and now is not None:
+                yield as_batch(CONTEXTS, [row for _, row in found.by_shard(*now)])
+        for block, shard_of, (label,), texts in _blocks(batches, label=np.uint8):
+            if now is not None and block != now[0]:
+                yield from rows()
+            now = block, shard_of, label
+            found.add(label, texts)
+        yield from rows()
+        yield as_batch(CONTEXTS, [{"block": -1, "n": packed(found.grid)}])
+    return run
 
 
 def best_classes(grid: np.ndarray, label: np.ndarray, word: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -342,22 +399,24 @@ def best_classes(grid: np.ndarray, label: np.ndarray, word: np.ndarray, ctx: np.
 
 def _move(shared):
     def run(table: pa.Table) -> pa.Table:
-        rows = [[np.frombuffer(table.column(name)[i].as_py(), kind) for i in range(table.num_rows)] for name, kind in
-                (("w", np.uint64), ("label", np.uint8), ("lens", np.uint8), ("ctx", np.uint8), ("n", np.uint32))]
-        h = np.concatenate(rows[0])
+        column = lambda name: table.column(name).to_pylist()
+        of_block = {block: w for block, w in zip(column("block"), column("w")) if w is not None}
+        rows = [r for r in zip(*map(column, ("block", "shard", "label", "lens", "ctx", "n"))) if r[2] is not None]
+        parts = [[unpacked(x, kind) for x, kind in zip((of_block[r[0]], *r[2:]), (np.uint64, np.uint8, np.uint8, np.uint8, np.uint32))]
+                 for r in rows]
+        h, label, lens, ctx, n = (np.concatenate(x) for x in zip(*parts))
         word, at, number = np.unique(h, return_index=True, return_inverse=True)
-        label = np.concatenate(rows[1])[at]
-        of = np.repeat(number, np.concatenate(rows[2]))
-        code, n = _merged([(of.astype(np.int64) * 2 * CLASSES + np.concatenate(rows[3]), np.concatenate(rows[4]))])
+        label = label[at]
+        code, n = _merged([(np.repeat(number, lens).astype(np.int64) * 2 * CLASSES + ctx, n)])
         of, ctx = code // (2 * CLASSES), code % (2 * CLASSES)
         count = np.bincount(of[ctx >= CLASSES], n[ctx >= CLASSES], len(word)).astype(np.int64)
         new = best_classes(shared.value, label, of, ctx, n)
         kinds = [np.bincount(x[count > 0], minlength=CLASSES).astype(np.int64) for x in (new, label)]
-        out = {"block": table.column("block").to_pylist() + [-1], "w": [x.tobytes() for x in rows[0]] + [b""]}
-        bounds = np.cumsum([0] + [len(x) for x in rows[0]])
-        for name, values, last in (("label", new, kinds[0]), ("old", label, kinds[1]), ("c", count, np.zeros(0, np.int64))):
-            out[name] = [values[number[a:b]].tobytes() for a, b in zip(bounds, bounds[1:])] + [last.tobytes()]
-        return pa.table({"block": pa.array(out["block"], pa.int32()), **{k: pa.array(out[k], pa.binary()) for k in ("w", "label", "old", "c")}})
+        bounds = np.cumsum([0] + [len(x[0]) for x in parts])
+        out = [{"block": r[0], "shard": r[1], "label": packed(new[number[a:b]]), "old": packed(label[number[a:b]]),
+                "c": packed(count[number[a:b]])} for r, a, b in zip(rows, bounds, bounds[1:])]
+        out.append({"block": -1, "label": packed(kinds[0]), "old": packed(kinds[1])})
+        return pa.Table.from_batches([as_batch(LABELS, out)])
     return run
 
 
@@ -366,33 +425,31 @@ def likelihood(grid: np.ndarray) -> float:
     return _plogp(grid).sum() - _plogp(grid.sum(axis=1)).sum() - _plogp(grid.sum(axis=0)).sum()
 
 
-def cluster(blocks: DataFrame, seeds: Seeds) -> tuple[DataFrame, bool, np.ndarray, np.ndarray]:
-    """Every block's words with class and count, whether their ``old`` classes hold, the class
-    bigrams of the training texts and the number of training words by class."""
-    spark = blocks.sparkSession
-    shards = shuffle_partitions(spark)
-    shared = spark.sparkContext.broadcast(seeds)
+def _summed(rows: DataFrame, name: str, size: int) -> np.ndarray:
+    return sum((unpacked(r[0], np.int64) for r in rows.where("block < 0").select(name).collect()), np.zeros(size))
 
-    def contexts(labels: DataFrame | None, old: bool = False, whole: bool = True) -> tuple[DataFrame, np.ndarray]:
-        rows = block_rows(blocks, labels).mapInArrow(tidy(_contexts(shared, shards, labels is None, old, whole)), CONTEXTS)
-        rows = materialize(rows, "brown-contexts")
-        grid = sum((np.frombuffer(r[0], np.int64) for r in rows.where("block < 0").select("n").collect()), np.zeros(CLASSES * CLASSES))
-        return rows, grid.reshape(CLASSES, CLASSES).astype(float)
 
-    labels, old = None, False
-    rows, grid = contexts(None)
+def cluster(texts: DataFrame, seeds: Seeds, size: int) -> tuple[DataFrame, DataFrame, str, np.ndarray, np.ndarray]:
+    """The coded texts, every block's words with class and count, the column that holds the class, the
+    class bigrams of the training texts and the number of training words by class."""
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast(seeds)
+    coded = materialize(texts.mapInArrow(tidy(_code(shared, shuffle_partitions(spark), size)), CODED), "brown-coded")
+    grid_of = lambda rows: _summed(rows, "n", CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(float)
+    words, held = coded.where(f"kind = {WORDS}"), "label"
+    rows, grid = words.select("block", "shard", "w", "label", "lens", "ctx", "n"), grid_of(coded)
     for k in range(WORD_ROUNDS):
         now = spark.sparkContext.broadcast(grid)
-        moved = rows.where("block >= 0").groupBy("shard").applyInArrow(_move(now), LABELS)
-        labels = materialize(moved, "brown-labels")
-        rows, after = contexts(labels, whole=k + 1 < WORD_ROUNDS)
+        labels = materialize(rows.groupBy("shard").applyInArrow(_move(now), LABELS), "brown-labels")
+        found = block_rows(coded, labels, "label").mapInArrow(tidy(_contexts(k + 1 < WORD_ROUNDS)), CONTEXTS)
+        found = materialize(found, "brown-contexts")
+        after = grid_of(found)
         if likelihood(after) < likelihood(grid):
-            old = True
+            held = "old"
             break
         grid = after
-    kinds = sum((np.frombuffer(r[0], np.int64) for r in labels.where("block < 0").select("old" if old else "label").collect()),
-                np.zeros(CLASSES))
-    return labels, old, grid, kinds
+        rows = found.where("block >= 0").unionByName(words.select("block", "shard", "w"), allowMissingColumns=True)
+    return coded, labels, held, grid, _summed(labels, held, CLASSES)
 
 
 @dataclass
@@ -406,13 +463,13 @@ class BrownModel:
     ends: int
 
 
-def seed(blocks: DataFrame, words: DataFrame) -> Seeds:
+def seed(rows: DataFrame, words: DataFrame) -> Seeds:
     """Clusters the items; what reaches the driver is bounded by their number."""
     best = words.orderBy(F.desc("c"), "w").limit(TOP).select("w").collect()
     top = np.array([r[0] for r in best], np.int64).view(np.uint64)
     rank = np.argsort(top)
     top, item_of_top = top[rank], rank
-    texts = blocks.where("train").select("text")
+    texts = rows.where("train").select("text")
     pairs = (texts.mapInArrow(_count_pairs(top, item_of_top), "pair int, n long")
              .groupBy("pair").agg(F.sum("n").alias("n")).toPandas())
     counts = np.zeros(ITEMS * ITEMS)
@@ -420,9 +477,9 @@ def seed(blocks: DataFrame, words: DataFrame) -> Seeds:
     return Seeds(top, item_of_top, exchange(counts.reshape(ITEMS, ITEMS)))
 
 
-def fit(blocks: DataFrame, words: DataFrame) -> tuple[BrownModel, DataFrame, bool]:
-    """The estimates, and the classes of all words by block (see ``cluster``)."""
-    labels, old, grid, kinds = cluster(blocks, seed(blocks, words))
+def fit(texts: DataFrame, words: DataFrame, size: int) -> tuple[BrownModel, DataFrame, DataFrame, str]:
+    """The estimates, the coded texts and the classes of all words by block (see ``cluster``)."""
+    coded, labels, held, grid, kinds = cluster(texts, seed(texts, words), size)
     freq = (grid.sum(axis=0) + 0.5) / (grid.sum() + 0.5 * CLASSES)
     step = np.log10((grid + 20.0 * freq) / (grid.sum(axis=1, keepdims=True) + 20.0))
     per = words.agg(F.count("*").alias("types"), F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"),
@@ -431,7 +488,7 @@ def fit(blocks: DataFrame, words: DataFrame) -> tuple[BrownModel, DataFrame, boo
     size = grid.sum(axis=0)
     ends = int(size[-1])
     return BrownModel(step, size, np.log10((discount * kinds + 1) / (size + 1)), discount, per["tokens"] + ends,
-                      per["types"] + (ends > 0), ends), labels, old
+                      per["types"] + (ends > 0), ends), coded, labels, held
 
 
 # --- scores ----------------------------------------------------------------------------------
@@ -439,41 +496,38 @@ def fit(blocks: DataFrame, words: DataFrame) -> tuple[BrownModel, DataFrame, boo
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score_texts(model: BrownModel, table: tuple, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """n_tokens, n_known, base score and model score of every row of a chunk, with the hashes,
-    classes and counts of the block's words."""
-    words = Words(data, offs, lower=True)
-    own, number = np.unique(words.hashes(), return_inverse=True)
-    at = listed(table, own)[number]
-    label, c = table[1][at].astype(np.int64), table[2][at]
+def score_texts(model: BrownModel, label: np.ndarray, c: np.ndarray, texts: Coded) -> tuple[np.ndarray, ...]:
+    """n_tokens, n_known, base score and model score of every row of a chunk, with the classes and
+    counts of the block's words."""
     emit = np.where(c > 0, np.log10(np.maximum(c - model.discount, 1e-9) / (model.size[label] + 1)), model.unseen[label])
-    seq = with_ends(label, words, CLASSES - 1)
+    base = np.log10((np.append(c, model.ends) + 0.1) / (model.tokens + 0.1 * (model.types + 1)))
+    seq = with_ends(label[texts.code].astype(np.int64), texts, CLASSES - 1)
     last = np.concatenate([[CLASSES - 1], seq[:-1]])
     step = model.step[last, seq]
-    base = np.log10((with_ends(c, words, model.ends) + 0.1) / (model.tokens + 0.1 * (model.types + 1)))
-    bounds = np.concatenate([[0], np.cumsum(words.count + 1)])
+    bounds = np.concatenate([[0], np.cumsum(texts.count + 1)])
     per_row = lambda x, b: np.diff(np.concatenate([[0.0], np.cumsum(x)])[b])
-    own = np.concatenate([[0], np.cumsum(words.count)])
-    known = per_row(c > 0, own).astype(np.int64) + (model.ends > 0)
-    return words.count + 1, known, per_row(base, bounds), per_row(step, bounds) + per_row(emit, own)
+    own = np.concatenate([[0], np.cumsum(texts.count)])
+    known = per_row(c[texts.code] > 0, own).astype(np.int64) + (model.ends > 0)
+    return (texts.count + 1, known, per_row(with_ends(base[texts.code], texts, base[-1]), bounds),
+            per_row(step, bounds) + per_row(emit[texts.code], own))
 
 
-def _score(shared, old: bool):
+def _score(shared, held: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for _, table, part in _block_parts(batches, old):
-            for lo, hi, data, offs in text_chunks(part.column(8)):
-                n, known, base, score = score_texts(model, table, data, offs)
-                ids, held = (part.column(k).slice(lo, hi - lo) for k in (6, 7))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, held, pa.array(n), pa.array(known), pa.array(np.full(hi - lo, model.tokens)),
-                     pa.array(base), pa.array(score)], names=[x.split()[0] for x in SCORES.split(", ")])
+        for _, _, (label, c), texts in _blocks(batches, **{held: np.uint8, "c": np.int64}):
+            n, known, base, score = score_texts(model, label, c, texts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts.ids, pa.int64()), pa.array(texts.held), pa.array(n), pa.array(known),
+                 pa.array(np.full(len(n), model.tokens)), pa.array(base), pa.array(score)],
+                names=[x.split()[0] for x in SCORES.split(", ")])
     return run
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    blocks = blocked(docs)
-    model, labels, old = fit(blocks, word_counts(blocks))
+    bound_batches(docs.sparkSession)
+    texts = prepared(docs)
+    model, coded, labels, held = fit(texts, word_counts(texts), block_tokens)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return block_rows(blocks, labels).mapInArrow(tidy(_score(shared, old)), SCORES)
+    return block_rows(coded, labels, held, "c").mapInArrow(tidy(_score(shared, held)), SCORES)

@@ -118,6 +118,18 @@ def test_brown_lm(docs, empty):
     assert brown_lm.score(empty).count() == 0
 
 
+def test_brown_lm_moves_codes_by_block(docs, capsys):
+    """Blocks of any size give the same scores, and no text is shuffled (before, every pass did)."""
+    got = [brown_lm.score(docs), brown_lm.score(docs.repartition(5), 40)]
+    rounded = [collections.Counter((*r[:5], round(r[5], 6), round(r[6], 6)) for r in x.collect()) for x in got]
+    assert rounded[0] == rounded[1]
+    got[0].explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" in plan and "text#" not in plan
+    x = np.random.default_rng(1).integers(0, 1 << 30, 1000)
+    assert (brown_lm.unpacked(brown_lm.packed(x), np.int64) == x).all() and len(brown_lm.unpacked(b"", np.uint8)) == 0
+
+
 def test_exchange_recovers_alternating_classes():
     counts = np.zeros((9, 9))
     for a in range(4):  # items 0-3 are followed by 4-7 and the other way round
