@@ -67,10 +67,11 @@ def test_texts_go_to_workers_in_small_batches(spark):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "n"])
     texts = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.expr("repeat('0123456789', 1000)").alias("text"))
-    for prepare in (packing.pack_buckets, quality_rules.fit, ngram_join.described):
+    some = texts.limit(3).withColumn("lang", F.lit("en"))
+    for prepare in (lambda: packing.pack(some, queries.tokenizer_path()), lambda: quality_rules.fit(some),
+                    lambda: ngram_join.described(some, 5, 80)):
         spark.conf.unset(common.BATCH_BYTES)
-        some = texts.limit(3).withColumn("lang", F.lit("en"))
-        prepare(*{packing.pack_buckets: (some, queries.tokenizer_path()), quality_rules.fit: (some,), ngram_join.described: (some, 5, 80)}[prepare])
+        prepare()
         got = texts.mapInArrow(sizes, "size long, n long").collect()
         assert sum(r.n for r in got) == 3000 and max(r.size for r in got) < 9_000_000
     spark.conf.set(common.BATCH_BYTES, "1m")  # a session's own setting stays
