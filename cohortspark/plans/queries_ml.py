@@ -2,9 +2,9 @@
 
 Spark ML fits cannot be replayed in SQL, so these queries have no SQL twin;
 their properties (coverage, additivity, probability sums) are unit-tested.
-Round counts of the boosted models in the registered queries are kept small
-(``QUERY_ROUNDS``) so the whole registry runs in bounded time; the library
-defaults follow the reference settings.
+Round counts of the boosted experts and of the search in the registered queries
+are kept small (``QUERY_ROUNDS``) so the whole registry runs in bounded time; the
+stacker and the library defaults follow the reference settings.
 """
 
 from __future__ import annotations
@@ -114,8 +114,8 @@ def q_boosting_round_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stacker_oof")
 def q_stacker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Multiclass stacker over the outer-joined OOF table, hard predictions."""
-    oof, *_ = TR.train_stacker(Tables(spark, sf_dir), maxIter=QUERY_ROUNDS)
+    """Multiclass stacker over the outer-joined OOF table, all its rounds, hard predictions."""
+    oof, *_ = TR.train_stacker(Tables(spark, sf_dir))
     return TR.oof_predictions(oof)
 
 

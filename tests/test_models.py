@@ -454,3 +454,22 @@ def test_split_scores_are_spread_before_their_metrics(spark, monkeypatch):
     monkeypatch.setattr(QE.M, "log_loss", lambda probs, *a, **k: seen.append(probs) or loss(probs, *a, **k))
     got = sorted(map(tuple, QE.q_fold_scores_by_split(spark, "/root/testdata/sf0.001").collect()))
     assert got == want and seen[0].rdd.getNumPartitions() >= 10
+
+
+def test_stacker_query_fits_every_round(spark, tmp_path, monkeypatch):
+    from cohortspark.plans import queries_ml as Q
+    from cohortspark.plans import training as TR
+    rng = np.random.default_rng(3)
+    rows = [(i, f"c{i % 3}", *rng.random(2).tolist()) for i in range(60)]
+    table = spark.createDataFrame(rows, "sample_id int, label string, a double, b double")
+    table.selectExpr("sample_id c_custkey", "label c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    monkeypatch.setattr(TR, "meta_table", lambda t: (table, ["a", "b"], ["c0", "c1", "c2"]))
+    asked, fit = {}, ML.fit_oof
+
+    def one_round(*args, **params):
+        asked.update(params)
+        return fit(*args, **dict(params, maxIter=1))
+    monkeypatch.setattr(ML, "fit_oof", one_round)
+    out = Q.q_stacker(spark, str(tmp_path))
+    assert asked == TR.STACKER_PARAMS and asked["maxIter"] == 100
+    assert out.count() == 60
