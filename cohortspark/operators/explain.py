@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -132,13 +133,75 @@ def background_rows(frame: DataFrame, n: int = 10, seed: int = 42, key: str = "s
     return [list(r["x"]) for r in rows]
 
 
-def _draw_orders(texts: list[str], draws: np.ndarray, n_perm: int, seed: int, d: int) -> np.ndarray:
-    """``order[i, step]``: the features of every draw by the md5 of (seed, key, background row,
-    permutation, feature)."""
-    digests = b"".join([hashlib.md5(f"{seed}-{t}-{i // n_perm}-{i % n_perm}-{j}".encode()).digest()
-                        for t, i in zip(texts, draws.tolist()) for j in range(d)])
-    h = np.frombuffer(digests, ">u8").reshape(len(texts), d, 2).astype(np.uint64)
-    return np.lexsort((h[..., 1], h[..., 0]), axis=-1)
+_MD5_SHIFTS = np.array([[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]], np.uint32)
+_MD5_SINES = (np.abs(np.sin(np.arange(1, 65))) * 2.0 ** 32).astype(np.uint64).astype(np.uint32)
+_MD5_START = (0x67452301, 0xefcdab89, 0x98badcfe, 0x10325476)
+#: Digests computed at once: the arrays of a round stay in the processor's cache.
+_MD5_BLOCK = 1 << 14
+
+
+def _md5_short(words: np.ndarray) -> list[np.ndarray]:
+    """The four words of the MD5 of one padded block each, ``words[16, n]``."""
+    a, b, c, d = (np.full(words.shape[1], v, np.uint32) for v in _MD5_START)
+    for i in range(64):
+        turn = i // 16
+        if turn == 0:
+            f, g = d ^ (b & (c ^ d)), i
+        elif turn == 1:
+            f, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+        elif turn == 2:
+            f, g = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, g = c ^ (b | ~d), 7 * i % 16
+        f += a
+        f += _MD5_SINES[i]
+        f += words[g]
+        shift = _MD5_SHIFTS[turn, i % 4]
+        turned = f << shift
+        f >>= np.uint32(32) - shift
+        turned |= f
+        turned += b
+        a, d, c, b = d, c, b, turned
+    return [x + np.uint32(v) for x, v in zip((a, b, c, d), _MD5_START)]
+
+
+def _digests(prefixes: list[bytes], suffixes: list[bytes]) -> np.ndarray:
+    """``[prefix, suffix, 2]``: the MD5 of every prefix and suffix as two big-endian numbers."""
+    n, longest = len(suffixes), max(map(len, suffixes))
+    out = np.empty((len(prefixes), n, 2), np.uint64)
+    sizes = np.array([len(x) for x in prefixes])
+    ends = np.zeros((n, longest + 1), np.uint8)  # the suffix and the mark that ends a message
+    for i, x in enumerate(suffixes):
+        ends[i, :len(x) + 1] = np.frombuffer(x + b"\x80", np.uint8)
+    lengths = np.array([len(x) for x in suffixes], np.uint32)
+    for size in np.unique(sizes):
+        own = np.flatnonzero(sizes == size)
+        if size + longest > 55:  # more than one block
+            for i in own:
+                whole = b"".join([hashlib.md5(prefixes[i] + x).digest() for x in suffixes])
+                out[i] = np.frombuffer(whole, ">u8").reshape(n, 2)
+            continue
+        step = max(1, _MD5_BLOCK // n)
+        for at in (own[a:a + step] for a in range(0, len(own), step)):
+            text = np.zeros((len(at), n, 64), np.uint8)
+            text[:, :, :size] = np.frombuffer(b"".join([prefixes[i] for i in at]), np.uint8).reshape(len(at), 1, size)
+            text[:, :, size:size + longest + 1] = ends
+            words = np.ascontiguousarray(text.view("<u4").reshape(-1, 16).T)
+            words[14] = np.tile((lengths + np.uint32(size)) * np.uint32(8), len(at))
+            a, b, c, d = (x.byteswap().astype(np.uint64) for x in _md5_short(words))
+            out[at, :, 0] = (a << np.uint64(32) | b).reshape(len(at), n)
+            out[at, :, 1] = (c << np.uint64(32) | d).reshape(len(at), n)
+    return out
+
+
+def _draw_orders(texts: list[str], n_draws: int, n_perm: int, seed: int, d: int) -> np.ndarray:
+    """``order[sample, draw, step]``: the features of every draw by the md5 of (seed, key, background
+    row, permutation, feature)."""
+    suffixes = [f"{i // n_perm}-{i % n_perm}-{j}".encode() for i in range(n_draws) for j in range(d)]
+    h = _digests([f"{seed}-{t}-".encode() for t in texts], suffixes).reshape(len(texts), n_draws, d, 2)
+    order = np.argsort(h[..., 0], axis=-1)
+    first = np.take_along_axis(h[..., 0], order, axis=-1)
+    return np.lexsort((h[..., 1], h[..., 0]), axis=-1) if (first[..., 1:] == first[..., :-1]).any() else order
 
 
 def _switch_steps(background: np.ndarray, n_perm: int, seed: int):
@@ -149,21 +212,17 @@ def _switch_steps(background: np.ndarray, n_perm: int, seed: int):
     step = max(1, STEP_VALUES // ((d + 1) * d))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows * n_draws, step):
-                pair = np.arange(lo, min(lo + step, batch.num_rows * n_draws))  # (sample, draw)
-                first = pair[0] // n_draws
-                row, draw = pair // n_draws - first, pair % n_draws
-                part = batch.slice(first, row[-1] + 1)
-                x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)[row]
-                texts = part.column(1).to_pylist()
-                order = _draw_orders([texts[r] for r in row], draw, n_perm, seed, d)
+        for part, x, orders in _samples(batches, n_draws, n_perm, seed, d):
+            for lo in range(0, len(x) * n_draws, step):
+                pair = np.arange(lo, min(lo + step, len(x) * n_draws))  # (sample, draw)
+                row, draw = pair // n_draws, pair % n_draws
+                own, order = x[row], orders[row, draw]
                 rank = np.argsort(order, axis=1)
                 on = np.insert(order, 0, -1, axis=1)
-                changed = (x != bg[draw])[np.arange(len(on))[:, None], on]
+                changed = (own != bg[draw])[np.arange(len(on))[:, None], on]
                 changed[:, 0] = True
                 at, t = np.nonzero(changed)
-                z = np.where(rank[at] < t[:, None], x[at], bg[draw[at]])
+                z = np.where(rank[at] < t[:, None], own[at], bg[draw[at]])
                 n = len(z)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * d), pa.array(z.ravel()))
                 vector = pa.StructArray.from_arrays(
@@ -174,13 +233,105 @@ def _switch_steps(background: np.ndarray, n_perm: int, seed: int):
     return run
 
 
+def _samples(batches: Iterator[pa.RecordBatch], n_draws: int, n_perm: int, seed: int, d: int) -> Iterator[tuple]:
+    """Bounded parts of the batches, their values ``[sample, feature]`` and the orders of their draws."""
+    size = max(1, STEP_VALUES // (n_draws * d * 8))
+    for batch in batches:
+        for a in range(0, batch.num_rows, size):
+            part = batch.slice(a, size)
+            x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            yield part, x, _draw_orders(part.column(1).to_pylist(), n_draws, n_perm, seed, d)
+
+
+def _softmax(margins: np.ndarray) -> np.ndarray:
+    """Probabilities over the first axis, like Spark's: the first margin of +infinity reads 1, the others 0 times theirs."""
+    top = np.isposinf(margins)
+    with np.errstate(invalid="ignore"):
+        # fmax: a margin that is no number makes the sum one, whatever the largest is
+        p = margins - np.fmax.reduce(margins, axis=0)
+        np.exp(p, out=p)
+        p /= p.sum(axis=0)
+        if top.any():
+            cells = np.nonzero(top.any(axis=0))
+            p[:, *cells] = margins[:, *cells] * 0.0
+            p[top.argmax(axis=0)[cells], *cells] = 1.0
+    return p
+
+
+def _linear_gains(background: np.ndarray, n_perm: int, seed: int, weights: np.ndarray, intercepts: np.ndarray):
+    """The steps of :func:`_switch_steps` scored and credited where they are made: a switch moves the
+    margins of a linear model by the weights times the change of the value."""
+    bg = np.repeat(background, n_perm, axis=0)
+    n_draws, d = bg.shape
+    n_classes = len(weights)
+    start = weights @ bg.T + intercepts[:, None]
+    step = max(1, STEP_VALUES // (8 * d * n_classes))
+
+    def gains(x: np.ndarray, orders: np.ndarray) -> np.ndarray:
+        """``[sample, feature, class]``: the sums over the draws."""
+        out = np.zeros((n_classes, len(x), d))
+        for lo in range(0, len(x) * n_draws, step):
+            pair = np.arange(lo, min(lo + step, len(x) * n_draws))
+            row, draw = pair // n_draws, pair % n_draws
+            own, order = x[row], orders[row, draw]
+            same = own == bg[draw]
+            margins = np.empty((n_classes, len(pair), d + 1))
+            margins[:, :, 0] = start[:, draw]
+            with np.errstate(invalid="ignore"):
+                change = np.take_along_axis(np.where(same, 0.0, own - bg[draw]), order, axis=1)
+                np.multiply(weights[:, order], change, out=margins[:, :, 1:])
+                p = _softmax(np.cumsum(margins, axis=2))
+                gain = p[:, :, 1:] - p[:, :, :-1]
+            back = np.empty_like(gain)
+            back[:, np.arange(len(pair))[:, None], order] = gain
+            if not np.isfinite(own).all():  # an unchanged value earns nothing, whatever the margins
+                back[:, same] = 0.0
+            begin = np.flatnonzero(np.diff(row, prepend=-1))
+            out[:, row[begin]] += np.add.reduceat(back, begin, axis=1)
+        return out.transpose(1, 2, 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total = None, None  # the key that may go on in the next part
+        emit = _emitter(n_draws)
+        for part, x, orders in _samples(batches, n_draws, n_perm, seed, d):
+            keys, sums = part.column(0), gains(x, orders)
+            begin = np.append(0, np.flatnonzero(pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy(zero_copy_only=False)) + 1)
+            sums, own = np.add.reduceat(sums, begin, axis=0), keys.take(pa.array(begin))
+            if key is not None and key[0] == own[0]:
+                sums[0] += total[0]
+            elif key is not None:
+                yield emit(key, total)
+            if len(own) > 1:
+                yield emit(own.slice(0, len(own) - 1), sums[:-1])
+            key, total = own.slice(len(own) - 1), sums[-1:].copy()
+        if key is not None:
+            yield emit(key, total)
+    return run
+
+
+def _emitter(n_draws: int):
+    def emit(keys: pa.Array, total: np.ndarray) -> pa.RecordBatch:
+        """Rows of the sums ``total[key, feature, class]``."""
+        n, d, n_classes = total.shape
+        return pa.RecordBatch.from_arrays(
+            [keys.take(pa.array(np.repeat(np.arange(n, dtype=np.int32), d * n_classes))),
+             pa.array(np.tile(np.repeat(np.arange(d, dtype=np.int32), n_classes), n)),
+             pa.array(np.tile(np.arange(n_classes, dtype=np.int32), n * d)), pa.array(total.ravel() / n_draws)], names=["_key", "_j", "_c", "phi"])
+    return emit
+
+
+def _linear_parts(model, background: np.ndarray, features_col: str, output: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Weights and intercepts by class if ``output`` is the softmax of linear margins."""
+    if not isinstance(model, LogisticRegressionModel) or model.getFeaturesCol() != features_col \
+            or model.getProbabilityCol() != output or not np.isfinite(background).all():
+        return None
+    weights = model.coefficientMatrix.toArray()
+    return (weights, model.interceptVector.toArray()) if len(weights) == model.numClasses else None
+
+
 def _credits(d: int, n_draws: int):
     """A scored step's gain over the row before it, summed by feature; the rows of a key follow each other."""
-    def emit(key: pa.Array, total: np.ndarray) -> pa.RecordBatch:
-        n, n_classes = total.size, total.shape[1]
-        return pa.RecordBatch.from_arrays(
-            [key.take(pa.array(np.zeros(n, np.int32))), pa.array(np.repeat(np.arange(d, dtype=np.int32), n_classes)),
-             pa.array(np.tile(np.arange(n_classes, dtype=np.int32), d)), pa.array(total.ravel() / n_draws)], names=["_key", "_j", "_c", "phi"])
+    emit = _emitter(n_draws)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, total, last = None, None, None
@@ -195,12 +346,12 @@ def _credits(d: int, n_draws: int):
             for a, b in zip([0, *cuts], [*cuts, len(on)]):
                 if key is None or keys[a] != key[0]:
                     if key is not None:
-                        yield emit(key, total)
+                        yield emit(key, total[None])
                     key, total = keys.slice(a, 1), np.zeros((d, f.shape[1]))
                 step = np.flatnonzero(on[a:b] >= 0) + a
                 np.add.at(total, on[step], gain[step])
         if key is not None:
-            yield emit(key, total)
+            yield emit(key, total[None])
     return run
 
 
@@ -215,7 +366,9 @@ def sampled_shapley(model, frame: DataFrame, background: list[list[float]], clas
     the sample value one at a time, and the synthetic rows are scored by
     ``model.transform``, which must score row by row (keep the rows' order), as
     Spark ML's models do.  A switch that leaves the row as it is changes no
-    output, so its row is not scored again and earns nothing.  The samples are
+    output, so its row is not scored again and earns nothing.  The steps of a
+    multinomial logistic regression are scored in the task that makes them, from
+    the margins of the row before; other models score the rows.  The samples are
     dealt and sorted by key; a task makes the steps of a sample one after the
     other and sums the gains by feature, so nothing but the samples themselves
     is shuffled.  For every (b, p) the credits sum to ``f(x) - f(b)`` exactly.
@@ -234,11 +387,16 @@ def sampled_shapley(model, frame: DataFrame, background: list[list[float]], clas
     conf = frame.sparkSession.conf.get("spark.sql.shuffle.partitions")
     tasks = max(int(conf), frame.sparkSession.sparkContext.defaultParallelism)
     x = x.repartition(tasks, F.xxhash64(key)).sortWithinPartitions(key)
-    made = x.mapInArrow(_switch_steps(bg, n_perm, seed), StructType([
-        StructField("_key", frame.schema[key].dataType), StructField("_on", IntegerType()), StructField("_vector", VectorUDT())]))
-    synth = made.select(F.col("_key").alias(key), "_on", F.col("_vector").alias(features_col))
-    scored = model.transform(synth).select(key, "_on", vector_to_array(F.col(output)).alias("_f"))
-    phi = scored.mapInArrow(_credits(d, n_draws), f"_key {kind}, _j int, _c int, phi double")
+    credited = f"_key {kind}, _j int, _c int, phi double"
+    linear = _linear_parts(model, bg, features_col, output)
+    if linear is not None:
+        phi = x.mapInArrow(_linear_gains(bg, n_perm, seed, *linear), credited)
+    else:
+        made = x.mapInArrow(_switch_steps(bg, n_perm, seed), StructType([
+            StructField("_key", frame.schema[key].dataType), StructField("_on", IntegerType()), StructField("_vector", VectorUDT())]))
+        synth = made.select(F.col("_key").alias(key), "_on", F.col("_vector").alias(features_col))
+        scored = model.transform(synth).select(key, "_on", vector_to_array(F.col(output)).alias("_f"))
+        phi = scored.mapInArrow(_credits(d, n_draws), credited)
     name_arr = F.array(*[F.lit(n) for n in names])
     cls_arr = F.array(*[F.lit(str(c)) for c in classes])
     return phi.select(F.col("_key").alias(key), F.element_at(cls_arr, F.col("_c") + 1).alias("class"),

@@ -473,3 +473,33 @@ def test_stacker_query_fits_every_round(spark, tmp_path, monkeypatch):
     out = Q.q_stacker(spark, str(tmp_path))
     assert asked == TR.STACKER_PARAMS and asked["maxIter"] == 100
     assert out.count() == 60
+
+
+def test_linear_steps_scored_in_the_task_equal_the_models_own(spark):
+    """Repeated keys, values like the background's, NaN and infinity; the order of every draw is the md5's."""
+    import hashlib
+    from cohortspark.operators import explain as EX
+    df, X = _frame(spark, n=30, d=4)
+    model = ML.make_estimator("lr", 3).fit(df)
+
+    class Whole:
+        def transform(self, rows):
+            return model.transform(rows)
+    bg = [X[0].tolist(), X[1].tolist(), [0.0] * 4]
+    odd = [(i, Vectors.dense(v)) for i, v in enumerate(
+        [X[0].tolist(), [math.nan, 1.0, 0.0, 2.0], [math.inf, 0.0, 1.0, 0.0], [1.0, -math.inf, 0.0, 0.0], [0.0] * 4])]
+    rows = df.select("sample_id", "features").unionByName(spark.createDataFrame(odd, df.select("sample_id", "features").schema))
+
+    def values(m):
+        return {(r["sample_id"], r["feature"], r["class"]): r["phi"]
+                for r in EX.sampled_shapley(m, rows, bg, ["0", "1", "2"], n_perm=2).collect()}
+    got, want = values(model), values(Whole())
+    assert len(got) == 30 * 4 * 3 and got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-12, nan_ok=True), k
+    plan = EX.sampled_shapley(model, rows, bg, ["0", "1", "2"], n_perm=2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # no synthetic row leaves its task
+    prefixes, suffixes = [b"42-7-", "42-\u00e9-".encode(), b"42-" + b"x" * 70], [b"0-0-1", b"10-1-123"]
+    digests = EX._digests(prefixes, suffixes)
+    for i, j in itertools.product(range(3), range(2)):
+        assert digests[i, j].astype(">u8").tobytes() == hashlib.md5(prefixes[i] + suffixes[j]).digest()
