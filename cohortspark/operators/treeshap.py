@@ -18,8 +18,8 @@ Design (the game of Lundberg et al., 2018, path-dependent expectation):
    Gauss-Legendre quadrature with ceil(m / 2) nodes is exact; the work is
    m * ceil(m / 2) per row and leaf instead of 2^m subsets.
    :class:`TreeWalks` shares it among the leaves of a tree: the products grow
-   edge by edge on the way down and the leaves' sums are gathered on the way up,
-   so an edge costs ceil(m / 2) values per row and output, whatever the path.
+   split by split on the way down and the leaves' sums are gathered on the way up,
+   so a split costs ceil(m / 2) values per row and output, whatever the path.
 4. The trees are broadcast (model-sized); ``mapInArrow`` evaluates row
    blocks of bounded size and keeps only the features that some path touches.
 5. Output is long ``(sample_id, class, feature, phi)``; additivity holds:
@@ -33,6 +33,7 @@ import math
 import os
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ from ..session import ensure_checkpoint_dir
 #: Values of one row block (rows x leaves x path features), at most.
 BLOCK_VALUES = 1 << 21
 #: Rows that walk down a tree together: an edge's arrays stay in the processor's cache.
-WALK_ROWS = 512
+WALK_ROWS = 1024
 
 
 def node_tables(model, spark: SparkSession | None = None) -> tuple[dict, list[float]]:
@@ -56,12 +57,12 @@ def node_tables(model, spark: SparkSession | None = None) -> tuple[dict, list[fl
     rows = spark.read.parquet(os.path.join(path, "data")).select(
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats", "nodeData.rawCount",
         "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
-        "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories").collect()
+        "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories").toArrow().to_pylist()
     trees: dict = {}
     for r in rows:
         if r["leftChild"] >= 0 and r["numCategories"] != -1:
             raise ValueError("attributions are defined for continuous splits only")
-        trees.setdefault(int(r["treeID"]), {})[int(r["id"])] = r.asDict()
+        trees.setdefault(r["treeID"], {})[r["id"]] = r
     weights = list(getattr(model, "treeWeights", [1.0] * len(trees)))
     return trees, weights
 
@@ -153,17 +154,21 @@ class PathGroups:
 class TreeWalks:
     """The same attributions as :class:`PathGroups` by one walk over every tree.
 
-    An edge of feature j has ``o`` (the row meets all tests of j so far) and ``r`` (the product of
-    their cover ratios), and its factor at share t is ``t o + (1 - t) r``; it takes the place of the
-    factor of the last edge of j above it.  With H the sum of ``value * product of factors`` over
-    the leaves below, phi_j gains ``(o - r) int H / factor`` of the edge and loses the same of
-    the edge it replaced.  No factor is 0, as the ratios of :func:`cover_ratios` are not."""
+    A split on feature j divides the product P of the factors above it: its left share m is the
+    left edge's factor over that of the last edge of j above (1 if there is none), its right share
+    is 1 - m.  With H the sum of ``value * product of shares`` over the leaves below a node,
+    ``H = H_right + m (H_left - H_right)`` on the way up, and phi_j gains
+    ``c int P (H_left - H_right) / F^2``, where F is the last factor of j above for a row that met
+    all tests of j so far, and c is the right side's part of the cover if the row goes left,
+    less the left side's if it goes right, and 0 for any other row; both come from a product of
+    matrices.  A node over two leaves has an H
+    of two vectors, and one over two of those an H of four: they are put together by products of matrices."""
 
     def __init__(self, trees: dict, weights: list[float], kind: str):
         self.trees, touched = [], set()
         for tid, nodes in sorted(trees.items()):
-            ratio, value, children, used = cover_ratios(nodes), {}, {}, set()
-            depth, stack = 0, [(min(nodes), frozenset())]
+            ratio, value, splits = cover_ratios(nodes), {}, {}
+            depth, cover, stack = 0, [], [(min(nodes), {})]
             while stack:
                 nid, seen = stack.pop()
                 nd = nodes[nid]
@@ -172,59 +177,102 @@ class TreeWalks:
                     value[nid] = _leaf_value(nd, kind, weights[tid], len(trees))
                     continue
                 f, left, right = int(nd["featureIndex"]), nd["leftChild"], nd["rightChild"]
-                children[nid] = f, float(nd["leftCategoriesOrThreshold"][0]), left, right, ratio[left], ratio[right]
-                used.add(f)
-                stack += [(left, seen | {f}), (right, seen | {f})]
-            if depth:
-                self.trees.append((min(nodes), children, value, depth))
-            touched |= used
+                above = seen.get(f, 1.0)
+                own = above * ratio[left], above * ratio[right]
+                splits[nid] = f, float(nd["leftCategoriesOrThreshold"][0]), left, right, len(cover)
+                cover.append((above, *own, ratio[left]))
+                stack += [(left, {**seen, f: own[0]}), (right, {**seen, f: own[1]})]
+            touched |= {x[0] for x in splits.values()}
             self.n_out = len(next(iter(value.values())))
+            if depth:
+                t, w = np.polynomial.legendre.leggauss(-(-depth // 2))
+                t, w = (t + 1) / 2, w / 2
+                above, left, right, part = np.array(cover).T[:, :, None]
+                whole = t + (1 - t) * above
+                # m and c of a split from (left and met above, met above, 1)
+                states = np.empty((len(cover), len(t) + 1, 3))
+                states[:, :-1, 0] = t / whole
+                states[:, :-1, 1] = (1 - t) * left / whole - part
+                states[:, :-1, 2] = part
+                states[:, -1:] = np.stack([left + right, -left, 0 * left], axis=2)
+                self.trees.append((min(nodes), splits, value, len(t), states, (w / whole ** 2)[:, :, None]))
         self.touched = np.array(sorted(touched), int)
+        # outputs of leaves that add up to the same everywhere earn 0 together: the last is left out
+        totals = [v.sum() for tree in self.trees for v in tree[2].values()]
+        self.walked = self.n_out - (self.n_out > 1 and np.ptp(totals or [0.0]) < 1e-12)
+        for tree in self.trees:
+            tree[2].update({nid: v[:self.walked] for nid, v in tree[2].items()})
 
     def attributions(self, x: np.ndarray) -> np.ndarray:
         """``phi[n, touched, n_out]`` of dense rows."""
         phi = np.zeros((len(self.touched), self.n_out, len(x)))
-        place = {f: i for i, f in enumerate(self.touched.tolist())}
         for a in range(0, len(x), WALK_ROWS):
-            columns = {f: np.ascontiguousarray(x[a:a + WALK_ROWS, f]) for f in place}
-            own = phi[:, :, a:a + WALK_ROWS]
-            block = np.zeros(own.shape)
-            for root, children, value, depth in self.trees:
-                t, w = np.polynomial.legendre.leggauss(-(-depth // 2))
-                t, w = ((t + 1) / 2)[:, None], (w / 2)[:, None]
-                self._walk(root, np.ones((len(t), own.shape[2])), {}, columns, children, value, t, w, place, block)
-            own += block
+            columns = {f: np.ascontiguousarray(x[a:a + WALK_ROWS, f]) for f in self.touched.tolist()}
+            block = np.zeros((len(columns), self.walked, len(x[a:a + WALK_ROWS])))
+            earned = dict(zip(columns, block))
+            state = np.ones((3, block.shape[2]))
+            for root, splits, value, n_shares, states, scale in self.trees:
+                shares = np.ones((4, n_shares, block.shape[2]))
+
+                def walk(nid, product, last):
+                    """H of the node: the values of a leaf, a pair of leaves, or ``[output, share, row]``."""
+                    if nid in value:
+                        return value[nid]
+                    f, threshold, left, right, at = splits[nid]
+                    goes_left, above = columns[f] <= threshold, last.get(f)  # anything else (NaN too) goes to the right
+                    goes_right = ~goes_left
+                    if above is None:
+                        state[1] = 1.0
+                    else:
+                        goes_left &= above
+                        goes_right &= above
+                        state[1] = above
+                    state[0] = goes_left
+                    both = states[at] @ state
+                    m, credit = both[:-1], both[-1]
+                    if left in value and right in value:
+                        difference = value[left] - value[right]
+                        earned[f] += difference[:, None] * (credit * (scale[at][:, 0] @ product))
+                        return value[right], difference, m
+                    below = product * m
+                    h_left = walk(left, below, {**last, f: goes_left})
+                    h_right = walk(right, product - below, {**last, f: goes_right})
+                    scaled = product * scale[at]
+                    if isinstance(h_left, tuple) and isinstance(h_right, tuple):
+                        (v, d, n), (v_right, d_right, n_right) = h_left, h_right
+                        sums = np.empty((3, len(credit)))
+                        np.add.reduce(scaled, axis=0, out=sums[0])
+                        np.einsum("qr,qr->r", scaled, n, out=sums[1])
+                        np.einsum("qr,qr->r", scaled, n_right, out=sums[2])
+                        sums *= credit
+                        earned[f] += np.array([v - v_right, d, -d_right]).T @ sums
+                        shares[0] = m
+                        np.multiply(m, n, out=shares[1])
+                        np.subtract(1, m, out=shares[2])
+                        shares[2] *= n_right
+                        return (np.array([v - v_right, d, d_right, v_right]).T @ shares.reshape(4, -1)).reshape(-1, *m.shape)
+                    leaf = left in value
+                    h_left, h_right = _dense(h_left), _dense(h_right)
+                    h = np.subtract(h_left, h_right, out=None if leaf else h_left)
+                    gain = np.einsum("qr,kqr->kr", scaled, h)
+                    gain *= credit
+                    earned[f] += gain
+                    h *= m
+                    h += h_right
+                    return h
+                walk(root, np.ones((n_shares, block.shape[2])), {})
+            phi[:, :self.walked, a:a + WALK_ROWS] = block
+            if self.walked < self.n_out:
+                phi[:, -1, a:a + WALK_ROWS] = -block.sum(axis=1)
         return phi.transpose(2, 0, 1)
 
-    def _walk(self, nid, product, last, columns, children, value, t, w, place, phi) -> np.ndarray:
-        """H below the node, ``[share, output, row]``; adds the credits of all edges below."""
-        f, threshold, left, right, ratio_left, ratio_right = children[nid]
-        goes_left = columns[f] <= threshold  # anything else (NaN too) goes to the right
-        above = last.get(f)
-        earned, total = phi[place[f]], None
-        for child, meets, ratio in ((left, goes_left, ratio_left), (right, ~goes_left, ratio_right)):
-            if above is None:
-                o, r, below = meets, ratio, product
-            else:
-                o, r = meets & above[0], ratio * above[1]
-                below = product / above[2]
-            factor = np.where(o, t + (1 - t) * r, (1 - t) * r)
-            below = below * factor
-            share = w / factor * (o - r)
-            if above is not None:
-                share -= w / above[2] * (above[0] - above[1])
-            if child in value:
-                leaf = value[child][:, None]
-                earned += leaf * (share * below).sum(axis=0)
-                h = below[:, None, :] * leaf
-            else:
-                h = self._walk(child, below, {**last, f: (o, r, factor)}, columns, children, value, t, w, place, phi)
-                earned += np.einsum("qr,qkr->kr", share, h)
-            if total is None:
-                total = h
-            else:
-                total += h
-        return total
+
+def _dense(h) -> np.ndarray:
+    """H of a node as ``[output, share, row]``; a leaf's has one share and row."""
+    if isinstance(h, tuple):
+        value, difference, m = h
+        return np.multiply.outer(difference, m) + value[:, None, None]
+    return h[:, None, None] if h.ndim == 1 else h
 
 
 def cover_ratios(nodes: dict) -> dict[int, float]:
@@ -240,10 +288,19 @@ def cover_ratios(nodes: dict) -> dict[int, float]:
 
 def _evaluator(trees: dict, weights: list[float], kind: str) -> tuple["TreeWalks | PathGroups", np.ndarray]:
     """What computes the attributions, and the expected value; a tree with an empty side (a ratio
-    of 0) takes the path records, which stand zero factors."""
-    recs = path_records(trees, weights, kind)
-    empty = any(r == 0 for nodes in trees.values() for r in cover_ratios(nodes).values())
-    return PathGroups(recs) if empty else TreeWalks(trees, weights, kind), expected_value(recs)
+    of 0) takes the path records."""
+    base, empty = 0.0, False
+    for tid, nodes in sorted(trees.items()):
+        ratio, stack = cover_ratios(nodes), [(min(nodes), 1.0)]
+        empty = empty or 0.0 in ratio.values()
+        while stack:
+            nid, share = stack.pop()
+            nd = nodes[nid]
+            if nd["leftChild"] < 0:
+                base = base + share * _leaf_value(nd, kind, weights[tid], len(trees))
+            else:
+                stack += [(child, share * ratio[child]) for child in (nd["leftChild"], nd["rightChild"])]
+    return PathGroups(path_records(trees, weights, kind)) if empty else TreeWalks(trees, weights, kind), base
 
 
 def shap_batch(X: np.ndarray, recs: list[tuple], d: int, n_out: int) -> np.ndarray:
@@ -275,12 +332,14 @@ def _explain(key: str, shared):
     return run
 
 
-def _paths(model, kind: str) -> list[tuple[int, "TreeWalks | PathGroups", np.ndarray]]:
+def _paths(model, kind: str, spark: SparkSession) -> list[tuple[int, "TreeWalks | PathGroups", np.ndarray]]:
     """(class of the first output, evaluator, expected value) of every tree model inside."""
     inner = getattr(model, "models", None)
     if inner is None:
-        return [(0, *_evaluator(*node_tables(model), kind))]
-    return [(c, *_evaluator(*node_tables(m), "gbt")) for c, m in enumerate(inner)]  # one margin per class
+        return [(0, *_evaluator(*node_tables(model, spark), kind))]
+    with ThreadPoolExecutor(max_workers=4) as pool:  # one margin per class; saving and reading is waiting
+        tables = list(pool.map(lambda m: node_tables(m, spark), inner))
+    return [(c, *_evaluator(*table, "gbt")) for c, table in enumerate(tables)]
 
 
 def tree_shapley(model, frame: DataFrame, kind: str, feature_names: list[str],
@@ -291,13 +350,13 @@ def tree_shapley(model, frame: DataFrame, kind: str, feature_names: list[str],
     ``kind='rf'`` explains class probabilities, ``kind='gbt'`` the margin: of the
     positive class (``class`` = 1, or the last of ``class_names``) for a binary
     model, of every class for a one-vs-rest set."""
-    parts = _paths(model, kind)
+    spark = frame.sparkSession
+    parts = _paths(model, kind, spark)
     base = np.concatenate([b for _, _, b in parts])
     if len(base) > 1:
         classes = list(class_names) if class_names is not None else list(range(len(base)))
     else:
         classes = [class_names[-1] if class_names else 1]
-    spark = frame.sparkSession
     shared = spark.sparkContext.broadcast([(c, g) for c, g, _ in parts])  # as large as the model
     key_type = frame.schema[key].dataType.simpleString()
     inp = frame.select(key, vector_to_array(F.col(features_col)).alias("_x"))
@@ -321,8 +380,10 @@ def fold_attributions(models: list, frame: DataFrame, kind: str, feature_names:
     Returns ``(key, fold, class, feature, phi)`` over all folds, and the expected
     values ``(fold, class, base)`` (folds x classes rows)."""
     parts, bases = [], []
-    for fold, model in enumerate(models):
-        phi, base = tree_shapley(model, frame.where(F.col("fold") == fold), kind, feature_names, class_names, key)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        explained = list(pool.map(lambda at: tree_shapley(at[1], frame.where(F.col("fold") == at[0]), kind, feature_names, class_names, key),
+                                  enumerate(models)))
+    for fold, (phi, base) in enumerate(explained):
         names = class_names if len(base) > 1 else [class_names[-1]]
         parts.append(phi.withColumn("fold", F.lit(fold)))
         bases += [(fold, str(c), float(b)) for c, b in zip(names, base)]

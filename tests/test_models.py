@@ -503,3 +503,37 @@ def test_linear_steps_scored_in_the_task_equal_the_models_own(spark):
     digests = EX._digests(prefixes, suffixes)
     for i, j in itertools.product(range(3), range(2)):
         assert digests[i, j].astype(">u8").tobytes() == hashlib.md5(prefixes[i] + suffixes[j]).digest()
+
+
+def test_tree_walks_gather_leaves_by_matrix_products(spark):
+    """Trees of uneven depth, with repeated features: the same values as the path records, from few array
+    operations a leaf; outputs that are not shares of one whole keep the last one's own walk."""
+    rng = np.random.default_rng(5)
+
+    def grown(depth, value):
+        nodes, todo = {}, [(0, 0, 1000)]
+        while todo:
+            nid, level, rows = todo.pop()
+            split = level < depth and rows > 1 and (level < 2 or rng.random() < 0.85)
+            cut = int(rng.integers(1, rows)) if split else 0
+            nodes[nid] = {"leftChild": 2 * nid + 1 if split else -1, "rightChild": 2 * nid + 2, "rawCount": rows,
+                          "featureIndex": int(rng.integers(5)), "leftCategoriesOrThreshold": [float(rng.normal())],
+                          "impurityStats": value(), "prediction": float(rng.normal())}
+            todo += [(2 * nid + 1, level + 1, cut), (2 * nid + 2, level + 1, rows - cut)] if split else []
+        return nodes
+    X = rng.normal(size=(1500, 5))  # two blocks
+    X[0, 0], X[1, 1], X[2, 2] = np.nan, np.inf, -np.inf
+    shares, loose = (lambda: rng.random(3).tolist()), (lambda: [0.0] * 3 if rng.random() < 0.3 else rng.random(3).tolist())
+    for kind, value, walked in (("rf", shares, 2), ("rf", loose, 3), ("gbt", shares, 1)):
+        trees = {t: grown(8, value) for t in range(3)}
+        weights = [1.0, 0.5, 0.25]
+        recs = TS.path_records(trees, weights, kind)
+        evaluator, base = TS._evaluator(trees, weights, kind)
+        want = TS.shap_batch(X, recs, 5, evaluator.n_out)
+        assert isinstance(evaluator, TS.TreeWalks) and evaluator.walked == walked
+        assert np.abs(evaluator.attributions(X) - want[:, evaluator.touched, :]).max() < 1e-12
+        assert np.allclose(base, TS.expected_value(recs), atol=1e-12)
+        low = TS.TreeWalks(trees := {0: grown(2, value), 1: grown(3, value)}, weights, kind)
+        want = TS.shap_batch(X[:1], TS.path_records(trees, weights, kind), 5, low.n_out)[:, low.touched, :]
+        for _ in range(2):  # a single row's arrays are as small as a leaf's, which a walk leaves as they are
+            assert np.abs(low.attributions(X[:1]) - want).max() < 1e-12
